@@ -107,7 +107,10 @@ def with_views(query: str, extra: dict[str, str] | None = None) -> str:
     if not used:
         return query
     parts = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in used)
-    return f"WITH {parts}\n{query.strip()}"
+    q = query.strip()
+    if re.match(r"(?i)^with\b", q):
+        return f"WITH {parts},\n{q[4:].lstrip()}"
+    return f"WITH {parts}\n{q}"
 
 
 _BASE = {"documents", "pages", "events", "benchmark", "conversations", "labels"}
