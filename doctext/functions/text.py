@@ -123,3 +123,8 @@ def sql_regex_class(chars: str) -> str:
 
 
 _ = re  # kept for callers that build patterns
+
+
+def re2_class(chars: str) -> str:
+    """The same character class for engines that reject needless escapes."""
+    return "[" + "".join("\\" + ch if ch in "]\\^-[" else ch for ch in chars) + "]"

@@ -95,13 +95,14 @@ def with_views(query: str, extra: dict[str, str] | None = None) -> str:
     ctes["dictionary"] = DICTIONARY_ORACLE
     ctes.update(extra or {})
     used: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name, body in ctes.items():
-            if name not in used and re.search(rf"\b{name}\b", text) and name not in _BASE:
+            if name not in seen and re.search(rf"\b{name}\b", text) and name not in _BASE:
+                seen.add(name)
                 visit(body)
-                if name not in used:
-                    used.append(name)
+                used.append(name)
 
     visit(query)
     if not used:
