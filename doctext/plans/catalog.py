@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from . import q_state, q_text  # noqa: F401
+from . import q_repair, q_state, q_text  # noqa: F401

@@ -18,6 +18,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Joins and aggregates keyed on (document, position) reuse the
+    # document partitioning instead of re-shuffling token rows.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
