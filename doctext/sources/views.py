@@ -109,8 +109,10 @@ def with_views(query: str, extra: dict[str, str] | None = None) -> str:
         return query
     parts = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in used)
     q = query.strip()
-    if re.match(r"(?i)^with\b", q):
-        return f"WITH {parts},\n{q[4:].lstrip()}"
+    m = re.match(r"(?i)^with(\s+recursive)?\b", q)
+    if m:
+        head = "WITH RECURSIVE" if m.group(1) else "WITH"
+        return f"{head} {parts},\n{q[m.end():].lstrip()}"
     return f"WITH {parts}\n{q}"
 
 
