@@ -131,7 +131,10 @@ def apply_outcome(ft: DataFrame, outcome: DataFrame) -> DataFrame:
         "id", "resource_id", "package_id", F.col("o_text").alias("text"),
         F.col("o_clear").alias("text_clear"))
     untouched = ft.join(processed.select("resource_id"), "resource_id", "left_anti")
-    return untouched.select(*FT_COLS).unionByName(updated.select(*FT_COLS))
+    inserted = outcome.join(ft.select("resource_id"), "resource_id", "left_anti").select(
+        new_row_id("resource_id").alias("id"), "resource_id", "package_id", "text", "text_clear")
+    return (untouched.select(*FT_COLS).unionByName(updated.select(*FT_COLS))
+            .unionByName(inserted.select(*FT_COLS)))
 
 
 def truncate_both(df: DataFrame, max_chars: int) -> DataFrame:
