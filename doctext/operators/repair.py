@@ -227,20 +227,57 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
     the previous one once, so the candidate fold runs once per start."""
     s = settings
     dict_rows = dictionary.count()          # the broadcast bound check
-    if partitions:
-        docs = docs.repartition(partitions, key)
+    nparts = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.repartition(nparts, key)
     pre = preprocess_tokens(docs, key, text, dictionary, s, dict_rows)
     rows = _start_rows(pre, key, s)
-
-    # M4: the longest listed candidate per start (a compound is its own
-    # word at once).  The base row (j = -1) brings the token and skip flag,
-    # so one aggregate gives everything the walk needs.
     d = dictionary.select(F.col("word").alias("_w"), F.lit(True).alias("_v")).distinct()
     if dict_rows <= s.broadcast_rows:
         d = F.broadcast(d)
+    w = Window.partitionBy(key).orderBy("pos")
+
+    # M4 (text path): only candidates and compounds; the listed ones are
+    # few, so the per-start aggregate sees a small fraction of the rows.
+    cand = rows.filter(F.col("j") >= 0)
+    hit = cand.join(d, F.when(~F.col("pv"), F.lower("word")) == F.col("_w"), "left") \
+              .filter(F.col("pv") | F.col("_v").isNotNull())
+    # The Python scan does not report the document partitioning, so the
+    # (few) listed candidates are placed by document once; the per-start
+    # aggregate and the document windows below then need no exchange.
+    hit = hit.repartition(nparts, key)
+    matched = hit.groupBy(key, "pos").agg(F.max("j").alias("bj"), F.max_by("word", "j").alias("word")) \
+                 .select(key, "pos", (F.col("pos") + F.col("bj") + 1).cast("int").alias("end"), "word")
+
+    # M5: islands start where no earlier matched word reaches past; such a
+    # start is always visited, so each island is walked on its own.
+    cover = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    isl = matched.withColumn("_new", (cover.isNull() | (cover <= F.col("pos"))).cast("int")) \
+                 .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    init = F.struct(F.lit(-1).alias("next"),
+                    F.array().cast("array<struct<pos:int,end:int,word:string>>").alias("kept"))
+
+    def walk_kept(st, e):
+        take = F.struct(e["end"].alias("next"), F.array_append(st["kept"], e).alias("kept"))
+        return F.when(e["pos"] >= st["next"], take).otherwise(st)
+
+    islands = isl.groupBy(key, "island").agg(F.aggregate(
+        F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "end", "word"))),
+        init, walk_kept)["kept"].alias("_k"))
+    kept = islands.select(key, F.explode("_k").alias("_kp")).select(key, "_kp.pos", "_kp.end", "_kp.word")
+    joined = kept.groupBy(key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))),
+                                 lambda x: x["word"]), " ").alias("text_clear"))
+    text_out = docs.select(key).join(joined, key, "left") \
+                   .select(key, F.coalesce("text_clear", F.lit("")).alias("text_clear"))
+
+    # M6 (wrong-word path): every start is needed, so one aggregate over
+    # base rows and listed candidates gives token, skip flag and best word,
+    # and one fold per island (over all starts) lists the visited starts
+    # that matched nothing and had no skip event.
     look = F.when((F.col("j") >= 0) & ~F.col("pv"), F.lower("word"))
     looked = rows.join(d, look == F.col("_w"), "left") \
-                 .filter((F.col("j") < 0) | F.col("pv") | F.col("_v").isNotNull())
+                 .filter((F.col("j") < 0) | F.col("pv") | F.col("_v").isNotNull()) \
+                 .repartition(nparts, key)
     per_start = looked.groupBy(key, "pos").agg(
         F.max("j").alias("bj"), F.max_by("word", "j").alias("bw"),
         F.min_by("word", "j").alias("token"), F.max("skip").alias("skip"))
@@ -248,43 +285,22 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
         key, "pos", "token", "skip",
         F.when(F.col("bj") >= 0, F.col("pos") + F.col("bj") + 1).cast("int").alias("end"),
         F.when(F.col("bj") >= 0, F.col("bw")).alias("word"))
+    isl2 = per_start.withColumn("_new", (cover.isNull() | (cover <= F.col("pos"))).cast("int")) \
+                    .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    init2 = F.struct(F.lit(-1).alias("next"),
+                     F.array().cast("array<struct<pos:int,word:string>>").alias("wrong"))
 
-    # M5/M6: islands start where no earlier word reaches past; inside an
-    # island one fold walks the starts, keeping words and listing wrong ones.
-    w = Window.partitionBy(key).orderBy("pos")
-    cover = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    isl = per_start.withColumn("_new", (cover.isNull() | (cover <= F.col("pos"))).cast("int")) \
-                   .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    init = F.struct(F.lit(-1).alias("next"),
-                    F.array().cast("array<struct<pos:int,end:int,word:string>>").alias("kept"),
-                    F.array().cast("array<struct<pos:int,word:string>>").alias("wrong"))
-
-    def walk(st, e):
+    def walk_wrong(st, e):
         visited = e["pos"] >= st["next"]
-        keep = F.struct(e["end"].alias("next"),
-                        F.array_append(st["kept"], F.struct(e["pos"].alias("pos"), e["end"].alias("end"),
-                                                            e["word"].alias("word"))).alias("kept"),
-                        st["wrong"].alias("wrong"))
-        miss = F.struct(st["next"].alias("next"), st["kept"].alias("kept"),
-                        F.array_append(st["wrong"], F.struct(e["pos"].alias("pos"),
-                                                             e["token"].alias("word"))).alias("wrong"))
-        return (F.when(~visited, st).when(e["end"].isNotNull(), keep)
+        jump = F.struct(e["end"].alias("next"), st["wrong"].alias("wrong"))
+        miss = F.struct(st["next"].alias("next"), F.array_append(
+            st["wrong"], F.struct(e["pos"].alias("pos"), e["token"].alias("word"))).alias("wrong"))
+        return (F.when(~visited, st).when(e["end"].isNotNull(), jump)
                  .when(~e["skip"], miss).otherwise(st))
 
-    walked = isl.groupBy(key, "island").agg(
-        F.aggregate(F.array_sort(F.collect_list(F.struct(
-            F.col("pos").cast("int").alias("pos"), "end", "word", "token", "skip"))),
-            init, walk).alias("_r"))
-    kept = (walked.select(key, F.explode("_r.kept").alias("_kp"))
-                  .select(key, "_kp.pos", "_kp.end", "_kp.word"))
-    wrong = (walked.select(key, F.explode("_r.wrong").alias("_wr"))
-                   .select(key, "_wr.pos", "_wr.word"))
-    joined = kept.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))),
-                                 lambda x: x["word"]), " ").alias("text_clear"))
-    text_out = docs.select(key).join(joined, key, "left") \
-                   .select(key, F.coalesce("text_clear", F.lit("")).alias("text_clear"))
-    matched = per_start.filter(F.col("end").isNotNull()).select(key, "pos", "end", "word")
+    walked = isl2.groupBy(key, "island").agg(F.aggregate(F.array_sort(F.collect_list(F.struct(
+        F.col("pos").cast("int").alias("pos"), "end", "token", "skip"))), init2, walk_wrong)["wrong"].alias("_w2"))
+    wrong = walked.select(key, F.explode("_w2").alias("_wr")).select(key, "_wr.pos", "_wr.word")
     return Repair(per_start.select(key, "pos", "token", "skip"), matched, kept, text_out, wrong)
 
 
