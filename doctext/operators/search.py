@@ -50,25 +50,42 @@ def filtered(matches: DataFrame, packages: DataFrame, condition: Column | None)
     return matches.join(p.select("package_id"), "package_id", "left_semi")
 
 
-def bm25(post: DataFrame, matches: DataFrame, terms: Iterable[str], k1: float = 1.2,
-         b: float = 0.75, key: str = "package_id") -> DataFrame:
-    """Q5: BM25 score of every match (rounded to 3 places).
+def term_counts(texts: DataFrame, terms: Iterable[str], key: str = "package_id",
+                text: str = "text") -> DataFrame:
+    """Per package: its length in tokens and the count of every query term,
+    from one pass over the tokens and one aggregate (map-side combined)."""
+    ts = sorted(set(t.lower() for t in terms))
+    tok = texts.select(key, F.explode(terms_of(text)).alias("term"))
+    return tok.groupBy(key).agg(F.count("*").alias("dl"),
+                                *[F.sum((F.col("term") == t).cast("long")).alias(f"tf_{i}")
+                                  for i, t in enumerate(ts)])
+
 
-    Collection statistics (N, average length, document frequencies of the
-    query terms) are small aggregates joined back as one-row / per-term
-    frames; the per-(term, package) scores are summed per package."""
+def bm25(texts: DataFrame, terms: Iterable[str], min_match: int | None = None,
+         k1: float = 1.2, b: float = 0.75, key: str = "package_id") -> DataFrame:
+    """Q3 + Q5: matches with their BM25 score (rounded to 3 places).
+
+    Everything comes from the per-package term counts: the collection
+    statistics (number of documents, average length, document frequency of
+    each query term) are one aggregate over that table (one row, joined by
+    broadcast), so the tokens are read once."""
     ts = sorted(set(t.lower() for t in terms))
-    dl = doc_lengths(post, key)
-    stats = dl.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    q = post.filter(F.col("term").isin(ts))
-    df = q.groupBy("term").agg(F.count("*").alias("df"))
-    rows = (q.join(matches.select(key), key, "left_semi").join(df, "term").join(dl, key)
-              .crossJoin(F.broadcast(stats)))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (
-        F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    score = rows.groupBy(key).agg(F.round(F.sum(part), 3).alias("score"))
-    return matches.join(score, key)
+    need = len(ts) if min_match is None else min_match
+    per = term_counts(texts, ts, key)
+    tfs = [F.col(f"tf_{i}") for i in range(len(ts))]
+    stats = per.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"),
+                    *[F.sum((c > 0).cast("long")).alias(f"df_{i}") for i, c in enumerate(tfs)])
+    matched = sum(((c > 0).cast("int") for c in tfs), F.lit(0))
+    m = per.withColumn("matched_terms", matched).filter(F.col("matched_terms") >= need)
+    m = m.join(F.broadcast(stats), how="cross")          # one-row statistics frame
+    score = F.lit(0.0)
+    for i, c in enumerate(tfs):
+        df = F.col(f"df_{i}")
+        idf = F.log(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5))
+        part = idf * c * (k1 + 1) / (c + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+        score = score + F.when(c > 0, part).otherwise(F.lit(0.0))
+    return m.select(key, F.col("matched_terms").cast("long").alias("matched_terms"),
+                    sum(tfs, F.lit(0)).cast("long").alias("tf"), F.round(score, 3).alias("score"))
 
 
 def ranked(scored: DataFrame, packages: DataFrame) -> DataFrame:

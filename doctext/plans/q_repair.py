@@ -23,7 +23,8 @@ W, MAXL, MINL = S.window_size, S.word_max_length, S.word_min_length
 
 
 def broken_docs(c):
-    d = c.documents.select("doc_id", F.replace("text", F.lit("er"), F.lit("e r")).alias("text"))
+    # the repair places documents by key itself, so the raw scan is used
+    d = c.raw("documents").select("doc_id", F.replace("text", F.lit("er"), F.lit("e r")).alias("text"))
     return d
 
 

@@ -90,9 +90,7 @@ def search_filtered(c):
 
 
 def _ranked(c, ts=ANY_TERMS, need=ANY_MIN):
-    post = _post(c)
-    m = sr.match(post, ts, need)
-    return sr.ranked(sr.bm25(post, m, ts), c.package)
+    return sr.ranked(sr.bm25(index_texts(c), ts, need), c.package)
 
 
 @query("search_ranked", f"SELECT * FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s", CTES)
