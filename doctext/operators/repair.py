@@ -172,7 +172,7 @@ def _starts_hof(pre: DataFrame, key: str, s: Settings) -> DataFrame:
                        F.col("_t.scan.cands").alias("cands")))
 
 
-def _start_rows(pre: DataFrame, key: str, s: Settings) -> DataFrame:
+def _start_rows(pre: DataFrame, key: str, s: Settings, emit_max: int | None = None) -> DataFrame:
     """M3 as flat rows ``(key, pos, j, word, skip, pv)``: per start one base
     row (j = -1, the token itself, its skip flag) and one row per candidate
     (offset j, glued word).  A compound start carries its word as an
@@ -194,7 +194,7 @@ def _start_rows(pre: DataFrame, key: str, s: Settings) -> DataFrame:
             F.replace("token", F.lit(COMPOUND_SUFFIX), F.lit("")).alias("word"),
             F.lit(None).cast("boolean").alias("skip"), F.lit(True).alias("pv"))
         return base.unionByName(cand).unionByName(comp)
-    scan = scan_udf(s.window_size, s.word_min_length, s.word_max_length, s.ignore_upper_case)
+    scan = scan_udf(s.window_size, s.word_min_length, s.word_max_length, s.ignore_upper_case, emit_max)
     sc = pre.select(key, "toks", scan("toks").alias("_s"))
     nb = F.lit(None).cast("boolean")
     base = F.transform(
@@ -226,11 +226,14 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
     """Run M2-M6 over ``docs(key, text)`` as one chain: every stage reads
     the previous one once, so the candidate fold runs once per start."""
     s = settings
-    dict_rows = dictionary.count()          # the broadcast bound check
+    # One small action on the word list: its row count (the broadcast bound
+    # check) and its longest word (glued words beyond it cannot match).
+    st = dictionary.agg(F.count("*").alias("n"), F.max(F.length("word")).alias("m")).collect()[0]
+    dict_rows, longest = st["n"], st["m"]
     nparts = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.repartition(nparts, key)
     pre = preprocess_tokens(docs, key, text, dictionary, s, dict_rows)
-    rows = _start_rows(pre, key, s)
+    rows = _start_rows(pre, key, s, longest if s.extra.get("python_scan", True) else None)
     d = dictionary.select(F.col("word").alias("_w"), F.lit(True).alias("_v")).distinct()
     if dict_rows <= s.broadcast_rows:
         d = F.broadcast(d)
