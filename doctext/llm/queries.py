@@ -37,3 +37,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1 by source."""
     from .mixing import mix
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, 2 bits."""
+    from .simhash import simhash_groups
+    return (simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+            .select("doc_id", "fingerprint", "component_id"))
+
+
+@query("op7_embeddings")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all vectors, cosine 0.98 within a label."""
+    from .embeddings import embedding_groups
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.98)
