@@ -52,3 +52,55 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all vectors, cosine 0.98 within a label."""
     from .embeddings import embedding_groups
     return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+# Windows are counted per document by their eight words glued with a byte
+# that no word holds; lines compare as whole strings.
+OP3_SQL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         string_split(coalesce(text, ''), chr(10)) as l
+  from documents),
+win as (
+  select doc_id, i, array_to_string(w[i:i + 7], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from d where len(w) >= 8)),
+twice as (
+  select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as n from win) where n > 1),
+covered as (
+  select doc_id, count(distinct i + k) as n_repeat_words
+  from twice, (select unnest(range(8)) as k) group by doc_id),
+lines as (
+  select doc_id, count(*) - count(distinct x) as n_dup_lines
+  from (select doc_id, unnest(l) as x from d) where regexp_matches(x, '[^\x20\x09-\x0D]') group by doc_id),
+m as (
+  select d.doc_id, len(w) as n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+         len(l) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+         coalesce(n_repeat_words, 0) as n_repeat_words,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper
+  from d left join lines using (doc_id) left join covered using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed,
+       not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or 4 * n_symbols > n_words
+            or (n_lines >= 4 and 2 * n_dup_lines > n_lines) or 2 * n_upper > word_chars
+            or word_chars > 25 * n_words) as kept
+from m
+"""
+
+
+@query("op3_rules", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of all documents under the strict policy."""
+    from .rules import BASE, STRICT, apply_policy, ledger
+    rows = apply_policy(ledger(table(spark, sf_dir, "documents")), STRICT)
+    return rows.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                           f"failed & {BASE.mask}L != 0 as base_failed", "kept")
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by the line field, labels of other folds only."""
+    from .quality import quality_scores
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
