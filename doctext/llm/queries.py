@@ -104,3 +104,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by the line field, labels of other folds only."""
     from .quality import quality_scores
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed along the curve into sequences of at most 1024 tokens."""
+    from .packing import pack
+    return pack(table(spark, sf_dir, "documents"), length=1024)
