@@ -55,8 +55,10 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 11,
     total = rows.count()
     blocks = max(1, -(-total // block_rows))
     keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"))
-    keyed = keyed.select("r", F.xxhash64("r", F.lit(seed)).alias("h"))
-    # Equal rows have equal hashes: a draw beside the hash spreads them out.
+    # Equal rows are numbered, or one hash would send them all the same way.
+    same = F.row_number().over(W.partitionBy("h0").orderBy("r"))
+    keyed = (keyed.select("r", F.xxhash64("r", F.lit(seed)).alias("h0"))
+             .select("r", F.xxhash64("h0", same).alias("h")))
     keyed = keyed.withColumn("b", F.pmod(F.xxhash64("h", F.lit("block")), F.lit(blocks)).cast("int"))
     counts = np.zeros(blocks, dtype=np.int64)
     for b, n in keyed.groupBy("b").agg(F.count(F.lit(1))).collect():
