@@ -111,3 +111,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed along the curve into sequences of at most 1024 tokens."""
     from .packing import pack
     return pack(table(spark, sf_dir, "documents"), length=1024)
+
+
+OP4_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (
+  select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as g
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50)),
+bad as (
+  select doc_id, i from (select doc_id, i, min(doc_id) over (partition by g) as first_id from win)
+  where first_id < doc_id),
+gone as (select distinct doc_id, i + k as j from bad, (select unnest(range(50)) as k)),
+words as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as j from d),
+kept as (
+  select doc_id, sha256(string_agg(x, ' ' order by j)) as s
+  from words anti join gone using (doc_id, j) group by doc_id),
+n as (select doc_id, count(*) as n_removed from gone group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed,
+       coalesce(s, sha256('')) as kept_sha256
+from d left join n using (doc_id) left join kept using (doc_id)
+"""
+
+
+@query("op4_substring", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-word windows an earlier document has."""
+    from .substring import digests
+    return digests(table(spark, sf_dir, "documents"), window=50)
