@@ -139,3 +139,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 50-word windows an earlier document has."""
     from .substring import digests
     return digests(table(spark, sf_dir, "documents"), window=50)
+
+
+@query("op6_language_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of all documents, learnt from six folds of seven."""
+    from .language import language_scores
+    return language_scores(table(spark, sf_dir, "documents"))
