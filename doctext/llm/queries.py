@@ -146,3 +146,82 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of all documents, learnt from six folds of seven."""
     from .language import language_scores
     return language_scores(table(spark, sf_dir, "documents"))
+
+
+def _op8_sql() -> str:
+    from .licenses import LICENSE_FILES, TEMPLATES, THRESHOLD
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quote(a)}, {quote(b)})" for i, (a, b) in enumerate(TEMPLATES))
+    names = ", ".join(map(quote, LICENSE_FILES))
+    return rf"""
+with templates(template, license, text) as (values {rows}),
+f as (
+  select doc_id, coalesce(text, '') as text, (doc_id // 1000) || case when doc_id % 1000 = 0 then '' else '/' || (doc_id // 100) end
+           || case when doc_id % 100 = 0 then '' else '/' || (doc_id // 10) end as dir,
+         case when doc_id % 10 = 0 then 'LICENSE' else 'DOC' end as base from documents),
+tw as (
+  select template, license, term, count(*) as tf
+  from (select template, license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as term from templates)
+  group by all),
+df as (
+  select term, count(*) as df
+  from (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as term from f)
+  where term in (select term from tw) group by term),
+total as (select 1.0 + count(*) as n from f),
+w as (
+  select template, license, term, tf * ln(n / (1.0 + coalesce(df, 0))) as w, ln(n / (1.0 + coalesce(df, 0))) as idf
+  from tw left join df using (term), total),
+norm as (select template, sqrt(sum(w * w)) as norm from w group by template),
+lines as (
+  select doc_id, unnest(l) as x, unnest(range(len(l))) as line
+  from (select doc_id, string_split(text, chr(10)) as l from f)),
+tf as (
+  select doc_id, line, term, count(*) as tf
+  from (select doc_id, line, unnest(regexp_extract_all(lower(x), '[a-z0-9]+')) as term from lines) group by all),
+x as (
+  select doc_id, line, term, tf * coalesce(idf, ln(n)) as x
+  from tf left join (select distinct term, idf from w) using (term), total),
+size as (select doc_id, line, sqrt(sum(x * x)) as size from x group by all),
+dots as (
+  select doc_id, line, template, license, sum(x * w) as dot from x join w using (term) group by all),
+hit as (
+  select doc_id, line, license, template, round(dot / (size * norm), 9) as score
+  from dots join size using (doc_id, line) join norm using (template) where dot / (size * norm) >= {THRESHOLD}),
+own as (
+  select doc_id, license, score
+  from (select *, row_number() over (partition by doc_id order by score desc, line, template) as r from hit) where r = 1),
+grants as (
+  select dir, license, score
+  from (select f.dir, own.license, own.score,
+               row_number() over (partition by dir order by score desc, license desc) as r
+        from f join own using (doc_id) where base in ({names})) where r = 1),
+up as (
+  select distinct dir, depth, array_to_string(p[1:len(p) - depth], '/') as above
+  from (select dir, p, unnest(range(len(p) + 1)) as depth
+        from (select distinct dir, string_split(dir, '/') as p from f))),
+nearest as (
+  select dir, depth, license, score
+  from (select up.dir, depth, license, score,
+               row_number() over (partition by up.dir order by depth, license, score) as r
+        from up join grants on grants.dir = up.above) where r = 1)
+select f.doc_id, coalesce(own.license, nearest.license) as license,
+       round(coalesce(own.score, nearest.score), 6) as score,
+       case when own.license is not null then 'own' when nearest.license is not null then 'inherited' end as origin,
+       case when own.license is not null then 0 else nearest.depth end as depth
+from f left join own using (doc_id) left join nearest using (dir)
+"""
+
+
+@query("op8_licenses", _op8_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, laid out as files in directories of a
+    thousand, a hundred and ten; the first of each is its licence file."""
+    from pyspark.sql import functions as F
+
+    from .licenses import scan
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws(
+        "/", F.expr("doc_id div 1000"), F.when(F.col("doc_id") % 1000 != 0, F.expr("doc_id div 100")),
+        F.when(F.col("doc_id") % 100 != 0, F.expr("doc_id div 10")),
+        F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(F.concat("doc_id", F.lit(".txt"))))
+    return scan(docs.select(F.col("doc_id").alias("fid"), path.alias("path"), "text")).withColumnRenamed("fid", "doc_id")
