@@ -12,10 +12,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from doctext.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="doctext-test-"))
-    yield s
+    yield get_spark("local[4]", shuffle_partitions=4,
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="doctext-test-")})
 
 
 @pytest.fixture(scope="session")
