@@ -69,6 +69,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hide(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with every column but ``names`` renamed by its place, so that
+    helper columns cannot clash with it; ``show`` undoes it."""
+    return df.select(*[F.col(f"`{c}`").alias(c if c in names else f"u{i}") for i, c in enumerate(df.columns)])
+
+
+def show(df: DataFrame, like: DataFrame, *names: str) -> DataFrame:
+    return df.select(*[F.col(c if c in names else f"u{i}").alias(c) for i, c in enumerate(like.columns)])
+
+
 def word_count(text: Column) -> Column:
     """Number of words of ``text`` (0 for null)."""
     t = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

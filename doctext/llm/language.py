@@ -222,32 +222,48 @@ class Totals:
         return (s + d * self.root_tables) / (s + self.root_customers) if self.root_customers else 1.0
 
 
-def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
-    """Gibbs sweeps over the words of a bucket: summed tables by context and
-    of the parent (last sweep), and mean predictive of every entry."""
-    k = len(totals.customers)
+def words_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First entry of each word, and the word number of each entry."""
     starts = np.flatnonzero(np.concatenate(([True], entries["w"][1:] != entries["w"][:-1])))
-    word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(entries))))
-    ctx, n, base = entries["ctx"], entries["n"], np.full(len(starts), 1.0 / (totals.distinct + 1.0))
+    return starts, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(entries))))
+
+
+def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
+    """Gibbs sweeps over the words of a bucket, sorted by word and context:
+    mean tables of every entry and, in the parent, of every word."""
+    starts, word = words_of(entries)
+    n, base = entries["n"], 1.0 / (totals.distinct + 1.0)
     (d2, s2), (d1, s1) = LEAF, ROOT
-    leaf_open, root_open = totals.open_leaf(), totals.open_root()
-    root_norm = s1 + totals.root_customers
+    root_open, root_norm = totals.open_root(), s1 + totals.root_customers
+    leaf = s2 + d2 * totals.tables[entries["ctx"]]
     tables = np.minimum(n, 1).astype(float)
-    mean = np.zeros(len(entries))
+    below = np.add.reduceat(tables, starts)
+    root = np.minimum(below, 1.0)
+    mean, mean_root = np.zeros(len(entries)), np.zeros(len(starts))
     for sweep in range(burn + samples):
-        # Parent's tables of the word, given the tables below.
-        below = np.add.reduceat(tables, starts)
-        root = seat(below.astype(np.int64), (s1 + d1 * totals.root_tables) * base, d1, rng)
-        parent = (below - d1 * root) / root_norm + root_open * base
-        # Context tables given the parent without what this dish put there.
+        # A context's tables, given the parent without what they put there.
         rest = below[word] - tables
         others = np.maximum(rest - d1 * root[word] * rest / np.maximum(below[word], 1), 0) / root_norm
-        given = others + root_open * base[word]
-        tables = seat(n, (s2 + d2 * totals.tables[ctx]) * given, d2, rng)
+        tables = seat(n, leaf * (others + root_open * base), d2, rng)
+        # The parent's tables of the word, given the tables below.
+        below = np.add.reduceat(tables, starts)
+        root = seat(below.astype(np.int64), np.full(len(starts), (s1 + d1 * totals.root_tables) * base), d1, rng)
         if sweep >= burn:
-            own = np.where(totals.customers[ctx] > 0, (n - d2 * tables) / (s2 + totals.customers[ctx]), 0.0)
-            mean += own + leaf_open[ctx] * parent[word]
-    return np.bincount(ctx, weights=tables, minlength=k), float(root.sum()), mean / samples
+            mean += tables
+            mean_root += root
+    return mean / samples, mean_root / samples
+
+
+def predictive(entries: np.ndarray, tables: np.ndarray, root: np.ndarray, totals: Totals) -> np.ndarray:
+    """Probability of each entry's word in its context.  With ``totals`` the
+    sums of these very tables, a context's probabilities add up to one."""
+    starts, word = words_of(entries)
+    (d2, s2), (d1, s1) = LEAF, ROOT
+    parent = ((np.add.reduceat(tables, starts) - d1 * root) / (s1 + totals.root_customers)
+              + totals.open_root() / (totals.distinct + 1.0))
+    customers = totals.customers[entries["ctx"]]
+    own = np.where(customers > 0, (entries["n"] - d2 * tables) / (s2 + customers), 0.0)
+    return own + totals.open_leaf()[entries["ctx"]] * parent[word]
 
 
 def _sums(k: int):
@@ -274,31 +290,35 @@ def _add(df: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _sweep(totals: Totals, seed: int):
+def _sweep(totals: Totals, seed: int, samples: int):
+    """Sums of the mean tables: of every context, and of the parent."""
+    k = len(totals.customers)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket, x in zip(b.column(0).to_pylist(), b.column(1)):
                 e = np.frombuffer(x.as_buffer(), dtype=ENTRY)
-                leaf, root, _ = sample(e, totals, np.random.default_rng([seed, bucket]), BURN, 1)
-                yield _numbers([leaf, [root]])
+                tables, root = sample(e, totals, np.random.default_rng([seed, bucket]), BURN, samples)
+                yield _numbers([np.bincount(e["ctx"], weights=tables, minlength=k), [root.sum()]])
     return run
 
 
-def _answers(totals: Totals, seed: int):
-    """``(block, rows)``: count and log probability of what each block asked."""
+def _answers(before: Totals, totals: Totals, seed: int):
+    """``(block, rows)``: count and log probability of what each block asked.
+    Sampling from ``before`` with this seed gave ``totals``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket, x, y in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 e = np.frombuffer(x.as_buffer(), dtype=ENTRY)
                 asked = np.frombuffer(y.as_buffer(), dtype=ASKED)
-                _, _, p = sample(e, totals, np.random.default_rng([seed, bucket]), BURN, SAMPLES)
-                starts = np.flatnonzero(np.concatenate(([True], e["w"][1:] != e["w"][:-1])))
-                size = np.diff(np.append(starts, len(e)))
+                tables, root = sample(e, before, np.random.default_rng([seed, bucket]), BURN, SAMPLES)
+                p = predictive(e, tables, root, totals)
+                starts, word = words_of(e)
                 asked = asked[np.argsort(asked["block"], kind="stable")]
                 at = asked["entry"]
                 rows = np.empty(len(at), dtype=ANSWER)
                 rows["w"], rows["ctx"] = e["w"][at], e["ctx"][at]
-                rows["c"] = np.repeat(np.add.reduceat(e["n"], starts), size)[at]
+                rows["c"] = np.add.reduceat(e["n"], starts)[word][at]
                 rows["p"] = np.log10(p[at])
                 blocks, first = np.unique(asked["block"], return_index=True)
                 data = [part.tobytes() for part in np.split(rows, first[1:])]
@@ -355,10 +375,12 @@ def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
                 .mapInArrow(_gather, "bucket long, entries binary, asked binary"), "words")
     seen = _add(words.select("bucket", "entries").mapInArrow(_sums(k), "i int, v double"), 2 * k + 1)
     totals = Totals(seen[:k], seen[k:2 * k], seen[2 * k], seen[2 * k])
-    for r in range(ROUNDS):
-        got = _add(words.select("bucket", "entries").mapInArrow(_sweep(totals, seed + r), "i int, v double"), k + 1)
+    for r in range(ROUNDS + 1):
+        before, at = totals, seed + r
+        got = _add(words.select("bucket", "entries").mapInArrow(
+            _sweep(totals, at, SAMPLES if r == ROUNDS else 1), "i int, v double"), k + 1)
         totals = Totals(totals.customers, got[:k], got[k], totals.distinct)
-    answers = words.mapInArrow(_answers(totals, seed + ROUNDS), "block int, rows binary")
+    answers = words.mapInArrow(_answers(before, totals, at), "block int, rows binary")
     return (docs.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(_score(leaders, int(seen[:k].sum()), int(seen[2 * k])),
                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, word_count
+from .common import cut, hide, show, word_count
 
 #: Weights by the source's place in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -195,10 +195,9 @@ def apply(documents: DataFrame, seed: int = 7) -> DataFrame:
     # The hash tells equal ids apart, so the join key is unique up to equal rows.
     key = F.xxhash64(F.col("rid.doc_id"), F.col("rid.t"), F.col("source"))
     got = m.groupBy(key.alias("__k")).agg(F.sum("copies").alias("__c"), F.count(F.lit(1)).alias("__n"))
-    d = documents.withColumn("__k", F.xxhash64("doc_id", F.xxhash64("text"), "source"))
+    d = hide(documents, "doc_id", "text", "source").withColumn("__k", F.xxhash64("doc_id", F.xxhash64("text"), "source"))
     rank = F.row_number().over(W.partitionBy("__k").orderBy("__c")) - 1
     d = (d.join(got, "__k").withColumn("__i", rank)
          .withColumn("__t", F.expr("__c div __n") + F.when(F.expr("__i < __c % __n"), 1).otherwise(0)))
-    return (d.where("__t > 0")
-            .withColumn("__r", F.explode(F.sequence(F.lit(1), F.col("__t").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in documents.columns]))
+    d = d.where("__t > 0").withColumn("__r", F.explode(F.sequence(F.lit(1), F.col("__t").cast("int"))))
+    return show(d, documents, "doc_id", "text", "source")

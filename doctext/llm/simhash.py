@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, hide, show
 from .tiles import Forest, sorted_groups
 
 SEED = 42
@@ -201,13 +201,13 @@ def keep_first(documents: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     """One document of each group, with all its columns: the smallest doc_id
     (null last); of rows that share it, one with the smallest text hash."""
     text = F.xxhash64(F.col("text").cast("string"))
-    groups = simhash_groups(documents.withColumn("__t", text), shingle, radius, extra=("__t",))
+    hidden = hide(documents, "doc_id", "text").withColumn("__t", text)
+    groups = simhash_groups(hidden, shingle, radius, extra=("__t",))
     # min() skips nulls, so the flag puts rows without an id last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t"))
     keep = (groups.groupBy(F.coalesce(F.concat(F.lit("d"), F.col("component_id").cast("string")),
                                       F.concat(F.lit("f"), "fingerprint")).alias("g"))
             .agg(first.alias("k")).select(F.col("k.doc_id").alias("__i"), F.col("k.__t").alias("__u")))
-    d = documents.withColumn("__t", text)
-    d = d.join(keep.distinct(), d["doc_id"].eqNullSafe(F.col("__i")) & (d["__t"] == F.col("__u")), "left_semi")
+    d = hidden.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")), "left_semi")
     one = F.row_number().over(W.partitionBy("doc_id", "__t").orderBy(F.lit(1)))
-    return d.withColumn("__k", one).where("__k = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+    return show(d.withColumn("__k", one).where("__k = 1"), documents, "doc_id", "text")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hide, show
 
 WINDOW, ANCHOR = 50, 20
 #: Rows of the sketch, and cells of a row for one expected anchor.
@@ -266,7 +266,8 @@ def _list(x) -> np.ndarray | None:
 def deduplicate(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """The documents with the repeated windows cut out: texts that lose words
     become their kept words joined by one space, others stay as they are."""
-    cols = documents.columns
+    hidden = hide(documents, "doc_id", "text")
+    cols = hidden.columns
     at, n = cols.index("text"), len(cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,6 +279,8 @@ def deduplicate(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
                 texts.append(b" ".join(kept).decode("utf-8", "surrogatepass") if removed else text)
             out = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(n)]
             yield pa.RecordBatch.from_arrays(out, cols)
-    marked = _marked(documents, window, anchor).select(*[F.col(f"`{c}`") for c in cols], "__gone", "__copy")
-    out = marked.mapInArrow(run, documents.schema)
-    return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in cols else out
+    out = _marked(hidden, window, anchor).select(*cols, "__gone", "__copy").mapInArrow(run, hidden.schema)
+    out = show(out, documents, "doc_id", "text")
+    if "n_chars" not in documents.columns:
+        return out
+    return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
