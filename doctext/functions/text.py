@@ -6,8 +6,6 @@ Python runs per row.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from ..schema import (ERROR_PAGE_MARKERS, SPECIALS_DELETE, SPECIALS_SPACE,
                       WORD_DELIMITERS, WORD_STRIP)
 
 # White space as Python's str.strip() sees it.
+PY_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 PY_WS = r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
@@ -28,8 +27,9 @@ def char_class(chars: str) -> str:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove white space at both ends."""
-    return F.regexp_replace(_col(c), rf"^{PY_WS}+|{PY_WS}+$", "")
+    """Python ``str.strip()``: remove white space at both ends (linear in the
+    text, however long its inner runs of white space are)."""
+    return F.btrim(_col(c), F.lit(PY_SPACES))
 
 
 def is_blank(c) -> Column:
@@ -122,9 +122,6 @@ def sql_regex_class(chars: str) -> str:
     return sql_quote(char_class(chars))
 
 
-_ = re  # kept for callers that build patterns
-
-
 def re2_class(chars: str) -> str:
     """The same character class for engines that reject needless escapes."""
     return "[" + "".join("\\" + ch if ch in "]\\^-[" else ch for ch in chars) + "]"

@@ -5,19 +5,19 @@ from every token, the tokens that follow are glued together (up to
 ``window_size`` of them) and the longest glued word found in the word list
 wins; a left-to-right walk then keeps non-overlapping words.
 
-Plan (all built-in expressions, no Python per row):
-
-1. documents are hash-partitioned on their key once; every later
-   aggregate and window is keyed on (document, ...) and reuses that
-   partitioning, so the token rows are never shuffled;
-2. tokens stay one array per document; tokens with ``. _ -`` are looked up
-   (merged form and parts) through a broadcast semi-join with the word list
-   and patched back in;
-3. for every start a fold over the next ``window_size`` tokens yields the
-   glued candidates up to the first stop, plus the "skip" flag;
-4. candidates are checked against the word list (broadcast when the list's
-   row count is under the bound, shuffle join otherwise); the longest valid
-   one per start is kept;
+Plan:
+
+1. documents are hash-partitioned on their key once; later aggregates and
+   windows are keyed on (document, ...) and keep that partitioning;
+2. tokens are split once into one array per document; tokens with ``. _ -``
+   are looked up (merged form and parts) by a join with the word list and
+   patched back in, each with a flag that says whether it is a compound;
+3. the glued words are found on Arrow batches of whole token arrays by array
+   arithmetic (``functions/spans.py``); a bitmap of the word list (one
+   megabyte, whatever its length) holds back nearly all that are not listed;
+4. what is left is joined with the word list (a broadcast below the session's
+   size threshold, otherwise a shuffle join); the longest listed word per
+   start is kept;
 5. the walk is split into islands at starts no earlier word reaches past
    (running max over a window); only inside an island is the walk
    sequential, done by a fold over the island's few matched starts.
@@ -27,13 +27,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import (has_digit, is_email_token, is_upper_word, is_url_token,
-                              starts_upper, words)
-from ..functions.window_scan import scan_udf
-from ..schema import COMPOUND_CHARS, COMPOUND_SUFFIX, Settings
+from ..functions.spans import BITS, Rules, list_udf, starts_udf, words_udf
+from ..functions.text import is_email_token, is_url_token, words
+from ..schema import COMPOUND_CHARS, Settings
+from ..session import ship
+
+#: What a compound adds to a glued word: characters no listed word holds, as
+#: many as the reference engine's mark has, so the length rule counts alike.
+COMPOUND_GLUE = "\0" * 9
 
 
 @dataclass
@@ -46,30 +51,13 @@ class Repair:
     wrong: DataFrame         # (key, pos, word)                 M6
 
 
-def semi_join_words(df: DataFrame, word: Column, dictionary: DataFrame, settings: Settings,
-                    dict_rows: int | None = None, how: str = "left_semi") -> DataFrame:
-    """M1 as a join: rows of ``df`` whose lower-cased ``word`` is listed.
-
-    The list is broadcast only when its row count is known to be under
-    ``settings.broadcast_rows``; a larger list goes through a shuffle join
-    (AQE splits a skewed word key).
-    """
-    if dict_rows is None:
-        dict_rows = dictionary.count()
-    d = dictionary.select(F.col("word").alias("_w")).distinct()
-    if dict_rows <= settings.broadcast_rows:
-        d = F.broadcast(d)
-    return df.join(d, F.lower(word) == F.col("_w"), how).drop("_w")
-
-
 def word_valid(tokens: DataFrame, dictionary: DataFrame, settings: Settings,
-               col: str = "word", dict_rows: int | None = None) -> DataFrame:
-    """M1: every row with a ``valid`` flag (empty words are never valid)."""
-    if dict_rows is None:
-        dict_rows = dictionary.count()
+               col: str = "word") -> DataFrame:
+    """M1: every row with a ``valid`` flag (empty words are never valid).
+
+    The engine broadcasts the list while its size is below the session's
+    threshold, and shuffles it beyond that (AQE splits a skewed word)."""
     d = dictionary.select(F.col("word").alias("_w"), F.lit(True).alias("_v")).distinct()
-    if dict_rows <= settings.broadcast_rows:
-        d = F.broadcast(d)
     j = tokens.join(d, F.lower(F.col(col)) == F.col("_w"), "left")
     return j.withColumn("valid", F.coalesce(F.col("_v"), F.lit(False)) & (F.length(col) > 0)) \
             .drop("_w", "_v")
@@ -83,14 +71,14 @@ def _is_compound_candidate(w: Column) -> Column:
 
 
 def preprocess_tokens(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
-                      settings: Settings, dict_rows: int) -> DataFrame:
-    """M2: one row per document with its token array ``toks`` after the
-    compound handling.
+                      settings: Settings) -> DataFrame:
+    """M2: one row per document with its token array ``toks`` (``t`` the
+    token, ``c`` whether it is a compound) after the compound handling.
 
     Tokens are split on single spaces; e-mails and URLs stay as they are.
     A token containing ``. _ -``: its merged form if that is a word; else,
-    when every part is a word longer than one letter, the token marked as a
-    compound (suffix ``_SKIP_ADD``); else its parts.
+    when every part is a word longer than one letter, the token as a
+    compound; else its parts.
     """
     d = docs.select(key, words(F.col(text), " ").alias("toks"))
     comp = (d.select(key, F.posexplode("toks").alias("pos", "w"))
@@ -103,154 +91,75 @@ def preprocess_tokens(docs: DataFrame, key: str, text: str, dictionary: DataFram
         F.transform("parts", lambda p, i: F.struct(i.alias("idx"), p.alias("word"))),
         1, F.struct(F.lit(-1).alias("idx"), F.col("merged").alias("word")))).alias("_l"))
     look = look.select(key, "pos", "_l.idx", "_l.word")
-    checked = word_valid(look, dictionary, settings, "word", dict_rows)
+    checked = word_valid(look, dictionary, settings, "word")
     verdict = checked.groupBy(key, "pos").agg(
         F.max(F.when(F.col("idx") == -1, F.col("valid"))).alias("merged_ok"),
         F.coalesce(F.min(F.when(F.col("idx") >= 0, F.col("valid") & (F.length("word") > 1))),
                    F.lit(True)).alias("parts_ok"))
+    plain = lambda w: F.struct(w.alias("t"), F.lit(False).alias("c"))
     exp = comp.join(verdict, [key, "pos"]).select(
         key, "pos",
-        F.when(F.col("merged_ok"), F.array("merged"))
-         .when(F.size("parts") == 0, F.array("merged"))
-         .when(F.col("parts_ok"), F.array(F.concat("w", F.lit(COMPOUND_SUFFIX))))
-         .otherwise(F.col("parts")).alias("exp"))
+        F.when(F.col("merged_ok") | (F.size("parts") == 0), F.array(plain(F.col("merged"))))
+         .when(F.col("parts_ok"), F.array(F.struct(F.col("w").alias("t"), F.lit(True).alias("c"))))
+         .otherwise(F.transform("parts", plain)).alias("exp"))
     patches = exp.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("pos", "exp"))).alias("patch"))
     j = d.join(patches, key, "left")
-    toks = F.flatten(F.transform(
-        "toks", lambda w, i: F.coalesce(F.try_element_at(F.col("patch"), i), F.array(w))))
-    return j.select(key, F.when(F.col("patch").isNull(), F.col("toks")).otherwise(toks).alias("toks"))
-
-
-def _scan(window: Column, s: Settings) -> Column:
-    """M3: fold over the tokens from one start.  State: stopped, skip, the
-    glued word so far, the offset, and the candidate list (offset, word).
-
-    Branches are nested so a stopped window costs one test per remaining
-    token, and the cheap tests run first.  A digit can only enter the glued
-    word with the newest token (an earlier one would have stopped the
-    window), so only the token is searched for digits.
-    """
-    init = F.struct(F.lit(False).alias("stopped"), F.lit(False).alias("skip"),
-                    F.lit("").alias("acc"), F.lit(0).alias("j"),
-                    F.array().cast("array<struct<j:int,word:string>>").alias("cands"))
-
-    def state(stopped, skip, acc, j, cands):
-        return F.struct(F.lit(stopped).alias("stopped") if isinstance(stopped, bool) else stopped.alias("stopped"),
-                        skip.alias("skip"), acc.alias("acc"), j.alias("j"), cands.alias("cands"))
-
-    def step(st, tok):
-        acc = F.concat(st["acc"], tok)
-        n = F.length(acc)
-        j1 = st["j"] + 1
-        email = (n > 7) & (F.instr(acc, "@") > 0) & acc.rlike(r"^[^@]+@[^@]+\.[^@]+")
-        hard = (acc.endswith(".de") | acc.endswith(".com") | acc.startswith("http")
-                | has_digit(tok) | email)
-        upper = is_upper_word(acc) if s.ignore_upper_case else F.lit(False)
-        stop = state(True, F.lit(True), acc, j1, st["cands"])
-        return (F.when(st["stopped"], st)
-                 .when((st["j"] > 0) & starts_upper(tok), state(True, st["skip"], st["acc"], j1, st["cands"]))
-                 .when(hard, stop)
-                 .when(n < s.word_min_length, state(False, F.lit(True), acc, j1, st["cands"]))
-                 .when((n >= s.word_max_length) | upper, stop)
-                 .otherwise(state(False, st["skip"], acc, j1, F.array_append(
-                     st["cands"], F.struct(st["j"].alias("j"), acc.alias("word"))))))
-
-    return F.aggregate(window, init, step)
-
-
-def _starts_hof(pre: DataFrame, key: str, s: Settings) -> DataFrame:
-    """M3 with higher-order functions only (no Python): one row per start
-    with its token, skip flag and candidate list."""
-    n = F.size("toks")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    per_start = F.transform(starts, lambda c: F.struct(
-        c.alias("pos"), F.element_at("toks", c + 1).alias("token"),
-        _scan(F.slice("toks", c + 1, s.window_size), s).alias("scan")))
-    return (pre.select(key, F.explode(per_start).alias("_t"))
-               .select(key, "_t.pos", "_t.token", F.col("_t.scan.skip").alias("skip"),
-                       F.col("_t.scan.cands").alias("cands")))
-
-
-def _start_rows(pre: DataFrame, key: str, s: Settings, emit_max: int | None = None) -> DataFrame:
-    """M3 as flat rows ``(key, pos, j, word, skip, pv)``: per start one base
-    row (j = -1, the token itself, its skip flag) and one row per candidate
-    (offset j, glued word).  A compound start carries its word as an
-    already-valid (``pv``) candidate at offset 0.
-
-    The scan runs as an Arrow-batched pandas UDF over whole token arrays;
-    its output is re-shaped with built-ins, so rows keep the document
-    partitioning and later (document, position) aggregates need no shuffle.
-    """
-    if not s.extra.get("python_scan", True):
-        tok = _starts_hof(pre, key, s)
-        base = tok.select(key, "pos", F.lit(-1).alias("j"), F.col("token").alias("word"), "skip",
-                          F.lit(False).alias("pv"))
-        cand = tok.select(key, "pos", F.explode("cands").alias("_c"), F.col("token")) \
-                  .select(key, "pos", "_c.j", "_c.word", F.lit(None).cast("boolean").alias("skip"),
-                          F.lit(False).alias("pv"))
-        comp = tok.filter(F.col("token").endswith(COMPOUND_SUFFIX)).select(
-            key, "pos", F.lit(0).alias("j"),
-            F.replace("token", F.lit(COMPOUND_SUFFIX), F.lit("")).alias("word"),
-            F.lit(None).cast("boolean").alias("skip"), F.lit(True).alias("pv"))
-        return base.unionByName(cand).unionByName(comp)
-    scan = scan_udf(s.window_size, s.word_min_length, s.word_max_length, s.ignore_upper_case, emit_max)
-    sc = pre.select(key, "toks", scan("toks").alias("_s"))
-    nb = F.lit(None).cast("boolean")
-    base = F.transform(
-        F.arrays_zip(F.col("toks").alias("t"), F.col("_s.skip").alias("k")),
-        lambda x, i: F.struct(i.alias("pos"), F.lit(-1).alias("j"), x["t"].alias("word"),
-                              x["k"].alias("skip"), F.lit(False).alias("pv")))
-    comp = F.transform(
-        F.filter(F.transform("toks", lambda t, i: F.struct(i.alias("i"), t.alias("t"))),
-                 lambda x: x["t"].endswith(COMPOUND_SUFFIX)),
-        lambda x: F.struct(x["i"].alias("pos"), F.lit(0).alias("j"),
-                           F.replace(x["t"], F.lit(COMPOUND_SUFFIX), F.lit("")).alias("word"),
-                           nb.alias("skip"), F.lit(True).alias("pv")))
-    cand = F.transform(
-        F.arrays_zip(F.col("_s.cpos").alias("p"), F.col("_s.cj").alias("j"), F.col("_s.cword").alias("w")),
-        lambda x: F.struct(x["p"].alias("pos"), x["j"].alias("j"), x["w"].alias("word"),
-                           nb.alias("skip"), F.lit(False).alias("pv")))
-    return (sc.select(key, F.explode(F.concat(base, comp, cand)).alias("_r"))
-              .select(key, "_r.pos", "_r.j", "_r.word", "_r.skip", "_r.pv"))
+    patched = F.flatten(F.transform(
+        "toks", lambda w, i: F.coalesce(F.try_element_at(F.col("patch"), i), F.array(plain(w)))))
+    return j.select(key, F.when(F.col("patch").isNull(), F.transform("toks", plain)).otherwise(patched).alias("toks"))
+
+
+def _rules(s: Settings, dictionary: DataFrame | None = None) -> Rules:
+    """The window rules; with a word list also its lengths and bitmap.  At
+    most 2^23 pairs of small numbers reach the driver, for any list."""
+    rules = Rules(s.window_size, s.word_min_length, s.word_max_length, s.ignore_upper_case)
+    if dictionary is not None:
+        got = dictionary.select(F.lower("word").alias("word")).where("word is not null").mapInArrow(list_udf, "len int, bit int")
+        # One row per bitmap position, its lengths as the bits of a number
+        # (a glued word is shorter than the length limit).
+        most = min(s.word_max_length, 62)
+        per = got.groupBy("bit").agg(F.bit_or(F.expr(f"shiftleft(1L, least(len, {most}))")).alias("lens")).toArrow()
+        rules.bitmap = np.zeros(1 << BITS, dtype=bool)
+        rules.bitmap[per["bit"].to_numpy()] = True
+        lens = int(np.bitwise_or.reduce(per["lens"].to_numpy(), initial=0))
+        rules.lengths = np.array([bool(lens >> i & 1) for i in range(most)] + [True])
+    return rules
 
 
 def candidates(pre: DataFrame, key: str, s: Settings) -> DataFrame:
     """M3 as rows: (key, pos, j, word) for every start that is not a compound."""
-    r = _start_rows(pre, key, s)
-    return r.filter((F.col("j") >= 0) & ~F.col("pv")).select(key, "pos", "j", "word")
+    ship(pre.sparkSession)
+    kind = pre.schema[key].dataType.simpleString()
+    return pre.select(key, "toks").mapInArrow(words_udf(COMPOUND_GLUE, _rules(s), [key, "pos", "j", "word"]),
+                                              f"`{key}` {kind}, pos int, j int, word string")
+
+
+def _matches(pre: DataFrame, key: str, dictionary: DataFrame, s: Settings) -> DataFrame:
+    """M4: the longest listed word from every start, and every compound."""
+    kind = pre.schema[key].dataType.simpleString()
+    d = dictionary.select(F.col("word").alias("_w")).distinct()
+    near = pre.select(key, "toks").mapInArrow(words_udf(COMPOUND_GLUE, _rules(s, dictionary), [key, "pos", "j", "word"]),
+                                              f"`{key}` {kind}, pos int, j int, word string")
+    hit = near.join(d, F.lower("word") == F.col("_w"), "left_semi")
+    compound = (pre.select(key, F.posexplode("toks").alias("pos", "x")).where("x.c")
+                .select(key, "pos", F.lit(0).alias("j"), F.col("x.t").alias("word")))
+    # The few hits go back to their document once; what follows stays there.
+    return (hit.unionByName(compound).repartition(key).groupBy(key, "pos")
+            .agg(F.max("j").alias("j"), F.max_by("word", "j").alias("word"))
+            .select(key, "pos", (F.col("pos") + F.col("j") + 1).cast("int").alias("end"), "word"))
 
 
 def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
-           settings: Settings = Settings(), partitions: int | None = None) -> Repair:
-    """Run M2-M6 over ``docs(key, text)`` as one chain: every stage reads
-    the previous one once, so the candidate fold runs once per start."""
+           settings: Settings = Settings()) -> Repair:
+    """Run M2-M6 over ``docs(key, text)`` as one chain."""
     s = settings
-    # One small action on the word list: its row count (the broadcast bound
-    # check) and its longest word (glued words beyond it cannot match).
-    st = dictionary.agg(F.count("*").alias("n"), F.max(F.length("word")).alias("m")).collect()[0]
-    dict_rows, longest = st["n"], st["m"]
-    nparts = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.repartition(nparts, key)
-    pre = preprocess_tokens(docs, key, text, dictionary, s, dict_rows)
-    rows = _start_rows(pre, key, s, longest if s.extra.get("python_scan", True) else None)
-    d = dictionary.select(F.col("word").alias("_w"), F.lit(True).alias("_v")).distinct()
-    if dict_rows <= s.broadcast_rows:
-        d = F.broadcast(d)
+    docs = docs.repartition(key)
+    pre = preprocess_tokens(docs, key, text, dictionary, s)
+    ship(docs.sparkSession)
+    matched = _matches(pre, key, dictionary, s)
     w = Window.partitionBy(key).orderBy("pos")
 
-    # M4 (text path): only candidates and compounds; the listed ones are
-    # few, so the per-start aggregate sees a small fraction of the rows.
-    cand = rows.filter(F.col("j") >= 0)
-    hit = cand.join(d, F.when(~F.col("pv"), F.lower("word")) == F.col("_w"), "left") \
-              .filter(F.col("pv") | F.col("_v").isNotNull())
-    # The Python scan does not report the document partitioning, so the
-    # (few) listed candidates are placed by document once; the per-start
-    # aggregate and the document windows below then need no exchange.
-    hit = hit.repartition(nparts, key)
-    matched = hit.groupBy(key, "pos").agg(F.max("j").alias("bj"), F.max_by("word", "j").alias("word")) \
-                 .select(key, "pos", (F.col("pos") + F.col("bj") + 1).cast("int").alias("end"), "word")
-
     # M5: islands start where no earlier matched word reaches past; such a
     # start is always visited, so each island is walked on its own.
     cover = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -273,48 +182,29 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
     text_out = docs.select(key).join(joined, key, "left") \
                    .select(key, F.coalesce("text_clear", F.lit("")).alias("text_clear"))
 
-    # M6 (wrong-word path): every start is needed, so one aggregate over
-    # base rows and listed candidates gives token, skip flag and best word,
-    # and one fold per island (over all starts) lists the visited starts
-    # that matched nothing and had no skip event.
-    look = F.when((F.col("j") >= 0) & ~F.col("pv"), F.lower("word"))
-    looked = rows.join(d, look == F.col("_w"), "left") \
-                 .filter((F.col("j") < 0) | F.col("pv") | F.col("_v").isNotNull()) \
-                 .repartition(nparts, key)
-    per_start = looked.groupBy(key, "pos").agg(
-        F.max("j").alias("bj"), F.max_by("word", "j").alias("bw"),
-        F.min_by("word", "j").alias("token"), F.max("skip").alias("skip"))
-    per_start = per_start.select(
-        key, "pos", "token", "skip",
-        F.when(F.col("bj") >= 0, F.col("pos") + F.col("bj") + 1).cast("int").alias("end"),
-        F.when(F.col("bj") >= 0, F.col("bw")).alias("word"))
-    isl2 = per_start.withColumn("_new", (cover.isNull() | (cover <= F.col("pos"))).cast("int")) \
-                    .withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    init2 = F.struct(F.lit(-1).alias("next"),
-                     F.array().cast("array<struct<pos:int,word:string>>").alias("wrong"))
-
-    def walk_wrong(st, e):
-        visited = e["pos"] >= st["next"]
-        jump = F.struct(e["end"].alias("next"), st["wrong"].alias("wrong"))
-        miss = F.struct(st["next"].alias("next"), F.array_append(
-            st["wrong"], F.struct(e["pos"].alias("pos"), e["token"].alias("word"))).alias("wrong"))
-        return (F.when(~visited, st).when(e["end"].isNotNull(), jump)
-                 .when(~e["skip"], miss).otherwise(st))
-
-    walked = isl2.groupBy(key, "island").agg(F.aggregate(F.array_sort(F.collect_list(F.struct(
-        F.col("pos").cast("int").alias("pos"), "end", "token", "skip"))), init2, walk_wrong)["wrong"].alias("_w2"))
-    wrong = walked.select(key, F.explode("_w2").alias("_wr")).select(key, "_wr.pos", "_wr.word")
-    return Repair(per_start.select(key, "pos", "token", "skip"), matched, kept, text_out, wrong)
+    # M6: a start is wrong if the walk visits it, nothing matched there and no
+    # skip rule fired.  The walk visits exactly the starts no kept word
+    # reaches past, so a running maximum over the kept ends says which.
+    marks = kept.select(key, "pos", F.col("end").alias("_end"))
+    kind = pre.schema[key].dataType.simpleString()
+    starts = pre.select(key, "toks").mapInArrow(
+        starts_udf(COMPOUND_GLUE, _rules(s), [key, "pos", "token", "compound", "skip"]),
+        f"`{key}` {kind}, pos int, token string, compound boolean, skip boolean")
+    per = (starts.repartition(key).join(marks, [key, "pos"], "left")
+           .withColumn("_past", F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    wrong = per.where(~F.col("skip") & (F.col("_past").isNull() | (F.col("_past") <= F.col("pos")))) \
+               .select(key, "pos", F.col("token").alias("word"))
+    return Repair(starts.select(key, "pos", "token", "skip"), matched, kept, text_out, wrong)
 
 
 def clear_text(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
-               settings: Settings = Settings(), partitions: int | None = None) -> DataFrame:
+               settings: Settings = Settings()) -> DataFrame:
     """M5: ``(key, text_clear)`` for every document."""
-    return repair(docs, key, text, dictionary, settings, partitions).text
+    return repair(docs, key, text, dictionary, settings).text
 
 
 def clean_batch(ft: DataFrame, dictionary: DataFrame, mode: str = "all",
-                settings: Settings = Settings(), partitions: int | None = None) -> DataFrame:
+                settings: Settings = Settings()) -> DataFrame:
     """M7: recompute text_clear for the rows chosen by ``mode``: 'all',
     'empty' (text_clear still NULL) or one resource id.  Rows not chosen
     keep their text_clear; the result is the whole table."""
@@ -325,7 +215,7 @@ def clean_batch(ft: DataFrame, dictionary: DataFrame, mode: str = "all",
     else:
         chosen = ft.filter(F.col("resource_id") == mode)
     cleaned = clear_text(chosen.select("id", "text").filter(F.col("text").isNotNull()),
-                         "id", "text", dictionary, settings, partitions)
+                         "id", "text", dictionary, settings)
     out = ft.join(cleaned.withColumnRenamed("text_clear", "_new"), "id", "left")
     return out.select("id", "resource_id", "package_id", "text",
                       F.coalesce("_new", "text_clear").alias("text_clear"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,11 +30,8 @@ _DEFAULTS = {
 def get_spark(master: str | None = None, app: str = "doctext",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests and benches.
-
-    On a cluster the session is built by the launcher; this only fills in
-    settings that are still unset.
-    """
+    """Return the active session as it is, or build a local one for tests
+    and benches with the settings above."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
@@ -49,25 +49,40 @@ def get_spark(master: str | None = None, app: str = "doctext",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+_shipped: set[str] = set()
+
 
-    The cluster names it; only where it is unset (local tests) a private
-    scratch folder is made and registered, so lineage cuts and versioned
-    table writes always land in one place every executor can read.
-    """
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the workers, wherever the driver was
+    started.  Once per application; later calls do nothing."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    out = os.path.join(tempfile.mkdtemp(prefix="doctext-ship-"), "doctext.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(Path(root.name) / p.relative_to(root)))
+    sc.addPyFile(out)
+    _shipped.add(sc.applicationId)
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` (or set on the
+    context).  Only a local master may go without: then one private folder
+    per application is made, as in tests."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = tempfile.mkdtemp(prefix="doctext-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    have = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if have.isDefined():
+        return have.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="doctext-shared-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name)
+    """A fresh path under the shared folder for a written table."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
