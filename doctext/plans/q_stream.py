@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..schema import INPUT_SCHEMAS
+from ..session import scratch_path
 from ..sources.views import VIEW_SQL
 from ..streaming.ingest import latest_per_resource, stream_ingest
 from .q_state import MERGE_SQL
@@ -26,11 +27,28 @@ def _incoming(batch):
     return inc.withColumn("version", F.lit(1))
 
 
-@query("stream_ingest", f"""
+STREAM_SQL = f"""
 WITH m AS ({MERGE_SQL})
-SELECT id, resource_id, package_id, text, text_clear FROM m WHERE action IN ('keep', 'update', 'insert')""")
+SELECT id, resource_id, package_id, text, text_clear FROM m WHERE action IN ('keep', 'update', 'insert')"""
+
+
+@query("stream_ingest", STREAM_SQL)
 def stream_ingest_q(c):
-    return stream_ingest(c.spark, _source(c), c.fulltext, c.package, _incoming)
+    return stream_ingest(c.spark, _source(c), c.fulltext, c.package, _incoming,
+                         scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
+
+
+@query("stream_ingest_split", STREAM_SQL)
+def stream_ingest_split(c):
+    """The same delivery in files that split every package: the four
+    resources of a package lie in four files, read one file a batch."""
+    files = scratch_path(c.spark, "ingest-files")
+    c.raw("documents").withColumn("part", F.col("doc_id") % 4).repartition("part") \
+        .write.partitionBy("part").parquet(files)
+    source = (c.spark.readStream.schema(INPUT_SCHEMAS["documents"]).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", 1).parquet(files))
+    return stream_ingest(c.spark, source, c.fulltext, c.package, _incoming,
+                         scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
 
 
 @query("stream_latest", """
@@ -40,24 +58,19 @@ FROM documents""")
 def stream_latest(c):
     """A second arrival (version 2) of every ninth document in the same
     micro-batch replaces the first."""
-    from ..streaming.ingest import VersionedTable
-    from ..session import scratch_path
-    import uuid
     src = _source(c)
     first = src.select(F.concat(F.lit("r"), "doc_id").alias("resource_id"), "text", F.lit(1).alias("version"))
     again = src.filter(F.col("doc_id") % 9 == 0).select(
         F.concat(F.lit("r"), "doc_id").alias("resource_id"),
         F.concat("text", F.lit(" v2")).alias("text"), F.lit(2).alias("version"))
-    name = uuid.uuid4().hex
-    out = scratch_path(c.spark, f"tables/{name}")
+    out = scratch_path(c.spark, "arrivals")
 
     def run(batch, batch_id):
         latest_per_resource(batch).write.mode("overwrite").parquet(f"{out}/b{batch_id:08d}")
 
     q = (first.unionByName(again).writeStream.foreachBatch(run)
-              .option("checkpointLocation", scratch_path(c.spark, f"streams/{name}"))
+              .option("checkpointLocation", scratch_path(c.spark, "arrivals-stream"))
               .trigger(availableNow=True).start())
     q.awaitTermination()
-    _ = VersionedTable
     return (c.spark.read.schema("resource_id string, text string, version int")
                  .option("recursiveFileLookup", "true").parquet(out))

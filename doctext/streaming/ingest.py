@@ -2,75 +2,145 @@
 
 The re-run-every-ten-minutes loop becomes a file-source stream: new text
 files land in a folder, each micro-batch collapses duplicate arrivals of a
-resource (B7) and merges the batch into the text table (W3).  The table's
-state is the table itself, kept as versioned folders under the shared
-checkpoint folder: batch ``n`` reads version ``n-1`` and writes version
-``n``, so replaying a batch after a failure rewrites the same version
-(idempotent) and a lost executor only costs a task retry.
+resource (B7) and saves every resource that arrived.  A batch says nothing
+about resources it does not hold, so a package may be split over any number
+of files and triggers; rows go only by an explicit mark, which is ``deleted``
+on a resource, or ``complete`` packages given at the end of a delivery.
+
+The table is laid out in buckets of packages.  A batch reads and rewrites
+only the buckets it touches, into a new folder, and then appends one row per
+bucket to the commit log; the log says which folder of a bucket is current.
+A replayed batch finds itself in the log and does nothing, a batch that died
+before its commit leaves a folder that nobody reads.
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import state
+from ..operators.state import empty_to_unavailable, new_row_id
 from ..schema import FULLTEXT_SCHEMA
-from ..session import scratch_path
 
+BUCKETS = 16
+COLS = [f.name for f in FULLTEXT_SCHEMA]
+#: Beside the row: the last batch that delivered it (-1: from the start).
+STORED = "id string, resource_id string, package_id string, text string, text_clear string, seen long, bucket int"
+LOG = "batch long, bucket int, folder string, n long"
 
-def latest_per_resource(batch: DataFrame, order: str = "version") -> DataFrame:
-    """One row per resource in a batch, the latest arrival wins
-    (ties broken by text so a replay picks the same row)."""
-    w = Window.partitionBy("resource_id").orderBy(F.col(order).desc(), F.col("text").desc())
-    return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
-class VersionedTable:
-    """A table stored as ``<root>/v<n>`` folders; version n is written
-    only from version n-1, so writes are replayable."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v{version:08d}"
 
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.schema(FULLTEXT_SCHEMA).parquet(self.path(version))
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(version))
-
-
-def merge_batch(table: VersionedTable, packages: DataFrame,
+def latest_per_resource(batch: DataFrame, order: str = "version") -> DataFrame:
+    """One row per resource in a batch, the latest arrival wins (ties
+    broken by text so a replay picks the same row).  The winner is a partial
+    aggregate, so a resource with very many arrivals is no hot group."""
+    rest = [c for c in batch.columns if c not in ("resource_id", order, "text")]
+    best = F.max(F.struct(F.col(order), F.col("text"), *rest)).alias("_b")
+    return batch.groupBy("resource_id").agg(best).select(
+        *[F.col("resource_id") if c == "resource_id" else F.col(f"_b.{c}").alias(c) for c in batch.columns])
+
+
+class BucketTable:
+    """Text rows in package buckets under ``root`` with a commit log."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    def log(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(LOG).parquet(f"{self.root}/log")
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], LOG)
+
+    def current(self) -> dict[int, tuple[str, int]]:
+        """Folder and rows of every bucket (a fixed number of buckets)."""
+        last = self.log().groupBy("bucket").agg(F.max_by(F.struct("folder", "n"), "batch").alias("l"))
+        return {r["bucket"]: (r["l"]["folder"], r["l"]["n"]) for r in last.collect()}
+
+    def last_batch(self) -> int | None:
+        return self.log().agg(F.max("batch")).first()[0]
+
+    def bucket(self, package_id: str = "package_id"):
+        return F.pmod(F.hash(package_id), F.lit(self.buckets)).cast("int")
+
+    def read(self, only: list[int] | None = None) -> DataFrame:
+        paths = [f"{self.root}/{folder}/bucket={b}" for b, (folder, n) in sorted(self.current().items())
+                 if n and (only is None or b in only)]
+        if not paths:
+            return self.spark.createDataFrame([], STORED)
+        return self.spark.read.schema(STORED.rsplit(",", 1)[0]).parquet(*paths).withColumn("bucket", self.bucket())
+
+    def write(self, rows: DataFrame, batch: int, touched: list[int]) -> None:
+        """New contents of the touched buckets, then the commit."""
+        folder = f"batch-{batch:012d}"
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{folder}")
+        got = {r["bucket"]: r["count"] for r in
+               self.spark.read.schema(STORED).parquet(f"{self.root}/{folder}").groupBy("bucket").count().collect()}
+        self.spark.createDataFrame([(batch, b, folder, got.get(b, 0)) for b in touched], LOG) \
+            .coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+
+
+def merge_batch(table: BucketTable, packages: DataFrame,
                 prepare: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: batch ``n`` -> version ``n + 1``."""
+    """foreachBatch body.  ``prepare`` gives rows (package_id, resource_id,
+    text, version[, deleted]); a resource that arrived is updated (text
+    replaced, text_clear NULL) or inserted, or goes if it is marked deleted;
+    all others stay."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        incoming = latest_per_resource(prepare(batch))
-        old = table.read(batch_id)
-        table.write(state.merge_result(old, incoming.drop("version"), packages), batch_id + 1)
+        done = table.last_batch()
+        if done is not None and batch_id <= done:
+            return
+        incoming = prepare(batch)
+        if "deleted" not in incoming.columns:
+            incoming = incoming.withColumn("deleted", F.lit(False))
+        new = latest_per_resource(incoming.select("package_id", "resource_id", "text", "version", "deleted"))
+        new = new.withColumn("bucket", table.bucket())
+        touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())
+        if not touched:
+            return
+        old = table.read(touched)
+        save = new.select("package_id", "resource_id", "bucket", "deleted", empty_to_unavailable("text").alias("new_text"),
+                          F.lit(True).alias("arrived"))
+        j = old.join(save, ["package_id", "resource_id", "bucket"], "full_outer")
+        came = F.coalesce("arrived", F.lit(False))
+        rows = j.where(~(came & F.col("deleted"))).select(
+            F.coalesce("id", new_row_id("resource_id")).alias("id"), "resource_id", "package_id",
+            F.when(came, F.col("new_text")).otherwise(F.col("text")).alias("text"),
+            F.when(came, F.lit(None).cast("string")).otherwise(F.col("text_clear")).alias("text_clear"),
+            F.when(came, F.lit(batch_id)).otherwise(F.col("seen")).cast("long").alias("seen"), "bucket")
+        table.write(rows, batch_id, touched)
     return run
 
 
 def stream_ingest(spark: SparkSession, source: DataFrame, initial: DataFrame, packages: DataFrame,
-                  prepare: Callable[[DataFrame], DataFrame], name: str | None = None) -> DataFrame:
+                  prepare: Callable[[DataFrame], DataFrame], root: str,
+                  complete: DataFrame | None = None) -> DataFrame:
     """Run the stream over everything available now and return the
-    final table.  ``source`` is a streaming DataFrame (a file source);
-    ``prepare`` turns a micro-batch into ``incoming`` rows
-    (package_id, resource_id, position, text, version)."""
-    name = name or uuid.uuid4().hex
-    table = VersionedTable(spark, scratch_path(spark, f"tables/{name}"))
-    table.write(initial.select(*[f.name for f in FULLTEXT_SCHEMA]), 0)
+    table.  ``root`` is a folder that all executors share; a later call with
+    the same root goes on where the last one ended (also with no new files).
+
+    ``complete(package_id)`` names packages whose delivery is whole: rows of
+    theirs that never arrived go, and so do the rows of deleted packages that
+    were delivered.  Without it nothing is inferred from absence.
+    """
+    table = BucketTable(spark, f"{root.rstrip('/')}/table")
+    if table.last_batch() is None:
+        start = initial.select(*COLS).withColumn("seen", F.lit(-1).cast("long")).withColumn("bucket", table.bucket())
+        table.write(start, -1, list(range(table.buckets)))
     q = (source.writeStream
                .foreachBatch(merge_batch(table, packages, prepare))
-               .option("checkpointLocation", scratch_path(spark, f"streams/{name}"))
+               .option("checkpointLocation", f"{root.rstrip('/')}/stream")
                .trigger(availableNow=True)
                .start())
     q.awaitTermination()
-    progress = q.lastProgress
-    last = (progress or {}).get("batchId", 0)
-    return table.read(last + 1)
+    rows = table.read()
+    if complete is not None:
+        gone = packages.where(F.col("state") == "deleted").select("package_id").distinct()
+        whole = complete.select("package_id").distinct()
+        kept = rows.join(whole, "package_id", "left_anti")
+        listed = rows.where("seen >= 0").join(whole, "package_id", "left_semi").join(gone, "package_id", "left_anti")
+        rows = kept.unionByName(listed.select(kept.columns))
+    return rows.select(*COLS)

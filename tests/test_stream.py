@@ -1,26 +1,59 @@
-"""Streaming ingest from several Parquet files in a fresh folder."""
-
-import tempfile
-
-from pyspark.sql import functions as F
-
-from doctext.operators import state
-from doctext.streaming.ingest import stream_ingest
-
-
-def test_stream_merges_like_batch(spark):
-    src = tempfile.mkdtemp(prefix="doctext-stream-")
-    old = spark.createDataFrame([("o1", "r1", "p1", "x", "c"), ("o2", "r2", "p2", "y", "c")],
-                                "id string, resource_id string, package_id string, text string, text_clear string")
-    pk = spark.createDataFrame([("p1", "active"), ("p2", "active")], "package_id string, state string")
-    rows = [("p1", "r1", 0, "new", 1), ("p1", "r1", 0, "newer", 2), ("p2", "r2", 0, "b", 1)]
-    schema = "package_id string, resource_id string, position long, text string, version long"
-    # one file per package, so every micro-batch holds whole packages
-    spark.createDataFrame(rows[:2], schema).coalesce(1).write.mode("overwrite").parquet(f"{src}/a")
-    spark.createDataFrame(rows[2:], schema).coalesce(1).write.mode("overwrite").parquet(f"{src}/b")
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true") \
-                  .option("maxFilesPerTrigger", 1).parquet(src)
-    out = stream_ingest(spark, stream, old, pk, lambda b: b)
-    got = {r.resource_id: r.text for r in out.collect()}
-    assert got == {"r1": "newer", "r2": "b"}
-    _ = (F, state)
+"""Streaming ingest: split packages, marks, restarts and empty folders."""
+
+from doctext.streaming.ingest import BucketTable, merge_batch, stream_ingest
+
+ROWS = "package_id string, resource_id string, text string, version long, deleted boolean"
+TEXTS = "id string, resource_id string, package_id string, text string, text_clear string"
+
+
+def setup(spark, path, batches):
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.parquet(f"{path}/in/{i}")
+    old = spark.createDataFrame([("o1", "r1", "p1", "x", "c"), ("o2", "r2", "p2", "y", "c"), ("o3", "r3", "p1", "z", "c"),
+                                 ("o4", "r4", "p3", "w", "c"), ("o5", "r5", "p4", "v", "c")], TEXTS)
+    pk = spark.createDataFrame([("p1", "active"), ("p2", "active"), ("p3", "deleted"), ("p4", "active")],
+                               "package_id string, state string")
+    return old, pk
+
+
+def source(spark, path):
+    return (spark.readStream.schema(ROWS).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", 1).parquet(f"{path}/in"))
+
+
+def texts(df):
+    return {r.resource_id: r.text for r in df.collect()}
+
+
+def test_split_packages_lose_nothing(spark, tmp_path):
+    path = str(tmp_path)
+    old, pk = setup(spark, path, [
+        [("p1", "r1", "new", 1, False), ("p1", "r1", "newer", 2, False)], [("p1", "r9", "  ", 1, False)],
+        [("p2", "r2", None, 1, True), ("p3", "r4", "again", 1, False)]])
+    out = stream_ingest(spark, source(spark, path), old, pk, lambda b: b, f"{path}/t")
+    assert texts(out) == {"r1": "newer", "r9": "NOT_AVAILABLE", "r3": "z", "r4": "again", "r5": "v"}
+    # The same delivery with p1 and p3 declared whole.
+    whole = spark.createDataFrame([("p1",), ("p3",)], "package_id string")
+    out = stream_ingest(spark, source(spark, path), old, pk, lambda b: b, f"{path}/t", whole)
+    assert texts(out) == {"r1": "newer", "r9": "NOT_AVAILABLE", "r5": "v"}
+
+
+def test_restart_and_replay(spark, tmp_path):
+    path = str(tmp_path)
+    old, pk = setup(spark, path, [[("p1", "r1", "a", 1, False)]])
+    go = lambda: texts(stream_ingest(spark, source(spark, path), old, pk, lambda b: b, f"{path}/t"))
+    first = go()
+    assert go() == first and first["r1"] == "a"  # no new files
+    spark.createDataFrame([("p4", "r5", "b", 1, False)], ROWS).coalesce(1).write.parquet(f"{path}/in/more")
+    assert go() == first | {"r5": "b"}
+    table = BucketTable(spark, f"{path}/t/table")
+    before, log = texts(table.read()), table.log().count()
+    merge_batch(table, pk, lambda b: b)(spark.createDataFrame([("p4", "r5", "replayed", 1, False)], ROWS), 0)
+    assert texts(table.read()) == before and table.log().count() == log
+
+
+def test_empty_folder(spark, tmp_path):
+    path = str(tmp_path)
+    old, pk = setup(spark, path, [[]])
+    out = stream_ingest(spark, source(spark, path), old, pk, lambda b: b, f"{path}/t")
+    assert texts(out) == texts(old)
