@@ -2,8 +2,8 @@
 
 Archives are given as a member table ``(archive_id, parent_id, seq, path,
 text)``: ``parent_id`` names the archive an archive is nested in.  The tree
-is resolved with a recursive CTE over the (small) archive edge list, not the
-member rows; members are then joined to their root once.
+is resolved over the archive edge list, not the member rows; members are then
+joined to their root once.
 """
 
 from __future__ import annotations
@@ -14,23 +14,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise, strip_ws
+from ..session import scratch_path
 from .select import has_blacklisted_suffix
 
-TREE_SQL = """
-WITH RECURSIVE tree(archive_id, root_id, depth, lineage) AS (
-  SELECT archive_id, archive_id, 0, array(archive_id) FROM {edges} WHERE parent_id IS NULL
-  UNION ALL
-  SELECT e.archive_id, t.root_id, t.depth + 1, concat(t.lineage, array(e.archive_id))
-  FROM {edges} e JOIN tree t ON e.parent_id = t.archive_id)
-SELECT archive_id, root_id, depth, lineage FROM tree"""
-
-
 def archive_tree(members: DataFrame) -> DataFrame:
     """(archive_id, root_id, depth, lineage) for every archive reachable
     from a root; ``lineage`` is the id path from the root, so breadth-first
-    order is (depth, lineage)."""
-    edges = members.select("archive_id", "parent_id").distinct()
-    return members.sparkSession.sql(TREE_SQL, edges=edges)
+    order is (depth, lineage).
+
+    Pointer doubling: every archive knows an ancestor and the path from
+    there; a round appends the ancestor's own path, so paths double and the
+    number of joins is the logarithm of the deepest nesting.  Archives whose
+    chain never ends at a root (a missing parent, a cycle) are left out:
+    rounds stop when a path would be longer than there are archives.
+    """
+    spark = members.sparkSession
+    e = members.select("archive_id", "parent_id").distinct()
+    up = e.select(F.col("archive_id").alias("a"), F.col("parent_id").alias("p"), F.array("archive_id").alias("path"))
+    total = None
+    reach = 1
+    while True:
+        where = scratch_path(spark, "archive-tree")
+        up.write.parquet(where)
+        up = spark.read.schema(up.schema).parquet(where)
+        if up.where("p is not null").isEmpty():
+            break
+        total = up.count() if total is None else total
+        if reach > 2 * total:
+            break
+        above = up.select(F.col("a").alias("p"), F.col("p").alias("pp"), F.col("path").alias("front"))
+        open_ = up.where("p is not null").join(above, "p").select(
+            "a", F.col("pp").alias("p"), F.concat("front", "path").alias("path"))
+        up = up.where("p is null").unionByName(open_)
+        reach *= 2
+    return up.where("p is null").select(
+        F.col("a").alias("archive_id"), F.element_at("path", 1).alias("root_id"),
+        (F.size("path") - 1).alias("depth"), F.col("path").alias("lineage"))
 
 
 def archive_members(members: DataFrame, blacklist: Iterable[str] = ()) -> DataFrame:
@@ -44,10 +63,11 @@ def archive_members(members: DataFrame, blacklist: Iterable[str] = ()) -> DataFr
                                              "path", "text")
 
 
-def member_text(c) -> F.Column:
+def member_text(c, path) -> F.Column:
     """Text of one member as the extractor returns it: stripped, then
-    normalised."""
-    return normalise(strip_ws(c))
+    normalised (a ``.csv`` member by the CSV rule)."""
+    t = strip_ws(c)
+    return F.when(F.lower(path).endswith(".csv"), normalise(t, is_csv=True)).otherwise(normalise(t))
 
 
 def archive_text(members: DataFrame, blacklist: Iterable[str] = ()) -> DataFrame:
@@ -60,7 +80,7 @@ def archive_text(members: DataFrame, blacklist: Iterable[str] = ()) -> DataFrame
     first order, so a root with very many members is pre-aggregated per
     nested archive before its final group.
     """
-    m = archive_members(members, blacklist).withColumn("t", member_text("text")) \
+    m = archive_members(members, blacklist).withColumn("t", member_text("text", "path")) \
                                           .filter(F.length("t") > 0)
     per_archive = m.groupBy("root_id", "archive_id", "depth", "lineage").agg(
         F.array_sort(F.collect_list(F.struct("seq", "path", "t"))).alias("ms"))

@@ -34,12 +34,13 @@ def archive_members(c):
 
 
 STRIPPED = f"regexp_replace(text, '^{PYWS}+|{PYWS}+$', '', 'g')"
+MEMBER_TEXT = f"CASE WHEN ends_with(lower(path), '.csv') THEN {sql_normalise(STRIPPED, True)} ELSE {sql_normalise(STRIPPED)} END"
 
 
 @query("archive_text", TREE + f"""
 SELECT root_id AS archive_id,
   string_agg(path || chr(10), '' ORDER BY depth, lineage, seq) || string_agg(t, chr(10) ORDER BY depth, lineage, seq) AS text
-FROM (SELECT *, {sql_normalise(STRIPPED)} AS t FROM am) x WHERE length(t) > 0 GROUP BY root_id""")
+FROM (SELECT *, {MEMBER_TEXT} AS t FROM am) x WHERE length(t) > 0 GROUP BY root_id""")
 def archive_text(c):
     return archive.archive_text(c.members, S.archive_blacklist)
 
@@ -62,9 +63,8 @@ def sql_page_text(x: str) -> str:
     x = f"regexp_replace({x}, '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g')"
     x = f"regexp_replace({x}, '(?s)<!--.*?-->', ' ', 'g')"
     x = f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                    ("&#39;", "'"), ("&amp;", "&")):
-        x = f"replace({x}, {Q(ent)}, {Q(ch)})"
+    for ent, ch in [*pg.ENTITIES.items(), ("#39", "'"), ("amp", "&")]:
+        x = f"replace({x}, '&{ent};', {Q(ch)})"
     x = f"regexp_replace({x}, '{WS}+', ' ', 'g')"
     x = f"regexp_replace({x}, '^ | $', '', 'g')"
     return f"nullif({x}, '')"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,21 +13,68 @@ from ..functions.urls import resolve_relative
 WS = r"[\t\n\x{0B}\f\r ]"
 
 
+#: Named entities of the Latin-1 letters and common marks (fixed values).
+ENTITIES = {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä",
+    "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "eacute": "é", "egrave": "è", "ecirc": "ê", "agrave": "à", "acirc": "â",
+    "ccedil": "ç", "ntilde": "ñ", "iacute": "í", "oacute": "ó", "uacute": "ú", "aacute": "á", "euro": "€",
+    "sect": "§", "copy": "©", "reg": "®", "ndash": "–", "mdash": "—", "hellip": "…", "bdquo": "„", "ldquo": "“",
+    "rdquo": "”", "laquo": "«", "raquo": "»", "middot": "·", "deg": "°",
+}
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _drop_blocks(x: Column, opening: str, closing: str, end: str) -> Column:
+    """Text outside ``opening ... closing`` blocks, each block a space: cut at
+    every closing, and drop each piece from its first opening on.  A piece
+    without an opening keeps its closing.  Linear, and the rest after the
+    last closing stays whole, so an opening that never closes stays too."""
+    def piece(p: Column) -> Column:
+        return _let(F.regexp_instr(p, F.lit(opening)), lambda at: F.when(
+            at > 0, F.concat(F.substr(p, F.lit(1), at - 1), F.lit(" "))).otherwise(F.concat(p, F.lit(end))))
+
+    return _let(F.split(x, closing), lambda ps: F.concat(
+        F.array_join(F.transform(F.slice(ps, F.lit(1), F.size(ps) - 1), piece), ""), F.element_at(ps, -1)))
+
+
+def decode_entities(x: Column) -> Column:
+    """Named, decimal and hexadecimal entities; unknown ones stay.  One cut
+    at ``&``; ``&amp;`` is decoded like the others, so nothing is decoded twice."""
+    names = F.create_map(*[F.lit(v) for pair in (ENTITIES | {"amp": "&"}).items() for v in pair])
+
+    def decoded(name: Column) -> Column:
+        code = (F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).cast("int"))
+                 .when(name.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int")))
+        char = _let(code, lambda n: F.when((n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF),
+                                           F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+        return F.coalesce(F.try_element_at(names, name), char)
+
+    def one(p: Column) -> Column:
+        """A piece after ``&``: its entity decoded, or the ``&`` put back."""
+        end = F.instr(F.substr(p, F.lit(1), F.lit(10)), ";")
+        return _let(end, lambda e: _let(F.when(e > 1, decoded(F.substr(p, F.lit(1), e - 1))), lambda got: F.when(
+            got.isNotNull(), F.concat(got, F.substr(p, e + 1))).otherwise(F.concat(F.lit("&"), p))))
+
+    return _let(F.split(x, "&"), lambda ps: F.concat(
+        F.element_at(ps, 1), F.array_join(F.transform(F.slice(ps, F.lit(2), F.size(ps)), one), "")))
+
+
 def page_text(c) -> Column:
     """Markup to plain text: script/style blocks and comments dropped,
-    tags to spaces, the common entities decoded, white space collapsed and
-    trimmed; an empty result is NULL."""
+    tags to spaces, entities decoded, white space collapsed and trimmed; an
+    empty result is NULL.  Linear in the page, also with openings that never
+    close (those stay as text)."""
     x = _col(c)
-    x = F.regexp_replace(x, r"(?is)<script\b[^>]*>.*?</script>", " ")
-    x = F.regexp_replace(x, r"(?is)<style\b[^>]*>.*?</style>", " ")
-    x = F.regexp_replace(x, r"(?s)<!--.*?-->", " ")
-    x = F.regexp_replace(x, r"<[^>]*>", " ")
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                    ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = F.regexp_replace(x, WS + "+", " ")
-    x = F.regexp_replace(x, r"^ | $", "")
-    return F.when(x == "", F.lit(None).cast("string")).otherwise(x)
+    for opening, closing, end in ((r"(?i)<script\b", "(?i)</script>", "</script>"),
+                                  (r"(?i)<style\b", "(?i)</style>", "</style>"), ("<!--", "-->", "-->")):
+        x = _drop_blocks(x, opening, closing, end)
+    x = decode_entities(_drop_blocks(x, "<", ">", ">"))
+    x = F.btrim(F.regexp_replace(x, WS + "+", " "), F.lit(" "))
+    return F.nullif(x, F.lit(""))
 
 
 def first_script(html) -> Column:

@@ -46,3 +46,51 @@ def test_redirects(spark):
         (3, "http://h.org/a/b.html", "<p>no script</p>")], "page_id long, url string, html string")
     got = [r[0] for r in df.orderBy("page_id").select(pg.redirect_target("url", "html")).collect()]
     assert got == ["http://o.org/x", "http://h.org/a/c.html", "http://h.org/a/b.html"]
+
+
+def test_deep_and_many_archives(spark):
+    """A chain of 150, a cycle, an orphan, and two million flat archives."""
+    schema = "archive_id long, parent_id long, seq long, path string, text string"
+    chain = [(i, None if i == 1 else i - 1, 0, f"f{i}.txt", "t") for i in range(1, 151)]
+    odd = [(1001, 1002, 0, "c.txt", "t"), (1002, 1001, 0, "c.txt", "t"), (1003, 999, 0, "o.txt", "t")]
+    tree = {r.archive_id: r for r in archive.archive_tree(spark.createDataFrame(chain + odd, schema)).collect()}
+    assert set(tree) == set(range(1, 151))
+    assert tree[150].depth == 149 and tree[150].root_id == 1 and list(tree[150].lineage) == list(range(1, 151))
+    flat = spark.range(1, 2_000_001).selectExpr(
+        "id as archive_id", "if(id % 2 = 0, id - 1, null) as parent_id", "0L as seq", "'a' as path", "'t' as text")
+    got = archive.archive_tree(flat).groupBy("depth").count().collect()
+    assert {r["depth"]: r["count"] for r in got} == {0: 1_000_000, 1: 1_000_000}
+
+
+def test_csv_members(spark):
+    m = spark.createDataFrame([(1, None, 0, "a.csv", "x;y"), (1, None, 1, "b.txt", "x;y")],
+                              "archive_id long, parent_id long, seq long, path string, text string")
+    assert archive.archive_text(m).first()["text"] == "a.csv\nb.txt\nx y\nxy"
+
+
+def test_entities_and_blocks(spark):
+    cases = [
+        ("M&uuml;ller &#252; &#xfc; &ndash; &unknown; &amp;lt; &", "Müller ü ü – &unknown; &lt; &"),
+        ("a<SCRIPT type=x>var t='<script>';</Script>b<style>p{}</style>c<!-- <p> -->d", "a b c d"),
+        ("a </script> b <!-- open", "a b <!-- open"), ("1 < 2 <b>x</b>", "1 x"), ("<p>&nbsp;</p>", None),
+    ]
+    df = spark.createDataFrame(cases, "html string, want string")
+    for r in df.select("html", "want", pg.page_text("html").alias("got")).collect():
+        assert r.got == r.want, r.html
+
+
+def test_long_runs_are_linear(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from doctext.functions import text as tx
+    # Not literals: the engine would fold those, and print them in its plans.
+    reps = spark.range(1_000_000, 1_000_001).select(F.col("id").cast("int").alias("n"))
+    jobs = [reps.select(F.length(tx.strip_ws(F.concat(F.lit("a"), F.repeat(F.lit(" "), F.col("n")), F.lit("b")))).alias("n")),
+            reps.select(F.length(pg.page_text(F.concat(F.repeat(F.lit("<a "), F.col("n")), F.lit("b")))).alias("n"))]
+    for want, job in zip((1_000_002, 3_000_001), jobs):
+        job.collect()
+        start = time.time()
+        assert job.first()["n"] == want
+        assert time.time() - start < 20  # about a second alone; a quadratic scan takes hours
