@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate
-from ..schema import RESOURCE_STRUCT
 from .select import in_list
 from .state import dedupe_resource
 
@@ -96,6 +95,3 @@ def clean_eligible(resources: DataFrame, harvest: DataFrame,
     by_source = F.coalesce(in_list("source_title", clean_sources), F.lit(False))
     return r.select("package_id", "resource_id", by_source.alias("source_listed"),
                     by_url.alias("url_cleanable"), (by_source & by_url).alias("clean"))
-
-
-_ = RESOURCE_STRUCT

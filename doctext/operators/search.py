@@ -28,10 +28,6 @@ def postings(texts: DataFrame, key: str = "package_id", text: str = "text") -> D
                  .groupBy("term", key).agg(F.count("*").alias("tf")))
 
 
-def doc_lengths(post: DataFrame, key: str = "package_id") -> DataFrame:
-    return post.groupBy(key).agg(F.sum("tf").alias("dl"))
-
-
 def match(post: DataFrame, terms: Iterable[str], min_match: int | None = None,
           key: str = "package_id") -> DataFrame:
     """Q3: packages matching all terms (``min_match`` None) or at least
@@ -63,12 +59,13 @@ def term_counts(texts: DataFrame, terms: Iterable[str], key: str = "package_id",
 
 def bm25(texts: DataFrame, terms: Iterable[str], min_match: int | None = None,
          k1: float = 1.2, b: float = 0.75, key: str = "package_id") -> DataFrame:
-    """Q3 + Q5: matches with their BM25 score (rounded to 3 places).
+    """Q3 + Q5: matches with their BM25 score (unrounded, so that sorting by
+    it separates what rounding would tie).
 
     Everything comes from the per-package term counts: the collection
     statistics (number of documents, average length, document frequency of
     each query term) are one aggregate over that table (one row, joined by
-    broadcast), so the tokens are read once."""
+    broadcast)."""
     ts = sorted(set(t.lower() for t in terms))
     need = len(ts) if min_match is None else min_match
     per = term_counts(texts, ts, key)
@@ -85,7 +82,7 @@ def bm25(texts: DataFrame, terms: Iterable[str], min_match: int | None = None,
         part = idf * c * (k1 + 1) / (c + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
         score = score + F.when(c > 0, part).otherwise(F.lit(0.0))
     return m.select(key, F.col("matched_terms").cast("long").alias("matched_terms"),
-                    sum(tfs, F.lit(0)).cast("long").alias("tf"), F.round(score, 3).alias("score"))
+                    sum(tfs, F.lit(0)).cast("long").alias("tf"), score.alias("score"))
 
 
 def ranked(scored: DataFrame, packages: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, truncate
@@ -27,15 +27,15 @@ def dedupe_resource(ft: DataFrame) -> DataFrame:
     """Keep one row per resource, preferring a processed row (neither
     UNPROCESSED nor ERROR), then the smallest id.
 
-    Written as ``min_by`` over a (sentinel, id) key so the choice is a
-    partial aggregate: map-side pre-aggregation keeps a resource with very
-    many rows from arriving whole in one task.
+    The winner is chosen on narrow columns (a partial aggregate, so a
+    resource with very many rows does not arrive whole in one task); the
+    texts are then joined to the winners' ids, once and unsorted by text.
     """
-    key = F.struct(is_sentinel("text").cast("int"), F.col("id"))
-    row = F.min_by(F.struct(*[F.col(c) for c in FT_COLS if c != "resource_id"]), key)
-    return (ft.groupBy("resource_id").agg(row.alias("r"))
-              .select(F.col("r.id").alias("id"), "resource_id",
-                      *[F.col(f"r.{c}").alias(c) for c in ("package_id", "text", "text_clear")]))
+    key = F.min(F.struct(is_sentinel("text").cast("int").alias("s"), F.col("id")))
+    win = ft.groupBy("resource_id").agg(key.alias("k")).select(
+        F.col("resource_id").alias("_r"), F.col("k.id").alias("_i"))
+    same = F.col("resource_id").eqNullSafe(F.col("_r")) & (F.col("id") == F.col("_i"))
+    return ft.join(win, same, "left_semi").select(*FT_COLS)
 
 
 def init_unprocessed(ft: DataFrame, resources: DataFrame, package_ids: DataFrame,
@@ -142,5 +142,3 @@ def truncate_both(df: DataFrame, max_chars: int) -> DataFrame:
     return df.withColumn("text", truncate("text", max_chars)) \
              .withColumn("text_clear", truncate("text_clear", max_chars))
 
-
-_ = Window

@@ -7,9 +7,6 @@ SETTINGS = Settings(
     resource_format_blacklist=("de",),    # resource formats hidden on read
     package_blacklist=("p3", "p10"),
     archive_blacklist=("gml",),
-    max_file_size=20000,
-    max_chars=5000,
-    read_limit=200,
     clean_sources=("source1",),
     hide_extras=("owner",),
     hide_main=("url",),
@@ -19,3 +16,7 @@ SETTINGS = Settings(
 MODIFIED_SINCE = "2024-01-01 08:00:00"
 RESOURCE_ID = "r5"
 MAX_SIZE = 5000
+#: The cuts are features of their own queries only; all others read whole texts.
+READ_LIMIT = 200
+CUT_CHARS = 5000
+OVERSIZE = 20000

@@ -39,9 +39,7 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
     only where cleaning applies (package source listed, URL ends in
     rar/zip/pdf) and never for a sentinel.
 
-    Cheap predicates come first; the text is only touched for rows that
-    need it.  The joins are keyed on the resource (or package) and are the
-    only exchanges.
+    Joins are keyed on the resource (or package) and are the only exchanges.
     """
     s = settings
     r = (resources.join(packages.select("package_id", "title"), "package_id")
@@ -49,11 +47,13 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
     r = r.withColumn("text_url", U.fulltext_url("url", "title", "name", "guid"))
     r = r.withColumn("norm_url", U.normalise_url("text_url"))
     r = r.join(fetched, "resource_id", "left").join(archives, "resource_id", "left")
-    raw_text = tx.normalise(tx.strip_ws(F.col("raw")))
+    stripped = tx.strip_ws(F.col("raw"))
+    raw_text = (F.when(F.lower("text_url").endswith(".csv"), tx.normalise(stripped, is_csv=True))
+                 .otherwise(tx.normalise(stripped)))
     got = (F.when(F.col("text_url").contains(NO_TEXT_URL_MARK), F.lit(None).cast("string"))
             .when(select.has_blacklisted_suffix("text_url", s.format_blacklist), F.lit(""))
             .when(select.in_list("package_id", s.package_blacklist), F.lit(""))
-            .when(tx.is_blank("norm_url"), F.lit(""))
+            .when(tx.is_blank("text_url"), F.lit(""))
             .when(select.is_oversize("file_size", s.max_file_size), F.lit(""))
             .when(select.is_archive_url("norm_url"), F.coalesce("archive_raw", F.lit(ERROR)))
             .when(F.col("raw").isNull(), F.lit(ERROR))

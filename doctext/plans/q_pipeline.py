@@ -8,7 +8,7 @@ from ..functions.text import sql_quote
 from ..operators import select
 from . import pipeline as pl
 from .params import MAX_SIZE, SETTINGS as S
-from .q_more import STRIPPED, TREE
+from .q_more import MEMBER_TEXT, TREE
 from .q_repair import word_list
 from .q_text import PYWS, sql_fulltext_url, sql_normalise, sql_normalise_url
 from .registry import query
@@ -19,7 +19,7 @@ PKG_BL = "(" + ", ".join(Q(p) for p in S.package_blacklist) + ")"
 ARCHIVE_TEXT_SQL = f"""
 SELECT concat('r', root_id) AS resource_id,
   string_agg(path || chr(10), '' ORDER BY depth, lineage, seq) || string_agg(t, chr(10) ORDER BY depth, lineage, seq) AS archive_raw
-FROM (SELECT *, {sql_normalise(STRIPPED)} AS t FROM am) x WHERE length(t) > 0 GROUP BY root_id"""
+FROM (SELECT *, {MEMBER_TEXT} AS t FROM am) x WHERE length(t) > 0 GROUP BY root_id"""
 
 IS_ERROR_PAGE = ("(contains(d.text, '404 - File or directory not found') OR contains(d.text, '404 Not Found   Not Found') "
                  "OR contains(d.text, 'NOT_AVAILABLE') OR contains(d.text, 'The page cannot be displayed because') "
@@ -32,18 +32,19 @@ def _outcome_sql(select_pkgs: str, fetched_filter: str = "true") -> str:
     got = f"""CASE WHEN contains(u.text_url, 'alkis_liegenschaftskarte') THEN NULL
       WHEN ends_with(lower(u.text_url), 'gml') THEN ''
       WHEN r.package_id IN {PKG_BL} THEN ''
-      WHEN {BLANK.replace('{x}', 'u.norm_url')} THEN ''
+      WHEN {BLANK.replace('{x}', 'u.text_url')} THEN ''
       WHEN coalesce(TRY_CAST(r.file_size AS BIGINT) > {S.max_file_size}, false) THEN ''
       WHEN contains(lower(u.norm_url), '.zip') OR contains(lower(u.norm_url), '.rar') THEN coalesce(a.archive_raw, 'ERROR_FULLTEXT')
       WHEN d.text IS NULL THEN 'ERROR_FULLTEXT'
       WHEN {IS_ERROR_PAGE} THEN 'ERROR_FULLTEXT'
+      WHEN ends_with(lower(u.text_url), '.csv') THEN {sql_normalise(raw, True)}
       ELSE {sql_normalise(raw)} END"""
     return TREE + f""",
 urls AS (SELECT resource_id, text_url, {sql_normalise_url('text_url')} AS norm_url FROM ({sql_fulltext_url()}) f),
 arch AS ({ARCHIVE_TEXT_SQL}),
 sel AS ({select_pkgs}),
 o AS (
-  SELECT r.resource_id, r.package_id, u.text_url, left({got}, {S.max_chars}) AS got
+  SELECT r.resource_id, r.package_id, u.text_url, {got} AS got
   FROM resource r JOIN urls u ON u.resource_id = r.resource_id
   LEFT JOIN (SELECT * FROM documents WHERE {fetched_filter}) d ON concat('r', d.doc_id) = r.resource_id
   LEFT JOIN arch a ON a.resource_id = r.resource_id
@@ -131,8 +132,8 @@ WITH deduped AS (
     CASE WHEN text IN ('UNPROCESSED_FULLTEXT', 'ERROR_FULLTEXT') THEN 1 ELSE 0 END, id) AS rn FROM fulltext) x
   WHERE rn = 1)
 SELECT r.package_id, r.position,
-  CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE left(d.text, {S.read_limit}) END AS text,
-  coalesce(CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE left(d.text_clear, {S.read_limit}) END, '') AS text_clear
+  CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE d.text END AS text,
+  coalesce(CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE d.text_clear END, '') AS text_clear
 FROM resource r JOIN package p ON p.package_id = r.package_id
 LEFT JOIN deduped d ON d.package_id = r.package_id AND d.resource_id = r.resource_id
 WHERE p.type <> 'harvest' AND r.package_id NOT IN {PKG_BL}""")

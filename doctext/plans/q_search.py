@@ -18,7 +18,7 @@ START, ROWS = 10, 20
 # Index texts: every resource text of the non-harvest packages (J1 without
 # a read limit), tokenised into lower-case letter/digit runs.
 INDEX_SQL = f"""
-SELECT r.package_id, CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE d.text END AS text
+SELECT r.package_id, coalesce(d.text, '') AS text
 FROM resource r JOIN package p ON p.package_id = r.package_id
 LEFT JOIN deduped d ON d.package_id = r.package_id AND d.resource_id = r.resource_id
 WHERE p.type <> 'harvest' AND r.package_id NOT IN ('p3', 'p10')"""
@@ -47,8 +47,8 @@ dl AS (SELECT package_id, sum(tf) AS dl FROM post GROUP BY package_id),
 st AS (SELECT count(*) AS n_docs, avg(dl) AS avgdl FROM dl),
 df AS (SELECT term, count(*) AS df FROM post WHERE term IN {_q(ts)} GROUP BY term),
 sc AS (
-  SELECT p.package_id, round(sum(ln(1 + (st.n_docs - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 /
-    (p.tf + 1.2 * (1 - 0.75 + 0.75 * dl.dl / st.avgdl))), 3) AS score
+  SELECT p.package_id, (sum(ln(1 + (st.n_docs - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 /
+    (p.tf + 1.2 * (1 - 0.75 + 0.75 * dl.dl / st.avgdl)))) AS score
   FROM post p JOIN df ON df.term = p.term JOIN dl ON dl.package_id = p.package_id, st
   WHERE p.term IN {_q(ts)} AND p.package_id IN (SELECT package_id FROM m) GROUP BY p.package_id)
 SELECT m.*, sc.score, pk.metadata_modified FROM m JOIN sc ON sc.package_id = m.package_id
@@ -58,7 +58,7 @@ JOIN package pk ON pk.package_id = m.package_id"""
 def index_texts(c):
     pk = c.package.filter(F.col("type") != "harvest")
     res = c.resource.join(pk.select("package_id"), "package_id", "left_semi")
-    t = assemble.attach_fulltext(res, c.fulltext, S.resource_format_blacklist, 0, S.package_blacklist)
+    t = assemble.attach_fulltext(res, c.fulltext, (), 0, S.package_blacklist)
     return t.select("package_id", "text")
 
 
@@ -93,16 +93,16 @@ def _ranked(c, ts=ANY_TERMS, need=ANY_MIN):
     return sr.ranked(sr.bm25(index_texts(c), ts, need), c.package)
 
 
-@query("search_ranked", f"SELECT * FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s", CTES)
+@query("search_ranked", f"SELECT * REPLACE (round(score, 3) AS score) FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s", CTES)
 def search_ranked(c):
-    return _ranked(c)
+    return _ranked(c).withColumn("score", F.round("score", 3))
 
 
 @query("search_page", f"""
-SELECT * FROM (SELECT s.*, row_number() OVER (ORDER BY score DESC, metadata_modified DESC, package_id) AS rank
+SELECT * REPLACE (round(score, 3) AS score) FROM (SELECT s.*, row_number() OVER (ORDER BY score DESC, metadata_modified DESC, package_id) AS rank
   FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s) x WHERE rank > {START} AND rank <= {START + ROWS}""", CTES)
 def search_page(c):
-    return sr.page(_ranked(c), START, ROWS)
+    return sr.page(_ranked(c), START, ROWS).withColumn("score", F.round("score", 3))
 
 
 @query("search_count", f"SELECT count(*) AS count FROM ({MATCH_SQL(ANY_TERMS, ANY_MIN)}) m", CTES)
@@ -125,14 +125,14 @@ def facet_fields(c):
     return p.unionByName(r)
 
 
-def FACETS_SQL(limit):
+def FACETS_SQL(limit, mincount=1):
     lim = f"WHERE rk <= {limit}" if limit >= 0 else ""
     return f"""
 SELECT field, value, count FROM (
   SELECT field, value, count, row_number() OVER (PARTITION BY field ORDER BY count DESC, value) AS rk FROM (
     SELECT f.field, f.value, count(DISTINCT f.package_id) AS count FROM fields f
     WHERE f.package_id IN (SELECT package_id FROM ({MATCH_SQL(ANY_TERMS, 1)}) m)
-    GROUP BY f.field, f.value HAVING count(DISTINCT f.package_id) >= 1) a) b {lim}"""
+    GROUP BY f.field, f.value HAVING count(DISTINCT f.package_id) >= {mincount}) a) b {lim}"""
 
 
 @query("facets", FACETS_SQL(50), dict(CTES, fields=FIELDS_SQL))
@@ -143,3 +143,9 @@ def facets(c):
 @query("facets_limited", FACETS_SQL(2), dict(CTES, fields=FIELDS_SQL))
 def facets_limited(c):
     return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 1, 2)
+
+
+@query("facets_frequent", FACETS_SQL(-1, 3), dict(CTES, fields=FIELDS_SQL))
+def facets_frequent(c):
+    """Every value of at least three packages, without a limit."""
+    return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 3, -1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import sql_quote
 from ..operators import assemble, select, state
 from ..schema import ERROR_PHRASES
-from .params import MAX_SIZE, MODIFIED_SINCE, RESOURCE_ID, SETTINGS as S
+from .params import CUT_CHARS, MAX_SIZE, MODIFIED_SINCE, OVERSIZE, READ_LIMIT, RESOURCE_ID, SETTINGS as S
 from .registry import query
 
 ERR_SQL = "(" + ", ".join(sql_quote(p) for p in ERROR_PHRASES) + ")"
@@ -166,9 +166,9 @@ def package_blacklist(c):
 
 
 @query("oversize", f"""
-SELECT resource_id, coalesce(TRY_CAST(file_size AS BIGINT) > {S.max_file_size}, false) AS oversize FROM resource""")
+SELECT resource_id, coalesce(TRY_CAST(file_size AS BIGINT) > {OVERSIZE}, false) AS oversize FROM resource""")
 def oversize(c):
-    return c.resource.select("resource_id", select.is_oversize("file_size", S.max_file_size).alias("oversize"))
+    return c.resource.select("resource_id", select.is_oversize("file_size", OVERSIZE).alias("oversize"))
 
 
 # ---------------------------------------------------------------- J1 ----
@@ -187,23 +187,23 @@ def attach_fulltext(c):
 
 
 @query("attach_fulltext_limited",
-       J1_SQL.format(t=f"left(d.text, {S.read_limit})", tc=f"left(d.text_clear, {S.read_limit})"),
+       J1_SQL.format(t=f"left(d.text, {READ_LIMIT})", tc=f"left(d.text_clear, {READ_LIMIT})"),
        {"deduped": DEDUPED_SQL})
 def attach_fulltext_limited(c):
     return assemble.attach_fulltext(c.resource, c.fulltext, S.resource_format_blacklist,
-                                    S.read_limit, S.package_blacklist)
+                                    READ_LIMIT, S.package_blacklist)
 
 
 @query("package_texts", f"""
-WITH j1 AS ({J1_SQL.format(t=f"left(d.text, {S.read_limit})", tc=f"left(d.text_clear, {S.read_limit})")}),
+WITH j1 AS ({J1_SQL.format(t="d.text", tc="d.text_clear")}),
 err AS (SELECT DISTINCT package_id FROM fulltext WHERE trim(text) IN {ERR_SQL})
 SELECT j1.*, (err.package_id IS NOT NULL) AS in_error
 FROM j1 LEFT JOIN err ON err.package_id = j1.package_id""", {"deduped": DEDUPED_SQL})
 def package_texts(c):
-    """Flagship: each package's resource texts (blacklists applied, cut to
-    the read limit) with the package's error flag."""
+    """Flagship: each package's resource texts (blacklists applied)
+    with the package's error flag."""
     j1 = assemble.attach_fulltext(c.resource, c.fulltext, S.resource_format_blacklist,
-                                  S.read_limit, S.package_blacklist)
+                                  0, S.package_blacklist)
     err = select.packages_with_error(c.fulltext).withColumn("in_error", F.lit(True))
     return (j1.join(err, "package_id", "left")
               .withColumn("in_error", F.coalesce(F.col("in_error"), F.lit(False))))
@@ -297,6 +297,6 @@ def cascade_delete(c):
 
 
 @query("truncate", f"""
-SELECT id, left(text, {S.max_chars}) AS text, left(text_clear, {S.max_chars}) AS text_clear FROM fulltext""")
+SELECT id, left(text, {CUT_CHARS}) AS text, left(text_clear, {CUT_CHARS}) AS text_clear FROM fulltext""")
 def truncate(c):
-    return state.truncate_both(c.fulltext, S.max_chars).select("id", "text", "text_clear")
+    return state.truncate_both(c.fulltext, CUT_CHARS).select("id", "text", "text_clear")

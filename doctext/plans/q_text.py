@@ -8,7 +8,7 @@ from ..functions import text as tx
 from ..functions import urls as U
 from ..operators import assemble
 from ..schema import SPECIALS_DELETE, WORD_DELIMITERS, WORD_STRIP
-from .params import SETTINGS as S
+from .params import CUT_CHARS, SETTINGS as S
 from .registry import query
 
 Q = tx.sql_quote
@@ -116,9 +116,9 @@ def is_error_page(c):
     return c.documents.select("doc_id", tx.is_error_page(t).alias("is_error"))
 
 
-@query("truncate_text", f"SELECT doc_id, left(text, {S.max_chars}) AS text FROM documents")
+@query("truncate_text", f"SELECT doc_id, left(text, {CUT_CHARS}) AS text FROM documents")
 def truncate_text(c):
-    return c.documents.select("doc_id", tx.truncate("text", S.max_chars).alias("text"))
+    return c.documents.select("doc_id", tx.truncate("text", CUT_CHARS).alias("text"))
 
 
 # ---- URLs ---------------------------------------------------------------

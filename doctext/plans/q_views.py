@@ -124,7 +124,7 @@ def show_reduced(c) -> DataFrame:
 
 
 FULL_SQL = f"""
-WITH j1 AS ({J1_SQL.format(t=f"left(d.text, {S.read_limit})", tc=f"left(d.text_clear, {S.read_limit})")})
+WITH j1 AS ({J1_SQL.format(t="d.text", tc="d.text_clear")})
 SELECT r.package_id, r.resource_id AS id, r.position, r.url, j1.text AS fulltext, j1.text_clear AS fulltext_clear
 FROM resource r JOIN package p ON p.package_id = r.package_id
 LEFT JOIN j1 ON j1.resource_id = r.resource_id"""

@@ -7,12 +7,15 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip_ws
+
 
 def load_word_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """One or more line files (one word per line), stripped, lower-cased,
+    """One or more line files (one word per line), stripped of all white space
+    at both ends, lower-cased,
     merged and de-duplicated."""
     lines = spark.read.text(list(paths))
-    w = F.lower(F.trim(F.col("value")))
+    w = F.lower(strip_ws("value"))
     return lines.select(w.alias("word")).filter(F.col("word") != "").distinct()
 
 

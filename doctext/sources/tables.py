@@ -80,8 +80,3 @@ class Catalog:
     @cached_property
     def pages(self) -> DataFrame:
         return self.spread(self.raw("pages"), "page_id")
-
-
-def read_fulltext_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a stored text table with its fixed schema (no inference)."""
-    return spark.read.schema(FULLTEXT_SCHEMA).parquet(path)
