@@ -18,13 +18,16 @@ def attempt_summary(attempts: DataFrame) -> DataFrame:
         F.max_by(F.struct("ended_at", "failed", "error_class"), "attempt_no").alias("last"))
 
 
-def retry_candidates(attempts: DataFrame, limit: int = RETRY_LIMIT) -> DataFrame:
+def retry_candidates(attempts: DataFrame, limit: int = RETRY_LIMIT,
+                     error_classes: tuple[str, ...] = ()) -> DataFrame:
     """B2: the latest attempt failed and the failures since the last success
     are at most ``limit`` (the first failure is retry 1, each retry +1, and
-    a job is requeued while its retry count is below the limit)."""
+    a job is requeued while its retry count is below the limit).  With
+    ``error_classes`` only failures of these classes are retried."""
     s = attempt_summary(attempts)
     streak = F.col("last_no") - F.coalesce(F.col("last_ok"), F.lit(0))
-    return s.filter(F.col("last.failed") & (streak <= limit)) \
+    wanted = F.col("last.error_class").isin(*error_classes) if error_classes else F.lit(True)
+    return s.filter(F.col("last.failed") & (streak <= limit) & wanted) \
             .select("package_id", streak.alias("retry"))
 
 

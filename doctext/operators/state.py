@@ -123,18 +123,22 @@ def cascade_delete(ft: DataFrame, resources: DataFrame) -> DataFrame:
 def apply_outcome(ft: DataFrame, outcome: DataFrame) -> DataFrame:
     """Write the processing outcome back: the kept row of each processed
     resource takes the new text / text_clear, other rows of it go; rows of
-    resources not processed stay as they are."""
-    processed = outcome.select("resource_id", F.col("text").alias("o_text"),
-                               F.col("text_clear").alias("o_clear"))
-    keep = dedupe_resource(ft.join(processed.select("resource_id"), "resource_id", "left_semi"))
-    updated = keep.join(processed, "resource_id").select(
-        "id", "resource_id", "package_id", F.col("o_text").alias("text"),
-        F.col("o_clear").alias("text_clear"))
-    untouched = ft.join(processed.select("resource_id"), "resource_id", "left_anti")
-    inserted = outcome.join(ft.select("resource_id"), "resource_id", "left_anti").select(
-        new_row_id("resource_id").alias("id"), "resource_id", "package_id", "text", "text_clear")
-    return (untouched.select(*FT_COLS).unionByName(updated.select(*FT_COLS))
-            .unionByName(inserted.select(*FT_COLS)))
+    resources not processed stay as they are.  One full outer join of the
+    table; which row of a resource is kept is decided on narrow columns.
+    """
+    mine = ft.select("resource_id", "id", is_sentinel("text").cast("int").alias("s")) \
+             .join(outcome.select("resource_id"), "resource_id", "left_semi")
+    kept = mine.groupBy("resource_id").agg(F.min(F.struct("s", "id"))["id"].alias("kept_id"))
+    o = outcome.select("resource_id", F.col("package_id").alias("o_package"), F.col("text").alias("o_text"),
+                       F.col("text_clear").alias("o_clear"), F.lit(True).alias("done")).join(kept, "resource_id", "left")
+    j = ft.select(*FT_COLS).join(o, "resource_id", "full_outer")
+    done = F.coalesce("done", F.lit(False))
+    j = j.where(~done | F.col("id").isNull() | (F.col("id") == F.col("kept_id")))
+    return j.select(
+        F.coalesce("id", new_row_id("resource_id")).alias("id"), "resource_id",
+        F.coalesce("package_id", "o_package").alias("package_id"),
+        F.when(done, F.col("o_text")).otherwise(F.col("text")).alias("text"),
+        F.when(done, F.col("o_clear")).otherwise(F.col("text_clear")).alias("text_clear"))
 
 
 def truncate_both(df: DataFrame, max_chars: int) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions import urls as U
 from ..operators import archive, assemble, select, state
 from ..operators.repair import clear_text
 from ..schema import ERROR, NO_TEXT_URL_MARK, UNAVAILABLE, Settings
+from ..session import written
 
 
 def fetched_texts(documents: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
         return out.select("resource_id", "package_id", "text",
                           F.lit(None).cast("string").alias("text_clear"))
     elig = assemble.clean_eligible(resources, harvest, s.clean_sources).select("resource_id", "clean")
-    out = out.join(elig, "resource_id", "left")
+    out = written(out.join(elig, "resource_id", "left"), "uncleaned")
     todo = out.filter(F.col("clean") & ~F.col("_blank_or_alkis") & ~state.is_sentinel("text"))
     cleaned = clear_text(todo.select("resource_id", "text"), "resource_id", "text", dictionary, s)
     out = out.join(cleaned, "resource_id", "left")
@@ -89,7 +90,8 @@ def process_packages(catalog, package_ids: DataFrame, settings: Settings,
     fetched = fetched if fetched is not None else fetched_texts(catalog.documents)
     o = outcome(res, catalog.package, catalog.harvest, fetched,
                 archive_texts(catalog.members, settings), settings, do_clean, dictionary)
-    return state.apply_outcome(catalog.fulltext, o)
+    # Read three times by the write-back: computed once.
+    return state.apply_outcome(catalog.fulltext, written(o, "outcome"))
 
 
 def index_documents(packages: DataFrame, resources: DataFrame, ft: DataFrame,

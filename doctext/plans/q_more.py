@@ -142,9 +142,9 @@ WITH s AS (
 
 @query("retry_candidates", SUMMARY + """
 SELECT package_id, last_no - coalesce(last_ok, 0) AS retry FROM s
-WHERE last_failed AND last_no - coalesce(last_ok, 0) <= 5""")
+WHERE last_failed AND last_no - coalesce(last_ok, 0) <= 5 AND last_class IN ('error')""")
 def retry_candidates(c):
-    return ledger.retry_candidates(c.attempts)
+    return ledger.retry_candidates(c.attempts, error_classes=("error",))
 
 
 @query("failed_packages", SUMMARY + """

@@ -9,7 +9,7 @@ from ..operators import select
 from . import pipeline as pl
 from .params import MAX_SIZE, SETTINGS as S
 from .q_more import MEMBER_TEXT, TREE
-from .q_repair import word_list
+from .q_repair import REPAIR_CTES, TOKENS_SQL, word_list
 from .q_text import PYWS, sql_fulltext_url, sql_normalise, sql_normalise_url
 from .registry import query
 
@@ -106,7 +106,27 @@ def apply_outcome(c):
     return pl.process_packages(c, _selection(c), S, do_clean=False)
 
 
-@query("process_packages")
+def _process_sql() -> str:
+    """The outcome, the repair over its cleanable texts, the write-back."""
+    repair = "".join(f",\n{name} AS ({sql})" for name, sql in (REPAIR_CTES | {"raw_tokens": TOKENS_SQL.replace(
+        "SELECT doc_id, replace(text, 'er', 'e r') AS text FROM documents", "SELECT doc_id, text FROM todo")}).items())
+    return _outcome_sql(SEL_RETRY) + f""",
+src AS (SELECT package_id, arg_min(source_title, (guid, source_title)) AS source_title
+        FROM harvest WHERE current GROUP BY package_id),
+todo AS (
+  SELECT u.resource_id AS doc_id, u.text FROM outcome u JOIN resource r ON r.resource_id = u.resource_id
+  JOIN src s ON s.package_id = r.package_id
+  WHERE s.source_title IN ('source1', 'source2') AND u.text NOT IN ('NOT_AVAILABLE', 'UNPROCESSED_FULLTEXT', 'ERROR_FULLTEXT')
+    AND (ends_with(lower(r.url), 'rar') OR ends_with(lower(r.url), 'zip') OR ends_with(lower(r.url), 'pdf'))){repair},
+tcl AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text_clear FROM kept GROUP BY doc_id),
+cleaned AS (
+  SELECT u.resource_id, u.package_id, u.text,
+    CASE WHEN u.text = 'NOT_AVAILABLE' THEN '' WHEN t.doc_id IS NOT NULL THEN coalesce(k.text_clear, '') END AS text_clear
+  FROM outcome u LEFT JOIN todo t ON t.doc_id = u.resource_id LEFT JOIN tcl k ON k.doc_id = u.resource_id),
+""" + APPLY_SQL.replace("keep AS", "winner AS").replace("FROM keep k", "FROM winner k").replace("outcome", "cleaned")
+
+
+@query("process_packages", _process_sql())
 def process_packages(c):
     """B1 with cleaning on: outcome, repair of eligible texts, write-back."""
     import dataclasses

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import repair as rp
-from ..sources.dictionary import words_from_texts
+from ..session import scratch_path
+from ..sources.dictionary import load_word_files, words_from_texts
 from ..schema import WORD_STRIP
 from .params import SETTINGS as S
 from .registry import query
@@ -41,6 +42,20 @@ def dictionary(c):
     return word_list(c)
 
 
+@query("word_files", f"""
+SELECT DISTINCT lower(trim(w, {Q(tx.PY_SPACES)})) AS word
+FROM (SELECT unnest(regexp_split_to_array(text, '[ \\n\\r]')) AS w FROM benchmark) x
+WHERE trim(w, {Q(tx.PY_SPACES)}) <> ''""")
+def word_files(c):
+    """S3: word lists from line files, one word a line (here: two files, with
+    white space around the words)."""
+    words = c.raw("benchmark").select(F.explode(F.split("text", "[ \n\r]")).alias("w"))
+    paths = [scratch_path(c.spark, "words") for _ in range(2)]
+    for i, path in enumerate(paths):
+        words.where(F.pmod(F.hash("w"), F.lit(2)) == i).select(F.concat(F.lit("\t "), "w", F.lit(" \u00a0"))).write.text(path)
+    return load_word_files(c.spark, paths)
+
+
 WORDS_RE2 = f"list_filter(list_transform(string_split(text, ' '), lambda w: trim(w, {Q(WORD_STRIP)})), lambda w: w <> '')"
 TOKENS_SQL = f"""
 SELECT doc_id, i - 1 AS pos, arr[i] AS word FROM (
