@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship, written
+
 #: White space of every word rule here: space, tab, LF, VT, FF, CR.  Python's
 #: ``bytes.split()`` separates on exactly these six bytes.
 SPACES = " \t\n\x0b\x0c\r"
@@ -21,52 +17,21 @@ GAP = r"[\x20\x09-\x0D]+"
 #: megabytes, so the engine's 10,000 rows would be too much for one worker.
 ARROW_ROWS = 1000
 
-_shipped: set[str] = set()
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make the package importable on the workers and keep Arrow batches
     small.  Safe to call any number of times."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        root = Path(__file__).resolve().parents[1]
-        out = os.path.join(tempfile.mkdtemp(prefix="doctext-ship-"), "doctext.zip")
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, str(Path(root.name) / p.relative_to(root)))
-        sc.addPyFile(out)
-        _shipped.add(sc.applicationId)
+    ship(spark)
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only a local master may go without the setting: then one private folder
-    per application is made, as in tests.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    d = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if d.isDefined():
-        return d.get()
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="doctext-shared-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage
     ends there, and a lost executor costs a file read instead of a recompute.
     The folder's retention rule removes the tables, as it does checkpoints."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)
 
 
 def hide(df: DataFrame, *names: str) -> DataFrame:
