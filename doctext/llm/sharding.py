@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Rows of one block (first permutation) and of one slot range (second one).
-BLOCK_ROWS = 4096
+#: Rows of one block (first permutation) and of one slot range (second one),
+#: up to so many blocks; beyond that blocks grow, which the driver's matrix does not.
+BLOCK_ROWS, MAX_BLOCKS = 4096, 1 << 16
 
 
 def shard_sizes(total: int, shards: int) -> np.ndarray:
@@ -49,11 +50,11 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 11,
     """``rows`` plus ``shard`` (0 to shards-1) and ``slot`` (gapless from 0).
 
     ``rows`` is read three times, so hand in a narrow written table.  The
-    driver holds one count per block: eight bytes for ``block_rows`` rows.
+    driver holds one count per block and shard, for 65,536 blocks at most.
     """
     spark, cols = rows.sparkSession, rows.columns
     total = rows.count()
-    blocks = max(1, -(-total // block_rows))
+    blocks = min(MAX_BLOCKS, max(1, -(-total // block_rows)))
     keyed = rows.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"))
     # Equal rows are numbered, or one hash would send them all the same way.
     same = F.row_number().over(W.partitionBy("h0").orderBy("r"))
@@ -73,7 +74,7 @@ def uniform_shards(rows: DataFrame, shards: int = 8, seed: int = 11,
              .withColumn("shard", F.size(F.filter("ends", lambda e: e < F.col("rank"))).cast("int")))
     dealt = cut(dealt.select("r", "h", "b", "shard"), "dealt")
     # Second permutation, inside the shard: a random slot range, then a random order in it.
-    ranges = max(1, -(-total // (shards * block_rows)))
+    ranges = min(MAX_BLOCKS, max(1, -(-total // (shards * block_rows))))
     dealt = dealt.withColumn("o", F.xxhash64("h", "b", F.lit("slot")))
     dealt = dealt.withColumn("q", F.pmod(F.xxhash64("o", F.lit(seed)), F.lit(ranges)).cast("int"))
     # `shards * ranges` rows: eight bytes for every few thousand rows of input.
