@@ -94,12 +94,19 @@ def order_cols():
     return [F.col("score").desc(), F.col("metadata_modified").desc(), F.col("package_id")]
 
 
-def page(ranked_df: DataFrame, start: int, rows: int) -> DataFrame:
-    """Q6: one page of the ranked list.  ``orderBy().limit(start+rows)`` is
+def everything(packages: DataFrame) -> DataFrame:
+    """Q3 without terms: every package matches, none scores."""
+    return packages.select("package_id", "metadata_modified", F.lit(0).cast("long").alias("matched_terms"),
+                           F.lit(0.0).alias("score"))
+
+
+def page(ranked_df: DataFrame, start: int, rows: int, sort: list[Column] | None = None) -> DataFrame:
+    """Q6: one page of the ranked list, in the default order or by ``sort``.  ``orderBy().limit(start+rows)`` is
     a top-k (per-task heaps, one small merge), never a full sort; the rank
     is then numbered over at most start+rows rows."""
-    top = ranked_df.orderBy(*order_cols()).limit(start + rows)
-    w = Window.orderBy(*order_cols())
+    order = sort or order_cols()
+    top = ranked_df.orderBy(*order).limit(start + rows)
+    w = Window.orderBy(*order)
     return top.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") > start)
 
 

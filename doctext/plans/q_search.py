@@ -149,3 +149,30 @@ def facets_limited(c):
 def facets_frequent(c):
     """Every value of at least three packages, without a limit."""
     return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 3, -1)
+
+
+@query("search_default", f"""
+SELECT package_id, rank FROM (
+  SELECT package_id, row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank
+  FROM package WHERE type <> 'harvest') x WHERE rank > {START} AND rank <= {START + ROWS}""")
+def search_default(c):
+    """A search without terms: all packages, newest first."""
+    hits = sr.everything(c.package.filter(F.col("type") != "harvest"))
+    return sr.page(hits, START, ROWS).select("package_id", "rank")
+
+
+@query("search_sorted", f"""
+SELECT x.rank, x.package_id, x.title, r.resource_id AS id FROM (
+  SELECT s.package_id, p.title, row_number() OVER (ORDER BY p.title, s.package_id) AS rank
+  FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s JOIN package p ON p.package_id = s.package_id) x
+JOIN resource r ON r.package_id = x.package_id WHERE x.rank <= {ROWS}""", CTES)
+def search_sorted(c):
+    """Search with an order of the caller's, answered as package views with
+    their resources (the page is cut before views are built)."""
+    hits = _ranked(c).join(c.package.select("package_id", "title"), "package_id")
+    top = sr.page(hits, 0, ROWS, [F.col("title"), F.col("package_id")])
+    views = assemble.nest_resources(c.package.select("package_id"), c.resource)
+    return (views.join(F.broadcast(top.select("package_id", "title", "rank")), "package_id")
+            .filter(F.col("resources").isNotNull())
+            .select("rank", "package_id", "title", F.explode("resources").alias("r"))
+            .select("rank", "package_id", "title", F.col("r.id").alias("id")))

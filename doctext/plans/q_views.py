@@ -10,7 +10,7 @@ from ..functions import urls as U
 from ..operators import assemble, state
 from ..operators import visibility as V
 from .params import SETTINGS as S
-from .q_state import J1_SQL, DEDUPED_SQL
+from .q_state import DEDUPED_SQL, J1_SQL, MERGE_SQL
 from .registry import query
 
 PAGE_OFFSET, PAGE_LIMIT = 20, 25
@@ -68,6 +68,24 @@ def hide_extras_map(c):
     return p.select("package_id", F.explode("m").alias("key", "value"))
 
 
+@query("hide_extras_list_absent", """
+SELECT package_id, key, value FROM extras WHERE key NOT IN ('owner')""", {"extras": EXTRAS_SQL})
+def hide_extras_list_absent(c):
+    """V3 with a named key that no package has: falls back to the hidden set."""
+    p = packages_with_extras(c).withColumn("extras", V.hide_extras_list("extras", S.hide_extras, "no_such_key"))
+    return explode_extras(p)
+
+
+@query("hide_extras_map_named", """
+SELECT e.package_id, e.key, e.value FROM extras e
+WHERE CASE WHEN e.package_id IN (SELECT package_id FROM extras WHERE key = 'quality') THEN e.key <> 'quality'
+           ELSE e.key NOT IN ('owner') END""", {"extras": EXTRAS_SQL})
+def hide_extras_map_named(c):
+    """V2 with a named key: dropped where it is present, else the hidden set."""
+    p = packages_with_extras(c).withColumn("m", V.hide_extras_map("extras_map", S.hide_extras, "quality"))
+    return p.select("package_id", F.explode("m").alias("key", "value"))
+
+
 @query("extra_value", """
 SELECT p.package_id, e.value AS quality FROM package p
 LEFT JOIN extras e ON e.package_id = p.package_id AND e.key = 'quality'""", {"extras": EXTRAS_SQL})
@@ -136,9 +154,21 @@ def nest_fulltext(c):
                    .select("package_id", "id", "position", "url", "fulltext", "fulltext_clear")
 
 
-@query("package_show_full", FULL_SQL, {"deduped": DEDUPED_SQL})
+MAIN = ("title", "state", "type", "owner")
+MAIN_SQL = "SELECT " + ", ".join(f"p.{m}" for m in MAIN) + ", r.package_id,"
+
+
+def _main_sql(where: str = "") -> str:
+    head, _, tail = FULL_SQL.rpartition("SELECT r.package_id,")
+    return head + MAIN_SQL + tail + where
+
+
+@query("package_show_full", _main_sql(), {"deduped": DEDUPED_SQL})
 def package_show_full(c):
-    return nest_fulltext(c)
+    """Q8 full view: every main field, resources with their texts."""
+    p = show_full(c).filter(F.col("resources").isNotNull())
+    return assemble.explode_resources(p, (*MAIN, "package_id")) \
+                   .select(*MAIN, "package_id", "id", "position", "url", "fulltext", "fulltext_clear")
 
 
 @query("strip_fulltext", """
@@ -206,9 +236,73 @@ def lift_fulltext(c):
     """Q12: texts sent inside the resources of a create/update are lifted
     out by position ('' when absent), blank ones become NOT_AVAILABLE, and
     the resources are stored without them."""
-    nested = c.incoming.groupBy("package_id").agg(F.array_sort(F.collect_list(F.struct(
-        "position", F.col("resource_id").alias("id"), F.col("text").alias("fulltext")))).alias("resources"))
-    lifted = nested.select("package_id", F.explode("resources").alias("r")).select(
+    sent = c.incoming.select("package_id", F.struct(
+        "position", F.col("resource_id").alias("id"), F.col("text").alias("fulltext")).alias("r"))
+    lifted = sent.select(
         "package_id", F.col("r.id").alias("resource_id"), "r.position",
         state.empty_to_unavailable(F.coalesce("r.fulltext", F.lit(""))).alias("text"))
     return lifted
+
+
+@query("package_show_map_full", "SELECT package_id, key, value FROM extras", {"extras": EXTRAS_SQL})
+def package_show_map_full(c):
+    """Q9 full map view: every extra, for readers with rights."""
+    return packages_with_extras(c).select("package_id", F.explode("extras_map").alias("key", "value"))
+
+
+OWNER_LIMIT = 75
+
+
+@query("user_packages_reduced", f"""
+SELECT p.package_id, p.name, r.resource_id AS id,
+  replace(replace(r.url, 'https://', 'http://'), 'http://{S.https_host}', 'https://{S.https_host}') AS url, e.key, e.value
+FROM package p JOIN resource r ON r.package_id = p.package_id
+JOIN extras e ON e.package_id = p.package_id AND e.key NOT IN ('owner') WHERE p.owner < {OWNER_LIMIT}""", {"extras": EXTRAS_SQL})
+def user_packages_reduced(c):
+    """Q10, some users only, for readers without rights: no texts, no hidden
+    extras, portal URLs moved to https."""
+    p = show_reduced(c).filter(F.col("resources").isNotNull() & (F.col("owner") < OWNER_LIMIT))
+    return (p.select("package_id", "name", "resources", F.explode("extras").alias("e"))
+            .select("package_id", "name", "e", F.explode("resources").alias("r"))
+            .select("package_id", "name", "r.id", "r.url", "e.key", "e.value"))
+
+
+PAGE, PAGE_SIZE = 3, 10
+
+
+@query("package_list_views", f"""
+SELECT x.rank, p.package_id, p.name, p.title, r.resource_id AS id,
+  replace(replace(r.url, 'https://', 'http://'), 'http://{S.https_host}', 'https://{S.https_host}') AS url
+FROM (SELECT package_id, row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank FROM package) x
+JOIN package p ON p.package_id = x.package_id JOIN resource r ON r.package_id = p.package_id
+WHERE x.rank > {(PAGE - 1) * PAGE_SIZE} AND x.rank <= {PAGE * PAGE_SIZE}""")
+def package_list_views(c):
+    """Q11 by page number, with the reduced view of each listed package: the
+    page is cut first (a top-k), so views are built for its packages only."""
+    order = [F.col("metadata_modified").desc(), F.col("package_id")]
+    top = c.package.orderBy(*order).limit(PAGE * PAGE_SIZE)
+    listed = top.select("package_id", F.row_number().over(Window.orderBy(*order)).alias("rank")) \
+                .filter(F.col("rank") > (PAGE - 1) * PAGE_SIZE)
+    p = show_reduced(c).join(F.broadcast(listed), "package_id").filter(F.col("resources").isNotNull())
+    return p.select("rank", "package_id", "name", "title", F.explode("resources").alias("r")) \
+            .select("rank", "package_id", "name", "title", "r.id", "r.url")
+
+
+@query("package_update", f"""
+WITH m AS ({MERGE_SQL})
+SELECT m.package_id, p.name, m.resource_id, i.position, m.text FROM m
+JOIN package p ON p.package_id = m.package_id
+JOIN incoming i ON i.package_id = m.package_id AND i.resource_id = m.resource_id
+WHERE m.action IN ('update', 'insert')""")
+def package_update(c):
+    """Q12: an update with texts inside its resources: the texts are lifted
+    out and merged into the table, and the answer is the updated packages'
+    view with the texts as stored."""
+    sent = c.incoming.select("package_id", F.struct(
+        "position", F.col("resource_id").alias("id"), F.col("text").alias("fulltext")).alias("r"))
+    lifted = sent.select("package_id", F.col("r.id").alias("resource_id"), "r.position",
+                         F.coalesce("r.fulltext", F.lit("")).alias("text"))
+    stored = state.merge_actions(c.fulltext, lifted, c.package).filter(F.col("action").isin("update", "insert"))
+    return (stored.join(c.package.select("package_id", "name"), "package_id")
+            .join(lifted.select("package_id", "resource_id", "position"), ["package_id", "resource_id"])
+            .select("package_id", "name", "resource_id", "position", "text"))
