@@ -98,8 +98,8 @@ def index_documents(packages: DataFrame, resources: DataFrame, ft: DataFrame,
                     settings: Settings) -> DataFrame:
     """Q1: the search-index document of every non-harvest package:
     ``res_fulltext`` / ``res_fulltext_clear`` in resource order, the
-    resources (without text fields) as JSON ``data_dict``, and the old
-    catch-all fields set to ''."""
+    whole package without text fields as JSON ``data_dict`` and
+    ``validated_data_dict``, and the old catch-all fields set to ''."""
     pk = packages.filter(F.col("type") != "harvest")
     texts = assemble.attach_fulltext(resources, ft, settings.resource_format_blacklist,
                                      settings.read_limit, settings.package_blacklist)
@@ -107,9 +107,18 @@ def index_documents(packages: DataFrame, resources: DataFrame, ft: DataFrame,
         F.array_sort(F.collect_list(F.struct("position", "text", "text_clear"))).alias("_t"))
     nested = assemble.strip_fulltext(assemble.nest_resources(pk, resources))
     doc = nested.join(agg, "package_id", "left")
+    main = F.struct(F.col("package_id").alias("id"), "name", "title", "state", "type", "owner", "resources")
+    # The validated form also says how many resources there are.
+    valid = F.struct(F.col("package_id").alias("id"), "name", "title", "state", "type", "owner",
+                     F.coalesce(F.size("resources"), F.lit(0)).alias("num_resources"), "resources")
     return doc.select(
         "package_id", "name", "title", "state", "type",
         F.transform("_t", lambda x: x["text"]).alias("res_fulltext"),
         F.transform("_t", lambda x: F.coalesce(x["text_clear"], F.lit(""))).alias("res_fulltext_clear"),
-        F.to_json(F.struct(F.col("package_id").alias("id"), "name", "resources")).alias("data_dict"),
+        F.to_json(main).alias("data_dict"), F.to_json(valid).alias("validated_data_dict"),
         F.lit("").alias("fulltext"), F.lit("").alias("fulltext_clear"))
+
+
+def write_index(docs: DataFrame, path: str) -> None:
+    """Q1's last step: the index documents written out, one JSON line each."""
+    docs.write.mode("overwrite").json(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sql_quote
 from ..operators import select
+from ..session import scratch_path
 from . import pipeline as pl
 from .params import MAX_SIZE, SETTINGS as S
 from .q_more import MEMBER_TEXT, TREE
@@ -162,3 +163,28 @@ def index_document(c):
     return docs.select("package_id", F.posexplode(F.arrays_zip(
         F.col("res_fulltext").alias("text"), F.col("res_fulltext_clear").alias("text_clear"))).alias("position", "x")) \
         .select("package_id", F.col("position").cast("bigint").alias("position"), "x.text", "x.text_clear")
+
+
+DICT_TYPE = ("struct<id:string,name:string,title:string,state:string,type:string,owner:bigint,num_resources:int,"
+             "resources:array<struct<id:string,position:bigint,url:string,fulltext:string>>>")
+
+
+@query("index_data_dict", """
+SELECT p.package_id, d.kind, p.name, p.title, p.state, p.type, p.owner, r.resource_id AS id, r.position, r.url,
+  CAST(NULL AS VARCHAR) AS fulltext,
+  CASE WHEN d.kind = 'validated' THEN (SELECT count(*) FROM resource x WHERE x.package_id = p.package_id) END AS num_resources
+FROM package p JOIN resource r ON r.package_id = p.package_id, (VALUES ('data'), ('validated')) d(kind)
+WHERE p.type <> 'harvest'""")
+def index_data_dict(c):
+    """Q1: both JSON dictionaries, written out with the index documents and
+    parsed back: whole packages, their resources without any text."""
+    path = scratch_path(c.spark, "index")
+    pl.write_index(pl.index_documents(c.package, c.resource, c.fulltext, S), path)
+    docs = c.spark.read.schema("package_id string, data_dict string, validated_data_dict string").json(path)
+    both = docs.select("package_id", F.explode(F.create_map(
+        F.lit("data"), F.col("data_dict"), F.lit("validated"), F.col("validated_data_dict"))).alias("kind", "json"))
+    d = both.select("package_id", "kind", F.from_json("json", DICT_TYPE).alias("d"))
+    return d.select("package_id", "kind", "d.name", "d.title", "d.state", "d.type", "d.owner",
+                    F.col("d.num_resources").cast("long").alias("num_resources"), F.explode("d.resources").alias("r")) \
+            .select("package_id", "kind", "name", "title", "state", "type", "owner", "num_resources",
+                    "r.id", "r.position", "r.url", "r.fulltext")
