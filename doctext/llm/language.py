@@ -15,7 +15,7 @@ rounds over all words settle the totals first.  Scores use predictive
 probabilities averaged over several sweeps.  Beyond ``EXACT`` customers of a
 dish, tables are drawn in doubling steps at the step's mean rate.
 
-Flow.  A block is a split of the input.  Each block hands its words (hash and
+Flow.  A block is a run of rows of an input file.  Each block hands its words (hash and
 counts by context) to hash buckets of words as packed arrays;
 a bucket merges what all blocks know about its words, and after sampling
 sends every block the counts and probabilities of the words it asked for;
@@ -49,8 +49,8 @@ CONTEXTS, SHORT = 16, 4
 LEAF, ROOT = (0.8, 1.0), (0.75, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
 EXACT = 64
-#: Bytes of text for one bucket of words, and of input for one block.
-BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 16 << 20
+#: Bytes of text for one bucket of words, and (on average) for one block.
+BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
 END = 0
 
 ENTRY = np.dtype([("w", "<i8"), ("ctx", "u1"), ("n", "<i8")])
@@ -346,14 +346,18 @@ def _score(leaders: dict[bytes, int], total: int, distinct: int):
     return run
 
 
-def _blocks(documents: DataFrame) -> DataFrame:
-    """``(block, doc_id, text, held_out)``; a block is a split of a file, so
-    a plain scan is needed (anything else is written first)."""
-    if not documents._jdf.queryExecution().analyzed().getClass().getSimpleName().startswith("LogicalRelation"):
-        documents = cut(documents.select("doc_id", "text"), "documents")
-    most = documents.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    parts = max(1, round(most / BLOCK_BYTES))
-    block = F.hash(F.input_file_name(), F.input_file_block_start(), F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+def _scan(documents: DataFrame) -> DataFrame:
+    """Documents as a plain file scan (anything else is written first)."""
+    if documents._jdf.queryExecution().analyzed().getClass().getSimpleName().startswith("LogicalRelation"):
+        return documents
+    return cut(documents.select("doc_id", "text"), "documents")
+
+
+def _blocks(documents: DataFrame, rows: int) -> DataFrame:
+    """``(block, doc_id, text, held_out)``; a block is a run of ``rows`` rows
+    of a file.  Unlike a split, it does not depend on the cluster's cores, so
+    blocks are the same in every job, also after executors are lost."""
+    block = F.hash(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / rows))
     return documents.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"),
                             F.col("text").cast("string").alias("text"), held_out(F.col("doc_id"), FOLDS).alias("held_out"))
 
@@ -361,13 +365,14 @@ def _blocks(documents: DataFrame) -> DataFrame:
 def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10)."""
-    docs = _blocks(documents)
-    stats = cut(docs.select("text", "held_out").mapInArrow(_statistics, "word binary, n long")
+    source = _scan(documents)
+    stats = cut(source.select("text", held_out(F.col("doc_id"), FOLDS).alias("held_out")).mapInArrow(_statistics, "word binary, n long")
                 .groupBy("word").agg(F.sum("n").alias("n")), "statistics")
     short = stats.where("word is not null").orderBy(F.desc("n"), "word").limit(CONTEXTS).collect()
     leaders = {bytes(r["word"]): i for i, r in enumerate(short)}
     size = stats.where("word is null").agg(F.sum("n")).first()[0] or 0
     buckets, k = max(16, int(size // BUCKET_BYTES)), len(leaders) + 1
+    docs = _blocks(source, max(1, int(BLOCK_BYTES * source.count() // max(size, 1))))
 
     asked = docs.select("block", "held_out", "text").mapInArrow(
         _requests(leaders, buckets), "bucket long, block int, rows binary")
