@@ -83,7 +83,11 @@ def spans(tokens: list[str], compound: np.ndarray, last: np.ndarray, glue: str,
     flag = lambda f: np.fromiter(map(f, tokens), dtype=bool, count=n)
     opens, digit = flag(lambda t: t[:1].isupper()), flag(lambda t: _DIGIT.search(t) is not None)
     no_lower, has_upper = flag(lambda t: t.upper() == t), flag(lambda t: t.lower() != t)
-    addresses = "@" in text or "http" in text or ".de" in text or ".com" in text
+    # Only spans with an @, with http at their start or a site's end at their
+    # end can be addresses; edges say which those are.
+    signs = np.searchsorted([m.start() for m in re.finditer("@", text)], edge)
+    opening = np.isin(edge, [m.start() for m in re.finditer("http", text)])
+    closing = np.isin(edge, [m.end() for m in re.finditer(r"\.de|\.com", text)])
     low = text.lower()
     filtered = rules.bitmap is not None and len(low) == len(text) and "Σ" not in text
     hasher = Hasher(low) if filtered else None
@@ -104,10 +108,8 @@ def spans(tokens: list[str], compound: np.ndarray, last: np.ndarray, glue: str,
         letter[at] |= has_upper[new]
         short = size < rules.shortest
         ended = digit[new] | (~short & ((size >= rules.limit) | (rules.upper_ends & caps[at] & letter[at])))
-        if addresses:
-            rest = np.flatnonzero(~digit[new])
-            ended[rest] |= np.fromiter((_address(text[a:b]) for a, b in zip(edge[at[rest]].tolist(), edge[new[rest] + 1].tolist())),
-                                       dtype=bool, count=len(rest))
+        maybe = np.flatnonzero(~ended & ((signs[new + 1] > signs[at]) | opening[at] | closing[new + 1]))
+        ended[maybe] = [_address(text[a:b]) for a, b in zip(edge[at[maybe]].tolist(), edge[new[maybe] + 1].tolist())]
         skip[at] |= ended | short
         good = ~ended & ~short
         if rules.lengths is not None:
@@ -137,15 +139,21 @@ def _batch(b: pa.RecordBatch, glue: str, rules: Rules):
 
 
 def words_udf(glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
-    """``(key, pos, j, word)`` for every wanted glued word."""
+    """``(key, pos, j, word, compound)`` for every wanted glued word, and for
+    every compound (its own word, j = 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(lo, slice_rows)
-                (start, offset, words, _), doc, pos, _, _ = _batch(b, glue, rules)
+                (start, offset, words, _), doc, pos, tokens, compound = _batch(b, glue, rules)
+                own = np.flatnonzero(compound)
+                words += [tokens[i] for i in own.tolist()]
+                kind = np.repeat([False, True], [len(start), len(own)])
+                start = np.concatenate([start, own])
+                offset = np.concatenate([offset, np.zeros(len(own), dtype=np.int32)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(doc[start])), pa.array(pos[start].astype(np.int32)), pa.array(offset),
-                     pa.array(words, pa.string())], names)
+                     pa.array(words, pa.string()), pa.array(kind)], names)
     return run
 
 

@@ -127,25 +127,27 @@ def _rules(s: Settings, dictionary: DataFrame | None = None) -> Rules:
     return rules
 
 
+def _glued(pre: DataFrame, key: str, s: Settings, dictionary: DataFrame | None = None) -> DataFrame:
+    """(key, pos, j, word, compound): glued words, and the compounds."""
+    ship(pre.sparkSession)
+    names = [key, "pos", "j", "word", "compound"]
+    return pre.select(key, "toks").mapInArrow(
+        words_udf(COMPOUND_GLUE, _rules(s, dictionary), names),
+        f"`{key}` {pre.schema[key].dataType.simpleString()}, pos int, j int, word string, compound boolean")
+
+
 def candidates(pre: DataFrame, key: str, s: Settings) -> DataFrame:
     """M3 as rows: (key, pos, j, word) for every start that is not a compound."""
-    ship(pre.sparkSession)
-    kind = pre.schema[key].dataType.simpleString()
-    return pre.select(key, "toks").mapInArrow(words_udf(COMPOUND_GLUE, _rules(s), [key, "pos", "j", "word"]),
-                                              f"`{key}` {kind}, pos int, j int, word string")
+    return _glued(pre, key, s).where("not compound").drop("compound")
 
 
 def _matches(pre: DataFrame, key: str, dictionary: DataFrame, s: Settings) -> DataFrame:
     """M4: the longest listed word from every start, and every compound."""
-    kind = pre.schema[key].dataType.simpleString()
-    d = dictionary.select(F.col("word").alias("_w")).distinct()
-    near = pre.select(key, "toks").mapInArrow(words_udf(COMPOUND_GLUE, _rules(s, dictionary), [key, "pos", "j", "word"]),
-                                              f"`{key}` {kind}, pos int, j int, word string")
-    hit = near.join(d, F.lower("word") == F.col("_w"), "left_semi")
-    compound = (pre.select(key, F.posexplode("toks").alias("pos", "x")).where("x.c")
-                .select(key, "pos", F.lit(0).alias("j"), F.col("x.t").alias("word")))
+    d = dictionary.select(F.col("word").alias("_w"), F.lit(True).alias("_v")).distinct()
+    near = _glued(pre, key, s, dictionary)
+    hit = near.join(d, F.lower("word") == F.col("_w"), "left").where("_v or compound")
     # The few hits go back to their document once; what follows stays there.
-    return (hit.unionByName(compound).repartition(key).groupBy(key, "pos")
+    return (hit.repartition(key).groupBy(key, "pos")
             .agg(F.max("j").alias("j"), F.max_by("word", "j").alias("word"))
             .select(key, "pos", (F.col("pos") + F.col("j") + 1).cast("int").alias("end"), "word"))
 
