@@ -1,26 +1,29 @@
 """Hierarchical Pitman-Yor language model over words.
 
-Three levels: a restaurant per context, all sharing one parent restaurant of
-words, whose base is uniform over the V words met in training and one unknown
-word (the same V + 1 outcomes that the add-one base score has).  The context of a token is the leading short word so
-far: which of the corpus's ``CONTEXTS`` most frequent short words the
-document has used most before that token (none at its start).
+Three levels: a restaurant for every preceding word (and one for the start of
+a text), all sharing one parent restaurant of words, whose base is uniform
+over the V words met in training and one unknown word (the same V + 1 outcomes
+that the add-one base score has).  The context of a token is the word before
+it, of the end token the last word.
 
 Seating is sampled by Gibbs: each sweep seats the customers of a word anew in
 every context restaurant given the parent's predictive, then the tables they
 opened as customers of the parent, given the totals of all other words.  A
-restaurant's dishes meet only in its totals (tables and customers, a few
-numbers), so words are sampled in parallel and no restaurant is gathered;
-rounds over all words settle the totals first.  Scores use predictive
-probabilities averaged over several sweeps.  Beyond ``EXACT`` customers of a
-dish, tables are drawn in doubling steps at the step's mean rate.
-
-Flow.  A block is a run of rows of an input file.  Each block hands its words (hash and
-counts by context) to hash buckets of words as packed arrays;
-a bucket merges what all blocks know about its words, and after sampling
-sends every block the counts and probabilities of the words it asked for;
-blocks then score their texts.  Words travel once per block and not once per
-token, and nothing but totals and the context words reaches the driver.
+restaurant's dishes meet only in its totals (tables and customers), so words
+are sampled in parallel and no restaurant is gathered; rounds over all words
+settle the totals first.  Scores use predictive probabilities averaged over
+several sweeps.  Beyond ``EXACT`` customers of a dish, tables are drawn in
+doubling steps at the step's mean rate.
+
+Flow.  A block is a run of rows of an input file.  Each block hands its pairs
+(word, context, count) to hash buckets of words as packed arrays; a bucket
+merges what all blocks know about its words.  The totals of the contexts are a
+distributed table: every bucket sends its share of each context's totals to
+hash shards of contexts, which add them and send the sums to the buckets that
+have the context.  After sampling a bucket sends every block the counts and
+probabilities of the pairs it asked for; blocks then score their texts.  Pairs
+travel once per block and not once per token, and nothing but a few sums
+reaches the driver.
 
 Defined results: a null or empty text is its end token alone; repeated rows
 are counted and scored each; a null doc_id is never held out; with nothing to
@@ -44,54 +47,34 @@ from .substring import mix, text_words
 from .tiles import sorted_groups
 
 FOLDS = 7
-CONTEXTS, SHORT = 16, 4
 #: Discount and strength of the context restaurants and of their parent.
 LEAF, ROOT = (0.8, 1.0), (0.75, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
 EXACT = 64
 #: Bytes of text for one bucket of words, and (on average) for one block.
 BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
+#: The end token as a word, the start of a text as a context.
 END = 0
 
-ENTRY = np.dtype([("w", "<i8"), ("ctx", "u1"), ("n", "<i8")])
-ANSWER = np.dtype([("w", "<i8"), ("ctx", "u1"), ("c", "<i8"), ("p", "<f4")])
+#: A pair; in a bucket ``ctx`` is the place of its context among the bucket's.
+PAIR = np.dtype([("w", "<i8"), ("ctx", "<i8"), ("n", "<i8")])
+ENTRY = np.dtype([("w", "<i8"), ("ctx", "<i4"), ("n", "<i8")])
+#: Pairs of a block by word: ``k`` contexts follow each word.
+HEAD, TAIL = np.dtype([("w", "<i8"), ("k", "<i4")]), np.dtype([("ctx", "<i8"), ("n", "<i4")])
+ANSWER, COUNT = np.dtype([("key", "<u8"), ("p", "<f4")]), np.dtype([("w", "<i8"), ("c", "<i8")])
 ASKED = np.dtype([("entry", "<i4"), ("block", "<i4")])
 
 
 # Contexts and words ---------------------------------------------------------
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts ``(word, n)``: short words of training texts, and under
-    the null word the bytes of all words."""
+    """Bytes of all words."""
     for b in batches:
-        short, size = {}, 0
-        for t, out in zip(b.column(0), b.column(1).to_pylist()):
+        size = 0
+        for t in b.column(0):
             words = text_words(t.as_py())
             size += sum(map(len, words)) + len(words)
-            for w in () if out else words:
-                if len(w) <= SHORT:
-                    w = w.lower()
-                    short[w] = short.get(w, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([*short, None], pa.binary()),
-                                          pa.array([*short.values(), size], pa.int64())], ["word", "n"])
-
-
-def contexts(words: list[bytes], leaders: dict[bytes, int]) -> np.ndarray:
-    """Context of each word and of the end: the leader used most before it."""
-    k = len(leaders)
-    ids = np.fromiter((leaders.get(w, k) for w in words), dtype=np.int64, count=len(words))
-    out = np.empty(len(words) + 1, dtype=np.int64)
-    have = np.zeros(k + 1, dtype=np.int64)
-    for lo in range(0, len(words), 1 << 14):
-        part = ids[lo:lo + (1 << 14)]
-        counts = np.zeros((len(part) + 1, k + 1), dtype=np.int64)
-        counts[np.arange(1, len(part) + 1), part] = 1
-        counts = np.cumsum(counts, axis=0) + have
-        have = counts[-1]
-        best = counts[:-1, :k]
-        out[lo:lo + len(part)] = np.where(best.any(axis=1), best.argmax(axis=1), k) if k else 0
-    out[-1] = have[:k].argmax() if k and have[:k].any() else k
-    return out
+        yield pa.RecordBatch.from_arrays([pa.array([size])], ["n"])
 
 
 class Words(dict):
@@ -102,79 +85,112 @@ class Words(dict):
         return h
 
 
-def tokens(text: str | None, leaders: dict[bytes, int], table: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes (the end token last) and their contexts."""
+def tokens(text: str | None, table: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes (the end token last) and the contexts: the word before."""
     words = text_words(text)
     if words:
         words = b"\n".join(words).lower().split(b"\n")
-    h = np.empty(len(words) + 1, dtype=np.uint64)
-    h[:-1] = np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
-    h[-1] = END
-    return h.view(np.int64), contexts(words, leaders)
+    h = np.empty(len(words) + 2, dtype=np.uint64)
+    h[0] = h[-1] = END
+    h[1:-1] = np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = h.view(np.int64)
+    return h[1:], h[:-1]
+
+
+def pair_key(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    return mix(w.view(np.uint64) + mix(ctx.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _runs(rows: np.ndarray) -> np.ndarray:
+    """Where a new (w, ctx) starts in sorted rows."""
+    return np.concatenate(([True], (rows["w"][1:] != rows["w"][:-1]) | (rows["ctx"][1:] != rows["ctx"][:-1])))
 
 
 def _merge(rows: np.ndarray) -> np.ndarray:
     """One row for each (w, ctx), counts added."""
     rows = rows[np.lexsort((rows["ctx"], rows["w"]))]
-    first = np.flatnonzero(np.concatenate(([True], (rows["w"][1:] != rows["w"][:-1]) | (rows["ctx"][1:] != rows["ctx"][:-1]))))
+    first = np.flatnonzero(_runs(rows))
     out = rows[first]
     out["n"] = np.add.reduceat(rows["n"], first)
     return out
 
 
-def _requests(leaders: dict[bytes, int], buckets: int, most: int = 400_000):
-    """``(bucket, block, rows)``: what a block holds and asks for."""
+def _parts(shard: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
+    """``(shard, from, to)`` of the shards that a sorted array has."""
+    each = np.bincount(shard, minlength=shards)
+    ends = np.cumsum(each)
+    for i in np.flatnonzero(each).tolist():
+        yield i, int(ends[i] - each[i]), int(ends[i])
+
+
+def _shard(h: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(h.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+
+
+def _requests(buckets: int, most: int = 2_000_000):
+    """``(bucket, block, heads, tails)``: what a block holds and asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, size, block = Words(), [], 0, None
 
         def out() -> pa.RecordBatch:
             nonlocal table, held, size
             rows = _merge(np.concatenate(held))
-            b = (mix(rows["w"].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            rows = rows[np.argsort(b, kind="stable")]
-            each = np.bincount(b, minlength=buckets)
-            ends = np.cumsum(each)
-            some = np.flatnonzero(each)
-            data = [rows[e - n:e].tobytes() for e, n in zip(ends[some].tolist(), each[some].tolist())]
+            b = _shard(np.ascontiguousarray(rows["w"]), buckets)
+            order = np.argsort(b, kind="stable")
+            rows, b = rows[order], b[order]
+            some, heads, tails = [], [], []
+            for i, lo, hi in _parts(b, buckets):
+                part = rows[lo:hi]
+                starts, _ = words_of(part)
+                head, tail = np.empty(len(starts), dtype=HEAD), np.empty(len(part), dtype=TAIL)
+                head["w"], head["k"] = part["w"][starts], np.diff(np.append(starts, len(part)))
+                tail["ctx"], tail["n"] = part["ctx"], part["n"]
+                some.append(i)
+                heads.append(head.tobytes())
+                tails.append(tail.tobytes())
             table, held, size = Words(), [], 0
-            return pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.full(len(some), block, dtype=np.int32)),
-                                               pa.array(data, pa.binary())], ["bucket", "block", "rows"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int64()), pa.array(np.full(len(some), block, dtype=np.int32)),
+                 pa.array(heads, pa.binary()), pa.array(tails, pa.binary())], ["bucket", "block", "heads", "tails"])
         for b in batches:
             for blk, hold, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if held and (blk != block or len(table) > most):
+                if held and (blk != block or size > most):
                     yield out()
                 block = blk
-                h, ctx = tokens(t.as_py(), leaders, table)
-                r = np.zeros(len(h), dtype=ENTRY)
+                h, ctx = tokens(t.as_py(), table)
+                r = np.empty(len(h), dtype=PAIR)
                 r["w"], r["ctx"], r["n"] = h, ctx, 0 if hold else 1
-                held.append(_merge(r))
-                size += len(held[-1])
-                if size > 2_000_000:
-                    held = [_merge(np.concatenate(held))]
-                    size = len(held[0])
+                held.append(r)
+                size += len(r)
         if held:
             yield out()
     return run
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: merged entries (w, ctx, n) and who asked for each."""
+    """Per bucket: merged entries (w, ctx, n), its contexts and who asked for each entry."""
     for g in sorted_groups(batches):
-        parts = [np.frombuffer(x, dtype=ENTRY) for x in g.column(2).to_pylist()]
-        block = np.repeat(g.column(1).to_numpy(), [len(p) for p in parts])
-        rows = np.concatenate(parts)
+        heads = [np.frombuffer(x, dtype=HEAD) for x in g.column(2).to_pylist()]
+        tails = [np.frombuffer(x, dtype=TAIL) for x in g.column(3).to_pylist()]
+        block = np.repeat(g.column(1).to_numpy(), [len(p) for p in tails])
+        heads, tails = np.concatenate(heads), np.concatenate(tails)
+        rows = np.empty(len(tails), dtype=ENTRY)
+        contexts, at = np.unique(tails["ctx"], return_inverse=True)
+        rows["w"], rows["ctx"], rows["n"] = np.repeat(heads["w"], heads["k"]), at, tails["n"]
+        del heads, tails, at
         order = np.lexsort((rows["ctx"], rows["w"]))
         rows, block = rows[order], block[order]
-        new = np.concatenate(([True], (rows["w"][1:] != rows["w"][:-1]) | (rows["ctx"][1:] != rows["ctx"][:-1])))
+        new = _runs(rows)
         first = np.flatnonzero(new)
-        entries = rows[first].astype(ENTRY)
+        entries = rows[first]
         entries["n"] = np.add.reduceat(rows["n"], first)
         asked = np.empty(len(rows), dtype=ASKED)
         asked["entry"], asked["block"] = np.cumsum(new) - 1, block
         asked = np.unique(asked)
         yield pa.RecordBatch.from_arrays(
             [g.column(0).slice(0, 1).combine_chunks(), pa.array([entries.tobytes()], pa.binary()),
-             pa.array([asked.tobytes()], pa.binary())], ["bucket", "entries", "asked"])
+             pa.array([contexts.tobytes()], pa.binary()), pa.array([asked.tobytes()], pa.binary())],
+            ["bucket", "entries", "contexts", "asked"])
 
 
 # Sampling -------------------------------------------------------------------
@@ -206,12 +222,12 @@ def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random
 class Totals:
     """Customers and tables of every context restaurant and of the parent."""
 
-    def __init__(self, customers: np.ndarray, tables: np.ndarray, root_tables: float, distinct: float):
+    def __init__(self, customers: np.ndarray, tables: np.ndarray, root_tables: float, distinct: float,
+                 root_customers: float | None = None):
+        """In a bucket the arrays hold its own contexts; ``root_customers``
+        are the tables of all contexts."""
         self.customers, self.tables, self.root_tables, self.distinct = customers, tables, root_tables, distinct
-
-    @property
-    def root_customers(self) -> float:
-        return float(self.tables.sum())
+        self.root_customers = float(tables.sum()) if root_customers is None else root_customers
 
     def open_leaf(self) -> np.ndarray:
         d, s = LEAF
@@ -228,9 +244,10 @@ def words_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(entries))))
 
 
-def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
-    """Gibbs sweeps over the words of a bucket, sorted by word and context:
-    mean tables of every entry and, in the parent, of every word."""
+def sweeps(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
+    """Gibbs sweeps over the words of a bucket, sorted by word and context.
+    After ``burn`` of them yields the tables of every entry and, in the
+    parent, of every word."""
     starts, word = words_of(entries)
     n, base = entries["n"], 1.0 / (totals.distinct + 1.0)
     (d2, s2), (d1, s1) = LEAF, ROOT
@@ -239,7 +256,6 @@ def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn:
     tables = np.minimum(n, 1).astype(float)
     below = np.add.reduceat(tables, starts)
     root = np.minimum(below, 1.0)
-    mean, mean_root = np.zeros(len(entries)), np.zeros(len(starts))
     for sweep in range(burn + samples):
         # A context's tables, given the parent without what they put there.
         rest = below[word] - tables
@@ -249,9 +265,13 @@ def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn:
         below = np.add.reduceat(tables, starts)
         root = seat(below.astype(np.int64), np.full(len(starts), (s1 + d1 * totals.root_tables) * base), d1, rng)
         if sweep >= burn:
-            mean += tables
-            mean_root += root
-    return mean / samples, mean_root / samples
+            yield tables, root
+
+
+def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
+    """Mean tables of the kept sweeps."""
+    tables, roots = zip(*sweeps(entries, totals, rng, burn, samples))
+    return sum(tables) / samples, sum(roots) / samples
 
 
 def predictive(entries: np.ndarray, tables: np.ndarray, root: np.ndarray, totals: Totals) -> np.ndarray:
@@ -266,78 +286,159 @@ def predictive(entries: np.ndarray, tables: np.ndarray, root: np.ndarray, totals
     return own + totals.open_leaf()[entries["ctx"]] * parent[word]
 
 
-def _sums(k: int):
-    """Customers and distinct words of a bucket before any seating."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x in b.column(1):
-                e = np.frombuffer(x.as_buffer(), dtype=ENTRY)
-                e = e[e["n"] > 0]
-                yield _numbers([np.bincount(e["ctx"], weights=e["n"], minlength=k),
-                                np.bincount(e["ctx"], minlength=k), [len(np.unique(e["w"]))]])
-    return run
+# Totals ---------------------------------------------------------------------
+
+SENT = "shard long, bucket long, contexts binary, v binary, i int, x double"
+
 
+def _numbers(values) -> pa.RecordBatch:
+    """Sums for the driver: rows of SENT without a shard."""
+    x = np.asarray(values, dtype=float)
+    n = len(x)
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+         pa.array(np.arange(n).astype(np.int32)), pa.array(x)], ["shard", "bucket", "contexts", "v", "i", "x"])
 
-def _numbers(parts) -> pa.RecordBatch:
-    v = np.concatenate([np.asarray(p, dtype=float) for p in parts])
-    return pa.RecordBatch.from_arrays([pa.array(np.arange(len(v)).astype(np.int32)), pa.array(v)], ["i", "v"])
+
+def _send(bucket: int, contexts: np.ndarray, v: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A bucket's share of its contexts' totals, ``v[context, total]``, to the shards of contexts."""
+    b = _shard(contexts, shards)
+    order = np.argsort(b, kind="stable")
+    contexts, v, b = contexts[order], v[order], b[order]
+    parts = list(_parts(b, shards))
+    n = len(parts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _, _ in parts], pa.int64()), pa.array([bucket] * n, pa.int64()),
+         pa.array([contexts[lo:hi].tobytes() for _, lo, hi in parts], pa.binary()),
+         pa.array([v[lo:hi].tobytes() for _, lo, hi in parts], pa.binary()),
+         pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64())], ["shard", "bucket", "contexts", "v", "i", "x"])
 
 
 def _add(df: DataFrame, size: int) -> np.ndarray:
     out = np.zeros(size)
-    for i, v in df.groupBy("i").agg(F.sum("v")).collect():  # `size` numbers, whatever the input
+    for i, v in df.where("i is not null").groupBy("i").agg(F.sum("x")).collect():  # `size` numbers, whatever the input
         out[i] = v
     return out
 
 
-def _sweep(totals: Totals, seed: int, samples: int):
-    """Sums of the mean tables: of every context, and of the parent."""
-    k = len(totals.customers)
-
+def _sum_up(width: int):
+    """Per shard of contexts: the shares added, and back to each bucket that sent one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for bucket, x in zip(b.column(0).to_pylist(), b.column(1)):
-                e = np.frombuffer(x.as_buffer(), dtype=ENTRY)
-                tables, root = sample(e, totals, np.random.default_rng([seed, bucket]), BURN, samples)
-                yield _numbers([np.bincount(e["ctx"], weights=tables, minlength=k), [root.sum()]])
+        for g in sorted_groups(batches):
+            sent = g.column(2).to_pylist()
+            sizes = [len(x) // 8 for x in sent]
+            contexts, at = np.unique(np.frombuffer(b"".join(sent), dtype=np.int64), return_inverse=True)
+            v = np.frombuffer(b"".join(g.column(3).to_pylist()), dtype=float).reshape(-1, width)
+            total = np.stack([np.bincount(at, weights=v[:, j], minlength=len(contexts)) for j in range(width)], axis=1)[at]
+            ends = np.cumsum(sizes)
+            back = [total[e - n:e].tobytes() for n, e in zip(sizes, ends.tolist())]
+            yield pa.RecordBatch.from_arrays([g.column(1).combine_chunks(), g.column(2).combine_chunks(),
+                                              pa.array(back, pa.binary())], ["bucket", "contexts", "v"])
     return run
 
 
-def _answers(before: Totals, totals: Totals, seed: int):
-    """``(block, rows)``: count and log probability of what each block asked.
-    Sampling from ``before`` with this seed gave ``totals``."""
+def _returned(sent: DataFrame, width: int) -> DataFrame:
+    """``(bucket, contexts, v)``: totals of all buckets for each bucket's contexts."""
+    return (sent.where("shard is not null").select("shard", "bucket", "contexts", "v")
+            .repartition("shard").sortWithinPartitions("shard")
+            .mapInArrow(_sum_up(width), "bucket long, contexts binary, v binary"))
+
+
+def _totals_of(contexts: np.ndarray, back: pa.Table, width: int) -> np.ndarray:
+    """The totals that came back, in the order of a bucket's sorted contexts."""
+    got = np.frombuffer(b"".join(back["contexts"].to_pylist()), dtype=np.int64)
+    v = np.frombuffer(b"".join(back["v"].to_pylist()), dtype=float).reshape(-1, width)
+    order = np.argsort(got)
+    assert np.array_equal(got[order], contexts)
+    return v[order]
+
+
+def _first(shards: int):
+    """Before any seating: customers of every context, and its distinct words as tables."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket, x, y in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                e = np.frombuffer(x.as_buffer(), dtype=ENTRY)
-                asked = np.frombuffer(y.as_buffer(), dtype=ASKED)
-                tables, root = sample(e, before, np.random.default_rng([seed, bucket]), BURN, SAMPLES)
-                p = predictive(e, tables, root, totals)
-                starts, word = words_of(e)
-                asked = asked[np.argsort(asked["block"], kind="stable")]
-                at = asked["entry"]
-                rows = np.empty(len(at), dtype=ANSWER)
-                rows["w"], rows["ctx"] = e["w"][at], e["ctx"][at]
-                rows["c"] = np.add.reduceat(e["n"], starts)[word][at]
-                rows["p"] = np.log10(p[at])
-                blocks, first = np.unique(asked["block"], return_index=True)
-                data = [part.tobytes() for part in np.split(rows, first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(data, pa.binary())], ["block", "rows"])
+                e, contexts = np.frombuffer(x.as_buffer(), dtype=ENTRY), np.frombuffer(y.as_buffer(), dtype=np.int64)
+                e = e[e["n"] > 0]
+                k = len(contexts)
+                v = np.stack([np.bincount(e["ctx"], weights=e["n"], minlength=k),
+                              np.bincount(e["ctx"], minlength=k).astype(float)], axis=1)
+                yield _send(bucket, contexts, v, shards)
+                yield _numbers([e["n"].sum(), len(e), len(np.unique(e["w"]))])
+    return run
+
+
+def _bucket(words: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
+    return (words["bucket"][0].as_py(), np.frombuffer(words["entries"][0].as_buffer(), dtype=ENTRY),
+            np.frombuffer(words["contexts"][0].as_buffer(), dtype=np.int64))
+
+
+def _sweep(root: tuple[float, float, float], seed: int, samples: int, shards: int):
+    """A round: seats anew from the totals that came back (customers and
+    tables) and sends customers (once more, in one bucket's share as they are
+    there) and the tables of every kept sweep."""
+    def run(words: pa.Table, back: pa.Table) -> pa.Table:
+        bucket, e, contexts = _bucket(words)
+        v = _totals_of(contexts, back, 2)
+        before = Totals(v[:, 0], v[:, 1], root[1], root[2], root[0])
+        k = len(contexts)
+        own = np.bincount(e["ctx"], weights=e["n"], minlength=k)
+        tables, roots = zip(*sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, samples))
+        v = np.stack([own, *[np.bincount(e["ctx"], weights=t, minlength=k) for t in tables]], axis=1)
+        numbers = [x for t, r in zip(tables, roots) for x in (t.sum(), r.sum())]
+        return pa.Table.from_batches([_send(bucket, contexts, v, shards), _numbers(numbers)])
+    return run
+
+
+def _answers(root: tuple[float, float, float], after: list[tuple[float, float]], seed: int):
+    """``(block, pairs, counts)``: log probability and count of what each block
+    asked.  ``back`` has the totals that the last round sampled from, and those
+    that its sweeps gave; the predictives of the sweeps are averaged."""
+    def run(words: pa.Table, back: pa.Table) -> pa.Table:
+        bucket, e, contexts = _bucket(words)
+        first = back["last"].to_numpy()
+        v = _totals_of(contexts, back.filter(pa.array(~first)), 2)
+        kept = _totals_of(contexts, back.filter(pa.array(first)), 1 + len(after))
+        before = Totals(v[:, 0], v[:, 1], root[1], root[2], root[0])
+        p = np.zeros(len(e))
+        for i, (tables, seated) in enumerate(sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, len(after))):
+            p += predictive(e, tables, seated, Totals(v[:, 0], kept[:, 1 + i], after[i][1], root[2], after[i][0]))
+        p = np.log10(p / len(after))
+        starts, word = words_of(e)
+        key = pair_key(np.ascontiguousarray(e["w"]), contexts[e["ctx"]])
+        count = np.add.reduceat(e["n"], starts)
+        asked = np.frombuffer(words["asked"][0].as_buffer(), dtype=ASKED)
+        asked = asked[np.argsort(asked["block"], kind="stable")]
+        blocks, at = np.unique(asked["block"], return_index=True)
+        pairs, counts = [], []
+        for lo, hi in zip(at, np.append(at[1:], len(asked))):
+            i = asked["entry"][lo:hi]
+            rows = np.empty(len(i), dtype=ANSWER)
+            rows["key"], rows["p"] = key[i], p[i]
+            j = np.unique(word[i])
+            known = np.empty(len(j), dtype=COUNT)
+            known["w"], known["c"] = e["w"][starts[j]], count[j]
+            pairs.append(rows.tobytes())
+            counts.append(known.tobytes())
+        return pa.table([pa.array(blocks.astype(np.int32)), pa.array(pairs, pa.binary()), pa.array(counts, pa.binary())],
+                        names=["block", "pairs", "counts"])
     return run
 
 
-def _score(leaders: dict[bytes, int], total: int, distinct: int):
+def _score(total: int, distinct: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = np.concatenate([np.frombuffer(x.as_buffer(), dtype=ANSWER) for c in answers["rows"].chunks for x in c])
-        key = mix(rows["w"].view(np.uint64) + rows["ctx"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        key, first = np.unique(key, return_index=True)
-        count, p = rows["c"][first], rows["p"][first].astype(float)
+        rows = np.frombuffer(b"".join(answers["pairs"].to_pylist()), dtype=ANSWER)
+        rows = rows[np.argsort(rows["key"])]
+        key, p = np.ascontiguousarray(rows["key"]), rows["p"].astype(float)
+        rows = np.frombuffer(b"".join(answers["counts"].to_pylist()), dtype=COUNT)
+        rows = rows[np.argsort(rows["w"])]
+        known, count = np.ascontiguousarray(rows["w"]), np.ascontiguousarray(rows["c"])
         base = np.log10(count + 1.0) - np.log10(total + distinct + 1.0)
         table, out = Words(), []
         for t in (x for c in docs["text"].chunks for x in c):
-            h, ctx = tokens(t.as_py(), leaders, table)
-            at = np.searchsorted(key, mix(h.view(np.uint64) + ctx.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            out.append((len(h), int((count[at] > 0).sum()), float(base[at].sum()), float(p[at].sum())))
+            h, ctx = tokens(t.as_py(), table)
+            at, word = np.searchsorted(key, pair_key(h, ctx)), np.searchsorted(known, h)
+            out.append((len(h), int((count[word] > 0).sum()), float(base[word].sum()), float(p[at].sum())))
         cols = list(zip(*out)) if out else ([], [], [], [])
         n = len(out)
         return pa.table([docs["doc_id"], docs["held_out"], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
@@ -366,28 +467,29 @@ def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10)."""
     source = _scan(documents)
-    stats = cut(source.select("text", held_out(F.col("doc_id"), FOLDS).alias("held_out")).mapInArrow(_statistics, "word binary, n long")
-                .groupBy("word").agg(F.sum("n").alias("n")), "statistics")
-    short = stats.where("word is not null").orderBy(F.desc("n"), "word").limit(CONTEXTS).collect()
-    leaders = {bytes(r["word"]): i for i, r in enumerate(short)}
-    size = stats.where("word is null").agg(F.sum("n")).first()[0] or 0
-    buckets, k = max(16, int(size // BUCKET_BYTES)), len(leaders) + 1
+    size = source.select("text").mapInArrow(_statistics, "n long").agg(F.sum("n")).first()[0] or 0
+    buckets = max(16, int(size // BUCKET_BYTES))
     docs = _blocks(source, max(1, int(BLOCK_BYTES * source.count() // max(size, 1))))
 
     asked = docs.select("block", "held_out", "text").mapInArrow(
-        _requests(leaders, buckets), "bucket long, block int, rows binary")
+        _requests(buckets), "bucket long, block int, heads binary, tails binary")
     words = cut(asked.repartition("bucket").sortWithinPartitions("bucket")
-                .mapInArrow(_gather, "bucket long, entries binary, asked binary"), "words")
-    seen = _add(words.select("bucket", "entries").mapInArrow(_sums(k), "i int, v double"), 2 * k + 1)
-    totals = Totals(seen[:k], seen[k:2 * k], seen[2 * k], seen[2 * k])
+                .mapInArrow(_gather, "bucket long, entries binary, contexts binary, asked binary"), "words")
+    entries = words.select("bucket", "entries", "contexts")
+    sent = cut(entries.mapInArrow(_first(buckets), SENT), "totals")
+    total, tables, distinct = _add(sent, 3)
+    root, back = (tables, distinct, distinct), _returned(sent, 2)
     for r in range(ROUNDS + 1):
-        before, at = totals, seed + r
-        got = _add(words.select("bucket", "entries").mapInArrow(
-            _sweep(totals, at, SAMPLES if r == ROUNDS else 1), "i int, v double"), k + 1)
-        totals = Totals(totals.customers, got[:k], got[k], totals.distinct)
-    answers = words.mapInArrow(_answers(before, totals, at), "block int, rows binary")
+        before, last, samples, at = root, back, SAMPLES if r == ROUNDS else 1, seed + r
+        sent = cut(entries.groupBy("bucket").cogroup(last.groupBy("bucket"))
+                   .applyInArrow(_sweep(before, at, samples, buckets), SENT), "totals")
+        got = _add(sent, 2 * samples).reshape(-1, 2)
+        root, back = (got[0, 0], got[0, 1], distinct), _returned(sent, 1 + samples)
+    both = last.withColumn("last", F.lit(False)).unionByName(back.withColumn("last", F.lit(True)))
+    answers = (words.groupBy("bucket").cogroup(both.groupBy("bucket"))
+               .applyInArrow(_answers(before, [tuple(x) for x in got.tolist()], at), "block int, pairs binary, counts binary"))
     return (docs.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_score(leaders, int(seen[:k].sum()), int(seen[2 * k])),
+            .applyInArrow(_score(int(total), int(distinct)),
                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                           "base_score double, score double"))
 

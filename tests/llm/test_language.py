@@ -72,3 +72,18 @@ def test_seating_follows_the_restaurant():
     assert abs(t.mean() - sum(1 / i for i in range(1, 51))) < 0.05
     big = language.seat(np.full(500, 100_000), np.full(500, 1.0), 0.0, rng)
     assert abs(big.mean() - sum(1 / i for i in range(1, 100_001))) < 0.4
+
+
+def test_the_word_before_counts(spark):
+    """A successor chain: shuffled words score far worse, and its order is learnt."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        at = int(rng.integers(0, 50))
+        rows.append((i, [f"w{(at + j) % 50}" for j in range(50)]))
+    shuffled = [(1000 + i, list(rng.permutation(w))) for i, w in rows if zlib.crc32(str(1000 + i).encode()) % 7 == 2]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows + shuffled], "doc_id long, text string")
+    got = [r for r in language.language_scores(df).collect() if r["held_out"]]
+    per = lambda rows: 10 ** (-sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows))
+    kept, mixed = [r for r in got if r["doc_id"] < 1000], [r for r in got if r["doc_id"] >= 1000]
+    assert kept and mixed and per(kept) < 4 and per(mixed) > 5 * per(kept)
