@@ -12,8 +12,7 @@ opened as customers of the parent, given the totals of all other words.  A
 restaurant's dishes meet only in its totals (tables and customers), so words
 are sampled in parallel and no restaurant is gathered; rounds over all words
 settle the totals first.  Scores use predictive probabilities averaged over
-several sweeps.  Beyond ``EXACT`` customers of a dish, tables are drawn in
-doubling steps at the step's mean rate.
+several sweeps.  Table counts are exact draws for any number of customers.
 
 Flow.  A block is a run of rows of an input file.  Each block hands its pairs
 (word, context, count) to hash buckets of words as packed arrays; a bucket
@@ -50,7 +49,8 @@ FOLDS = 7
 #: Discount and strength of the context restaurants and of their parent.
 LEAF, ROOT = (0.8, 1.0), (0.75, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
-EXACT = 64
+#: Customers of a dish whose seats are drawn each; later ones by waiting times.
+ONE_BY_ONE = 16
 #: Bytes of text for one bucket of words, and (on average) for one block.
 BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
 #: The end token as a word, the start of a text as a context.
@@ -197,23 +197,30 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables of each dish after seating its customers one by one; ``new`` is
-    the weight of a new table (strength and discount mass times the parent)."""
+    the weight of a new table (strength and discount mass times the parent).
+
+    After ``ONE_BY_ONE`` customers only those who open a table are drawn.  With
+    ``j`` seated at ``t`` tables, ``m`` more open none with the probability
+    prod (b + i) / (a + b + i) over i < m, b = j - discount * t: a geometric
+    waiting time whose rate is Beta(a, b), so the draw is exact for any count.
+    """
     tables = np.minimum(customers, 1).astype(float)
     order = np.argsort(-customers, kind="stable")
     c, a, t = customers[order], new[order], tables[order]
-    for j in range(1, EXACT):
+    for j in range(1, ONE_BY_ONE):
         n = int(np.searchsorted(-c, -j, side="left"))  # those with more than j customers
         if not n:
             break
         t[:n] += rng.random(n) * (a[:n] + j - discount * t[:n]) < a[:n]
-    seated = EXACT
-    n = int(np.searchsorted(-c, -seated, side="left"))
-    while n:
-        step = np.minimum(c[:n] - seated, seated)
-        rate = a[:n] / (a[:n] + seated + step / 2 - discount * t[:n])
-        t[:n] += rng.binomial(step, np.clip(rate, 0.0, 1.0))
-        seated *= 2
-        n = int(np.searchsorted(-c, -seated, side="left"))
+    at = np.arange(int(np.searchsorted(-c, -ONE_BY_ONE, side="left")))
+    seated = np.full(len(at), float(ONE_BY_ONE))
+    with np.errstate(divide="ignore"):  # a rate of 0 waits for ever
+        while len(at):
+            rate = rng.beta(a[at], seated - discount * t[at])
+            seated += np.maximum(np.ceil(rng.standard_exponential(len(at)) / -np.log1p(-rate)), 1)
+            opens = seated <= c[at]
+            at, seated = at[opens], seated[opens]
+            t[at] += 1
     out = np.empty_like(t)
     out[order] = t
     return out

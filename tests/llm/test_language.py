@@ -87,3 +87,44 @@ def test_the_word_before_counts(spark):
     per = lambda rows: 10 ** (-sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows))
     kept, mixed = [r for r in got if r["doc_id"] < 1000], [r for r in got if r["doc_id"] >= 1000]
     assert kept and mixed and per(kept) < 4 and per(mixed) > 5 * per(kept)
+
+
+def test_seating_of_many_customers_is_exact():
+    """No step size shows in the mean, with and without a discount."""
+    rng = np.random.default_rng(5)
+    t = language.seat(np.full(20000, 100_000), np.full(20000, 1.0), 0.0, rng)
+    assert abs(t.mean() - sum(1 / i for i in range(1, 100_001))) < 0.12
+    plain_ = np.ones(20000)
+    for j in range(1, 300):
+        plain_ += rng.random(20000) * (5.0 + j - 0.8 * plain_) < 5.0
+    t = language.seat(np.full(20000, 300), np.full(20000, 5.0), 0.8, rng)  # standard errors 0.06 and 0.04
+    assert abs(t.mean() - plain_.mean()) < 0.25 and abs(t.std() - plain_.std()) < 0.2
+
+
+def test_predictives_are_averaged_over_sweeps(monkeypatch):
+    """Once for every kept sweep in every bucket, each with its own totals."""
+    entries = np.zeros(3, dtype=language.ENTRY)
+    entries["w"], entries["ctx"], entries["n"] = [1, 1, 2], [0, 1, 0], [40, 30, 5]
+    before = language.Totals(np.array([45.0, 30.0]), np.array([2.0, 1.0]), 2.0, 2.0)
+    kept = list(language.sweeps(entries, before, np.random.default_rng(1), 1, 3))
+    mean, root = language.sample(entries, before, np.random.default_rng(1), 1, 3)
+    assert len(kept) == 3 and np.allclose(mean, sum(t for t, _ in kept) / 3) and np.allclose(root, sum(r for _, r in kept) / 3)
+    import pyarrow as pa
+    contexts = np.array([7, 9], dtype=np.int64)
+    after = [(float(t.sum()), float(r.sum())) for t, r in kept]
+    sums = np.stack([before.customers, *[np.bincount(entries["ctx"], weights=t, minlength=2) for t, _ in kept]], axis=1)
+    asked = np.zeros(3, dtype=language.ASKED)
+    asked["entry"] = [0, 1, 2]
+    words = pa.table({"bucket": [1], "entries": [entries.tobytes()], "contexts": [contexts.tobytes()], "asked": [asked.tobytes()]})
+    both = np.stack([before.customers, before.tables], axis=1)
+    back = pa.table({"bucket": [1, 1], "contexts": [contexts.tobytes()] * 2, "v": [both.tobytes(), sums.tobytes()],
+                     "last": [False, True]})
+    monkeypatch.setattr(language, "BURN", 1)
+    rng = np.random.default_rng
+    monkeypatch.setattr(language.np.random, "default_rng", lambda seed: rng(1))
+    got = language._answers((before.root_customers, 2.0, 2.0), after, 17)(words, back)
+    rows = np.frombuffer(got["pairs"][0].as_py(), dtype=language.ANSWER)
+    want = sum(language.predictive(entries, t, r, language.Totals(before.customers, sums[:, 1 + i], after[i][1], 2.0, after[i][0]))
+               for i, (t, r) in enumerate(kept)) / 3
+    key = language.pair_key(np.ascontiguousarray(entries["w"]), contexts[entries["ctx"]])
+    assert np.allclose([dict(zip(rows["key"].tolist(), rows["p"]))[k] for k in key.tolist()], np.log10(want), atol=1e-5)
