@@ -51,7 +51,7 @@ LEAF, ROOT = (0.8, 1.0), (0.75, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
 #: Customers of a dish whose seats are drawn each; later ones by waiting times.
 ONE_BY_ONE = 16
-#: Bytes of text for one bucket of words, and (on average) for one block.
+#: Bytes of text for one bucket of words, and for one block (and one text more).
 BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
 #: The end token as a word, the start of a text as a context.
 END = 0
@@ -67,14 +67,29 @@ ASKED = np.dtype([("entry", "<i4"), ("block", "<i4")])
 
 # Contexts and words ---------------------------------------------------------
 
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of all words."""
-    for b in batches:
-        size = 0
-        for t in b.column(0):
-            words = text_words(t.as_py())
-            size += sum(map(len, words)) + len(words)
-        yield pa.RecordBatch.from_arrays([pa.array([size])], ["n"])
+def _statistics(most: int):
+    """Where blocks start, ``(path, start, n)`` with the bytes of their words:
+    a block ends with the text that brings its bytes to ``most``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, start, due, size, held = None, 0, -1, 0, 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([start], pa.int64()),
+                                               pa.array([size], pa.int64())], ["path", "start", "n"])
+        for b in batches:
+            for p, row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if path is not None and (p != path or row != due or held >= most):
+                    yield out()
+                    path = None
+                if path is None:
+                    path, start, size, held = p, row, 0, 0
+                due = row + 1
+                words = text_words(t.as_py())
+                size += sum(map(len, words)) + len(words)
+                held += t.as_buffer().size if t.is_valid else 0
+        if path is not None:
+            yield out()
+    return run
 
 
 class Words(dict):
@@ -461,22 +476,36 @@ def _scan(documents: DataFrame) -> DataFrame:
     return cut(documents.select("doc_id", "text"), "documents")
 
 
-def _blocks(documents: DataFrame, rows: int) -> DataFrame:
-    """``(block, doc_id, text, held_out)``; a block is a run of ``rows`` rows
-    of a file.  Unlike a split, it does not depend on the cluster's cores, so
+def _starts(documents: DataFrame) -> list:
+    """Starts of the blocks, about one row for ``BLOCK_BYTES`` of text."""
+    at = documents.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"),
+                          F.col("text").cast("string").alias("text"))
+    return at.mapInArrow(_statistics(BLOCK_BYTES), "path string, start long, n long").orderBy("path", "start").collect()
+
+
+def _blocks(documents: DataFrame, starts: list) -> DataFrame:
+    """``(block, doc_id, text, held_out)``; a block is a run of rows of a file
+    of at most ``BLOCK_BYTES`` and one text.  Its start was settled once, so
     blocks are the same in every job, also after executors are lost."""
-    block = F.hash(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / rows))
-    return documents.select(block.alias("block"), F.col("doc_id").cast("long").alias("doc_id"),
-                            F.col("text").cast("string").alias("text"), held_out(F.col("doc_id"), FOLDS).alias("held_out"))
+    files: dict[str, list] = {}
+    for i, r in enumerate(starts):
+        files.setdefault(r["path"], [i, []])[1].append(r["start"])
+    table = documents.sparkSession.createDataFrame([(p, i, rows) for p, (i, rows) in files.items()],
+                                                   "path string, base int, starts array<long>")
+    docs = documents.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"),
+                            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                            held_out(F.col("doc_id"), FOLDS).alias("held_out"))
+    block = F.col("base") + F.size(F.filter("starts", lambda x: x <= F.col("row"))) - 1
+    return docs.join(F.broadcast(table), "path").select(block.alias("block"), "doc_id", "text", "held_out")
 
 
 def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10)."""
     source = _scan(documents)
-    size = source.select("text").mapInArrow(_statistics, "n long").agg(F.sum("n")).first()[0] or 0
-    buckets = max(16, int(size // BUCKET_BYTES))
-    docs = _blocks(source, max(1, int(BLOCK_BYTES * source.count() // max(size, 1))))
+    starts = _starts(source)
+    buckets = max(16, int(sum(r["n"] for r in starts) // BUCKET_BYTES))
+    docs = _blocks(source, starts)
 
     asked = docs.select("block", "held_out", "text").mapInArrow(
         _requests(buckets), "bucket long, block int, heads binary, tails binary")

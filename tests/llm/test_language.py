@@ -128,3 +128,16 @@ def test_predictives_are_averaged_over_sweeps(monkeypatch):
                for i, (t, r) in enumerate(kept)) / 3
     key = language.pair_key(np.ascontiguousarray(entries["w"]), contexts[entries["ctx"]])
     assert np.allclose([dict(zip(rows["key"].tolist(), rows["p"]))[k] for k in key.tolist()], np.log10(want), atol=1e-5)
+
+
+def test_blocks_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Long texts that lie together do not make a large block."""
+    rows = [(i, "a b " * 5) for i in range(2000)] + [(i, "long " * 4000) for i in range(2000, 2040)] + [(3000, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    monkeypatch.setattr(language, "BLOCK_BYTES", 100_000)
+    df = spark.read.parquet(str(tmp_path / "d"))
+    blocks = language._blocks(df, language._starts(df))
+    got = blocks.selectExpr("block", "coalesce(octet_length(text), 0) as n").groupBy("block").sum("n").collect()
+    assert len(got) > 5 and max(r[1] for r in got) < 100_000 + 20_000
+    assert sorted(r[0] for r in blocks.select("doc_id").collect()) == [r[0] for r in rows]
+    assert language.language_scores(df).count() == len(rows)
