@@ -10,8 +10,19 @@ of the template's heavy terms: the light rest of the template has less than
 ``threshold`` of its norm, so without a heavy term the cosine stays below it.
 Only lines with a heavy term are expanded, which loses nothing.
 
-A file's own licence is its best line's; ties go to the earlier line, then
-the smaller name.  A file without one takes the licence of the licence file
+Beside lines, units are compared: the whole text, and from every line the run
+of lines that holds as many terms as a template.  A unit has at most ``LONGER``
+times the template's terms (what is longer is covered by its runs).  Notices are looked for in
+runs (a wrapped notice) with the lines' weights; headers, titles and full
+licence texts in runs and whole texts, with weights of their own vocabulary.
+A template can be reached only if the text holds one of its rare terms and
+terms of ``threshold ** 2`` of its squared norm, and a run only if its dot
+product reaches the threshold for the smallest norm its lines allow; all
+others are left out, which loses nothing.  Of runs that overlap by half or
+more, the one with the largest dot product is scored.
+
+A file's own licence is its best line's or unit's; ties go to lines, then to
+the earlier line, then the smaller name.  A file without one takes the licence of the licence file
 (``LICENSE``, ``COPYING``, ``NOTICE`` and the like) in its directory or the
 nearest directory above; ancestors are expanded per distinct directory.
 
@@ -25,6 +36,8 @@ name; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,6 +45,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 THRESHOLD = 0.7
+#: A template's length in the fixed-point places of a text's lines.
+TEMPLATE_LENGTH = 1 << 30
+#: Terms of a unit for one of its template's.
+LONGER = 1.5
 #: File names that license their directory (compared in upper case, up to a dot).
 LICENSE_FILES = ("LICENSE", "LICENCE", "COPYING", "NOTICE", "UNLICENSE")
 
@@ -56,6 +73,44 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} "
+        "as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. "
+        "You should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>.")
+_SPDX = ("MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+         "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0",
+         "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "CC0-1.0", "CC-BY-4.0",
+         "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "Unlicense")
+
+#: (licence, text) pairs: file headers, titles of licence files, SPDX lines.
+HEADERS: tuple[tuple[str, str], ...] = (
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+     "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+     "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+     'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
+     "specific language governing permissions and limitations under the License."),
+    ("GPL-2.0", _GNU.format("General Public License", 2)), ("GPL-3.0", _GNU.format("General Public License", 3)),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", 3)),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", 3)),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+     "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", "MIT License"), ("MIT", "The MIT License (MIT)"),
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"),
+    *((x.removesuffix("-only").removesuffix("-or-later"), f"SPDX-License-Identifier: {x}") for x in _SPDX),
+)
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the full licence texts beside this file; read on the driver."""
+    return [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+
 
 def terms(text):
     """Terms of a text column, in order (an empty string may stand at an end)."""
@@ -105,6 +160,70 @@ def scan_lines(files: DataFrame, templates: DataFrame, threshold: float = THRESH
             .select("fid", "line", "b.license", "b.score"))
 
 
+def scan_units(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, least: int = 1) -> DataFrame:
+    """Templates that a run of ``least`` or more lines or the whole text
+    reaches: ``(fid, line, template, license, score)``, ``line`` the first of the unit.
+    ``files(fid, text)``, ``fid`` unique."""
+    vocabulary = [r[0] for r in templates.select(F.explode(terms("text")).alias("t")).where("t != ''").distinct()
+                  .orderBy("t").collect()]  # a fixed parameter's words
+    words = F.array(*[F.lit(v) for v in vocabulary])
+    text = F.coalesce("text", F.lit(""))
+    total = files.count()
+    df = (files.select(F.explode(F.array_intersect(terms(text), words)).alias("term"))
+          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    # The common terms of a template come first, as long as they cannot reach the threshold by themselves.
+    common = W.partitionBy("template").orderBy("idf", "term")
+    weights = cut(template_weights(templates, df, total)
+                  .withColumn("length", F.sum("tf").over(W.partitionBy("template")))
+                  .withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(common))).where("norm > 0"), "unit-weights")
+    rare = [r[0] for r in weights.where(F.col("rest") >= threshold * F.col("norm")).select("term").distinct()
+            .orderBy("term").collect()]
+    if not rare:
+        return files.sparkSession.createDataFrame(
+            [], f"fid {dict(files.dtypes)['fid']}, line int, template int, license string, score double")
+    near = files.where(F.arrays_overlap(terms(text), F.array(*[F.lit(r) for r in rare])))
+    side = F.broadcast(weights.select("term", "template", "license", "w", "norm", "length"))
+    shared = (near.select("fid", F.explode(F.array_intersect(terms(text), words)).alias("term")).join(side, "term")
+              .groupBy("fid", "template", "license", "norm", "length").agg(F.sum(F.col("w") * F.col("w")).alias("mass"))
+              .where(F.col("mass") >= threshold ** 2 * F.col("norm") * F.col("norm") * (1 - 1e-9)))
+    chosen = cut(shared.drop("mass"), "unit-candidates")
+    idf = F.broadcast(weights.select("term", "idf").distinct())
+    tf = cut(near.join(chosen.select("fid").distinct(), "fid", "left_semi")
+             .select("fid", F.posexplode(F.split("text", "\n")).alias("line", "x"))
+             .select("fid", "line", F.explode(terms("x")).alias("term")).where("term != ''")
+             .groupBy("fid", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
+             .join(idf, "term", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(1.0 + total)))), "unit-terms")
+    x = F.col("tf") * F.col("idf")
+    before = W.partitionBy("fid").orderBy("line").rowsBetween(W.unboundedPreceding, -1)
+    lines = (tf.groupBy("fid", "line").agg(F.sum("tf").alias("n"), F.sum(x * x).alias("size2"))
+             .withColumn("pos", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    dots = (tf.join(side.drop("license", "norm", "length"), "term").groupBy("fid", "line", "template")
+            .agg(F.sum(x * F.col("w")).alias("dot")))
+    at = (chosen.join(lines, "fid").join(dots, ["fid", "line", "template"], "left")
+          .withColumn("p", F.expr(f"pos * {TEMPLATE_LENGTH} div length")))  # in lengths of the template
+    run = W.partitionBy("fid", "template").orderBy("p")
+    ahead = run.rangeBetween(0, TEMPLATE_LENGTH - 1)
+    runs = (at.withColumn("total_dot", F.sum(F.coalesce("dot", F.lit(0.0))).over(ahead))
+            .withColumn("low", F.sqrt(F.sum("size2").over(ahead))).withColumn("last", F.max("line").over(ahead))
+            .withColumn("lines", F.count(F.lit(1)).over(ahead)).withColumn("terms", F.sum("n").over(ahead))
+            .where((F.col("lines") >= least) & (F.col("terms") <= LONGER * F.col("length"))
+                   & (F.col("total_dot") >= threshold * F.col("norm") * F.col("low") * (1 - 1e-9)))
+            .withColumn("best", F.max("total_dot").over(run.rangeBetween(-TEMPLATE_LENGTH // 2, TEMPLATE_LENGTH // 2))).where("total_dot >= best")
+            .select("fid", "template", "license", "norm", F.col("line").alias("first"), "last"))
+    # All lines of a text, whatever their number.
+    size = lines.groupBy("fid").agg(F.sum("n").alias("terms"))
+    whole = chosen.join(size, "fid").where(F.col("terms") <= LONGER * F.col("length")).select("fid", "template", "license", "norm", F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("last"))
+    units = runs.unionByName(whole) if least == 1 else runs
+    held = (units.join(tf, "fid").where((F.col("line") >= F.col("first")) & (F.col("line") <= F.col("last")))
+            .groupBy("fid", "template", "license", "norm", "first", "last", "term")
+            .agg((F.sum("tf") * F.first("idf")).alias("x")))
+    scored = (held.join(side.select("term", "template", "w"), ["term", "template"], "left")
+              .groupBy("fid", "template", "license", "norm", "first", "last")
+              .agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size")))
+    return (scored.withColumn("score", F.col("dot") / (F.col("size") * F.col("norm"))).where(F.col("score") >= threshold)
+            .select("fid", F.col("first").alias("line"), "template", "license", F.round("score", 9).alias("score")))
+
+
 def _directories(path):
     """All directories above a path, the nearest first ('' is the root)."""
     parts = F.split(path, "/")
@@ -112,16 +231,26 @@ def _directories(path):
                        lambda n: F.array_join(F.slice(parts, 1, n), "/"))
 
 
-def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float = THRESHOLD,
+         units: DataFrame | None = None) -> DataFrame:
     """``fid``, ``license``, ``score``, ``origin`` ('own', 'inherited' or
     null) and ``depth`` (directories up to the licence file) for every row of
     ``files(fid, path, text)``."""
     spark = files.sparkSession
+    frame = lambda rows: spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)],
+                                               "template int, license string, text string")
     if templates is None:
-        templates = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(TEMPLATES)],
-                                          "template int, license string, text string")
-    lines = scan_lines(files.select("fid", "text"), templates, threshold)
-    own = cut(lines.groupBy("fid").agg(F.max(F.struct("score", (-F.col("line")).alias("o"), "license")).alias("b"))
+        templates = frame(TEMPLATES)
+    if units is None:
+        units = frame([*HEADERS, *full_texts()])
+    texts = files.select("fid", "text")
+    found = scan_lines(texts, templates, threshold).select("fid", "line", "license", "score", F.lit(1).alias("is_line"),
+                                                           F.lit(0).alias("template"))
+    for t, least in ((templates, 2), (units, 1)):
+        found = found.unionByName(scan_units(texts, t, threshold, least)
+                                  .select("fid", "line", "license", "score", F.lit(0).alias("is_line"), "template"))
+    order = F.struct("score", "is_line", (-F.col("line")).alias("o"), (-F.col("template")).alias("t"), "license")
+    own = cut(found.groupBy("fid").agg(F.max(order).alias("b"))
               .select("fid", "b.license", "b.score"), "own-licenses")
     base = F.upper(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     places = files.select("fid", "path", F.element_at(_directories(F.col("path")), 1).alias("dir"), base.alias("base"))

@@ -62,3 +62,31 @@ def test_oracle(spark):
     want = sorted(map(str, duckdb.sql(ORACLES["op8_licenses"]).fetchall()))
     got = QUERIES["op8_licenses"](spark, sf).select("doc_id", "license", "score", "origin", "depth").collect()
     assert sorted(str(tuple(r)) for r in got) == want
+
+
+def test_licence_files_headers_and_wrapped_notices(spark):
+    """Units of several lines: whole licence files, header blocks, titles, wrapped notices, SPDX lines."""
+    import textwrap
+    full = dict(licenses.full_texts())
+    headers = {}
+    for name, text in licenses.HEADERS:
+        headers.setdefault(name, text)
+    header = lambda n: "\n".join("# " + x for x in textwrap.wrap(headers[n], 60))
+    code = "\n".join(f"value_{i} = compute({i}, other_{i})" for i in range(60))
+    rows = [("gpl", "a/LICENSE", full["GPL-3.0"]), ("gpl-child", "a/b/x.txt", code),
+            ("mit", "m/LICENSE", "Copyright (c) 2020 A. Person\n\n" + full["MIT"]),
+            ("inside", "i/x.txt", code + "\n" + full["BSD-3-Clause"] + "\n" + code),
+            ("header", "h/x.py", "#!/usr/bin/env python\n# Copyright 2020 B. Person\n" + header("Apache-2.0") + "\n" + code),
+            ("header2", "h2/x.py", header("GPL-2.0") + "\n" + code),
+            ("title", "t/COPYING", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n"),
+            ("mit-title", "t2/LICENSE", "MIT License"), ("spdx", "s/x.c", "// SPDX-License-Identifier: Apache-2.0\n" + code),
+            ("wrapped", "w/x.txt", code + "\nThis work is licensed under the GNU General\nPublic License, version 3.\n" + code),
+            ("none", "n/x.txt", code)]
+    rows += [(f"p{i}", f"p{i}/x.txt", f"plain words of text number {i} and the rest of it\n" + code) for i in range(60)]
+    got = {r["fid"]: (r["license"], r["origin"]) for r in
+           licenses.scan(spark.createDataFrame(rows, "fid string, path string, text string")).collect()}
+    want = {"gpl": "GPL-3.0", "mit": "MIT", "inside": "BSD-3-Clause", "header": "Apache-2.0", "header2": "GPL-2.0",
+            "title": "GPL-2.0", "mit-title": "MIT", "spdx": "Apache-2.0", "wrapped": "GPL-3.0"}
+    assert {k: got[k] for k in want} == {k: (v, "own") for k, v in want.items()}
+    assert got["gpl-child"] == ("GPL-3.0", "inherited")
+    assert got["none"] == (None, None) and all(got[f"p{i}"] == (None, None) for i in range(60))
