@@ -183,8 +183,9 @@ def _links(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> np.ndarray:
 
 def simhash_groups(documents: DataFrame, shingle: int = 3, radius: int = 2, seed: int = SEED,
                    extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id, and
-    the fingerprint as a long (``fp``)."""
+    """Per document: doc_id, fingerprint (16 hex digits), component_id, the
+    fingerprint as a long (``fp``), and the class key (``comp``, its smallest
+    fingerprint), which also tells classes apart that share a doc_id or have none."""
     docs = cut(fingerprints(documents, shingle, seed, extra), "fingerprints")
     reps = cut(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fp")
     groups = components(near_links(reps.select("fp"), radius))
@@ -192,9 +193,9 @@ def simhash_groups(documents: DataFrame, shingle: int = 3, radius: int = 2, seed
         "fp", "first_id", F.coalesce("comp", "fp").alias("comp"))
     reps = cut(reps, "fp-groups")
     ids = reps.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    reps = reps.join(ids, "comp").select("fp", "component_id")
+    reps = reps.join(ids, "comp").select("fp", "component_id", "comp")
     return docs.join(reps, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", *extra)
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", "comp", *extra)
 
 
 def keep_first(documents: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -205,9 +206,7 @@ def keep_first(documents: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     groups = simhash_groups(hidden, shingle, radius, extra=("__t",))
     # min() skips nulls, so the flag puts rows without an id last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t"))
-    keep = (groups.groupBy(F.coalesce(F.concat(F.lit("d"), F.col("component_id").cast("string")),
-                                      F.concat(F.lit("f"), "fingerprint")).alias("g"))
-            .agg(first.alias("k")).select(F.col("k.doc_id").alias("__i"), F.col("k.__t").alias("__u")))
+    keep = groups.groupBy("comp").agg(first.alias("k")).select(F.col("k.doc_id").alias("__i"), F.col("k.__t").alias("__u"))
     d = hidden.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")), "left_semi")
     one = F.row_number().over(W.partitionBy("doc_id", "__t").orderBy(F.lit(1)))
     return show(d.withColumn("__k", one).where("__k = 1"), documents, "doc_id", "text")

@@ -61,3 +61,14 @@ def test_one_document_of_each_group_stays(nasty, docs):
     assert kept.count() == groups_.select("component_id").distinct().count()
     same = docs([(3, "a b c d e", "x"), (3, "a b c d e", "x"), (9, "A b c d e", "x"), (None, "q r s", "x"), (None, "q r s", "x")])
     assert sorted(map(str, [r["doc_id"] for r in simhash.keep_first(same).collect()])) == ["3", "None"]
+
+
+def test_groups_are_classes_and_not_ids(docs):
+    """Classes that share their smallest doc_id stay apart; a class without ids is one group."""
+    far = docs([(5, "a b c d e", "x"), (7, "a b c d e", "x"), (5, "q r s t u v", "x"), (9, "q r s t u v", "x")])
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_first(far).collect()) == [(5, "a b c d e"), (5, "q r s t u v")]
+    words = [f"w{i}" for i in range(4000)]
+    one = simhash.fingerprint(" ".join(words))
+    near = next(t for t in (" ".join([*words[:-1 - i], "x"]) for i in range(100))
+                if 1 <= (one ^ simhash.fingerprint(t)).bit_count() <= 2)
+    assert simhash.keep_first(docs([(None, " ".join(words), "x"), (None, near, "x")])).count() == 1
