@@ -225,3 +225,24 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") % 100 != 0, F.expr("doc_id div 10")),
         F.when(F.col("doc_id") % 10 == 0, "LICENSE").otherwise(F.concat("doc_id", F.lit(".txt"))))
     return scan(docs.select(F.col("doc_id").alias("fid"), path.alias("path"), "text")).withColumnRenamed("fid", "doc_id")
+
+
+@query("op11_conversations")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired to the role grammar."""
+    from .dialogue import damage, repair
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_main_text")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    from .extraction import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents aligned between the byte-level and the piece vocabulary."""
+    from .alignment import align_documents
+    return align_documents(table(spark, sf_dir, "documents"))
