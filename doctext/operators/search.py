@@ -1,13 +1,12 @@
-"""Term search over the index documents (Q2-Q7): postings, matching,
-filter queries, BM25 ranking, paging and facets.
+"""Term search (Q2-Q7): terms and postings of a text, filter queries, order,
+paging and facets.  Matching and scores come from the stored index
+(``index.py``).
 
 There is no query language: a search is a list of terms plus filters.
 """
 
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,63 +27,12 @@ def postings(texts: DataFrame, key: str = "package_id", text: str = "text") -> D
                  .groupBy("term", key).agg(F.count("*").alias("tf")))
 
 
-def match(post: DataFrame, terms: Iterable[str], min_match: int | None = None,
-          key: str = "package_id") -> DataFrame:
-    """Q3: packages matching all terms (``min_match`` None) or at least
-    ``min_match`` of them; with matched-term count and summed tf."""
-    ts = sorted(set(t.lower() for t in terms))
-    need = len(ts) if min_match is None else min_match
-    hits = post.filter(F.col("term").isin(ts))
-    g = hits.groupBy(key).agg(F.count_distinct("term").alias("matched_terms"),
-                              F.sum("tf").alias("tf"))
-    return g.filter(F.col("matched_terms") >= need)
-
-
 def filtered(matches: DataFrame, packages: DataFrame, condition: Column | None) -> DataFrame:
     """Q4: filter queries on package fields."""
     p = packages if condition is None else packages.filter(condition)
     return matches.join(p.select("package_id"), "package_id", "left_semi")
 
 
-def term_counts(texts: DataFrame, terms: Iterable[str], key: str = "package_id",
-                text: str = "text") -> DataFrame:
-    """Per package: its length in tokens and the count of every query term,
-    from one pass over the tokens and one aggregate (map-side combined)."""
-    ts = sorted(set(t.lower() for t in terms))
-    tok = texts.select(key, F.explode(terms_of(text)).alias("term"))
-    return tok.groupBy(key).agg(F.count("*").alias("dl"),
-                                *[F.sum((F.col("term") == t).cast("long")).alias(f"tf_{i}")
-                                  for i, t in enumerate(ts)])
-
-
-def bm25(texts: DataFrame, terms: Iterable[str], min_match: int | None = None,
-         k1: float = 1.2, b: float = 0.75, key: str = "package_id") -> DataFrame:
-    """Q3 + Q5: matches with their BM25 score (unrounded, so that sorting by
-    it separates what rounding would tie).
-
-    Everything comes from the per-package term counts: the collection
-    statistics (number of documents, average length, document frequency of
-    each query term) are one aggregate over that table (one row, joined by
-    broadcast)."""
-    ts = sorted(set(t.lower() for t in terms))
-    need = len(ts) if min_match is None else min_match
-    per = term_counts(texts, ts, key)
-    tfs = [F.col(f"tf_{i}") for i in range(len(ts))]
-    stats = per.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"),
-                    *[F.sum((c > 0).cast("long")).alias(f"df_{i}") for i, c in enumerate(tfs)])
-    matched = sum(((c > 0).cast("int") for c in tfs), F.lit(0))
-    m = per.withColumn("matched_terms", matched).filter(F.col("matched_terms") >= need)
-    m = m.join(F.broadcast(stats), how="cross")          # one-row statistics frame
-    score = F.lit(0.0)
-    for i, c in enumerate(tfs):
-        df = F.col(f"df_{i}")
-        idf = F.log(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5))
-        part = idf * c * (k1 + 1) / (c + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-        score = score + F.when(c > 0, part).otherwise(F.lit(0.0))
-    return m.select(key, F.col("matched_terms").cast("long").alias("matched_terms"),
-                    sum(tfs, F.lit(0)).cast("long").alias("tf"), score.alias("score"))
-
-
 def ranked(scored: DataFrame, packages: DataFrame) -> DataFrame:
     """Default sort: relevance, then newest first, then id."""
     return scored.join(packages.select("package_id", "metadata_modified"), "package_id")
@@ -119,12 +67,11 @@ def facets(matches: DataFrame, fields: DataFrame, mincount: int = 1,
            limit: int = FACET_LIMIT) -> DataFrame:
     """Q7: value counts per facet field over the whole match set.
 
-    ``fields`` holds (package_id, field, value) rows (several fields
+    ``fields`` holds distinct (package_id, field, value) rows (several fields
     stacked, multi-valued fields exploded), so every field is counted by one
     aggregate.  ``limit`` < 0 means no limit; ties are broken by value."""
     f = fields.join(matches.select("package_id"), "package_id", "left_semi")
-    counts = f.groupBy("field", "value").agg(F.count_distinct("package_id").alias("count")) \
-              .filter(F.col("count") >= mincount)
+    counts = f.groupBy("field", "value").agg(F.count("*").alias("count")).filter(F.col("count") >= mincount)
     if limit is None or limit < 0:
         return counts
     w = Window.partitionBy("field").orderBy(F.col("count").desc(), F.col("value"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, truncate
 from ..schema import ERROR, UNAVAILABLE, UNPROCESSED
+from .keys import split_by_keys
 
 FT_COLS = ["id", "resource_id", "package_id", "text", "text_clear"]
 
@@ -81,16 +82,18 @@ def merge_actions(old: DataFrame, incoming: DataFrame, packages: DataFrame) -> D
     replaced, text_clear NULL), the others deleted, and listed resources
     without an old row inserted.  Packages outside the batch keep their rows.
 
-    One full outer join on (package_id, resource_id); both sides are
-    shuffled on package_id only once the batch has been reduced to its keys.
+    Old rows outside the batch are told by a bitmap of its package ids and
+    pass by without being moved; only texts of batch packages (and the few
+    whose hash meets one) are shuffled, for one full outer join on
+    (package_id, resource_id).
     """
     new = incoming.select("package_id", "resource_id",
                           empty_to_unavailable("text").alias("new_text"))
     batch = (incoming.select("package_id").distinct()
              .join(packages.select("package_id", F.col("state").alias("pstate")), "package_id", "left")
              .withColumn("in_batch", F.lit(True)))
-    o = old.select("id", "resource_id", "package_id", "text", "text_clear")
-    j = o.join(new, ["package_id", "resource_id"], "full_outer").join(batch, "package_id", "left")
+    near, away = split_by_keys(old.select(*FT_COLS), incoming.select("package_id").distinct(), "package_id")
+    j = near.join(new, ["package_id", "resource_id"], "full_outer").join(batch, "package_id", "left")
     deleted = F.col("pstate") == "deleted"
     in_batch = F.coalesce(F.col("in_batch"), F.lit(False))
     action = (F.when(~in_batch, F.lit("keep"))
@@ -99,13 +102,14 @@ def merge_actions(old: DataFrame, incoming: DataFrame, packages: DataFrame) -> D
                .when(F.col("id").isNull(), F.lit("insert"))
                .when(F.col("new_text").isNull(), F.lit("delete"))
                .otherwise(F.lit("update")))
-    return j.select(
+    moved = j.select(
         F.coalesce(F.col("id"), new_row_id("resource_id")).alias("id"),
         "resource_id", "package_id", action.alias("action"),
         F.when(action.isin("insert", "update"), F.col("new_text"))
          .otherwise(F.col("text")).alias("text"),
         F.when(action.isin("insert", "update"), F.lit(None).cast("string"))
          .otherwise(F.col("text_clear")).alias("text_clear"))
+    return moved.unionByName(away.withColumn("action", F.lit("keep")))
 
 
 def merge_result(old: DataFrame, incoming: DataFrame, packages: DataFrame) -> DataFrame:

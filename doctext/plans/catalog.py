@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from . import q_more, q_pipeline, q_repair, q_search, q_state, q_stream, q_text, q_views  # noqa: F401
+from . import q_index, q_more, q_pipeline, q_repair, q_search, q_state, q_stream, q_text, q_views  # noqa: F401

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import assemble
 from ..operators import search as sr
+from ..operators.index import SearchIndex
+from ..session import scratch_path
 from .params import SETTINGS as S
 from .q_state import DEDUPED_SQL
 from .registry import query
@@ -62,35 +64,46 @@ def index_texts(c):
     return t.select("package_id", "text")
 
 
-def _post(c):
-    return sr.postings(index_texts(c))
+#: Folder of the stored index of each application and data folder.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_index(c) -> SearchIndex:
+    """The index of the texts as they are, built at its first use and read by
+    every search after that."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _STORED:
+        root = scratch_path(c.spark, "index")
+        SearchIndex.build(index_texts(c), root)
+        _STORED[key] = root
+    return SearchIndex(c.spark, _STORED[key])
 
 
 @query("postings", "SELECT term, package_id, tf FROM post", CTES)
 def postings(c):
-    return _post(c)
+    return stored_index(c).postings()
 
 
 @query("search_all", MATCH_SQL(ALL_TERMS, len(ALL_TERMS)), CTES)
 def search_all(c):
-    return sr.match(_post(c), ALL_TERMS)
+    return stored_index(c).match(ALL_TERMS)
 
 
 @query("search_any", MATCH_SQL(ANY_TERMS, ANY_MIN), CTES)
 def search_any(c):
-    return sr.match(_post(c), ANY_TERMS, ANY_MIN)
+    return stored_index(c).match(ANY_TERMS, ANY_MIN)
 
 
 @query("search_filtered", f"""
 SELECT m.* FROM ({MATCH_SQL(ANY_TERMS, ANY_MIN)}) m JOIN package p ON p.package_id = m.package_id
 WHERE p.state = 'active' AND p.owner < 75""", CTES)
 def search_filtered(c):
-    m = sr.match(_post(c), ANY_TERMS, ANY_MIN)
+    m = stored_index(c).match(ANY_TERMS, ANY_MIN)
     return sr.filtered(m, c.package, (F.col("state") == "active") & (F.col("owner") < 75))
 
 
 def _ranked(c, ts=ANY_TERMS, need=ANY_MIN):
-    return sr.ranked(sr.bm25(index_texts(c), ts, need), c.package)
+    return sr.ranked(stored_index(c).bm25(ts, need), c.package)
 
 
 @query("search_ranked", f"SELECT * REPLACE (round(score, 3) AS score) FROM ({SCORE_SQL(ANY_TERMS, ANY_MIN)}) s", CTES)
@@ -107,7 +120,7 @@ def search_page(c):
 
 @query("search_count", f"SELECT count(*) AS count FROM ({MATCH_SQL(ANY_TERMS, ANY_MIN)}) m", CTES)
 def search_count(c):
-    return sr.count(sr.match(_post(c), ANY_TERMS, ANY_MIN))
+    return sr.count(stored_index(c).match(ANY_TERMS, ANY_MIN))
 
 
 FIELDS_SQL = """
@@ -121,7 +134,7 @@ def facet_fields(c):
         F.struct(F.lit("type").alias("field"), F.col("type").alias("value")),
         F.struct(F.lit("state").alias("field"), F.col("state").alias("value")))).alias("f")) \
         .select("package_id", "f.field", "f.value")
-    r = c.resource.select("package_id", F.lit("res_format").alias("field"), F.col("format").alias("value"))
+    r = c.resource.select("package_id", F.lit("res_format").alias("field"), F.col("format").alias("value")).distinct()
     return p.unionByName(r)
 
 
@@ -137,18 +150,18 @@ SELECT field, value, count FROM (
 
 @query("facets", FACETS_SQL(50), dict(CTES, fields=FIELDS_SQL))
 def facets(c):
-    return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 1, 50)
+    return sr.facets(stored_index(c).match(ANY_TERMS, 1), facet_fields(c), 1, 50)
 
 
 @query("facets_limited", FACETS_SQL(2), dict(CTES, fields=FIELDS_SQL))
 def facets_limited(c):
-    return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 1, 2)
+    return sr.facets(stored_index(c).match(ANY_TERMS, 1), facet_fields(c), 1, 2)
 
 
 @query("facets_frequent", FACETS_SQL(-1, 3), dict(CTES, fields=FIELDS_SQL))
 def facets_frequent(c):
     """Every value of at least three packages, without a limit."""
-    return sr.facets(sr.match(_post(c), ANY_TERMS, 1), facet_fields(c), 3, -1)
+    return sr.facets(stored_index(c).match(ANY_TERMS, 1), facet_fields(c), 3, -1)
 
 
 @query("search_default", f"""
