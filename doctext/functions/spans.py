@@ -1,4 +1,5 @@
-"""Glued words of a batch of token lists, by arithmetic on token masks.
+"""Tokens of a batch of texts and their glued words, by arithmetic on token
+masks.
 
 The tokens of a batch lie in one long string without gaps; token i covers
 ``edge[i] : edge[i + 1]`` of it.  A glued word is a pair of edges, so which
@@ -126,26 +127,54 @@ def spans(tokens: list[str], compound: np.ndarray, last: np.ndarray, glue: str,
     return start, offset, words, skip
 
 
-def _batch(b: pa.RecordBatch, glue: str, rules: Rules):
-    toks = b.column(1)
-    ends = toks.offsets.to_numpy() - toks.offsets[0].as_py()
-    first, count = ends[:-1], np.diff(ends)
-    flat = toks.flatten()
-    tokens = flat.field("t").to_pylist()
-    compound = flat.field("c").to_numpy(zero_copy_only=False)
+def tokens_of(text: str | None, strip: str, patch: dict[str, list[tuple[str, bool]]]) -> list[tuple[str, bool]]:
+    """(token, compound) of one text: cut at single spaces, stripped, empty
+    ones dropped, and those in ``patch`` replaced."""
+    out = []
+    for w in (text or "").split(" "):
+        if w := w.strip(strip):
+            out += patch[w] if w in patch else [(w, False)]
+    return out
+
+
+def _batch(b: pa.RecordBatch, strip: str, glue: str, rules: Rules | None):
+    """Tokens of a batch ``(key, text, own, becomes)``: spans (if there are
+    rules), document and position of each token, tokens, compound flags."""
+    docs = []
+    for text, own, becomes in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+        patch = {w: [(x["t"], x["c"]) for x in xs] for w, xs in zip(own, becomes)} if own else {}
+        docs.append(tokens_of(text, strip, patch))
+    count = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
+    ends = np.concatenate(([0], np.cumsum(count)))
+    tokens = [t for d in docs for t, _ in d]
+    compound = np.fromiter((c for d in docs for _, c in d), dtype=bool, count=len(tokens))
     doc = np.repeat(np.arange(len(count)), count)
-    pos = np.arange(len(tokens)) - np.repeat(first, count)
-    return spans(tokens, compound, np.repeat(ends[1:], count), glue, rules), doc, pos, tokens, compound
+    pos = np.arange(len(tokens)) - np.repeat(ends[:-1], count)
+    found = spans(tokens, compound, np.repeat(ends[1:], count), glue, rules) if rules else None
+    return found, doc, pos, tokens, compound
 
 
-def words_udf(glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
+def tokens_udf(strip: str, names: list[str], slice_rows: int = 256):
+    """``(key, pos, token, compound)`` for every token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, slice_rows):
+                b = whole.slice(lo, slice_rows)
+                _, doc, pos, tokens, compound = _batch(b, strip, "", None)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(doc)), pa.array(pos.astype(np.int32)), pa.array(tokens, pa.string()),
+                     pa.array(compound)], names)
+    return run
+
+
+def words_udf(strip: str, glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
     """``(key, pos, j, word, compound)`` for every wanted glued word, and for
     every compound (its own word, j = 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(lo, slice_rows)
-                (start, offset, words, _), doc, pos, tokens, compound = _batch(b, glue, rules)
+                (start, offset, words, _), doc, pos, tokens, compound = _batch(b, strip, glue, rules)
                 own = np.flatnonzero(compound)
                 words += [tokens[i] for i in own.tolist()]
                 kind = np.repeat([False, True], [len(start), len(own)])
@@ -157,13 +186,13 @@ def words_udf(glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
     return run
 
 
-def starts_udf(glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
+def starts_udf(strip: str, glue: str, rules: Rules, names: list[str], slice_rows: int = 256):
     """``(key, pos, token, compound, skip)`` for every start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, slice_rows):
                 b = whole.slice(lo, slice_rows)
-                (_, _, _, skip), doc, pos, tokens, compound = _batch(b, glue, rules)
+                (_, _, _, skip), doc, pos, tokens, compound = _batch(b, strip, glue, rules)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(doc)), pa.array(pos.astype(np.int32)), pa.array(tokens, pa.string()),
                      pa.array(compound), pa.array(skip)], names)

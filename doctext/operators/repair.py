@@ -9,11 +9,12 @@ Plan:
 
 1. documents are hash-partitioned on their key once; later aggregates and
    windows are keyed on (document, ...) and keep that partitioning;
-2. tokens are split once into one array per document; tokens with ``. _ -``
-   are looked up (merged form and parts) by a join with the word list and
-   patched back in, each with a flag that says whether it is a compound;
-3. the glued words are found on Arrow batches of whole token arrays by array
-   arithmetic (``functions/spans.py``); a bitmap of the word list (one
+2. tokens with ``. _ -`` are decided once for every distinct token (merged
+   form and parts looked up by a join with the word list); a document takes
+   the verdicts of its own distinct tokens with it, each with a flag that says
+   whether it is a compound;
+3. texts are split, patched and searched for glued words on Arrow batches, by
+   array arithmetic (``functions/spans.py``); a bitmap of the word list (one
    megabyte, whatever its length) holds back nearly all that are not listed;
 4. what is left is joined with the word list (a broadcast below the session's
    size threshold, otherwise a shuffle join); the longest listed word per
@@ -25,15 +26,16 @@ Plan:
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.spans import BITS, Rules, list_udf, starts_udf, words_udf
+from ..functions.spans import BITS, Rules, list_udf, starts_udf, tokens_udf, words_udf
 from ..functions.text import is_email_token, is_url_token, words
-from ..schema import COMPOUND_CHARS, Settings
+from ..schema import COMPOUND_CHARS, WORD_STRIP, Settings
 from ..session import ship
 
 #: What a compound adds to a glued word: characters no listed word holds, as
@@ -70,44 +72,54 @@ def _is_compound_candidate(w: Column) -> Column:
     return has & ~is_email_token(w) & ~is_url_token(w)
 
 
-def preprocess_tokens(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
-                      settings: Settings) -> DataFrame:
-    """M2: one row per document with its token array ``toks`` (``t`` the
-    token, ``c`` whether it is a compound) after the compound handling.
+#: A run of non-spaces that holds one of the compound characters, found from
+#: its first character only (one look at every character).
+_COMPOUND_RUN = f"(?<![^ ])[^ {re.escape(COMPOUND_CHARS)}]*+[{re.escape(COMPOUND_CHARS)}][^ ]*"
 
-    Tokens are split on single spaces; e-mails and URLs stay as they are.
-    A token containing ``. _ -``: its merged form if that is a word; else,
-    when every part is a word longer than one letter, the token as a
-    compound; else its parts.
-    """
-    d = docs.select(key, words(F.col(text), " ").alias("toks"))
-    comp = (d.select(key, F.posexplode("toks").alias("pos", "w"))
-              .filter(_is_compound_candidate(F.col("w")))
-              .select(key, "pos", "w",
-                      F.translate("w", COMPOUND_CHARS, "").alias("merged"),
-                      words(F.col("w"), COMPOUND_CHARS).alias("parts")))
+
+def compound_verdicts(types: DataFrame, dictionary: DataFrame, settings: Settings) -> DataFrame:
+    """M2's rule for every distinct token ``w`` with ``. _ -`` inside: what it
+    ``becomes``, an array of ``t`` (token) and ``c`` (compound?)."""
+    t = types.select("w", F.translate("w", COMPOUND_CHARS, "").alias("merged"), words(F.col("w"), COMPOUND_CHARS).alias("parts"))
     # Every word to look up: the merged form (idx -1) and each part.
-    look = comp.select(key, "pos", F.explode(F.array_insert(
+    look = t.select("w", F.explode(F.array_insert(
         F.transform("parts", lambda p, i: F.struct(i.alias("idx"), p.alias("word"))),
-        1, F.struct(F.lit(-1).alias("idx"), F.col("merged").alias("word")))).alias("_l"))
-    look = look.select(key, "pos", "_l.idx", "_l.word")
-    checked = word_valid(look, dictionary, settings, "word")
-    verdict = checked.groupBy(key, "pos").agg(
+        1, F.struct(F.lit(-1).alias("idx"), F.col("merged").alias("word")))).alias("l")).select("w", "l.idx", "l.word")
+    verdict = word_valid(look, dictionary, settings, "word").groupBy("w").agg(
         F.max(F.when(F.col("idx") == -1, F.col("valid"))).alias("merged_ok"),
         F.coalesce(F.min(F.when(F.col("idx") >= 0, F.col("valid") & (F.length("word") > 1))),
                    F.lit(True)).alias("parts_ok"))
-    plain = lambda w: F.struct(w.alias("t"), F.lit(False).alias("c"))
-    exp = comp.join(verdict, [key, "pos"]).select(
-        key, "pos",
-        F.when(F.col("merged_ok") | (F.size("parts") == 0), F.array(plain(F.col("merged"))))
-         .when(F.col("parts_ok"), F.array(F.struct(F.col("w").alias("t"), F.lit(True).alias("c"))))
-         .otherwise(F.transform("parts", plain)).alias("exp"))
-    patches = exp.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", "exp"))).alias("patch"))
-    j = d.join(patches, key, "left")
-    patched = F.flatten(F.transform(
-        "toks", lambda w, i: F.coalesce(F.try_element_at(F.col("patch"), i), F.array(plain(w)))))
-    return j.select(key, F.when(F.col("patch").isNull(), F.transform("toks", plain)).otherwise(patched).alias("toks"))
+    plain = lambda x: F.struct(x.alias("t"), F.lit(False).alias("c"))
+    return t.join(verdict, "w").select("w", F.when(
+        F.col("merged_ok") | (F.size("parts") == 0), F.array(plain(F.col("merged"))))
+        .when(F.col("parts_ok"), F.array(F.struct(F.col("w").alias("t"), F.lit(True).alias("c"))))
+        .otherwise(F.transform("parts", plain)).alias("becomes"))
+
+
+def prepared(docs: DataFrame, key: str, text: str, dictionary: DataFrame, settings: Settings) -> DataFrame:
+    """M2: every document with the tokens in it that the compound rule
+    changes, ``own``, and what each ``becomes``.
+
+    Tokens are split on single spaces; e-mails and URLs stay as they are.
+    A token containing ``. _ -``: its merged form if that is a word; else,
+    when every part is a word longer than one letter, the token as a
+    compound; else its parts.  The rule is decided once for every distinct
+    token; a document meets the verdicts of its own distinct tokens.
+    """
+    runs = F.transform(F.regexp_extract_all(text, F.lit(_COMPOUND_RUN), 0), lambda w: F.btrim(w, F.lit(WORD_STRIP)))
+    own = docs.select(key, F.explode(F.array_distinct(F.filter(runs, _is_compound_candidate))).alias("w"))
+    found = own.join(compound_verdicts(own.select("w").distinct(), dictionary, settings), "w")
+    patches = found.groupBy(key).agg(F.collect_list(F.struct("w", "becomes")).alias("p"))
+    return docs.select(key, F.col(text).alias("text")).join(patches, key, "left").select(
+        key, "text", F.col("p.w").alias("own"), F.col("p.becomes").alias("becomes"))
+
+
+def preprocess_tokens(docs: DataFrame, key: str, text: str, dictionary: DataFrame, settings: Settings) -> DataFrame:
+    """M2 as rows: ``(key, pos, token, compound)``."""
+    pre = prepared(docs, key, text, dictionary, settings)
+    ship(docs.sparkSession)
+    return pre.mapInArrow(tokens_udf(WORD_STRIP, [key, "pos", "token", "compound"]),
+                          f"`{key}` {pre.schema[key].dataType.simpleString()}, pos int, token string, compound boolean")
 
 
 def _rules(s: Settings, dictionary: DataFrame | None = None) -> Rules:
@@ -131,8 +143,8 @@ def _glued(pre: DataFrame, key: str, s: Settings, dictionary: DataFrame | None =
     """(key, pos, j, word, compound): glued words, and the compounds."""
     ship(pre.sparkSession)
     names = [key, "pos", "j", "word", "compound"]
-    return pre.select(key, "toks").mapInArrow(
-        words_udf(COMPOUND_GLUE, _rules(s, dictionary), names),
+    return pre.mapInArrow(
+        words_udf(WORD_STRIP, COMPOUND_GLUE, _rules(s, dictionary), names),
         f"`{key}` {pre.schema[key].dataType.simpleString()}, pos int, j int, word string, compound boolean")
 
 
@@ -157,7 +169,7 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
     """Run M2-M6 over ``docs(key, text)`` as one chain."""
     s = settings
     docs = docs.repartition(key)
-    pre = preprocess_tokens(docs, key, text, dictionary, s)
+    pre = prepared(docs, key, text, dictionary, s)
     ship(docs.sparkSession)
     matched = _matches(pre, key, dictionary, s)
     w = Window.partitionBy(key).orderBy("pos")
@@ -189,8 +201,8 @@ def repair(docs: DataFrame, key: str, text: str, dictionary: DataFrame,
     # reaches past, so a running maximum over the kept ends says which.
     marks = kept.select(key, "pos", F.col("end").alias("_end"))
     kind = pre.schema[key].dataType.simpleString()
-    starts = pre.select(key, "toks").mapInArrow(
-        starts_udf(COMPOUND_GLUE, _rules(s), [key, "pos", "token", "compound", "skip"]),
+    starts = pre.mapInArrow(
+        starts_udf(WORD_STRIP, COMPOUND_GLUE, _rules(s), [key, "pos", "token", "compound", "skip"]),
         f"`{key}` {kind}, pos int, token string, compound boolean, skip boolean")
     per = (starts.repartition(key).join(marks, [key, "pos"], "left")
            .withColumn("_past", F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, 0))))

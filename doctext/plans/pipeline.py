@@ -3,15 +3,21 @@ and the search-index documents (Q1)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import urls as U
 from ..operators import archive, assemble, select, state
+from ..operators.index import SearchIndex, text_changes
+from ..operators.keys import near_keys
 from ..operators.repair import clear_text
+from ..operators.texttable import TextTable
 from ..schema import ERROR, NO_TEXT_URL_MARK, UNAVAILABLE, Settings
 from ..session import written
+from ..sources.pages import page_text, pages_by_url, redirect_target
 
 
 def fetched_texts(documents: DataFrame) -> DataFrame:
@@ -21,58 +27,82 @@ def fetched_texts(documents: DataFrame) -> DataFrame:
                             F.col("text").alias("raw"))
 
 
-def archive_texts(members: DataFrame, settings: Settings) -> DataFrame:
-    return archive.archive_text(members, settings.archive_blacklist).select(
+def archive_texts(members: DataFrame, settings: Settings, roots: DataFrame | None = None) -> DataFrame:
+    """Text of the archives; of ``roots(resource_id)`` only, if given."""
+    ids = None if roots is None else roots.select(F.expr("cast(substring(resource_id, 2) as bigint)").alias("root_id"))
+    return archive.archive_text(members, settings.archive_blacklist, ids).select(
         F.concat(F.lit("r"), "archive_id").alias("resource_id"), F.col("text").alias("archive_raw"))
 
 
-def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
-            fetched: DataFrame, archives: DataFrame, settings: Settings,
-            do_clean: bool = False, dictionary: DataFrame | None = None) -> DataFrame:
-    """The text stored for every given resource, one `when` chain.
-
-    Order of the rules: a no-text URL -> NOT_AVAILABLE; blacklisted URL
-    suffix or package, blank URL, over-size file -> ''; an archive URL ->
-    its members' text, or ERROR when there is no readable archive; no fetched
-    text -> ERROR (W8: the pessimistic default); an error page -> ERROR;
-    otherwise the stripped, normalised text.  Then: blank -> NOT_AVAILABLE
-    (text_clear ''), cut to ``max_chars``; text_clear is the repaired text
-    only where cleaning applies (package source listed, URL ends in
-    rar/zip/pdf) and never for a sentinel.
-
-    Joins are keyed on the resource (or package) and are the only exchanges.
-    """
+def routes(resources: DataFrame, packages: DataFrame, harvest: DataFrame, settings: Settings) -> DataFrame:
+    """Where the text of every resource comes from, by its narrow columns:
+    ``none`` (a URL that has no text: NOT_AVAILABLE), ``empty`` (blacklisted
+    suffix or package, blank URL, over-size file), ``archive`` or ``fetch``."""
     s = settings
     r = (resources.join(packages.select("package_id", "title"), "package_id")
                   .join(assemble.harvest_guid(harvest), "package_id", "left"))
     r = r.withColumn("text_url", U.fulltext_url("url", "title", "name", "guid"))
-    r = r.withColumn("norm_url", U.normalise_url("text_url"))
-    r = r.join(fetched, "resource_id", "left").join(archives, "resource_id", "left")
+    route = (F.when(F.col("text_url").contains(NO_TEXT_URL_MARK), "none")
+              .when(select.has_blacklisted_suffix("text_url", s.format_blacklist)
+                    | select.in_list("package_id", s.package_blacklist) | tx.is_blank("text_url")
+                    | select.is_oversize("file_size", s.max_file_size), "empty")
+              .when(select.is_archive_url(U.normalise_url("text_url")), "archive").otherwise("fetch"))
+    return r.select("resource_id", "package_id", route.alias("route"),
+                    F.lower("text_url").endswith(".csv").alias("is_csv"),
+                    F.lower("text_url").endswith(".html").alias("is_page"))
+
+
+def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
+            fetched: DataFrame, members: DataFrame, settings: Settings,
+            do_clean: bool = False, dictionary: DataFrame | None = None,
+            pages: DataFrame | None = None) -> DataFrame:
+    """The text stored for every given resource.
+
+    The rules that need no text come first (``routes``): a no-text URL ->
+    NOT_AVAILABLE; blacklisted URL suffix or package, blank URL, over-size
+    file -> ''.  Only the resources that are left meet texts: an archive URL
+    takes its members' text, or ERROR when there is no readable archive; a
+    fetched page (``pages(resource_id, page_raw, is_read)``, if given) its
+    plain text after redirects; others the fetched text, ERROR without one
+    (W8: the pessimistic default) and for an error page; texts are stripped
+    and normalised.  Then: blank -> NOT_AVAILABLE (text_clear ''), cut to
+    ``max_chars``; text_clear is the repaired text only where cleaning applies
+    (package source listed, URL ends in rar/zip/pdf) and never for a sentinel.
+
+    The routes are written once (keys and flags); texts of other resources
+    are held back by a bitmap of the keys before the joins shuffle anything.
+    """
+    s = settings
+    r = written(routes(resources, packages, harvest, s), "routes")
+    plain = r.where("route in ('none', 'empty')").select(
+        "resource_id", "package_id", F.when(F.col("route") == "empty", "").alias("got"), (F.col("route") == "none").alias("none"))
+
+    kept = r.where("route = 'archive'").select("resource_id", "package_id")
+    zipped = kept.join(archive_texts(members, s, kept), "resource_id", "left").select(
+        "resource_id", "package_id", F.coalesce("archive_raw", F.lit(ERROR)).alias("got"), F.lit(False).alias("none"))
+
+    asked = r.where("route = 'fetch'").select("resource_id", "package_id", "is_csv", "is_page")
+    f = asked.join(near_keys(fetched, asked, "resource_id"), "resource_id", "left")
+    if pages is not None:
+        mine = near_keys(pages, asked.where("is_page"), "resource_id")
+        f = f.join(page_texts(mine, pages), F.col("is_page") & (F.col("resource_id") == F.col("page_resource")), "left")
+        f = f.withColumn("raw", F.when(F.col("page_resource").isNotNull(), F.col("page_raw")).otherwise(F.col("raw")))
     stripped = tx.strip_ws(F.col("raw"))
-    raw_text = (F.when(F.lower("text_url").endswith(".csv"), tx.normalise(stripped, is_csv=True))
-                 .otherwise(tx.normalise(stripped)))
-    got = (F.when(F.col("text_url").contains(NO_TEXT_URL_MARK), F.lit(None).cast("string"))
-            .when(select.has_blacklisted_suffix("text_url", s.format_blacklist), F.lit(""))
-            .when(select.in_list("package_id", s.package_blacklist), F.lit(""))
-            .when(tx.is_blank("text_url"), F.lit(""))
-            .when(select.is_oversize("file_size", s.max_file_size), F.lit(""))
-            .when(select.is_archive_url("norm_url"), F.coalesce("archive_raw", F.lit(ERROR)))
-            .when(F.col("raw").isNull(), F.lit(ERROR))
-            .when(tx.is_error_page("raw"), F.lit(ERROR))
-            .otherwise(raw_text))
-    r = r.withColumn("got", tx.truncate(got, s.max_chars))
-    alkis = F.col("text_url").contains(NO_TEXT_URL_MARK)
+    raw_text = F.when(F.col("is_csv"), tx.normalise(stripped, is_csv=True)).otherwise(tx.normalise(stripped))
+    got = F.when(F.col("raw").isNull() | tx.is_error_page("raw"), F.lit(ERROR)).otherwise(raw_text)
+    read = f.select("resource_id", "package_id", got.alias("got"), F.lit(False).alias("none"))
+
+    o = plain.unionByName(zipped).unionByName(read).withColumn("got", tx.truncate("got", s.max_chars))
     blank = tx.is_blank("got")
-    text = (F.when(alkis, F.lit(UNAVAILABLE)).when(blank, F.lit(UNAVAILABLE))
-             .otherwise(tx.truncate("got", s.max_chars)))
-    out = r.select("resource_id", "package_id", "url", text.alias("text"),
-                   (alkis | blank).alias("_blank_or_alkis"), blank.alias("_blank"))
+    text = F.when(F.col("none") | blank, F.lit(UNAVAILABLE)).otherwise(F.col("got"))
+    out = o.select("resource_id", "package_id", text.alias("text"),
+                   (F.col("none") | blank).alias("_blank_or_none"), blank.alias("_blank"))
     if not do_clean:
         return out.select("resource_id", "package_id", "text",
                           F.lit(None).cast("string").alias("text_clear"))
     elig = assemble.clean_eligible(resources, harvest, s.clean_sources).select("resource_id", "clean")
     out = written(out.join(elig, "resource_id", "left"), "uncleaned")
-    todo = out.filter(F.col("clean") & ~F.col("_blank_or_alkis") & ~state.is_sentinel("text"))
+    todo = out.filter(F.col("clean") & ~F.col("_blank_or_none") & ~state.is_sentinel("text"))
     cleaned = clear_text(todo.select("resource_id", "text"), "resource_id", "text", dictionary, s)
     out = out.join(cleaned, "resource_id", "left")
     tc = (F.when(F.col("_blank"), F.lit(""))
@@ -80,18 +110,57 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
     return out.select("resource_id", "package_id", "text", tc.alias("text_clear"))
 
 
-def process_packages(catalog, package_ids: DataFrame, settings: Settings,
+def page_texts(mine: DataFrame, pages: DataFrame) -> DataFrame:
+    """S4 with J6: ``(page_resource, page_raw)`` for fetched pages
+    ``mine(resource_id, page_id, url, html)``: the plain text of the page, or
+    of the page its script sends to; null when that one is not there.  Only
+    pages that are read are turned into text."""
+    src = mine.select(F.col("resource_id").alias("page_resource"), "page_id", "url", "html",
+                      redirect_target("url", "html").alias("target"))
+    own = src.where(F.col("target").eqNullSafe(F.col("url"))).select(
+        "page_resource", F.coalesce(page_text("html"), F.lit("")).alias("page_raw"))
+    sent = src.where(~F.col("target").eqNullSafe(F.col("url"))).select("page_resource", "target")
+    return own.unionByName(sent.join(pages_by_url(pages, sent), "target", "left").select(
+        "page_resource", F.when(F.col("target_id").isNotNull(), F.coalesce("text", F.lit(""))).alias("page_raw")))
+
+
+@dataclass
+class Run:
+    """What a batch run leaves behind."""
+    table: TextTable                  # the stored texts (S5)
+    buckets: list[int]                # partitions that were replaced
+    outcome: DataFrame                # new texts of the processed resources
+    documents: DataFrame              # index documents of the packages processed (Q1)
+    index: SearchIndex | None         # the search index with the run's differences
+
+
+def process_packages(catalog, package_ids: DataFrame, settings: Settings, table: TextTable,
                      do_clean: bool = True, dictionary: DataFrame | None = None,
-                     fetched: DataFrame | None = None) -> DataFrame:
-    """B1: selected packages end to end -> the new text table.  One plan:
-    selection -> text URL -> fetched/archive text -> normalise -> outcome ->
-    repair -> merged table (written once by the caller)."""
-    res = catalog.resource.join(package_ids.distinct(), "package_id", "left_semi")
-    fetched = fetched if fetched is not None else fetched_texts(catalog.documents)
-    o = outcome(res, catalog.package, catalog.harvest, fetched,
-                archive_texts(catalog.members, settings), settings, do_clean, dictionary)
-    # Read three times by the write-back: computed once.
-    return state.apply_outcome(catalog.fulltext, written(o, "outcome"))
+                     fetched: DataFrame | None = None, pages: DataFrame | None = None,
+                     index: SearchIndex | None = None, batch: int = 1) -> Run:
+    """B1: selected packages end to end, as one job with several outputs.
+
+    Narrow rules -> texts of what is left (fetched, pages after redirects,
+    archives) -> outcome -> repair, written once; from there the touched
+    buckets of the text table, the index documents of the processed packages
+    and the differences of the search index.
+    """
+    ids = package_ids.distinct()
+    res = catalog.resource.join(ids, "package_id", "left_semi")
+    fetched = fetched if fetched is not None else fetched_texts(catalog.raw("documents"))
+    o = written(outcome(res, catalog.package, catalog.harvest, fetched, catalog.members, settings,
+                        do_clean, dictionary, pages), "outcome")
+    before = None
+    if index is not None:
+        before = written(near_keys(table.read(table.touched(o)), o, "package_id"), "before")
+    buckets = table.apply(o)
+    after = near_keys(table.read(buckets), o, "package_id")
+    packages = catalog.package.join(ids, "package_id", "left_semi")
+    if index is not None:
+        shown = packages.where((F.col("type") != "harvest") & ~select.in_list("package_id", settings.package_blacklist))
+        listed = res.join(shown.select("package_id"), "package_id", "left_semi")
+        index = index.apply(text_changes(before, after, listed), batch)
+    return Run(table, buckets, o, index_documents(packages, res, after, settings), index)
 
 
 def index_documents(packages: DataFrame, resources: DataFrame, ft: DataFrame,
@@ -101,8 +170,7 @@ def index_documents(packages: DataFrame, resources: DataFrame, ft: DataFrame,
     whole package without text fields as JSON ``data_dict`` and
     ``validated_data_dict``, and the old catch-all fields set to ''."""
     pk = packages.filter(F.col("type") != "harvest")
-    texts = assemble.attach_fulltext(resources, ft, settings.resource_format_blacklist,
-                                     settings.read_limit, settings.package_blacklist)
+    texts = assemble.attach_fulltext(resources, ft, (), settings.read_limit, settings.package_blacklist)
     agg = texts.groupBy("package_id").agg(
         F.array_sort(F.collect_list(F.struct("position", "text", "text_clear"))).alias("_t"))
     nested = assemble.strip_fulltext(assemble.nest_resources(pk, resources))

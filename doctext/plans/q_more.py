@@ -124,7 +124,8 @@ def redirect_target(c):
 @query("redirect_text", f"""
 SELECT s.page_id, s.target, d.page_id AS target_id, {sql_page_text('d.html')} AS text
 FROM (SELECT page_id, {sql_redirect_target('url', 'html')} AS target FROM rpages) s
-LEFT JOIN rpages d ON d.url = s.target""", {"rpages": REDIRECT_PAGES})
+LEFT JOIN (SELECT * FROM rpages WHERE page_id IN (SELECT min(page_id) FROM rpages GROUP BY url)) d ON d.url = s.target""",
+       {"rpages": REDIRECT_PAGES})
 def redirect_text(c):
     return pg.redirect_text(redirect_pages(c))
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..functions.text import sql_quote
 from ..operators import select
-from ..session import scratch_path
+from ..operators.index import SearchIndex
+from ..operators.texttable import TextTable
+from ..session import scratch_path, written
 from . import pipeline as pl
 from .params import MAX_SIZE, SETTINGS as S
-from .q_more import MEMBER_TEXT, TREE
+from .q_more import MEMBER_TEXT, REDIRECT_PAGES, TREE, redirect_pages, sql_page_text, sql_redirect_target
 from .q_repair import REPAIR_CTES, TOKENS_SQL, word_list
+from .q_search import INDEX_SQL, POSTINGS_SQL, index_texts
 from .q_text import PYWS, sql_fulltext_url, sql_normalise, sql_normalise_url
 from .registry import query
 
@@ -28,7 +33,14 @@ IS_ERROR_PAGE = ("(contains(d.text, '404 - File or directory not found') OR cont
 BLANK = "regexp_matches(coalesce({x}, ''), '^{ws}*$')".replace("{ws}", PYWS)
 
 
-def _outcome_sql(select_pkgs: str, fetched_filter: str = "true") -> str:
+def _outcome_sql(select_pkgs: str, fetched_filter: str = "true", pages: bool = False) -> str:
+    """``pages``: a URL that ends in .html is read from ``page_raw``, where
+    that has the resource."""
+    fetched = f"SELECT concat('r', doc_id) AS resource_id, text FROM documents WHERE {fetched_filter}"
+    if pages:
+        fetched = f"""SELECT f.resource_id, CASE WHEN x.resource_id IS NOT NULL AND ends_with(lower(y.text_url), '.html')
+      THEN x.page_raw ELSE f.text END AS text
+    FROM ({fetched}) f JOIN urls y ON y.resource_id = f.resource_id LEFT JOIN page_raw x ON x.resource_id = f.resource_id"""
     raw = f"regexp_replace(d.text, '^{PYWS}+|{PYWS}+$', '', 'g')"
     got = f"""CASE WHEN contains(u.text_url, 'alkis_liegenschaftskarte') THEN NULL
       WHEN ends_with(lower(u.text_url), 'gml') THEN ''
@@ -47,7 +59,7 @@ sel AS ({select_pkgs}),
 o AS (
   SELECT r.resource_id, r.package_id, u.text_url, {got} AS got
   FROM resource r JOIN urls u ON u.resource_id = r.resource_id
-  LEFT JOIN (SELECT * FROM documents WHERE {fetched_filter}) d ON concat('r', d.doc_id) = r.resource_id
+  LEFT JOIN ({fetched}) d ON d.resource_id = r.resource_id
   LEFT JOIN arch a ON a.resource_id = r.resource_id
   WHERE r.package_id IN (SELECT package_id FROM sel)),
 outcome AS (
@@ -72,8 +84,7 @@ def _selection(c):
 
 @query("outcome", _outcome_sql("SELECT package_id FROM package") + "SELECT * FROM outcome")
 def outcome(c):
-    return pl.outcome(c.resource, c.package, c.harvest, pl.fetched_texts(c.documents),
-                      pl.archive_texts(c.members, S), S)
+    return pl.outcome(c.resource, c.package, c.harvest, pl.fetched_texts(c.raw("documents")), c.members, S)
 
 
 @query("outcome_default_error",
@@ -82,8 +93,8 @@ def outcome_default_error(c):
     """A fetch that produced nothing (here: every sixth document is
     missing from the fetch output) leaves ERROR_FULLTEXT."""
     res = c.resource.join(_selection(c), "package_id", "left_semi")
-    fetched = pl.fetched_texts(c.documents.filter(F.col("doc_id") % 6 != 5))
-    return pl.outcome(res, c.package, c.harvest, fetched, pl.archive_texts(c.members, S), S)
+    fetched = pl.fetched_texts(c.raw("documents").filter(F.col("doc_id") % 6 != 5))
+    return pl.outcome(res, c.package, c.harvest, fetched, c.members, S)
 
 
 APPLY_SQL = f"""
@@ -102,16 +113,45 @@ SELECT concat(o.resource_id, '-new'), o.resource_id, o.package_id, o.text, o.tex
 WHERE o.resource_id NOT IN (SELECT resource_id FROM fulltext)"""
 
 
+def stored_table(c, buckets: int = 16) -> TextTable:
+    """A stored copy of the text table for a query to work on."""
+    table = TextTable(c.spark, scratch_path(c.spark, "fulltext"), buckets)
+    table.create(c.fulltext)
+    return table
+
+
 @query("apply_outcome", _outcome_sql(SEL_RETRY) + ", " + APPLY_SQL)
 def apply_outcome(c):
-    return pl.process_packages(c, _selection(c), S, do_clean=False)
+    """The outcome of the selected packages written to the stored table,
+    which is read back."""
+    res = c.resource.join(_selection(c), "package_id", "left_semi")
+    o = written(pl.outcome(res, c.package, c.harvest, pl.fetched_texts(c.raw("documents")), c.members, S), "outcome")
+    table = stored_table(c)
+    table.apply(o)
+    return table.read()
+
 
+# The fetched pages: r<n> is read from page n, whose script may send on.
+PAGE_CTES = {"rpages": REDIRECT_PAGES, "page_raw": f"""
+SELECT concat('r', s.page_id) AS resource_id,
+  CASE WHEN s.target = s.url THEN coalesce({sql_page_text('s.html')}, '')
+       WHEN d.page_id IS NOT NULL THEN coalesce({sql_page_text('d.html')}, '') END AS page_raw
+FROM (SELECT page_id, url, html, {sql_redirect_target('url', 'html')} AS target FROM rpages) s
+LEFT JOIN (SELECT * FROM rpages WHERE page_id IN (SELECT min(page_id) FROM rpages GROUP BY url)) d ON d.url = s.target"""}
 
-def _process_sql() -> str:
-    """The outcome, the repair over its cleanable texts, the write-back."""
+
+def fetched_pages(c):
+    return redirect_pages(c).select(F.concat(F.lit("r"), "page_id").alias("resource_id"), "page_id", "url", "html")
+
+
+def _process_sql(tail: str) -> str:
+    """The outcome, the repair over its cleanable texts, the write-back
+    (``after``: the table after the run)."""
     repair = "".join(f",\n{name} AS ({sql})" for name, sql in (REPAIR_CTES | {"raw_tokens": TOKENS_SQL.replace(
         "SELECT doc_id, replace(text, 'er', 'e r') AS text FROM documents", "SELECT doc_id, text FROM todo")}).items())
-    return _outcome_sql(SEL_RETRY) + f""",
+    apply = APPLY_SQL.replace("keep AS", "winner AS").replace("FROM keep k", "FROM winner k").replace("outcome", "cleaned")
+    head, _, rows = apply.partition("SELECT id, resource_id, package_id, text, text_clear FROM fulltext")
+    return _outcome_sql(SEL_RETRY, pages=True) + f""",
 src AS (SELECT package_id, arg_min(source_title, (guid, source_title)) AS source_title
         FROM harvest WHERE current GROUP BY package_id),
 todo AS (
@@ -124,15 +164,40 @@ cleaned AS (
   SELECT u.resource_id, u.package_id, u.text,
     CASE WHEN u.text = 'NOT_AVAILABLE' THEN '' WHEN t.doc_id IS NOT NULL THEN coalesce(k.text_clear, '') END AS text_clear
   FROM outcome u LEFT JOIN todo t ON t.doc_id = u.resource_id LEFT JOIN tcl k ON k.doc_id = u.resource_id),
-""" + APPLY_SQL.replace("keep AS", "winner AS").replace("FROM keep k", "FROM winner k").replace("outcome", "cleaned")
+{head}, after AS (SELECT id, resource_id, package_id, text, text_clear FROM fulltext{rows})
+{tail}"""
 
 
-@query("process_packages", _process_sql())
-def process_packages(c):
-    """B1 with cleaning on: outcome, repair of eligible texts, write-back."""
-    import dataclasses
+def batch_run(c, index: bool = False) -> pl.Run:
+    """B1 over the packages that need work, cleaning on, pages and redirects
+    read; with ``index`` also the search index of before is brought up to date."""
     s = dataclasses.replace(S, clean_sources=("source1", "source2"))
-    return pl.process_packages(c, _selection(c), s, do_clean=True, dictionary=word_list(c))
+    before = SearchIndex.build(index_texts(c), scratch_path(c.spark, "index")) if index else None
+    return pl.process_packages(c, _selection(c), s, stored_table(c), do_clean=True, dictionary=word_list(c),
+                               pages=fetched_pages(c), index=before)
+
+
+@query("process_packages", _process_sql("SELECT * FROM after"), PAGE_CTES)
+def process_packages(c):
+    """B1: the stored text table after the run."""
+    return batch_run(c).table.read()
+
+
+@query("process_packages_documents", _process_sql(f"""
+SELECT r.package_id, r.position, coalesce(w.text, '') AS text, coalesce(w.text_clear, '') AS text_clear
+FROM resource r JOIN package p ON p.package_id = r.package_id LEFT JOIN after w ON w.resource_id = r.resource_id
+WHERE p.type <> 'harvest' AND r.package_id NOT IN {PKG_BL} AND r.package_id IN (SELECT package_id FROM sel)"""), PAGE_CTES)
+def process_packages_documents(c):
+    """B1: the index documents (Q1) of the packages that were processed."""
+    return _flat_documents(batch_run(c).documents)
+
+
+@query("process_packages_index", _process_sql(
+    POSTINGS_SQL.replace("FROM idx", f"FROM ({INDEX_SQL.replace('deduped', 'after')})")), PAGE_CTES)
+def process_packages_index(c):
+    """B1: the search index after the run's differences equals one that is
+    built from the table it left."""
+    return batch_run(c, index=True).index.postings()
 
 
 @query("clean_eligible", """
@@ -153,13 +218,16 @@ WITH deduped AS (
     CASE WHEN text IN ('UNPROCESSED_FULLTEXT', 'ERROR_FULLTEXT') THEN 1 ELSE 0 END, id) AS rn FROM fulltext) x
   WHERE rn = 1)
 SELECT r.package_id, r.position,
-  CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE d.text END AS text,
-  coalesce(CASE WHEN lower(r.format) IN ('de') OR d.id IS NULL THEN '' ELSE d.text_clear END, '') AS text_clear
+  CASE WHEN d.id IS NULL THEN '' ELSE d.text END AS text,
+  coalesce(CASE WHEN d.id IS NULL THEN '' ELSE d.text_clear END, '') AS text_clear
 FROM resource r JOIN package p ON p.package_id = r.package_id
 LEFT JOIN deduped d ON d.package_id = r.package_id AND d.resource_id = r.resource_id
 WHERE p.type <> 'harvest' AND r.package_id NOT IN {PKG_BL}""")
 def index_document(c):
-    docs = pl.index_documents(c.package, c.resource, c.fulltext, S)
+    return _flat_documents(pl.index_documents(c.package, c.resource, c.fulltext, S))
+
+
+def _flat_documents(docs):
     return docs.select("package_id", F.posexplode(F.arrays_zip(
         F.col("res_fulltext").alias("text"), F.col("res_fulltext_clear").alias("text_clear"))).alias("position", "x")) \
         .select("package_id", F.col("position").cast("bigint").alias("position"), "x.text", "x.text_clear")

@@ -113,9 +113,7 @@ FROM flat"""
 @query("preprocess_tokens", "SELECT doc_id, pos, token, compound FROM pre_tokens",
        {"raw_tokens": TOKENS_SQL, "pre_tokens": PRE_SQL})
 def preprocess_tokens(c):
-    d = rp.preprocess_tokens(broken_docs(c), "doc_id", "text", word_list(c), S)
-    return (d.select("doc_id", F.posexplode("toks").alias("pos", "x"))
-            .select("doc_id", "pos", F.col("x.t").alias("token"), F.col("x.c").alias("compound")))
+    return rp.preprocess_tokens(broken_docs(c), "doc_id", "text", word_list(c), S)
 
 
 def _upper_word(x):
@@ -193,14 +191,16 @@ REPAIR_CTES = {
 # The rows themselves (millions) are too many for a side-by-side run, so they
 # are compared as counts and checksums per document and offset.
 @query("window_candidates", """
-SELECT doc_id, CAST(j AS INTEGER) AS j, count(*) AS n, sum(length(word)) AS chars, min(word) AS first_word, max(word) AS last_word
+SELECT doc_id, CAST(j AS INTEGER) AS j, count(*) AS n, sum(length(word)) AS chars, min(word) AS first_word, max(word) AS last_word,
+  sum(CAST('0x' || left(md5(word), 8) AS BIGINT)) AS checksum
 FROM cands GROUP BY doc_id, j""", REPAIR_CTES)
 def window_candidates(c):
-    pre = rp.preprocess_tokens(broken_docs(c), "doc_id", "text", word_list(c), S)
+    pre = rp.prepared(broken_docs(c), "doc_id", "text", word_list(c), S)
     word = F.replace("word", F.lit(rp.COMPOUND_GLUE), F.lit("|" * 9))
     return (rp.candidates(pre, "doc_id", S).withColumn("word", word).groupBy("doc_id", "j")
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("word")).alias("chars"),
-                 F.min("word").alias("first_word"), F.max("word").alias("last_word")))
+                 F.min("word").alias("first_word"), F.max("word").alias("last_word"),
+                 F.sum(F.conv(F.left(F.md5("word"), F.lit(8)), 16, 10).cast("long")).alias("checksum")))
 
 
 @query("longest_match", 'SELECT doc_id, pos, "end", word FROM matched', REPAIR_CTES)

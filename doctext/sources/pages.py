@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import _col
 from ..functions.urls import resolve_relative
+from ..operators.keys import near_keys
 
 WS = r"[\t\n\x{0B}\f\r ]"
 
@@ -78,7 +79,14 @@ def page_text(c) -> Column:
 
 
 def first_script(html) -> Column:
-    return F.regexp_extract(_col(html), r"(?is)<script\b[^>]*>(.*?)</script>", 1)
+    """The inside of the first closed script block ('' without one).  Cut at
+    the closings: the first piece that holds an opening is the block's, so
+    every character is looked at a fixed number of times."""
+    pieces = F.split(_col(html), "(?i)</script>")
+    closed = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    inside = F.transform(closed, lambda p: _let(F.regexp_instr(p, F.lit(r"(?i)<script\b[^>]*>")), lambda at: F.when(
+        at > 0, _let(F.substr(p, at), lambda q: F.substr(q, F.instr(q, ">") + 1)))))
+    return F.coalesce(F.try_element_at(F.filter(inside, lambda x: x.isNotNull()), F.lit(1)), F.lit(""))
 
 
 def redirect_target(url, html) -> Column:
@@ -99,13 +107,24 @@ def redirect_target(url, html) -> Column:
              .otherwise(u))
 
 
+def pages_by_url(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(target, target_id, text)``: one page for every wanted ``target`` that
+    is a page's URL, the smallest id where pages share it.  The page is picked
+    on narrow columns; only picked pages are turned into text."""
+    first = (near_keys(pages.select(F.col("url").alias("target"), "page_id"), wanted.distinct(), "target")
+             .groupBy("target").agg(F.min("page_id").alias("target_id")))
+    picked = first.join(wanted.distinct(), "target", "left_semi")
+    body = near_keys(pages.select(F.col("page_id").alias("target_id"), "html"), picked, "target_id")
+    return picked.join(body, "target_id").select("target", "target_id", page_text("html").alias("text"))
+
+
 def redirect_text(pages: DataFrame) -> DataFrame:
     """J6 + S4: each page's target and the plain text of the target page.
 
-    A self join of the page table on the resolved URL; a popular target is
-    a skewed join key, which AQE's skew-join handling splits.
+    A target's page is picked and turned into text once, however many pages
+    lead to it; a popular target is a skewed join key, which AQE's skew-join
+    handling splits.
     """
-    src = pages.select("page_id", "url", redirect_target("url", "html").alias("target"))
-    dst = pages.select(F.col("url").alias("target"), F.col("page_id").alias("target_id"),
-                       page_text("html").alias("text"))
-    return src.join(dst, "target", "left").select("page_id", "target", "target_id", "text")
+    src = pages.select("page_id", redirect_target("url", "html").alias("target"))
+    return src.join(pages_by_url(pages, src.select("target")), "target", "left").select(
+        "page_id", "target", "target_id", "text")
