@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import FACET_LIMIT
+from ..session import written
 
 TOKEN_RE = r"[^\p{L}\p{Nd}]+"
 
@@ -49,15 +50,53 @@ def everything(packages: DataFrame) -> DataFrame:
 
 
 def page(ranked_df: DataFrame, start: int, rows: int, sort: list[Column] | None = None) -> DataFrame:
-    """Q6: one page of the ranked list, in the default order or by ``sort``.  ``orderBy().limit(start+rows)`` is
-    a top-k (per-task heaps, one small merge), never a full sort; the rank
-    is then numbered over at most start+rows rows."""
+    """Q6: one page of the ranked list, in the default order or by ``sort``.
+    ``orderBy().limit(start+rows)`` is a top-k (per-task heaps, one small
+    merge), never a full sort; the rank is then numbered over at most
+    start+rows rows.  For pages far down see ``page_at`` and ``page_after``."""
     order = sort or order_cols()
     top = ranked_df.orderBy(*order).limit(start + rows)
     w = Window.orderBy(*order)
     return top.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") > start)
 
 
+#: Rows of one range of ``page_at``.
+RANGE_ROWS = 100_000
+
+
+def page_at(df: DataFrame, start: int, rows: int, sort: list[Column], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Q6 for any ``start``: the list is laid out in ranges of its order,
+    written once; the ranges' row counts say which of them hold the page, and
+    only those are read and sorted.  ``sort`` must order all rows (end with
+    an id), and ``df`` should hold little beside its columns."""
+    n = max(1, -(-df.count() // range_rows))
+    laid = written(df.repartitionByRange(n, *sort).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = {r["_range"]: r["count"] for r in laid.groupBy("_range").count().collect()}   # one row a range
+    hit, before, seen = [], None, 0
+    for k in sorted(counts):
+        if seen < start + rows and seen + counts[k] > start:
+            hit.append(k)
+            before = seen if before is None else before
+        seen += counts[k]
+    near = laid.where(F.col("_range").isin(hit)) if hit else laid.limit(0)
+    rank = F.row_number().over(Window.orderBy(*sort)) + F.lit(before or 0)
+    return (near.withColumn("rank", rank.cast("long")).where((F.col("rank") > start) & (F.col("rank") <= start + rows))
+            .drop("_range"))
+
+
+def page_after(df: DataFrame, order: list[tuple[str, bool]], last: tuple | None, rows: int) -> DataFrame:
+    """Q6 by a cursor: the next ``rows`` rows after the row whose order values
+    are ``last`` (None: from the start), a top-k however far down.  ``order``
+    lists (column, descending) and ends with an id; its columns hold no nulls."""
+    if last is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for (name, down), value in zip(order, last):
+            beyond |= same & ((F.col(name) < F.lit(value)) if down else (F.col(name) > F.lit(value)))
+            same &= F.col(name) == F.lit(value)
+        df = df.where(beyond)
+    return df.orderBy(*[F.col(c).desc() if down else F.col(c) for c, down in order]).limit(rows)
+
+
 def count(matches: DataFrame) -> DataFrame:
     """Q6: total number of matches (before paging)."""
     return matches.agg(F.count("*").alias("count"))

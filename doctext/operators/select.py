@@ -105,7 +105,7 @@ def work_selection_capped(ft: DataFrame, max_chars: int = 0, force_all: bool = F
     """Run-mode choice: one id, or the selection with the length cap
     ``max(max_chars, len('UNPROCESSED_FULLTEXT'))``."""
     if package_id is not None:
-        return ft.sparkSession.createDataFrame([(package_id,)], "package_id string")
+        return all_package_ids(ft.where(F.col("package_id") == package_id))
     cap = max(max_chars, len(UNPROCESSED))
     return work_selection(ft, force_all=force_all, retry=retry, max_size=cap)
 

@@ -4,7 +4,7 @@ from ..schema import Settings
 
 SETTINGS = Settings(
     format_blacklist=("gml",),            # URL suffixes whose text is ''
-    resource_format_blacklist=("de",),    # resource formats hidden on read
+    resource_format_blacklist=("de",),    # of the queries about that list only
     package_blacklist=("p3", "p10"),
     archive_blacklist=("gml",),
     clean_sources=("source1",),
@@ -15,6 +15,7 @@ SETTINGS = Settings(
 
 MODIFIED_SINCE = "2024-01-01 08:00:00"
 RESOURCE_ID = "r5"
+PACKAGE_ID = "p2"
 MAX_SIZE = 5000
 #: The cuts are features of their own queries only; all others read whole texts.
 READ_LIMIT = 200

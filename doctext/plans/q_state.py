@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import sql_quote
 from ..operators import assemble, select, state
 from ..schema import ERROR_PHRASES
-from .params import CUT_CHARS, MAX_SIZE, MODIFIED_SINCE, OVERSIZE, READ_LIMIT, RESOURCE_ID, SETTINGS as S
+from .params import CUT_CHARS, MAX_SIZE, MODIFIED_SINCE, OVERSIZE, PACKAGE_ID, READ_LIMIT, RESOURCE_ID, SETTINGS as S
 from .registry import query
 
 ERR_SQL = "(" + ", ".join(sql_quote(p) for p in ERROR_PHRASES) + ")"
@@ -91,9 +91,12 @@ def packages_modified_since(c):
     return select.packages_modified_since(c.package, MODIFIED_SINCE)
 
 
-@query("work_selection_all", "SELECT DISTINCT package_id FROM fulltext")
+@query("work_selection_all", f"""
+SELECT * FROM (SELECT DISTINCT package_id FROM fulltext) a
+UNION ALL
+SELECT * FROM (SELECT DISTINCT package_id FROM fulltext WHERE length(text) > {MAX_SIZE}) b""")
 def work_selection_all(c):
-    return select.work_selection(c.fulltext, force_all=True)
+    return select.work_selection(c.fulltext, force_all=True, max_size=MAX_SIZE)
 
 
 @query("work_selection_retry", f"""
@@ -104,10 +107,12 @@ def work_selection_retry(c):
     return select.work_selection(c.fulltext, retry=True, max_size=MAX_SIZE)
 
 
-@query("work_selection_unprocessed",
-       "SELECT DISTINCT package_id FROM fulltext WHERE text = 'UNPROCESSED_FULLTEXT'")
+@query("work_selection_unprocessed", f"""
+SELECT * FROM (SELECT DISTINCT package_id FROM fulltext WHERE text = 'UNPROCESSED_FULLTEXT') a
+UNION ALL
+SELECT * FROM (SELECT DISTINCT package_id FROM fulltext WHERE length(text) > {MAX_SIZE}) b""")
 def work_selection_unprocessed(c):
-    return select.work_selection(c.fulltext, retry=False)
+    return select.work_selection(c.fulltext, retry=False, max_size=MAX_SIZE)
 
 
 @query("work_selection_capped", f"""
@@ -118,6 +123,12 @@ def work_selection_capped(c):
     return select.work_selection_capped(c.fulltext, max_chars=0)
 
 
+@query("work_selection_one", f"SELECT DISTINCT package_id FROM fulltext WHERE package_id = '{PACKAGE_ID}'")
+def work_selection_one(c):
+    """P13, the run of a single package."""
+    return select.work_selection_capped(c.fulltext, package_id=PACKAGE_ID)
+
+
 @query("clean_all_ids", "SELECT resource_id FROM fulltext")
 def clean_all_ids(c):
     return select.clean_all_ids(c.fulltext)
@@ -180,6 +191,10 @@ FROM resource r LEFT JOIN deduped d ON d.package_id = r.package_id AND d.resourc
 WHERE r.package_id NOT IN {PKG_BL_SQL}"""
 
 
+# The same without a format blacklist: what views and the index show.
+J1_ALL_SQL = J1_SQL.replace(f"lower(r.format) IN {FMT_SQL} OR ", "")
+
+
 @query("attach_fulltext", J1_SQL.format(t="d.text", tc="d.text_clear"), {"deduped": DEDUPED_SQL})
 def attach_fulltext(c):
     return assemble.attach_fulltext(c.resource, c.fulltext, S.resource_format_blacklist, 0,
@@ -195,15 +210,14 @@ def attach_fulltext_limited(c):
 
 
 @query("package_texts", f"""
-WITH j1 AS ({J1_SQL.format(t="d.text", tc="d.text_clear")}),
+WITH j1 AS ({J1_ALL_SQL.format(t="d.text", tc="d.text_clear")}),
 err AS (SELECT DISTINCT package_id FROM fulltext WHERE trim(text) IN {ERR_SQL})
 SELECT j1.*, (err.package_id IS NOT NULL) AS in_error
 FROM j1 LEFT JOIN err ON err.package_id = j1.package_id""", {"deduped": DEDUPED_SQL})
 def package_texts(c):
     """Flagship: each package's resource texts (blacklists applied)
     with the package's error flag."""
-    j1 = assemble.attach_fulltext(c.resource, c.fulltext, S.resource_format_blacklist,
-                                  0, S.package_blacklist)
+    j1 = assemble.attach_fulltext(c.resource, c.fulltext, (), 0, S.package_blacklist)
     err = select.packages_with_error(c.fulltext).withColumn("in_error", F.lit(True))
     return (j1.join(err, "package_id", "left")
               .withColumn("in_error", F.coalesce(F.col("in_error"), F.lit(False))))

@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..operators import assemble, state
+from ..operators import assemble, save, search
 from ..operators import visibility as V
+from ..operators.keys import near_keys
+from ..operators.texttable import TextTable
+from ..session import scratch_path
 from .params import SETTINGS as S
-from .q_state import DEDUPED_SQL, J1_SQL, MERGE_SQL
+from .q_state import DEDUPED_SQL, J1_ALL_SQL, MERGE_SQL
 from .registry import query
 
-PAGE_OFFSET, PAGE_LIMIT = 20, 25
+PAGE_OFFSET, PAGE_LIMIT, DEEP_OFFSET = 20, 25, 100
 
 # Extras of a package: owner, source url, modification date and the label
 # fields of its resources (max over the package).
@@ -69,11 +72,14 @@ def hide_extras_map(c):
 
 
 @query("hide_extras_list_absent", """
-SELECT package_id, key, value FROM extras WHERE key NOT IN ('owner')""", {"extras": EXTRAS_SQL})
+SELECT package_id, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys
+FROM extras WHERE key NOT IN ('owner') AND package_id IN (SELECT package_id FROM package) GROUP BY package_id""", {"extras": EXTRAS_SQL})
 def hide_extras_list_absent(c):
-    """V3 with a named key that no package has: falls back to the hidden set."""
+    """V3 with a named key that no package has: falls back to the hidden set
+    (the keys that are left)."""
     p = packages_with_extras(c).withColumn("extras", V.hide_extras_list("extras", S.hide_extras, "no_such_key"))
-    return explode_extras(p)
+    return p.select("package_id", F.size("extras").cast("long").alias("n"),
+                    F.array_join(F.array_sort(F.transform("extras", lambda e: e["key"])), ",").alias("keys"))
 
 
 @query("hide_extras_map_named", """
@@ -122,8 +128,7 @@ def hide_main(c):
 
 # ---- nested packages ----------------------------------------------------
 def _texts(c):
-    return assemble.attach_fulltext(c.resource, c.fulltext, S.resource_format_blacklist,
-                                    S.read_limit, S.package_blacklist)
+    return assemble.attach_fulltext(c.resource, c.fulltext, (), S.read_limit, S.package_blacklist)
 
 
 def show_full(c) -> DataFrame:
@@ -132,17 +137,19 @@ def show_full(c) -> DataFrame:
 
 
 def show_reduced(c) -> DataFrame:
-    """Q8 reduced view: no texts, hidden extras and main fields removed,
-    resource URLs of the portal host moved to https."""
+    """The reduced view: no texts, hidden extras and main fields removed."""
     p = assemble.nest_resources(packages_with_extras(c), c.resource)
-    p = p.withColumn("extras", V.hide_extras_list("extras", S.hide_extras))
-    p = p.withColumn("resources", F.transform("resources", lambda r: r.withField(
-        "url", U.fix_https(F.replace(r["url"], F.lit("https://"), F.lit("http://")), S.https_host))))
-    return V.hide_main(p, S.hide_main)
+    return V.hide_main(p.withColumn("extras", V.hide_extras_list("extras", S.hide_extras)), S.hide_main)
+
+
+def with_https(p: DataFrame) -> DataFrame:
+    """U6 on nested resources; Q8's reduced view alone has it."""
+    return p.withColumn("resources", F.transform("resources", lambda r: r.withField(
+        "url", U.fix_https(r["url"], S.https_host))))
 
 
 FULL_SQL = f"""
-WITH j1 AS ({J1_SQL.format(t="d.text", tc="d.text_clear")})
+WITH j1 AS ({J1_ALL_SQL.format(t="d.text", tc="d.text_clear")})
 SELECT r.package_id, r.resource_id AS id, r.position, r.url, j1.text AS fulltext, j1.text_clear AS fulltext_clear
 FROM resource r JOIN package p ON p.package_id = r.package_id
 LEFT JOIN j1 ON j1.resource_id = r.resource_id"""
@@ -181,21 +188,32 @@ def strip_fulltext(c):
 
 @query("package_show_reduced", f"""
 SELECT r.package_id, p.name, p.title, r.resource_id AS id, r.position,
-  replace(replace(r.url, 'https://', 'http://'), 'http://{S.https_host}', 'https://{S.https_host}') AS url
+  replace(r.url, 'http://{S.https_host}', 'https://{S.https_host}') AS url
 FROM resource r JOIN package p ON p.package_id = r.package_id""")
 def package_show_reduced(c):
-    p = show_reduced(c).filter(F.col("resources").isNotNull())
+    """Q8 reduced view: links of the portal's own host go to https."""
+    p = with_https(show_reduced(c)).filter(F.col("resources").isNotNull())
     return p.select("package_id", "name", "title", F.explode("resources").alias("r")) \
             .select("package_id", "name", "title", "r.id", "r.position", "r.url")
 
 
 @query("package_show_map", """
-SELECT package_id, key, value FROM extras WHERE key NOT IN ('owner')""", {"extras": EXTRAS_SQL})
+SELECT p.package_id, p.name, p.title, p.state, p.owner, e.key, e.value, r.resource_id AS id, r.position, r.url
+FROM package p JOIN extras e ON e.package_id = p.package_id AND e.key NOT IN ('owner')
+JOIN resource r ON r.package_id = p.package_id""", {"extras": EXTRAS_SQL})
 def package_show_map(c):
-    """Q9 reduced map view (no https fix): the visible extras."""
-    p = V.hide_main(packages_with_extras(c), S.hide_main)
-    p = p.withColumn("m", V.hide_extras_map("extras_map", S.hide_extras))
-    return p.select("package_id", F.explode("m").alias("key", "value"))
+    """Q9 reduced map view: whole packages without texts, hidden extras and
+    hidden main fields; URLs as they are."""
+    p = V.hide_main(assemble.nest_resources(packages_with_extras(c), c.resource), S.hide_main)
+    p = p.withColumn("extras_map", V.hide_extras_map("extras_map", S.hide_extras))
+    return _flat_map(p, ("package_id", "name", "title", "state", "owner"), ("id", "position", "url"))
+
+
+def _flat_map(p: DataFrame, main: tuple[str, ...], fields: tuple[str, ...]) -> DataFrame:
+    """A map view as rows: one for every extra and resource of a package."""
+    return (p.where("resources is not null").select(*main, "resources", F.explode("extras_map").alias("key", "value"))
+            .select(*main, "key", "value", F.explode("resources").alias("r"))
+            .select(*main, "key", "value", *[f"r.{f}" for f in fields]))
 
 
 def _owner_sql() -> str:
@@ -228,26 +246,59 @@ def package_list_page(c):
               .filter(F.col("rank") > PAGE_OFFSET)
 
 
+@query("package_list_deep", f"""
+SELECT package_id, metadata_modified, rank FROM (
+  SELECT package_id, metadata_modified,
+    row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank FROM package) x
+WHERE rank > {DEEP_OFFSET} AND rank <= {DEEP_OFFSET + PAGE_LIMIT}""")
+def package_list_deep(c):
+    """Q11 far down the list: the ranges that hold the page are found by
+    counts, the others are not read."""
+    return search.page_at(c.package.select("package_id", "metadata_modified"), DEEP_OFFSET, PAGE_LIMIT,
+                          [F.col("metadata_modified").desc(), F.col("package_id")], range_rows=32)
+
+
+@query("package_list_after", f"""
+SELECT package_id, metadata_modified FROM (
+  SELECT package_id, metadata_modified,
+    row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank FROM package) x
+WHERE rank > {2 * PAGE_LIMIT} AND rank <= {3 * PAGE_LIMIT}""")
+def package_list_after(c):
+    """Q11 by cursor: the third page, each from the last row of the one before."""
+    order, last = [("metadata_modified", True), ("package_id", False)], None
+    rows = c.package.select("package_id", "metadata_modified")
+    for _ in range(2):
+        seen = search.page_after(rows, order, last, PAGE_LIMIT).tail(1)
+        last = (seen[0]["metadata_modified"], seen[0]["package_id"])
+    return search.page_after(rows, order, last, PAGE_LIMIT)
+
+
+# ---- create and update ----------------------------------------------------
+SENT_SQL = f"""
+SELECT i.package_id, i.resource_id, i.text, r.url,
+  row_number() OVER (PARTITION BY i.package_id ORDER BY i.position) - 1 AS position
+FROM incoming i JOIN resource r ON r.resource_id = i.resource_id"""
+
+
+def sent_packages(c, only=None) -> DataFrame:
+    """Packages as a client sends them: main fields, extras, and resources in
+    order, each with its text inside."""
+    inc = c.incoming.join(c.resource.select("resource_id", "url", F.col("name").alias("res_name")), "resource_id")
+    nested = inc.groupBy("package_id").agg(F.array_sort(F.collect_list(F.struct(
+        "position", F.struct(F.col("resource_id").alias("id"), "url", F.col("res_name").alias("name"),
+                             F.col("text").alias("fulltext")).alias("r")))).alias("l"))
+    p = packages_with_extras(c).drop("extras_map", "tags").join(nested, "package_id")
+    p = p.withColumn("resources", F.transform("l", lambda x: x["r"])).drop("l")
+    return p if only is None else p.where(only)
+
+
 @query("lift_fulltext", """
-SELECT package_id, resource_id, position,
-  CASE WHEN regexp_matches(coalesce(text, ''), '^\\s*$') THEN 'NOT_AVAILABLE' ELSE text END AS text
-FROM incoming""")
+SELECT s.package_id, s.resource_id, s.position, coalesce(s.text, '') AS text FROM sent s JOIN package p ON p.package_id = s.package_id""",
+       {"sent": SENT_SQL})
 def lift_fulltext(c):
-    """Q12: texts sent inside the resources of a create/update are lifted
-    out by position ('' when absent), blank ones become NOT_AVAILABLE, and
-    the resources are stored without them."""
-    sent = c.incoming.select("package_id", F.struct(
-        "position", F.col("resource_id").alias("id"), F.col("text").alias("fulltext")).alias("r"))
-    lifted = sent.select(
-        "package_id", F.col("r.id").alias("resource_id"), "r.position",
-        state.empty_to_unavailable(F.coalesce("r.fulltext", F.lit(""))).alias("text"))
-    return lifted
-
-
-@query("package_show_map_full", "SELECT package_id, key, value FROM extras", {"extras": EXTRAS_SQL})
-def package_show_map_full(c):
-    """Q9 full map view: every extra, for readers with rights."""
-    return packages_with_extras(c).select("package_id", F.explode("extras_map").alias("key", "value"))
+    """Q12: texts sent inside the resources of a create or update, lifted out
+    by position."""
+    return save.lift(sent_packages(c))
 
 
 OWNER_LIMIT = 75
@@ -255,12 +306,12 @@ OWNER_LIMIT = 75
 
 @query("user_packages_reduced", f"""
 SELECT p.package_id, p.name, r.resource_id AS id,
-  replace(replace(r.url, 'https://', 'http://'), 'http://{S.https_host}', 'https://{S.https_host}') AS url, e.key, e.value
+  r.url, e.key, e.value
 FROM package p JOIN resource r ON r.package_id = p.package_id
 JOIN extras e ON e.package_id = p.package_id AND e.key NOT IN ('owner') WHERE p.owner < {OWNER_LIMIT}""", {"extras": EXTRAS_SQL})
 def user_packages_reduced(c):
     """Q10, some users only, for readers without rights: no texts, no hidden
-    extras, portal URLs moved to https."""
+    extras; URLs as they are."""
     p = show_reduced(c).filter(F.col("resources").isNotNull() & (F.col("owner") < OWNER_LIMIT))
     return (p.select("package_id", "name", "resources", F.explode("extras").alias("e"))
             .select("package_id", "name", "e", F.explode("resources").alias("r"))
@@ -271,8 +322,7 @@ PAGE, PAGE_SIZE = 3, 10
 
 
 @query("package_list_views", f"""
-SELECT x.rank, p.package_id, p.name, p.title, r.resource_id AS id,
-  replace(replace(r.url, 'https://', 'http://'), 'http://{S.https_host}', 'https://{S.https_host}') AS url
+SELECT x.rank, p.package_id, p.name, p.title, r.resource_id AS id, r.url
 FROM (SELECT package_id, row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank FROM package) x
 JOIN package p ON p.package_id = x.package_id JOIN resource r ON r.package_id = p.package_id
 WHERE x.rank > {(PAGE - 1) * PAGE_SIZE} AND x.rank <= {PAGE * PAGE_SIZE}""")
@@ -288,21 +338,96 @@ def package_list_views(c):
             .select("rank", "package_id", "name", "title", "r.id", "r.url")
 
 
-@query("package_update", f"""
-WITH m AS ({MERGE_SQL})
-SELECT m.package_id, p.name, m.resource_id, i.position, m.text FROM m
-JOIN package p ON p.package_id = m.package_id
-JOIN incoming i ON i.package_id = m.package_id AND i.resource_id = m.resource_id
-WHERE m.action IN ('update', 'insert')""")
+@query("package_list_texts", f"""
+WITH j1 AS ({J1_ALL_SQL.format(t="d.text", tc="d.text_clear")})
+SELECT x.rank, p.package_id, p.name, r.resource_id AS id, r.position, j1.text AS fulltext
+FROM (SELECT package_id, row_number() OVER (ORDER BY metadata_modified DESC, package_id) AS rank FROM package) x
+JOIN package p ON p.package_id = x.package_id JOIN resource r ON r.package_id = p.package_id
+LEFT JOIN j1 ON j1.resource_id = r.resource_id
+WHERE x.rank > {(PAGE - 1) * PAGE_SIZE} AND x.rank <= {PAGE * PAGE_SIZE}""", {"deduped": DEDUPED_SQL})
+def package_list_texts(c):
+    """Q11 for readers with rights: the listed packages with their texts; only
+    texts of the page's packages are joined."""
+    order = [F.col("metadata_modified").desc(), F.col("package_id")]
+    listed = search.page(c.package, (PAGE - 1) * PAGE_SIZE, PAGE_SIZE, order).select("package_id", "name", "rank")
+    res = c.resource.join(listed.select("package_id"), "package_id", "left_semi")
+    texts = assemble.attach_fulltext(res, near_keys(c.fulltext, listed, "package_id"), (), 0, S.package_blacklist)
+    p = assemble.nest_resources(listed, res, texts)
+    return p.select("rank", "package_id", "name", F.explode("resources").alias("r")).select(
+        "rank", "package_id", "name", "r.id", "r.position", "r.fulltext")
+
+
+@query("package_show_map_full", f"""
+WITH j1 AS ({J1_ALL_SQL.format(t="d.text", tc="d.text_clear")})
+SELECT p.package_id, p.name, p.url AS package_url, e.key, e.value, r.resource_id AS id, r.position, j1.text AS fulltext
+FROM package p JOIN extras e ON e.package_id = p.package_id JOIN resource r ON r.package_id = p.package_id
+LEFT JOIN j1 ON j1.resource_id = r.resource_id""", {"extras": EXTRAS_SQL, "deduped": DEDUPED_SQL})
+def package_show_map_full(c):
+    """Q9 full map view: every field and extra, resources with their texts."""
+    p = assemble.nest_resources(packages_with_extras(c).withColumnRenamed("url", "package_url"), c.resource, _texts(c))
+    return _flat_map(p, ("package_id", "name", "package_url"), ("id", "position", "fulltext"))
+
+
+def _saved(c, table_rows: DataFrame, only=None) -> save.Saved:
+    table = TextTable(c.spark, scratch_path(c.spark, "fulltext"), 16)
+    table.create(table_rows)
+    return save.save_packages(sent_packages(c, only), table, scratch_path(c.spark, "packages"))
+
+
+def _flat_answer(p: DataFrame, main: tuple[str, ...], *fields: str) -> DataFrame:
+    return p.select(*main, F.posexplode("resources").alias("position", "r")).select(
+        *main, F.col("position").cast("long").alias("position"), *[F.col(f"r.{f}").alias(f) for f in fields])
+
+
+UPDATED_SQL = """
+SELECT p.package_id, p.name, p.url AS package_url, s.position, s.resource_id AS id, s.url,
+  CASE WHEN p.state <> 'deleted' THEN CASE WHEN regexp_matches(coalesce(s.text, ''), '^\\s*$') THEN 'NOT_AVAILABLE' ELSE s.text END END AS fulltext
+FROM sent s JOIN package p ON p.package_id = s.package_id"""
+
+
+@query("package_update", UPDATED_SQL, {"sent": SENT_SQL})
 def package_update(c):
-    """Q12: an update with texts inside its resources: the texts are lifted
-    out and merged into the table, and the answer is the updated packages'
-    view with the texts as stored."""
-    sent = c.incoming.select("package_id", F.struct(
-        "position", F.col("resource_id").alias("id"), F.col("text").alias("fulltext")).alias("r"))
-    lifted = sent.select("package_id", F.col("r.id").alias("resource_id"), "r.position",
-                         F.coalesce("r.fulltext", F.lit("")).alias("text"))
-    stored = state.merge_actions(c.fulltext, lifted, c.package).filter(F.col("action").isin("update", "insert"))
-    return (stored.join(c.package.select("package_id", "name"), "package_id")
-            .join(lifted.select("package_id", "resource_id", "position"), ["package_id", "resource_id"])
-            .select("package_id", "name", "resource_id", "position", "text"))
+    """Q12: an update, stored in both tables, and the answer for readers with
+    rights: the stored packages with the new texts by position (a deleted
+    package keeps none)."""
+    p = save.answer_full(_saved(c, c.fulltext)).withColumnRenamed("url", "package_url")
+    return _flat_answer(p, ("package_id", "name", "package_url"), "id", "url", "fulltext")
+
+
+@query("package_update_reduced", """
+SELECT s.package_id, p.name, s.position, s.resource_id AS id, s.url, e.key, e.value
+FROM sent s JOIN package p ON p.package_id = s.package_id
+JOIN extras e ON e.package_id = p.package_id AND e.key NOT IN ('owner')""", {"sent": SENT_SQL, "extras": EXTRAS_SQL})
+def package_update_reduced(c):
+    """Q12: the answer for readers without rights."""
+    p = save.answer_reduced(_saved(c, c.fulltext), S.hide_extras, S.hide_main)
+    assert "url" not in p.columns and "fulltext" not in p.schema["resources"].dataType.elementType.names
+    return _flat_answer(p.select("package_id", "name", "resources", F.explode("extras").alias("e")).select(
+        "package_id", "name", "resources", "e.key", "e.value"), ("package_id", "name", "key", "value"), "id", "url")
+
+
+@query("package_update_table", f"""
+WITH m AS ({MERGE_SQL.replace("FROM incoming", "FROM sent")})
+SELECT id, resource_id, package_id, text, text_clear FROM m WHERE action IN ('keep', 'update', 'insert')""", {
+    "sent": f"SELECT x.package_id, x.resource_id, x.position, x.text FROM ({SENT_SQL}) x JOIN package p ON p.package_id = x.package_id"})
+def package_update_table(c):
+    """Q12: the text table after the update, read back."""
+    return _saved(c, c.fulltext).table.read()
+
+
+CREATED = "CAST(substr(package_id, 2) AS BIGINT) % 3 = 1"
+
+
+@query("package_create", f"""
+SELECT x.package_id, x.resource_id, x.id, x.text, x.text_clear FROM (
+  SELECT f.package_id, f.resource_id, f.id, f.text, f.text_clear FROM fulltext f WHERE NOT ({CREATED})
+  UNION ALL
+  SELECT s.package_id, s.resource_id, concat(s.resource_id, '-new'),
+    CASE WHEN regexp_matches(coalesce(s.text, ''), '^\\s*$') THEN 'NOT_AVAILABLE' ELSE s.text END, NULL
+  FROM sent s JOIN package p ON p.package_id = s.package_id
+  WHERE {CREATED.replace("package_id", "s.package_id")} AND p.state <> 'deleted') x""", {"sent": SENT_SQL})
+def package_create(c):
+    """Q12: packages that had no texts are created; the text table holds a new
+    row for each of their resources."""
+    made = F.expr(CREATED)
+    return _saved(c, c.fulltext.where(~made), made).table.read()

@@ -63,20 +63,10 @@ class Catalog:
     def attempts(self) -> DataFrame:
         return self.view("attempts")
 
-    def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Hash-spread a text table over the cluster when its scan gives
-        fewer tasks than there are cores (a file with one large row group
-        cannot be split).  With a normally laid out input (many files or
-        row groups) this adds nothing."""
-        cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        return df.repartition(cores, key)
-
-    @cached_property
+    @property
     def documents(self) -> DataFrame:
-        return self.spread(self.raw("documents"), "doc_id")
+        return self.raw("documents")
 
-    @cached_property
+    @property
     def pages(self) -> DataFrame:
-        return self.spread(self.raw("pages"), "page_id")
+        return self.raw("pages")

@@ -22,9 +22,10 @@ FROM {pages} p JOIN {events} e ON e.event_id = p.page_id
     "resource": """
 SELECT concat('r', doc_id) AS resource_id, concat('p', CAST(floor(doc_id / 4) AS BIGINT)) AS package_id,
   doc_id % 4 AS position, lang AS format, source,
-  CASE WHEN doc_id % 10 = 3 THEN concat('https://sitzungsdienst.example.org/ti/vo020.asp?x=', doc_id)
+  CASE WHEN doc_id % 10 = 3 THEN concat(CASE WHEN doc_id % 20 = 13 THEN 'http' ELSE 'https' END,
+         '://sitzungsdienst.example.org/ti/vo020.asp?x=', doc_id)
        WHEN doc_id % 23 = 5 THEN concat('https://files.example.org/alkis_liegenschaftskarte/', doc_id)
-       ELSE concat('https://files.example.org/', source, '/', doc_id,
+       ELSE concat(CASE WHEN doc_id % 6 = 2 THEN 'http' ELSE 'https' END, '://files.example.org/', source, '/', doc_id,
          CASE doc_id % 5 WHEN 0 THEN '.pdf' WHEN 1 THEN '.ZIP' WHEN 2 THEN '.gml' WHEN 4 THEN '.html' ELSE '' END)
   END AS url,
   CASE WHEN doc_id % 4 = 1 THEN concat('Sitzungsprotokoll (Druckversion) ', doc_id) ELSE concat('res ', doc_id) END AS name,
