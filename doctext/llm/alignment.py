@@ -22,6 +22,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .tokens import encoder
 
 #: Text bytes of one block of documents, but for a block's last document.
 BLOCK_BYTES = 8 << 20
 #: Chunks remembered by a worker, and the longest that is worth it.
-MAX_CHUNKS, MAX_CHUNK = 150_000, 64
+MAX_CHUNKS, MAX_CHUNK = 250_000, 64
+#: Texts aligned at a time; one of so many characters ends a slice.
+SLICE_ROWS, SLICE = 250, 1 << 20
 #: Distinct pairs of one batch of requests.
 PAIR_ROWS = 50_000
 
@@ -47,10 +49,6 @@ RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
           "groups_sha256 string")
 
 
-class _Uneven(Exception):
-    """A space touches other white space."""
-
-
 def byte_level() -> dict[str, int]:
     """The byte behind each character of a byte-level vocabulary: printable
     Latin-1 bytes stand for themselves, the others follow from 256 on."""
@@ -88,67 +86,86 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        self.a = encoder(path_a)
+        import tiktoken
+        from public_tokenizers import PATTERN
+        from tokenizers import Tokenizer
+        self.a = Tokenizer.from_file(path_a)
+        self.a.encode_special_tokens = True
+        vocab, special = self.a.get_vocab(with_added_tokens=True), {t.content for t in self.a.get_added_tokens_decoder().values()}
         to_byte = byte_level()
-        vocab = self.a.tok.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for piece, i in vocab.items():
             self.a_bytes[i] = bytes(to_byte.get(c, 0) for c in piece)
+        # The same vocabulary as ranks: ids of short chunks, without the
+        # other library's bookkeeping.
+        self.ranks = tiktoken.Encoding("chunks", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for piece, i in vocab.items() if piece not in special})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.b_size = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         #: Whether no piece joins a space to what stands before it.
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.known: dict[str, tuple | None] = {}
 
-    def chunk(self, body: str) -> tuple | None:
+    def _learn(self, bodies: set[str]) -> None:
+        """Put the alignments of these chunks among the known ones; when there
+        are too many, only chunks in use stay."""
+        new = [w for w in bodies if w not in self.known]
+        if len(self.known) + len(new) > MAX_CHUNKS:
+            self.known = {w: self.known[w] for w in bodies if w in self.known}
+        for w, ids in zip(new, self.b.encode(new, num_threads=1)):
+            self.known[w] = self._align(w, ids)
+
+    def _align(self, body: str, b_ids: list[int]) -> tuple | None:
         """``(n_a, n_b, groups, links, text of the groups, pair keys)`` of a
         space followed by ``body``; None where tokens do not spell it."""
-        got = self.known.get(body)
-        if got is not None or body in self.known:
-            return got
-        got = self._align(body)
-        if len(body) <= MAX_CHUNK:
-            if len(self.known) >= MAX_CHUNKS:
-                self.known.clear()
-            self.known[body] = got
-        return got
-
-    def _align(self, body: str) -> tuple | None:
-        a_ids = np.frombuffer(self.a.chunk(" " + body), "<u4").tolist()
-        b_ids = self.b.encode(body)
         raw = (" " + body).encode("utf-8", "surrogatepass")
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        a_ids = (self.ranks.encode_ordinary(" " + body) if len(body) <= MAX_CHUNK
+                 else self.a.encode(" " + body, add_special_tokens=False).ids)
+        if (b"".join([self.b_bytes[i] for i in b_ids]) != raw or b"".join([self.a_bytes[i] for i in a_ids]) != raw):
             return None
-        a_ends, b_ends = np.cumsum([len(x) for x in a_parts]).tolist(), np.cumsum([len(x) for x in b_parts]).tolist()
-        groups, keys = [], array("q")
+        a_ends, b_ends = list(accumulate([self.a_len[i] for i in a_ids])), list(accumulate([self.b_len[i] for i in b_ids]))
+        groups, keys, size = [], array("I"), self.b_size
         for part in slices(a_ends, b_ends):
             i, i2, j, j2 = part
-            groups.append(",".join(map(str, a_ids[i:i2])) + "|" + ",".join(map(str, b_ids[j:j2])))
-            keys.extend(a_ids[p] * self.b_size + b_ids[q] for p, q in links(a_ends, b_ends, part))
+            groups.append(f"{','.join(map(str, a_ids[i:i2]))}|{','.join(map(str, b_ids[j:j2]))}")
+            if i2 - i == 1:
+                keys.extend([a_ids[i] * size + y for y in b_ids[j:j2]])
+            elif j2 - j == 1:
+                keys.extend([x * size + b_ids[j] for x in a_ids[i:i2]])
+            else:
+                keys.extend([a_ids[p] * size + b_ids[q] for p, q in links(a_ends, b_ends, part)])
         return len(a_ids), len(b_ids), len(groups), len(keys), ";".join(groups), keys.tobytes()
 
-    def parts(self, text: str) -> list[tuple | None]:
+    def bodies(self, text: str) -> list[str]:
+        """The chunks of a space and ``text``, without the space before each."""
         if not self.cuts:
-            return [self._align(text)]
+            return [text]
         words = text.split(" ")
         if all(words) and not any(w[0].isspace() for w in words):
-            return [self.chunk(w) for w in words]
-        return [self.chunk(c[1:]) for c in _START.split(" " + text) if c]
-
-    def align(self, text: str | None) -> tuple:
-        """``(n_a, n_b, n_groups, n_links, digest, pair keys, their counts)``."""
-        parts = self.parts(text) if text else [None]
+            return words
+        return [c[1:] for c in _START.split(" " + text) if c]
+
+    def align(self, texts: list[str | None]) -> list[tuple]:
+        """``(n_a, n_b, n_groups, n_links, digest, pair keys, their counts)``
+        of every text."""
+        chunks = [self.bodies(t) if t else None for t in texts]
+        self._learn({c for one in chunks if one for c in one if len(c) <= MAX_CHUNK})
+        return [self._sum(c) for c in chunks]
+
+    def _sum(self, bodies: list[str] | None) -> tuple:
+        known = self.known
+        parts = [None] if bodies is None else [
+            known[c] if len(c) <= MAX_CHUNK else self._align(c, self.b.encode(c)) for c in bodies]
         if None in parts:
             return 0, 0, 0, 0, "", b"", b""
         n_a, n_b, n_groups, n_links, groups, keys = zip(*parts)
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-        k, n = np.unique(np.frombuffer(b"".join(keys), "<i8"), return_counts=True)
-        return (sum(n_a), sum(n_b), sum(n_groups), sum(n_links), digest, k.astype("<u4").tobytes(),
-                n.astype("<u4").tobytes())
+        k, n = np.unique(np.frombuffer(b"".join(keys), "<u4"), return_counts=True)
+        return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), digest, k.tobytes(), n.astype("<u4").tobytes()
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -171,13 +188,19 @@ def tokenise(documents: DataFrame, path_a: str, path_b: str, block_bytes: int =
         row, size = block, 0
         for b in batches:
             out: list[tuple] = []
+            texts: list[str | None] = []
+            places: list[tuple] = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                t = text.as_py()
                 if size > block_bytes:
                     block, size = block + 1, 0
-                size += len(t or "")
-                out.append((row, doc_id, block, *both.align(t)))
+                texts.append(text.as_py())
+                places.append((row, doc_id, block))
+                size += len(texts[-1] or "")
                 row += 1
+                if len(texts[-1] or "") > SLICE or len(texts) == SLICE_ROWS:
+                    out += [(*p, *x) for p, x in zip(places, both.align(texts))]
+                    texts, places = [], []
+            out += [(*p, *x) for p, x in zip(places, both.align(texts))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=kind) for c, kind in zip(zip(*out) if out else [[]] * 10, _TOKEN_TYPES)], _TOKEN_NAMES)
     return (documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
