@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from ..schema import INPUT_SCHEMAS
 from ..session import scratch_path
 from ..sources.views import VIEW_SQL
-from ..streaming.ingest import latest_per_resource, stream_ingest
+from ..streaming.ingest import fold, latest_per_resource, stream_ingest
+from . import pipeline as pl
+from .params import SETTINGS as S
+from .q_pipeline import _outcome_sql, stored_table
 from .q_state import MERGE_SQL
 from .registry import query
 
@@ -38,19 +41,70 @@ def stream_ingest_q(c):
                          scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
 
 
+def _files(c):
+    """The documents in four files that split every package, one a batch."""
+    files = scratch_path(c.spark, "ingest-files")
+    c.raw("documents").withColumn("part", F.col("doc_id") % 4).repartition("part") \
+        .write.partitionBy("part").parquet(files)
+    return (c.spark.readStream.schema(INPUT_SCHEMAS["documents"]).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", 1).parquet(files))
+
+
 @query("stream_ingest_split", STREAM_SQL)
 def stream_ingest_split(c):
     """The same delivery in files that split every package: the four
     resources of a package lie in four files, read one file a batch."""
-    files = scratch_path(c.spark, "ingest-files")
-    c.raw("documents").withColumn("part", F.col("doc_id") % 4).repartition("part") \
-        .write.partitionBy("part").parquet(files)
-    source = (c.spark.readStream.schema(INPUT_SCHEMAS["documents"]).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", 1).parquet(files))
-    return stream_ingest(c.spark, source, c.fulltext, c.package, _incoming,
+    return stream_ingest(c.spark, _files(c), c.fulltext, c.package, _incoming,
                          scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
 
 
+INC_TEXT = r"CASE WHEN regexp_matches(coalesce(i.text, ''), '^\s*$') THEN 'NOT_AVAILABLE' ELSE i.text END"
+
+# Outcomes of what arrived (incoming texts) and of what was unprocessed
+# (fetched texts); every row of such a resource takes it.
+OUTCOME_SQL = _outcome_sql("SELECT package_id FROM package").replace(
+    "SELECT concat('r', doc_id) AS resource_id, text FROM documents WHERE true", """
+SELECT concat('r', x.doc_id) AS resource_id, CASE WHEN i.resource_id IS NOT NULL THEN i.text ELSE x.text END AS text
+FROM documents x LEFT JOIN incoming i ON i.resource_id = concat('r', x.doc_id)""") + """,
+decided AS (
+  SELECT * FROM outcome WHERE resource_id IN (SELECT resource_id FROM incoming)
+     OR resource_id IN (SELECT resource_id FROM fulltext WHERE text = 'UNPROCESSED_FULLTEXT'))
+SELECT f.id, f.resource_id, f.package_id, CASE WHEN d.resource_id IS NOT NULL THEN d.text ELSE f.text END AS text,
+  CASE WHEN d.resource_id IS NOT NULL THEN NULL ELSE f.text_clear END AS text_clear
+FROM fulltext f LEFT JOIN decided d ON d.resource_id = f.resource_id
+UNION ALL
+SELECT concat(resource_id, '-new'), resource_id, package_id, text, NULL FROM decided
+WHERE resource_id NOT IN (SELECT resource_id FROM fulltext)"""
+
+
+@query("stream_outcomes", OUTCOME_SQL)
+def stream_outcomes(c):
+    """B6 with W6: each trigger decides what arrived and what is still
+    unprocessed, joined to the catalogue as it stands."""
+    def decide(todo):
+        res = c.resource.join(todo.select("resource_id"), "resource_id", "left_semi")
+        return pl.outcome(res, c.package, c.harvest, todo.select("resource_id", F.col("text").alias("raw")), c.members, S)
+
+    return stream_ingest(c.spark, _files(c), c.fulltext, c.package, _incoming, scratch_path(c.spark, "ingest"),
+                         decide=decide, fetch=pl.fetched_texts(c.raw("documents")))
+
+
+@query("stream_folded", f"""
+SELECT f.id, f.resource_id, f.package_id, CASE WHEN i.resource_id IS NOT NULL THEN {INC_TEXT} ELSE f.text END AS text,
+  CASE WHEN i.resource_id IS NOT NULL THEN NULL ELSE f.text_clear END AS text_clear
+FROM fulltext f LEFT JOIN incoming i ON i.resource_id = f.resource_id
+UNION ALL
+SELECT concat(i.resource_id, '-new'), i.resource_id, i.package_id, {INC_TEXT}, NULL FROM incoming i
+WHERE i.resource_id NOT IN (SELECT resource_id FROM fulltext)""")
+def stream_folded(c):
+    """B6 folded into the stored table (nothing goes without a mark)."""
+    root = scratch_path(c.spark, "ingest")
+    stream_ingest(c.spark, _source(c), c.fulltext, c.package, _incoming, root)
+    table = stored_table(c)
+    fold(table, root)
+    return table.read()
+
+
 @query("stream_latest", """
 SELECT concat('r', doc_id) AS resource_id, CASE WHEN doc_id % 9 = 0 THEN concat(text, ' v2') ELSE text END AS text,
   CASE WHEN doc_id % 9 = 0 THEN 2 ELSE 1 END AS version
