@@ -55,11 +55,55 @@ def test_deep_and_many_archives(spark):
     odd = [(1001, 1002, 0, "c.txt", "t"), (1002, 1001, 0, "c.txt", "t"), (1003, 999, 0, "o.txt", "t")]
     tree = {r.archive_id: r for r in archive.archive_tree(spark.createDataFrame(chain + odd, schema)).collect()}
     assert set(tree) == set(range(1, 151))
-    assert tree[150].depth == 149 and tree[150].root_id == 1 and list(tree[150].lineage) == list(range(1, 151))
+    assert tree[150].depth == 149 and tree[150].root_id == 1 and all(tree[i].depth == i - 1 for i in tree)
     flat = spark.range(1, 2_000_001).selectExpr(
         "id as archive_id", "if(id % 2 = 0, id - 1, null) as parent_id", "0L as seq", "'a' as path", "'t' as text")
-    got = archive.archive_tree(flat).groupBy("depth").count().collect()
+    cycle = spark.createDataFrame([(5_000_001, 5_000_002, 0, "c", "t"), (5_000_002, 5_000_001, 0, "c", "t"),
+                                   (5_000_003, 5_000_001, 0, "c", "t")], schema)
+    tree = archive.archive_tree(flat.unionByName(cycle))
+    got = tree.groupBy("depth").count().collect()
     assert {r["depth"]: r["count"] for r in got} == {0: 1_000_000, 1: 1_000_000}
+    assert {f.dataType.simpleString() for f in tree.schema} <= {"bigint", "int"}    # numbers, no paths
+
+
+def test_breadth_first_order_against_paths(spark):
+    """Places within root and depth order archives as their paths of ids do."""
+    import random
+    rng = random.Random(4)
+    parent = {}
+    ids = rng.sample(range(1000), 300)
+    for n, a in enumerate(ids):
+        parent[a] = None if n < 5 else rng.choice(ids[max(0, n - 40):n])
+    df = spark.createDataFrame([(a, p, 0, "f", "t") for a, p in parent.items()],
+                               "archive_id long, parent_id long, seq long, path string, text string")
+
+    def path(a):
+        return (path(parent[a]) if parent[a] is not None else []) + [a]
+    got = {r.archive_id: r for r in archive.archive_tree(df).collect()}
+    assert set(got) == set(parent)
+    for a in parent:
+        assert (got[a].root_id, got[a].depth) == (path(a)[0], len(path(a)) - 1)
+    groups = {}
+    for a in parent:
+        groups.setdefault((got[a].root_id, got[a].depth), []).append(a)
+    for same in groups.values():
+        assert sorted(same, key=lambda a: got[a].place) == sorted(same, key=path)
+
+
+def test_pages_that_share_an_address_and_linear_scripts(spark):
+    import time
+    go = "<script>window.location.replace('http://t.org/x');</script>"
+    df = spark.createDataFrame([(1, "http://t.org/x", "<p>first</p>"), (2, "http://t.org/x", "<p>second</p>"),
+                                (3, "http://s.org/a", go), (4, "http://s.org/b", go), (5, "http://s.org/c", go.replace("/x", "/none")),
+                                (6, None, None)], "page_id long, url string, html string")
+    got = {r.page_id: (r.target_id, r.text) for r in pg.redirect_text(df).collect()}
+    assert {k: got[k] for k in (1, 2, 3, 4, 5)} == {1: (1, "first"), 2: (1, "first"), 3: (1, "first"), 4: (1, "first"), 5: (None, None)}
+    assert len(got) == 6
+    many = spark.createDataFrame([("<script>" * 100_000,), ("<script " * 100_000,), ("<script>a</script>" * 50_000,),
+                                  ("</script><SCRIPT x='1'>go</Script>",), (None,)], "html string")
+    start = time.time()
+    got = [r[0] for r in many.select(pg.first_script("html")).collect()]
+    assert got == ["", "", "a", "go", ""] and time.time() - start < 10
 
 
 def test_csv_members(spark):

@@ -71,7 +71,7 @@ def test_outcome_sentinels(spark):
     hv = spark.createDataFrame([], "package_id string, current boolean, state string, guid string, source_title string")
     fetched = spark.createDataFrame([("r4", "  some (text)\n"), ("r5", "404 Not Found   Not Found")],
                                     "resource_id string, raw string")
-    arch = spark.createDataFrame([], "resource_id string, archive_raw string")
+    arch = spark.createDataFrame([], "archive_id long, parent_id long, seq long, path string, text string")
     got = {r.resource_id: r.text for r in outcome(res, pk, hv, fetched, arch, Settings()).collect()}
     assert got == {"r1": "ERROR_FULLTEXT", "r2": "NOT_AVAILABLE", "r3": "NOT_AVAILABLE",
                    "r4": "some text", "r5": "ERROR_FULLTEXT"}
