@@ -1,37 +1,43 @@
-"""Licence scan: sparse TF-IDF cosine of text lines to licence templates, and
+"""Licence scan: sparse TF-IDF cosine of texts to licence templates, and
 inheritance from the nearest ancestor directory's licence file (DataFrame
 only).
 
-Every line of every file is compared, wherever it stands.  Terms are runs of
-ASCII letters and digits, lower-cased; a term's inverse document frequency
-comes from all files (terms outside the templates' vocabulary weigh as the
-rarest).  A line can reach the threshold for a template only if it holds one
-of the template's heavy terms: the light rest of the template has less than
-``threshold`` of its norm, so without a heavy term the cosine stays below it.
-Only lines with a heavy term are expanded, which loses nothing.
-
-Beside lines, units are compared: the whole text, and from every line the run
-of lines that holds as many terms as a template.  A unit has at most ``LONGER``
-times the template's terms (what is longer is covered by its runs).  Notices are looked for in
-runs (a wrapped notice) with the lines' weights; headers, titles and full
-licence texts in runs and whole texts, with weights of their own vocabulary.
-A template can be reached only if the text holds one of its rare terms and
-terms of ``threshold ** 2`` of its squared norm, and a run only if its dot
-product reaches the threshold for the smallest norm its lines allow; all
-others are left out, which loses nothing.  Of runs that overlap by half or
-more, the one with the largest dot product is scored.
-
-A file's own licence is its best line's or unit's; ties go to lines, then to
-the earlier line, then the smaller name.  A file without one takes the licence of the licence file
-(``LICENSE``, ``COPYING``, ``NOTICE`` and the like) in its directory or the
-nearest directory above; ancestors are expanded per distinct directory.
+Terms are runs of ASCII letters and digits, lower-cased; a term's inverse
+document frequency comes from all files (terms outside the templates'
+vocabulary weigh as the rarest).  Files are known by a digest of their text:
+files of equal texts are scanned once and get the same licence, whatever their
+ids.  Compared are
+
+* every line with the one-line notices;
+* every run of as many terms as a template has, for templates of up to
+  ``EVERY`` terms, and every run that begins at a multiple of an eighth of the
+  template's length, for longer ones; runs of notices are those that go over a
+  line's end (a wrapped notice), runs of headers, titles and full licence texts
+  may lie anywhere;
+* the whole text with headers, titles and full licence texts.
+
+One pass over the texts keeps (digest, term) for the templates' terms; document
+frequencies and candidates come from that table, and only candidates' texts are
+read again.  What is left out before a cosine is computed cannot reach the
+threshold: a line needs one of a notice's heavy terms (the light rest has less
+than ``threshold`` of the norm); a text needs one of a template's rare terms and
+terms of ``threshold ** 2`` of its squared norm; a run's dot product and a bound
+of its norm from below are differences of running sums, and their quotient
+bounds the cosine from above.
+
+A file's own licence is its best line's or run's; ties go to lines, then to
+the earlier line, then the smaller template.  A file without one takes the
+licence of the licence file (``LICENSE``, ``COPYING``, ``NOTICE`` and the like)
+in its directory or the nearest directory above; ancestors are expanded per
+distinct directory.
 
 Templates are a parameter of fixed size, so their weights are broadcast.
 
 Defined results: null or empty texts have no own licence; a null path has no
-directory and inherits nothing; repeated rows are scanned each and get the
-same result; several licence files in a directory are settled by score, then
-name; extra columns are ignored; an empty table gives an empty result.
+directory and inherits nothing; null and repeated ids and repeated rows are
+files of their own (a repeated row counts again in the frequencies); several
+licence files in a directory are settled by score, then name; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,10 +51,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 THRESHOLD = 0.7
-#: A template's length in the fixed-point places of a text's lines.
-TEMPLATE_LENGTH = 1 << 30
-#: Terms of a unit for one of its template's.
-LONGER = 1.5
+#: Templates of units are numbered from here.
+FIRST_UNIT = 1000
+#: Terms of the longest template whose runs begin at every term.
+EVERY = 32
 #: File names that license their directory (compared in upper case, up to a dot).
 LICENSE_FILES = ("LICENSE", "LICENCE", "COPYING", "NOTICE", "UNLICENSE")
 
@@ -117,111 +123,105 @@ def terms(text):
     return F.split(F.lower(text), "[^a-z0-9]+")
 
 
-def template_weights(templates: DataFrame, df: DataFrame, total: int) -> DataFrame:
-    """``(template, license, term, w, norm, rank_left)`` with idf weights."""
+def template_weights(vocabulary: DataFrame, df: DataFrame, total: int) -> DataFrame:
+    """``vocabulary`` (template, license, unit, term, tf) with idf weights
+    ``w``, the template's ``norm`` and ``length``, the norm ``below`` of its
+    terms up to this one by weight, and ``rest``, by idf."""
     idf = F.log(F.lit(1.0 + total) / (1.0 + F.coalesce("df", F.lit(0))))
-    t = (templates.select("template", "license", F.explode(terms("text")).alias("term")).where("term != ''")
-         .groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
-         .join(df, "term", "left").withColumn("idf", idf).withColumn("w", F.col("tf") * F.col("idf")))
-    every, light = W.partitionBy("template"), W.partitionBy("template").orderBy("w", "term")
-    return (t.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(every)))
-            .withColumn("below", F.sqrt(F.sum(F.col("w") * F.col("w")).over(light))))
-
-
-def scan_lines(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Best template of every line that reaches the threshold:
-    ``(fid, line, license, score)``.  ``files(fid, text)``, ``fid`` unique."""
-    vocabulary = [r[0] for r in templates.select(F.explode(terms("text")).alias("t")).where("t != ''").distinct()
-                  .orderBy("t").collect()]  # a fixed parameter's words
-    words = F.array(*[F.lit(v) for v in vocabulary])
-    text = F.coalesce("text", F.lit(""))
-    total = files.count()
-    df = (files.select(F.explode(F.array_intersect(terms(text), words)).alias("term"))
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    weights = cut(template_weights(templates, df, total), "weights")
-    heavy = [r[0] for r in weights.where(F.col("below") >= threshold * F.col("norm")).select("term").distinct()
-             .orderBy("term").collect()]
-    if not heavy:
-        return files.sparkSession.createDataFrame([], f"fid {dict(files.dtypes)['fid']}, line int, license string, score double")
-    heavy_words = F.array(*[F.lit(h) for h in heavy])
-    near = files.where(F.arrays_overlap(terms(text), heavy_words)).select("fid", F.posexplode(F.split(text, "\n")).alias("line", "x"))
-    near = near.withColumn("t", terms("x")).where(F.arrays_overlap("t", heavy_words))
+    t = vocabulary.join(df, "term", "left").withColumn("idf", idf).withColumn("w", F.col("tf") * F.col("idf"))
+    every = W.partitionBy("template")
+    square = F.sum(F.col("w") * F.col("w"))
+    return (t.withColumn("norm", F.sqrt(square.over(every))).withColumn("length", F.sum("tf").over(every))
+            .withColumn("below", F.sqrt(square.over(every.orderBy("w", "term"))))
+            .withColumn("rest", F.sqrt(square.over(every.orderBy("idf", "term")))).where("norm > 0"))
+
+
+def held_terms(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(key, term, copies)``: the templates' terms in every distinct text."""
+    words = F.broadcast(vocabulary.select("term").distinct())
+    return (texts.select("key", F.explode(F.array_distinct(terms("text"))).alias("term")).join(words, "term")
+            .groupBy("key", "term").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def candidates(held: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+    """``(key, template)`` of the texts whose terms may reach a template."""
+    rare = F.broadcast(weights.where(F.col("rest") >= threshold * F.col("norm")).select("term", "template"))
+    some = held.join(rare, "term").select("key", "template").distinct()
+    side = F.broadcast(weights.select("term", "template", "w", "norm"))
+    mass = (held.join(some.select("key").distinct(), "key", "left_semi").join(side, "term")
+            .groupBy("key", "template", "norm").agg(F.sum(F.col("w") * F.col("w")).alias("mass"))
+            .where(F.col("mass") >= threshold ** 2 * F.col("norm") * F.col("norm") * (1 - 1e-9)))
+    return mass.join(some, ["key", "template"], "left_semi").select("key", "template")
+
+
+def placed_terms(texts: DataFrame, keys: DataFrame, weights: DataFrame, total: int) -> DataFrame:
+    """``(key, pos, line, term, idf)`` of the texts with these keys, each
+    distinct text once."""
+    one = texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    line = lambda x, i: F.transform(F.filter(terms(x), lambda t: t != ""),
+                                    lambda t: F.struct(i.alias("line"), t.alias("term")))
+    words = F.flatten(F.transform(F.split("text", "\n"), line))
     idf = F.broadcast(weights.select("term", "idf").distinct())
-    rare = F.lit(1.0 + total)
-    tf = (near.select("fid", "line", F.explode("t").alias("term")).where("term != ''")
-          .groupBy("fid", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-          .join(idf, "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.log(rare))))
-    norms = tf.groupBy("fid", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
-    dots = (tf.join(F.broadcast(weights.select("term", "template", "license", "w", "norm")), "term")
-            .groupBy("fid", "line", "template", "license", "norm").agg(F.sum(F.col("x") * F.col("w")).alias("dot")))
-    hit = dots.join(norms, ["fid", "line"]).withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
+    return (one.select("key", F.posexplode(words).alias("pos", "x")).select("key", "pos", "x.line", "x.term")
+            .join(idf, "term", "left").select("key", "pos", "line", "term", F.coalesce("idf", F.log(F.lit(1.0 + total))).alias("idf")))
+
+
+def _scores(x: DataFrame, weights: DataFrame, unit: list[str]) -> DataFrame:
+    """Cosine of every unit (columns ``unit``, with ``template``) from its
+    terms' ``x = tf * idf``."""
+    side = F.broadcast(weights.select("term", "template", "license", "w", "norm"))
+    info = F.broadcast(weights.select("template", "license", "norm").distinct())
+    return (x.join(side.select("term", "template", "w"), ["term", "template"], "left").groupBy(*unit)
+            .agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+            .join(info, "template").withColumn("score", F.col("dot") / (F.col("size") * F.col("norm"))))
+
+
+def scan_lines(words: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
+    """Best notice of every line that reaches the threshold; terms outside
+    the notices weigh as the rarest."""
+    notices = weights.where("not unit")
+    known = F.broadcast(notices.select("term", F.lit(True).alias("known")).distinct())
+    words = words.join(known, "term", "left").withColumn("idf", F.when(F.col("known"), F.col("idf")).otherwise(F.log(F.lit(1.0 + total))))
+    heavy = F.broadcast(notices.where(F.col("below") >= threshold * F.col("norm")).select("term").distinct())
+    near = words.join(words.join(heavy, "term").select("key", "line").distinct(), ["key", "line"], "left_semi")
+    tf = near.groupBy("key", "line", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x"))
+    size = tf.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+    side = F.broadcast(notices.select("term", "template", "license", "w", "norm"))
+    dots = (tf.join(side, "term").groupBy("key", "line", "template", "license", "norm")
+            .agg(F.sum(F.col("x") * F.col("w")).alias("dot")))
+    hit = dots.join(size, ["key", "line"]).withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
     best = F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("template")).alias("order"), "license")).alias("b")
-    return (hit.where(F.col("score") >= threshold).groupBy("fid", "line").agg(best)
-            .select("fid", "line", "b.license", "b.score"))
-
-
-def scan_units(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, least: int = 1) -> DataFrame:
-    """Templates that a run of ``least`` or more lines or the whole text
-    reaches: ``(fid, line, template, license, score)``, ``line`` the first of the unit.
-    ``files(fid, text)``, ``fid`` unique."""
-    vocabulary = [r[0] for r in templates.select(F.explode(terms("text")).alias("t")).where("t != ''").distinct()
-                  .orderBy("t").collect()]  # a fixed parameter's words
-    words = F.array(*[F.lit(v) for v in vocabulary])
-    text = F.coalesce("text", F.lit(""))
-    total = files.count()
-    df = (files.select(F.explode(F.array_intersect(terms(text), words)).alias("term"))
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    # The common terms of a template come first, as long as they cannot reach the threshold by themselves.
-    common = W.partitionBy("template").orderBy("idf", "term")
-    weights = cut(template_weights(templates, df, total)
-                  .withColumn("length", F.sum("tf").over(W.partitionBy("template")))
-                  .withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(common))).where("norm > 0"), "unit-weights")
-    rare = [r[0] for r in weights.where(F.col("rest") >= threshold * F.col("norm")).select("term").distinct()
-            .orderBy("term").collect()]
-    if not rare:
-        return files.sparkSession.createDataFrame(
-            [], f"fid {dict(files.dtypes)['fid']}, line int, template int, license string, score double")
-    near = files.where(F.arrays_overlap(terms(text), F.array(*[F.lit(r) for r in rare])))
-    side = F.broadcast(weights.select("term", "template", "license", "w", "norm", "length"))
-    shared = (near.select("fid", F.explode(F.array_intersect(terms(text), words)).alias("term")).join(side, "term")
-              .groupBy("fid", "template", "license", "norm", "length").agg(F.sum(F.col("w") * F.col("w")).alias("mass"))
-              .where(F.col("mass") >= threshold ** 2 * F.col("norm") * F.col("norm") * (1 - 1e-9)))
-    chosen = cut(shared.drop("mass"), "unit-candidates")
-    idf = F.broadcast(weights.select("term", "idf").distinct())
-    tf = cut(near.join(chosen.select("fid").distinct(), "fid", "left_semi")
-             .select("fid", F.posexplode(F.split("text", "\n")).alias("line", "x"))
-             .select("fid", "line", F.explode(terms("x")).alias("term")).where("term != ''")
-             .groupBy("fid", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-             .join(idf, "term", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(1.0 + total)))), "unit-terms")
-    x = F.col("tf") * F.col("idf")
-    before = W.partitionBy("fid").orderBy("line").rowsBetween(W.unboundedPreceding, -1)
-    lines = (tf.groupBy("fid", "line").agg(F.sum("tf").alias("n"), F.sum(x * x).alias("size2"))
-             .withColumn("pos", F.coalesce(F.sum("n").over(before), F.lit(0))))
-    dots = (tf.join(side.drop("license", "norm", "length"), "term").groupBy("fid", "line", "template")
-            .agg(F.sum(x * F.col("w")).alias("dot")))
-    at = (chosen.join(lines, "fid").join(dots, ["fid", "line", "template"], "left")
-          .withColumn("p", F.expr(f"pos * {TEMPLATE_LENGTH} div length")))  # in lengths of the template
-    run = W.partitionBy("fid", "template").orderBy("p")
-    ahead = run.rangeBetween(0, TEMPLATE_LENGTH - 1)
-    runs = (at.withColumn("total_dot", F.sum(F.coalesce("dot", F.lit(0.0))).over(ahead))
-            .withColumn("low", F.sqrt(F.sum("size2").over(ahead))).withColumn("last", F.max("line").over(ahead))
-            .withColumn("lines", F.count(F.lit(1)).over(ahead)).withColumn("terms", F.sum("n").over(ahead))
-            .where((F.col("lines") >= least) & (F.col("terms") <= LONGER * F.col("length"))
-                   & (F.col("total_dot") >= threshold * F.col("norm") * F.col("low") * (1 - 1e-9)))
-            .withColumn("best", F.max("total_dot").over(run.rangeBetween(-TEMPLATE_LENGTH // 2, TEMPLATE_LENGTH // 2))).where("total_dot >= best")
-            .select("fid", "template", "license", "norm", F.col("line").alias("first"), "last"))
-    # All lines of a text, whatever their number.
-    size = lines.groupBy("fid").agg(F.sum("n").alias("terms"))
-    whole = chosen.join(size, "fid").where(F.col("terms") <= LONGER * F.col("length")).select("fid", "template", "license", "norm", F.lit(0).alias("first"), F.lit((1 << 31) - 1).alias("last"))
-    units = runs.unionByName(whole) if least == 1 else runs
-    held = (units.join(tf, "fid").where((F.col("line") >= F.col("first")) & (F.col("line") <= F.col("last")))
-            .groupBy("fid", "template", "license", "norm", "first", "last", "term")
-            .agg((F.sum("tf") * F.first("idf")).alias("x")))
-    scored = (held.join(side.select("term", "template", "w"), ["term", "template"], "left")
-              .groupBy("fid", "template", "license", "norm", "first", "last")
-              .agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size")))
-    return (scored.withColumn("score", F.col("dot") / (F.col("size") * F.col("norm"))).where(F.col("score") >= threshold)
-            .select("fid", F.col("first").alias("line"), "template", "license", F.round("score", 9).alias("score")))
+    return (hit.where(F.col("score") >= threshold).groupBy("key", "line").agg(best)
+            .select("key", "line", (-F.col("b.order")).alias("template"), "b.license", "b.score"))
+
+
+def scan_runs(words: DataFrame, chosen: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+    """Runs of terms, and whole texts, that reach their template."""
+    info = F.broadcast(weights.select("template", "unit", "norm", "length").distinct())
+    side = F.broadcast(weights.select("term", "template", "w"))
+    at = (chosen.join(words, "key").join(side, ["term", "template"], "left"))
+    so_far = W.partitionBy("key", "template").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    part, square = F.col("idf") * F.coalesce("w", F.lit(0.0)), F.col("idf") * F.col("idf")
+    sums = cut(at.select("key", "template", "pos", "line", F.sum(part).over(so_far).alias("dots"), F.sum(square).over(so_far).alias("squares"),
+                         part.alias("part"), square.alias("square")), "license-sums")
+    last = words.groupBy("key").agg(F.max("pos").alias("end"))
+    stride = F.when(F.col("length") <= EVERY, F.lit(1)).otherwise(F.expr("length div 8"))
+    starts = sums.join(info, "template").join(last, "key").where(F.col("pos") % stride == 0).select(
+        "key", "template", "unit", "norm", F.col("pos").alias("start"), F.col("line").alias("line"), F.col("end").alias("text_end"),
+        F.least(F.col("pos") + F.col("length") - 1, F.col("end")).cast("int").alias("end"),
+        (F.col("dots") - F.col("part")).alias("dots0"), (F.col("squares") - F.col("square")).alias("squares0"))
+    whole = starts.where("start = 0 and unit and end < text_end").withColumn("end", F.col("text_end"))
+    ends = sums.select("key", "template", F.col("pos").alias("end"), F.col("line").alias("end_line"), "dots", "squares")
+    runs = starts.unionByName(whole).join(ends, ["key", "template", "end"]).where("unit or line < end_line")
+    dot, low = F.col("dots") - F.col("dots0"), F.sqrt(F.greatest(F.col("squares") - F.col("squares0"), F.lit(0.0)))
+    # A little is added for what the differences of sums have lost.
+    may = cut(runs.where((dot > 0) & (dot * (1 + 1e-6) + 1e-6 >= threshold * F.col("norm") * low))
+              .select("key", "template", "line", "start", "end"), "license-runs")
+    unit = ["key", "template", "line", "start", "end"]
+    x = (may.select(*unit, F.explode(F.sequence("start", "end")).alias("pos")).join(words.drop("line"), ["key", "pos"])
+         .groupBy(*unit, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x")))
+    return (_scores(x, weights, unit).where(F.col("score") >= threshold)
+            .select("key", "line", "template", "license", F.round("score", 9).alias("score")))
 
 
 def _directories(path):
@@ -243,18 +243,27 @@ def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float
         templates = frame(TEMPLATES)
     if units is None:
         units = frame([*HEADERS, *full_texts()])
-    texts = files.select("fid", "text")
-    found = scan_lines(texts, templates, threshold).select("fid", "line", "license", "score", F.lit(1).alias("is_line"),
-                                                           F.lit(0).alias("template"))
-    for t, least in ((templates, 2), (units, 1)):
-        found = found.unionByName(scan_units(texts, t, threshold, least)
-                                  .select("fid", "line", "license", "score", F.lit(0).alias("is_line"), "template"))
+    both = templates.withColumn("unit", F.lit(False)).unionByName(
+        units.withColumn("template", F.col("template") + FIRST_UNIT).withColumn("unit", F.lit(True)))
+    vocabulary = cut(both.select("template", "license", "unit", F.explode(terms("text")).alias("term")).where("term != ''")
+                     .groupBy("template", "license", "unit", "term").agg(F.count(F.lit(1)).alias("tf")), "license-vocabulary")
+    keyed = files.select("fid", "path", F.md5("text").alias("key"))
+    texts = files.select(F.md5("text").alias("key"), "text").where("text is not null")
+    held = cut(held_terms(texts, vocabulary), "license-terms")
+    total = files.count()
+    df = held.groupBy("term").agg(F.sum("copies").alias("df"))
+    weights = cut(template_weights(vocabulary, df, total), "license-weights")
+    chosen = cut(candidates(held, weights, threshold), "license-candidates")
+    heavy = F.broadcast(weights.where(~F.col("unit") & (F.col("below") >= threshold * F.col("norm"))).select("term").distinct())
+    keys = chosen.select("key").union(held.join(heavy, "term").select("key")).distinct()
+    words = cut(placed_terms(texts, keys, weights, total), "license-words")
+    found = scan_lines(words, weights, total, threshold).withColumn("is_line", F.lit(1)).unionByName(
+        scan_runs(words, chosen, weights, threshold).withColumn("is_line", F.lit(0)))
     order = F.struct("score", "is_line", (-F.col("line")).alias("o"), (-F.col("template")).alias("t"), "license")
-    own = cut(found.groupBy("fid").agg(F.max(order).alias("b"))
-              .select("fid", "b.license", "b.score"), "own-licenses")
+    own = cut(found.groupBy("key").agg(F.max(order).alias("b")).select("key", "b.license", "b.score"), "own-licenses")
     base = F.upper(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
-    places = files.select("fid", "path", F.element_at(_directories(F.col("path")), 1).alias("dir"), base.alias("base"))
-    grants = (places.where(F.col("base").isin(*LICENSE_FILES)).join(own, "fid")
+    places = keyed.select("fid", "key", "path", F.element_at(_directories(F.col("path")), 1).alias("dir"), base.alias("base"))
+    grants = (places.where(F.col("base").isin(*LICENSE_FILES)).join(own, "key")
               .groupBy("dir").agg(F.max(F.struct("score", "license")).alias("g"))
               .select(F.col("dir").alias("above"), "g.license", "g.score"))
     # Directories, not files, meet the grants: each distinct one is expanded once.
@@ -264,7 +273,7 @@ def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float
     nearest = (up.distinct().join(grants, "above").groupBy("dir")
                .agg(F.min(F.struct("depth", "license", "score")).alias("n"))
                .select("dir", "n.depth", F.col("n.license").alias("from_dir"), F.col("n.score").alias("dir_score")))
-    out = places.select("fid", "dir").join(own, "fid", "left").join(nearest, "dir", "left")
+    out = places.select("fid", "key", "dir").join(own, "key", "left").join(nearest, "dir", "left")
     has = F.col("license").isNotNull()
     return out.select(
         "fid", F.coalesce("license", "from_dir").alias("license"),

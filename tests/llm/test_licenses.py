@@ -51,7 +51,8 @@ def test_prefix_filter_loses_no_line(spark):
         if best >= licenses.THRESHOLD:
             want[fid] = round(best, 6)
     frame = spark.createDataFrame([(i, t, "p/" + i) for i, t in rows], "fid string, text string, path string")
-    got = {r["fid"]: r["score"] for r in licenses.scan(frame).where("origin = 'own'").collect()}
+    none = spark.createDataFrame([], "template int, license string, text string")
+    got = {r["fid"]: r["score"] for r in licenses.scan(frame, units=none).where("origin = 'own'").collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
 
 
@@ -90,3 +91,88 @@ def test_licence_files_headers_and_wrapped_notices(spark):
     assert {k: got[k] for k in want} == {k: (v, "own") for k, v in want.items()}
     assert got["gpl-child"] == ("GPL-3.0", "inherited")
     assert got["none"] == (None, None) and all(got[f"p{i}"] == (None, None) for i in range(60))
+
+
+def brute(rows, notices, units, threshold=licenses.THRESHOLD):
+    """(license, score) of every text, by the cosine of every line, run and
+    whole text with every template."""
+    import math
+    import re
+    from collections import Counter
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    every = [(i, lic, words(t), False) for i, (lic, t) in enumerate(notices)] + [
+        (licenses.FIRST_UNIT + i, lic, words(t), True) for i, (lic, t) in enumerate(units)]
+    known = {u: {w for *_, ws, unit in every if unit <= u for w in ws} for u in (False, True)}
+    df = Counter(w for t in rows for w in set(words(t or "")))
+    n = len(rows) + 1.0
+
+    def vec(ws, vocabulary):
+        return {w: c * (math.log(n / (1 + df[w])) if w in vocabulary else math.log(n)) for w, c in Counter(ws).items()}
+
+    def cosine(a, b):
+        size = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / size if size else 0.0
+    out = []
+    for t in rows:
+        found = []
+        lines = [words(x) for x in (t or "").split("\n")]
+        flat, at = [w for x in lines for w in x], [i for i, x in enumerate(lines) for _ in x]
+        for k, lic, ws, unit in every:
+            v = vec(ws, known[True])
+            if not unit:
+                found += [(round(cosine(vec(x, known[False]), v), 9), 1, -i, -k, lic) for i, x in enumerate(lines) if x]
+            stride = 1 if len(ws) <= licenses.EVERY else len(ws) // 8
+            spans = [(s, min(s + len(ws), len(flat))) for s in range(0, len(flat), stride)]
+            if unit and flat:
+                spans.append((0, len(flat)))
+            found += [(round(cosine(vec(flat[s:e], known[True]), v), 9), 0, -at[s], -k, lic) for s, e in spans
+                      if unit or at[s] < at[e - 1]]
+        found = [x for x in found if x[0] >= threshold]
+        out.append((max(found)[4], round(max(found)[0], 6)) if found else (None, None))
+    return out
+
+
+def test_runs_against_brute_force(spark):
+    import random
+    rng = random.Random(3)
+    notices = [("A", "released under the alpha license"), ("B", "the beta license version 2")]
+    long = " ".join(f"term{i} the of" for i in range(20))
+    units = [("A", "alpha license"), ("C", "gamma general license version 2 june"), ("D", long)]
+    filler = lambda k: " ".join(rng.choice(["plain", "word", "the", "of", "a", "text", "more", "version"]) for _ in range(k))
+    seeds = [t for _, t in notices + units]
+    rows = []
+    for _ in range(120):
+        t = rng.choice(seeds).split()
+        if rng.random() < .5:
+            t[rng.randrange(len(t))] = rng.choice(["plain", "license", "2"])
+        glue = rng.choice([" ", " ", "\n"])
+        body = glue.join(t) if rng.random() < .5 else " ".join(t)
+        rows.append(filler(rng.randint(0, 12)) + rng.choice([" ", "\n"]) + body + rng.choice([" ", "\n"]) + filler(rng.randint(0, 12)))
+    rows += [filler(30) for _ in range(60)] + [None, "", "\n\n", rows[0], rows[0]]
+    want = brute(rows, notices, units)
+    frame = lambda ts: spark.createDataFrame([(i, *t) for i, t in enumerate(ts)], "template int, license string, text string")
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate(rows)], "fid long, path string, text string")
+    got = {r["fid"]: (r["license"], r["score"]) for r in licenses.scan(files, frame(notices), units=frame(units)).collect()}
+    assert sum(w[0] is not None for w in want) > 60
+    bad = {i: (got[i], w) for i, w in enumerate(want) if got[i][0] != w[0] or (w[1] is not None and abs(got[i][1] - w[1]) > 2e-6)}
+    assert not bad
+
+
+def test_null_and_repeated_ids_and_rows(spark):
+    mit = dict(licenses.full_texts())["MIT"]
+    code = " ".join(f"value {i} compute" for i in range(400))
+    rows = [(None, "a/x", mit), (None, "b/x", "Licensed under CC BY-NC 4.0."), (None, "c/LICENSE", "Released under the ISC License."),
+            (None, "c/y", "nothing"), (5, "d/x", "plain words"), (5, "e/x", mit), (6, "f/x", "Released under the ISC License."),
+            (7, "g/x", mit.replace("\n", " ") + " " + code), (8, None, mit)]
+    rows += [(100 + i, f"z{i}/x", f"plain words of text number {i}") for i in range(60)]
+    schema = "fid long, path string, text string"
+    once = sorted(map(str, licenses.scan(spark.createDataFrame(rows, schema)).collect()))
+    got = {(r["fid"], r["license"], r["origin"]) for r in licenses.scan(spark.createDataFrame(rows, schema)).collect()}
+    assert {(None, "MIT", "own"), (None, "CC-BY-NC-4.0", "own"), (None, "ISC", "own"), (None, "ISC", "inherited"), (5, None, None),
+            (5, "MIT", "own"), (6, "ISC", "own"), (7, "MIT", "own"), (8, "MIT", "own")} <= got
+    assert len(once) == len(rows)
+    # A file that is there twice gets the same answer as the other copy.
+    twice = licenses.scan(spark.createDataFrame(rows + rows[6:8], schema)).where("fid in (6, 7)").collect()
+    assert len(twice) == 4 and len({(r["fid"], r["license"], r["score"]) for r in twice}) == 2
+    exact = {r["score"] for r in twice if r["fid"] == 6}
+    assert exact == {1.0}
