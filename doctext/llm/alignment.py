@@ -20,9 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +34,18 @@ from .common import cut
 #: Text bytes of one block of documents, but for a block's last document.
 BLOCK_BYTES = 8 << 20
 #: Chunks remembered by a worker, and the longest that is worth it.
-MAX_CHUNKS, MAX_CHUNK = 250_000, 64
-#: Texts aligned at a time; one of so many characters ends a slice.
-SLICE_ROWS, SLICE = 250, 1 << 20
+MAX_CHUNKS, MAX_CHUNK = 400_000, 64
+#: Characters of texts aligned at a time, but for the last text of a slice,
+#: and new chunks placed at a time.
+SLICE, PLACED = 1 << 19, 20_000
 #: Distinct pairs of one batch of requests.
 PAIR_ROWS = 50_000
 
+#: Marks that may end a word; neither vocabulary joins them to a letter.
+TAIL = ".,;:!?"
+
 _START = re.compile(r"(?<! )(?= \S)")
+_UNEVEN = re.compile(r" (?:\s|\Z)")
 
 FACTS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 TOKENS = f"row long, doc_id long, block long, {FACTS}, pairs binary, counts binary"
@@ -57,28 +61,27 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def slices(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """Index ranges ``(a from, a to, b from, b to)`` between common ends."""
-    at_a = {e: i for i, e in enumerate(a_ends)}
-    at_b = {e: i for i, e in enumerate(b_ends)}
-    out, i, j = [], 0, 0
-    for e in sorted(at_a.keys() & at_b.keys()):
-        out.append((i, at_a[e] + 1, j, at_b[e] + 1))
-        i, j = at_a[e] + 1, at_b[e] + 1
-    return out
+def end_index(ends: np.ndarray) -> dict[int, int]:
+    """Token index by the byte offset where the token ends."""
+    return dict(zip(ends.tolist(), count()))
+
 
+def cuts(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The common ends in order, and how many tokens of each kind have ended
+    there: between two of them lies a group."""
+    at_a, at_b = end_index(a_ends), end_index(b_ends)
+    common = sorted(at_a.keys() & at_b.keys())
+    n = len(common)
+    return (np.array(common, dtype=np.int64), np.fromiter(map(at_a.__getitem__, common), np.int64, n) + 1,
+            np.fromiter(map(at_b.__getitem__, common), np.int64, n) + 1)
 
-def links(a_ends: list[int], b_ends: list[int], part: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Index pairs of a slice whose byte ranges overlap."""
-    p, a_to, q, b_to = part
-    out = []
-    while p < a_to and q < b_to:
-        out.append((p, q))
-        if a_ends[p] <= b_ends[q]:
-            p += 1
-        else:
-            q += 1
-    return out
+
+def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs whose byte ranges overlap, slice by slice: a slice with m and
+    n tokens has m + n - 1 of them, one for each stretch between the ends of
+    either kind.  Returns the ends of the stretches and the index pairs."""
+    ends = np.union1d(a_ends, b_ends)
+    return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
 class Aligner:
@@ -105,67 +108,111 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
-        self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
+        self.a_len, self.b_len = np.array(list(map(len, self.a_bytes))), np.array(list(map(len, self.b_bytes)))
         #: Whether no piece joins a space to what stands before it.
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        #: Whether no piece joins a mark of ``TAIL`` to a letter before it.
+        self.tails = not any(x.isalpha() and y in TAIL for p in pieces for x, y in zip(p, p[1:]))
         self.known: dict[str, tuple | None] = {}
+        self.known_tails: dict[str, tuple | None] = {}
 
     def _learn(self, bodies: set[str]) -> None:
         """Put the alignments of these chunks among the known ones; when there
-        are too many, only chunks in use stay."""
+        are too many, the older half goes, but for chunks in use."""
         new = [w for w in bodies if w not in self.known]
         if len(self.known) + len(new) > MAX_CHUNKS:
-            self.known = {w: self.known[w] for w in bodies if w in self.known}
-        for w, ids in zip(new, self.b.encode(new, num_threads=1)):
-            self.known[w] = self._align(w, ids)
-
-    def _align(self, body: str, b_ids: list[int]) -> tuple | None:
-        """``(n_a, n_b, groups, links, text of the groups, pair keys)`` of a
-        space followed by ``body``; None where tokens do not spell it."""
-        raw = (" " + body).encode("utf-8", "surrogatepass")
-        a_ids = (self.ranks.encode_ordinary(" " + body) if len(body) <= MAX_CHUNK
-                 else self.a.encode(" " + body, add_special_tokens=False).ids)
-        if (b"".join([self.b_bytes[i] for i in b_ids]) != raw or b"".join([self.a_bytes[i] for i in a_ids]) != raw):
-            return None
-        a_ends, b_ends = list(accumulate([self.a_len[i] for i in a_ids])), list(accumulate([self.b_len[i] for i in b_ids]))
-        groups, keys, size = [], array("I"), self.b_size
-        for part in slices(a_ends, b_ends):
-            i, i2, j, j2 = part
-            groups.append(f"{','.join(map(str, a_ids[i:i2]))}|{','.join(map(str, b_ids[j:j2]))}")
-            if i2 - i == 1:
-                keys.extend([a_ids[i] * size + y for y in b_ids[j:j2]])
-            elif j2 - j == 1:
-                keys.extend([x * size + b_ids[j] for x in a_ids[i:i2]])
+            self.known = {w: x for n, (w, x) in enumerate(self.known.items()) if 2 * n > MAX_CHUNKS or w in bodies}
+        known, marked, whole = self.known, [], set()
+        for w in new:
+            core = w.rstrip(TAIL)
+            if self.tails and len(core) < len(w) and core.isalpha():
+                marked.append((w, core, w[len(core):]))
+                if core not in known:
+                    whole.add(core)
+            else:
+                whole.add(w)
+        whole = list(whole)
+        for i in range(0, len(whole), PLACED):
+            part = whole[i:i + PLACED]
+            known.update(zip(part, self._place(part)))
+        for w, core, tail in marked:
+            x, y = known[core], self._tail(tail)
+            known[w] = x and (x[0] + y[0], f"{x[1]};{y[1]}", x[2] + y[2])
+
+    def _tail(self, tail: str) -> tuple:
+        """Marks after a letter: both vocabularies cut between the two."""
+        if tail not in self.known_tails:
+            if len(self.known_tails) >= MAX_CHUNKS:
+                self.known_tails.clear()
+            (n1, g1, k1), (n2, g2, k2) = self._place(["a", "a" + tail])
+            self.known_tails[tail] = n2 - n1, g2[len(g1) + 1:], k2[len(k1):]
+        return self.known_tails[tail]
+
+    def _place(self, bodies: list[str]) -> list[tuple | None]:
+        """``(n_a, text of the groups, pair keys)`` of a space followed by each
+        body, all laid behind one another (a chunk's end is an end of both
+        kinds); None where tokens do not spell it."""
+        a_ids = [self.ranks.encode_ordinary(" " + w) if len(w) <= MAX_CHUNK
+                 else self.a.encode(" " + w, add_special_tokens=False).ids for w in bodies]
+        b_ids = self.b.encode(bodies, num_threads=1)
+        raws = [(" " + w).encode("utf-8", "surrogatepass") for w in bodies]
+        good = [n for n, raw in enumerate(raws)
+                if b"".join(map(self.b_bytes.__getitem__, b_ids[n])) == raw
+                and b"".join(map(self.a_bytes.__getitem__, a_ids[n])) == raw]
+        out: list[tuple | None] = [None] * len(bodies)
+        if not good:
+            return out
+        flat = lambda ids: np.fromiter(chain.from_iterable(ids[n] for n in good), np.int64)
+        a, b = flat(a_ids), flat(b_ids)
+        a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        common, a_to, b_to = cuts(a_ends, b_ends)
+        ends, p, q = links(a_ends, b_ends)
+        keys = (a[p] * self.b_size + b[q]).astype("<u4")
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        groups, i, j = [], 0, 0
+        for i2, j2 in zip(a_to.tolist(), b_to.tolist()):
+            if i2 - i == 1 and j2 - j == 1:
+                groups.append(f"{a_text[i]}|{b_text[j]}")
             else:
-                keys.extend([a_ids[p] * size + b_ids[q] for p, q in links(a_ends, b_ends, part)])
-        return len(a_ids), len(b_ids), len(groups), len(keys), ";".join(groups), keys.tobytes()
+                groups.append(f"{','.join(a_text[i:i2])}|{','.join(b_text[j:j2])}")
+            i, j = i2, j2
+        last = np.cumsum([len(raws[n]) for n in good])
+        g_to, k_to = np.searchsorted(common, last) + 1, np.searchsorted(ends, last) + 1
+        g = k = 0
+        for n, g2, k2 in zip(good, g_to.tolist(), k_to.tolist()):
+            out[n] = len(a_ids[n]), ";".join(groups[g:g2]), keys[k:k2].tobytes()
+            g, k = g2, k2
+        return out
 
     def bodies(self, text: str) -> list[str]:
         """The chunks of a space and ``text``, without the space before each."""
         if not self.cuts:
             return [text]
-        words = text.split(" ")
-        if all(words) and not any(w[0].isspace() for w in words):
-            return words
+        if not _UNEVEN.search(" " + text):
+            return text.split(" ")
         return [c[1:] for c in _START.split(" " + text) if c]
 
     def align(self, texts: list[str | None]) -> list[tuple]:
         """``(n_a, n_b, n_groups, n_links, digest, pair keys, their counts)``
         of every text."""
         chunks = [self.bodies(t) if t else None for t in texts]
-        self._learn({c for one in chunks if one for c in one if len(c) <= MAX_CHUNK})
+        self._learn({c for c in set().union(*[one for one in chunks if one]) if len(c) <= MAX_CHUNK})
         return [self._sum(c) for c in chunks]
 
     def _sum(self, bodies: list[str] | None) -> tuple:
-        known = self.known
-        parts = [None] if bodies is None else [
-            known[c] if len(c) <= MAX_CHUNK else self._align(c, self.b.encode(c)) for c in bodies]
+        try:
+            parts = [None] if bodies is None else list(map(self.known.__getitem__, bodies))
+        except KeyError:   # a long chunk, which is not remembered
+            parts = [self.known[c] if len(c) <= MAX_CHUNK else self._place([c])[0] for c in bodies]
         if None in parts:
             return 0, 0, 0, 0, "", b"", b""
-        n_a, n_b, n_groups, n_links, groups, keys = zip(*parts)
-        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        n_a, groups, keys = zip(*parts)
+        text = ";".join(groups)
         k, n = np.unique(np.frombuffer(b"".join(keys), "<u4"), return_counts=True)
-        return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), digest, k.tobytes(), n.astype("<u4").tobytes()
+        n_a, n_groups, n_links = sum(n_a), text.count("|"), int(n.sum())
+        # A group of m and n tokens has m + n - 1 links.
+        return (n_a, n_links + n_groups - n_a, n_groups, n_links, hashlib.sha256(text.encode()).hexdigest(),
+                k.tobytes(), n.astype("<u4").tobytes())
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -190,16 +237,18 @@ def tokenise(documents: DataFrame, path_a: str, path_b: str, block_bytes: int =
             out: list[tuple] = []
             texts: list[str | None] = []
             places: list[tuple] = []
+            held = 0
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
                 if size > block_bytes:
                     block, size = block + 1, 0
                 texts.append(text.as_py())
                 places.append((row, doc_id, block))
                 size += len(texts[-1] or "")
+                held += len(texts[-1] or "")
                 row += 1
-                if len(texts[-1] or "") > SLICE or len(texts) == SLICE_ROWS:
+                if held > SLICE:
                     out += [(*p, *x) for p, x in zip(places, both.align(texts))]
-                    texts, places = [], []
+                    texts, places, held = [], [], 0
             out += [(*p, *x) for p, x in zip(places, both.align(texts))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=kind) for c, kind in zip(zip(*out) if out else [[]] * 10, _TOKEN_TYPES)], _TOKEN_NAMES)

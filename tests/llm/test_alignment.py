@@ -57,7 +57,8 @@ def brute(texts):
 
 TEXTS = [None, "", " ", "one", "one two", "one two", "  two  spaces ", "a\nb\n c \t d\r\n", "é ü ß 日本語 😀 e\u0301", "<s> </s><|endoftext|> x",
          "▁ under", "a▁b", "\x00\x01", "it's 1234567 don't", "x" * 5000, "ab" * 3000, "word " * 3000, "\u00a0nbsp\u2003em", "ﬁ½",
-         " lead", "trail ", "\u3000 x", "a \u3000b", "...!!!\n\n\n", "日本語" * 500, "\x1c x \x85 y"]
+         " lead", "trail ", "\u3000 x", "a \u3000b", "...!!!\n\n\n", "日本語" * 500, "\x1c x \x85 y",
+         "end. next, é! été?! Straße... word;: 日本. ². 2. a_. x'. \"q\".", "end end. end.. .end ..", "ª. ǅ, ʰ! x\u0301. _,"]
 
 
 def frame(spark, texts):
@@ -93,8 +94,19 @@ def test_empty_table(spark):
     assert alignment.align_documents(frame(spark, TEXTS).limit(0)).count() == 0
 
 
-def test_slices_and_links():
-    a, b = [2, 3, 7, 9], [3, 5, 9]
-    assert alignment.slices(a, b) == [(0, 2, 0, 1), (2, 4, 1, 3)]
-    assert alignment.links(a, b, (2, 4, 1, 3)) == [(2, 1), (2, 2), (3, 2)]
+def test_cuts_and_links():
+    a, b = np.array([2, 3, 7, 9]), np.array([3, 5, 9])
+    assert [x.tolist() for x in alignment.cuts(a, b)] == [[3, 9], [2, 4], [1, 3]]
+    ends, p, q = alignment.links(a, b)
+    assert list(zip(p.tolist(), q.tolist())) == [(0, 0), (1, 0), (2, 1), (2, 2), (3, 2)]
     assert np.unique(list(alignment.byte_level().values())).tolist() == list(range(256))
+
+
+def test_known_chunks_stay_bounded(monkeypatch):
+    monkeypatch.setattr(alignment, "MAX_CHUNKS", 40)
+    both = alignment.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [f"w{i} common x{i * 7} words" for i in range(200)]
+    got = [both.align([t])[0] for t in texts]
+    assert len(both.known) <= 60
+    assert [g[:5] for g in got] == [(len(a), len(b), len(g), len(k), hashlib.sha256(";".join(g).encode()).hexdigest())
+                                    for a, b, g, k in map(plain, texts)]
