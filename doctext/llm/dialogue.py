@@ -10,7 +10,7 @@ the least in ASCII.  Stack tops of this grammar leave the same rests open
 whatever lies below them, so no cheaper repair is lost.
 
 Rows are hashed by conversation once, sorted within their partitions and read
-as a stream.  Of a conversation the stream holds five bytes a row (where each
+as a stream.  Of a conversation the stream holds four bytes a row (where each
 stack top came from); texts pass through running digests.  A digest of joined
 texts is sequential, so one conversation is one task's stream, however long.
 
