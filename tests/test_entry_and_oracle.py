@@ -9,7 +9,10 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["events", "documents", "pages", "benchmark", "labels", "conversations"]
 QUICK = ["package_texts", "merge_result", "attach_fulltext_limited", "normalise_url", "fulltext_url",
          "clear_text", "wrong_words", "search_ranked", "facets", "archive_text", "redirect_text",
-         "failure_report", "outcome", "hide_extras_list", "package_list_page", "stream_ingest"]
+         "failure_report", "outcome", "hide_extras_list", "package_list_page", "stream_ingest", "stream_outcomes",
+         "postings", "index_maintained", "search_after_update", "apply_outcome", "process_packages", "process_packages_index",
+         "package_update", "package_create", "package_show_reduced", "package_show_map", "package_list_views", "package_list_deep",
+         "package_list_after", "work_selection_one", "preprocess_tokens"]
 
 
 def test_entry(spark):
