@@ -14,15 +14,17 @@ ids.  Compared are
   template's length, for longer ones; runs of notices are those that go over a
   line's end (a wrapped notice), runs of headers, titles and full licence texts
   may lie anywhere;
-* the whole text with headers, titles and full licence texts.
+* the whole text, if it has at most ``WHOLE`` times the template's terms (a
+  licence file), with headers, titles and full licence texts.
 
 One pass over the texts keeps (digest, term) for the templates' terms; document
 frequencies and candidates come from that table, and only candidates' texts are
 read again.  What is left out before a cosine is computed cannot reach the
 threshold: a line needs one of a notice's heavy terms (the light rest has less
 than ``threshold`` of the norm); a text needs one of a template's rare terms and
-terms of ``threshold ** 2`` of its squared norm; a run's dot product and a bound
-of its norm from below are differences of running sums, and their quotient
+terms of ``threshold ** 2`` of its squared norm; a run needs such a rare term
+too, so only blocks of terms in reach of one are kept; a run's dot product and
+a bound of its norm from below are sums over its terms, and their quotient
 bounds the cosine from above.
 
 A file's own licence is its best line's or run's; ties go to lines, then to
@@ -55,6 +57,12 @@ THRESHOLD = 0.7
 FIRST_UNIT = 1000
 #: Terms of the longest template whose runs begin at every term.
 EVERY = 32
+#: A text is compared as a whole up to this many times a template's terms.
+WHOLE = 2
+#: A template's length in the fixed-point places of its runs.
+ONE_LENGTH = 1 << 30
+#: Terms of a text that are kept or left together.
+BLOCK = 32
 #: File names that license their directory (compared in upper case, up to a dot).
 LICENSE_FILES = ("LICENSE", "LICENCE", "COPYING", "NOTICE", "UNLICENSE")
 
@@ -154,16 +162,48 @@ def candidates(held: DataFrame, weights: DataFrame, threshold: float) -> DataFra
     return mass.join(some, ["key", "template"], "left_semi").select("key", "template")
 
 
-def placed_terms(texts: DataFrame, keys: DataFrame, weights: DataFrame, total: int) -> DataFrame:
-    """``(key, pos, line, term, idf)`` of the texts with these keys, each
-    distinct text once."""
+def texts_once(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(id, key, text)``: each distinct text of these keys once, numbered."""
     one = texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return cut(one.select(F.monotonically_increasing_id().alias("id"), "key", "text"), "license-texts")
+
+
+def _placed(text):
+    """All terms of a text in order, each with its line."""
     line = lambda x, i: F.transform(F.filter(terms(x), lambda t: t != ""),
                                     lambda t: F.struct(i.alias("line"), t.alias("term")))
-    words = F.flatten(F.transform(F.split("text", "\n"), line))
+    return F.flatten(F.transform(F.split(text, "\n"), line))
+
+
+def _weighed(words: DataFrame, weights: DataFrame, total: int) -> DataFrame:
+    """``words`` with ``idf``; terms outside the templates weigh as the rarest."""
     idf = F.broadcast(weights.select("term", "idf").distinct())
-    return (one.select("key", F.posexplode(words).alias("pos", "x")).select("key", "pos", "x.line", "x.term")
-            .join(idf, "term", "left").select("key", "pos", "line", "term", F.coalesce("idf", F.log(F.lit(1.0 + total))).alias("idf")))
+    return words.join(idf, "term", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(1.0 + total))))
+
+
+def near_terms(one: DataFrame, chosen: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
+    """``(id, pos, line, term, idf, size)`` of the blocks of terms that a run
+    with a rare term of its template reaches into, and of all blocks of a text
+    that is compared as a whole (``size``: its number of terms)."""
+    words = one.select("id", _placed(F.col("text")).alias("ws"))
+    rare = F.broadcast(weights.where(F.col("rest") >= threshold * F.col("norm")).select("term", "template", "length"))
+    hits = (words.select("id", F.posexplode("ws").alias("pos", "x")).select("id", F.col("x.term").alias("term"), "pos").join(rare, "term")
+            .select("id", "template", "length", F.expr(f"pos div {BLOCK}").alias("b")).distinct()
+            .join(chosen, ["id", "template"], "left_semi"))
+    reach = hits.select("id", F.explode(F.sequence(F.expr(f"greatest(b * {BLOCK} - length + 1, 0) div {BLOCK}"),
+                                                   F.expr(f"((b + 1) * {BLOCK} + length - 2) div {BLOCK}"))).alias("b"))
+    lengths = F.broadcast(weights.where("unit").select("template", "length").distinct())
+    short = (words.select("id", F.size("ws").alias("size")).join(chosen, "id").join(lengths, "template")
+             .where(F.col("size") <= WHOLE * F.col("length"))
+             .select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"size div {BLOCK}"))).alias("b")))
+    blocks = reach.unionByName(short).distinct().groupBy("id").agg(F.collect_list("b").alias("bs"))
+    cut_out = lambda b: F.transform(F.slice("ws", (b * BLOCK + 1).cast("int"), F.lit(BLOCK)),
+                                    lambda w, i: F.struct((b * BLOCK + i).cast("int").alias("pos"), w["line"].alias("line"),
+                                                          w["term"].alias("term")))
+    # Texts, not their terms, are moved to their blocks.
+    kept = one.join(blocks, "id").select("id", "bs", _placed(F.col("text")).alias("ws")).select("id", F.size("ws").alias("size"), F.explode(F.flatten(F.transform(
+        F.filter("bs", lambda b: b * BLOCK < F.size("ws")), cut_out))).alias("x"))
+    return _weighed(kept.select("id", "x.pos", "x.line", "x.term", "size"), weights, total)
 
 
 def _scores(x: DataFrame, weights: DataFrame, unit: list[str]) -> DataFrame:
@@ -176,52 +216,54 @@ def _scores(x: DataFrame, weights: DataFrame, unit: list[str]) -> DataFrame:
             .join(info, "template").withColumn("score", F.col("dot") / (F.col("size") * F.col("norm"))))
 
 
-def scan_lines(words: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
+def scan_lines(one: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
     """Best notice of every line that reaches the threshold; terms outside
     the notices weigh as the rarest."""
     notices = weights.where("not unit")
-    known = F.broadcast(notices.select("term", F.lit(True).alias("known")).distinct())
-    words = words.join(known, "term", "left").withColumn("idf", F.when(F.col("known"), F.col("idf")).otherwise(F.log(F.lit(1.0 + total))))
-    heavy = F.broadcast(notices.where(F.col("below") >= threshold * F.col("norm")).select("term").distinct())
-    near = words.join(words.join(heavy, "term").select("key", "line").distinct(), ["key", "line"], "left_semi")
-    tf = near.groupBy("key", "line", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x"))
-    size = tf.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+    heavy = [r[0] for r in notices.where(F.col("below") >= threshold * F.col("norm")).select("term").distinct()
+             .orderBy("term").collect()]  # of a few one-line notices
+    some = F.arrays_overlap("t", F.array(*map(F.lit, heavy)).cast("array<string>"))
+    lines = (one.select("id", F.posexplode(F.split("text", "\n")).alias("line", "x")).withColumn("t", terms("x")).where(some)
+             .select("id", "line", F.explode("t").alias("term")).where("term != ''"))
+    tf = (_weighed(lines, notices, total).groupBy("id", "line", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x")))
+    size = tf.groupBy("id", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
     side = F.broadcast(notices.select("term", "template", "license", "w", "norm"))
-    dots = (tf.join(side, "term").groupBy("key", "line", "template", "license", "norm")
+    dots = (tf.join(side, "term").groupBy("id", "line", "template", "license", "norm")
             .agg(F.sum(F.col("x") * F.col("w")).alias("dot")))
-    hit = dots.join(size, ["key", "line"]).withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
+    hit = dots.join(size, ["id", "line"]).withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
     best = F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("template")).alias("order"), "license")).alias("b")
-    return (hit.where(F.col("score") >= threshold).groupBy("key", "line").agg(best)
-            .select("key", "line", (-F.col("b.order")).alias("template"), "b.license", "b.score"))
+    return (hit.where(F.col("score") >= threshold).groupBy("id", "line").agg(best)
+            .select("id", "line", (-F.col("b.order")).alias("template"), "b.license", "b.score"))
 
 
 def scan_runs(words: DataFrame, chosen: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
     """Runs of terms, and whole texts, that reach their template."""
     info = F.broadcast(weights.select("template", "unit", "norm", "length").distinct())
     side = F.broadcast(weights.select("term", "template", "w"))
-    at = (chosen.join(words, "key").join(side, ["term", "template"], "left"))
-    so_far = W.partitionBy("key", "template").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    at = chosen.join(words.drop("line"), "id").join(side, ["term", "template"], "left")
     part, square = F.col("idf") * F.coalesce("w", F.lit(0.0)), F.col("idf") * F.col("idf")
-    sums = cut(at.select("key", "template", "pos", "line", F.sum(part).over(so_far).alias("dots"), F.sum(square).over(so_far).alias("squares"),
-                         part.alias("part"), square.alias("square")), "license-sums")
-    last = words.groupBy("key").agg(F.max("pos").alias("end"))
+    # Places in lengths of the template, so that one frame serves them all.
+    at = at.join(info, "template").withColumn("p", F.expr(f"pos * {ONE_LENGTH}L div length"))
+    every = W.partitionBy("id", "template")
+    ahead = every.orderBy("p").rangeBetween(0, ONE_LENGTH - 1)
+    over = lambda w: F.struct(F.sum(part).over(w).alias("dot"), F.sum(square).over(w).alias("low"), F.count(F.lit(1)).over(w).alias("n"),
+                              F.max("pos").over(w).alias("end"))
+    sums = at.select("id", "template", "unit", "norm", "size", "length", "pos", over(ahead).alias("run"), over(every).alias("all"))
     stride = F.when(F.col("length") <= EVERY, F.lit(1)).otherwise(F.expr("length div 8"))
-    starts = sums.join(info, "template").join(last, "key").where(F.col("pos") % stride == 0).select(
-        "key", "template", "unit", "norm", F.col("pos").alias("start"), F.col("line").alias("line"), F.col("end").alias("text_end"),
-        F.least(F.col("pos") + F.col("length") - 1, F.col("end")).cast("int").alias("end"),
-        (F.col("dots") - F.col("part")).alias("dots0"), (F.col("squares") - F.col("square")).alias("squares0"))
-    whole = starts.where("start = 0 and unit and end < text_end").withColumn("end", F.col("text_end"))
-    ends = sums.select("key", "template", F.col("pos").alias("end"), F.col("line").alias("end_line"), "dots", "squares")
-    runs = starts.unionByName(whole).join(ends, ["key", "template", "end"]).where("unit or line < end_line")
-    dot, low = F.col("dots") - F.col("dots0"), F.sqrt(F.greatest(F.col("squares") - F.col("squares0"), F.lit(0.0)))
-    # A little is added for what the differences of sums have lost.
-    may = cut(runs.where((dot > 0) & (dot * (1 + 1e-6) + 1e-6 >= threshold * F.col("norm") * low))
-              .select("key", "template", "line", "start", "end"), "license-runs")
-    unit = ["key", "template", "line", "start", "end"]
-    x = (may.select(*unit, F.explode(F.sequence("start", "end")).alias("pos")).join(words.drop("line"), ["key", "pos"])
-         .groupBy(*unit, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x")))
-    return (_scores(x, weights, unit).where(F.col("score") >= threshold)
-            .select("key", "line", "template", "license", F.round("score", 9).alias("score")))
+    # A run without a gap has all its terms, or ends with its text.
+    full = F.col("run.n") == F.least(F.col("length"), F.col("size") - F.col("pos"))
+    whole = (F.col("pos") == 0) & F.col("unit") & (F.col("size") > F.col("length")) & (F.col("all.n") == F.col("size"))
+    units = F.array(F.when((F.col("pos") % stride == 0) & full, F.col("run")),
+                    F.when(whole & (F.col("size") <= WHOLE * F.col("length")), F.col("all")))
+    may = cut(sums.select("id", "template", "unit", "norm", F.col("pos").alias("start"), F.explode(F.array_compact(units)).alias("u"))
+              .where("u.dot > 0").where(F.col("u.dot") >= threshold * F.col("norm") * F.sqrt("u.low") * (1 - 1e-9))
+              .select("id", "template", "unit", "start", F.col("u.end").alias("end")), "license-runs")
+    held = may.select("id", "template", "unit", "start", "end", F.explode(F.sequence("start", "end")).alias("pos")).join(words, ["id", "pos"])
+    unit = ["id", "template", "start", "end"]
+    x = held.groupBy(*unit, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x"))
+    where = held.groupBy(*unit).agg(F.min("line").alias("line"), F.max("line").alias("last"), F.first("unit").alias("unit"))
+    return (_scores(x, weights, unit).where(F.col("score") >= threshold).join(where, unit).where("unit or line < last")
+            .select("id", "line", "template", "license", F.round("score", 9).alias("score")))
 
 
 def _directories(path):
@@ -256,11 +298,14 @@ def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float
     chosen = cut(candidates(held, weights, threshold), "license-candidates")
     heavy = F.broadcast(weights.where(~F.col("unit") & (F.col("below") >= threshold * F.col("norm"))).select("term").distinct())
     keys = chosen.select("key").union(held.join(heavy, "term").select("key")).distinct()
-    words = cut(placed_terms(texts, keys, weights, total), "license-words")
-    found = scan_lines(words, weights, total, threshold).withColumn("is_line", F.lit(1)).unionByName(
+    one = texts_once(texts, keys)
+    chosen = cut(chosen.join(one.select("id", "key"), "key").select("id", "template"), "license-candidates")
+    words = cut(near_terms(one, chosen, weights, total, threshold), "license-words")
+    found = scan_lines(one, weights, total, threshold).withColumn("is_line", F.lit(1)).unionByName(
         scan_runs(words, chosen, weights, threshold).withColumn("is_line", F.lit(0)))
     order = F.struct("score", "is_line", (-F.col("line")).alias("o"), (-F.col("template")).alias("t"), "license")
-    own = cut(found.groupBy("key").agg(F.max(order).alias("b")).select("key", "b.license", "b.score"), "own-licenses")
+    best = found.groupBy("id").agg(F.max(order).alias("b")).select("id", "b.license", "b.score")
+    own = cut(best.join(one.select("id", "key"), "id").drop("id"), "own-licenses")
     base = F.upper(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     places = keyed.select("fid", "key", "path", F.element_at(_directories(F.col("path")), 1).alias("dir"), base.alias("base"))
     grants = (places.where(F.col("base").isin(*LICENSE_FILES)).join(own, "key")

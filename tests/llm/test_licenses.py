@@ -123,7 +123,7 @@ def brute(rows, notices, units, threshold=licenses.THRESHOLD):
                 found += [(round(cosine(vec(x, known[False]), v), 9), 1, -i, -k, lic) for i, x in enumerate(lines) if x]
             stride = 1 if len(ws) <= licenses.EVERY else len(ws) // 8
             spans = [(s, min(s + len(ws), len(flat))) for s in range(0, len(flat), stride)]
-            if unit and flat:
+            if unit and 0 < len(flat) <= licenses.WHOLE * len(ws):
                 spans.append((0, len(flat)))
             found += [(round(cosine(vec(flat[s:e], known[True]), v), 9), 0, -at[s], -k, lic) for s, e in spans
                       if unit or at[s] < at[e - 1]]
