@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import _col
 from ..functions.urls import resolve_relative
 from ..operators.keys import near_keys
+from ..session import written
 
 WS = r"[\t\n\x{0B}\f\r ]"
 
@@ -94,26 +95,29 @@ def redirect_target(url, html) -> Column:
     ``window.location.<method>(...)`` (quotes stripped): absolute -> itself,
     starting with '.' -> resolved against the page URL, else the page URL."""
     u = _col(url)
-    js = first_script(html)
-    at = F.instr(js, "window.location.")
-    sub = F.substring(js, at, 1 << 30)
-    a = F.instr(sub, "(")
-    b = F.instr(sub, ")")
-    end = F.when(b > 0, b - 1).otherwise(F.length(sub) - 1)
-    arg = F.btrim(F.substring(sub, a + 1, F.greatest(end - a, F.lit(0))), F.lit("'"))
-    return (F.when((js == "") | (at == 0), u)
-             .when(arg.startswith("http"), arg)
-             .when(arg.startswith("."), resolve_relative(arg, u))
-             .otherwise(u))
+
+    def argument(sub: Column) -> Column:
+        a, b = F.instr(sub, "("), F.instr(sub, ")")
+        end = F.when(b > 0, b - 1).otherwise(F.length(sub) - 1)
+        return F.btrim(F.substring(sub, a + 1, F.greatest(end - a, F.lit(0))), F.lit("'"))
+
+    def target(js: Column) -> Column:
+        at = F.instr(js, "window.location.")
+        sent = _let(argument(F.substring(js, at, 1 << 30)), lambda arg: F.when(arg.startswith("http"), arg)
+                    .when(arg.startswith("."), resolve_relative(arg, u)).otherwise(u))
+        return F.when(at == 0, u).otherwise(sent)
+
+    # A page without the words has no script that sends on.
+    return F.when(_col(html).contains("window.location."), _let(first_script(html), target)).otherwise(u)
 
 
 def pages_by_url(pages: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(target, target_id, text)``: one page for every wanted ``target`` that
     is a page's URL, the smallest id where pages share it.  The page is picked
     on narrow columns; only picked pages are turned into text."""
-    first = (near_keys(pages.select(F.col("url").alias("target"), "page_id"), wanted.distinct(), "target")
+    first = (near_keys(pages.select(F.col("url").alias("target"), "page_id"), wanted, "target")
              .groupBy("target").agg(F.min("page_id").alias("target_id")))
-    picked = first.join(wanted.distinct(), "target", "left_semi")
+    picked = written(first.join(wanted, "target", "left_semi"), "picked")
     body = near_keys(pages.select(F.col("page_id").alias("target_id"), "html"), picked, "target_id")
     return picked.join(body, "target_id").select("target", "target_id", page_text("html").alias("text"))
 
@@ -125,6 +129,6 @@ def redirect_text(pages: DataFrame) -> DataFrame:
     lead to it; a popular target is a skewed join key, which AQE's skew-join
     handling splits.
     """
-    src = pages.select("page_id", redirect_target("url", "html").alias("target"))
+    src = written(pages.select("page_id", redirect_target("url", "html").alias("target")), "targets")
     return src.join(pages_by_url(pages, src.select("target")), "target", "left").select(
         "page_id", "target", "target_id", "text")

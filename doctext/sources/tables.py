@@ -63,10 +63,16 @@ class Catalog:
     def attempts(self) -> DataFrame:
         return self.view("attempts")
 
-    @property
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
+        """A text table of fewer files than there are cores, hash-spread over
+        them; one with many files is read as it lies."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+    @cached_property
     def documents(self) -> DataFrame:
-        return self.raw("documents")
+        return self.spread(self.raw("documents"), "doc_id")
 
-    @property
+    @cached_property
     def pages(self) -> DataFrame:
-        return self.raw("pages")
+        return self.spread(self.raw("pages"), "page_id")
