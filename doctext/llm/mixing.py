@@ -32,8 +32,8 @@ from .common import cut, hide, show, word_count
 WEIGHTS = (5.0, 2.0, 1.0)
 #: No document is taken more often than this.
 MAX_COPIES = 3
-#: Newton steps on the dual (each halves the bracket at worst).
-STEPS = 40
+#: A source's dual is settled when its words are this near the target.
+NEAR = 1e-9
 #: Documents of one cell that are ranked in one task, on average.
 RANK_ROWS = 100_000
 
@@ -76,43 +76,48 @@ def _rate(lam, x, cap: float):
     return F.least(F.lit(float(cap)), F.exp(F.least(lam * x, F.lit(20.0))))
 
 
-def solve(hist: DataFrame, goals: DataFrame, cap: float = MAX_COPIES,
-          steps: int = STEPS) -> DataFrame:
+def solve(hist: DataFrame, goals: DataFrame, cap: float = MAX_COPIES) -> DataFrame:
     """Dual variable per source: ``(sid, mean, lam)``.
 
     ``hist(sid, size, n)`` counts documents; ``goals(sid, source_size,
-    n_docs, target)``.  The bracket always holds the root: at its low end rates vanish, at
-    its high end the smallest document is at the cap.
+    n_docs, target)``.  The bracket always holds the root: a document's ``x``
+    is at least one word over the mean, so at the low end the source gives less
+    than the target, at the high end its smallest document is at the cap.  A
+    Newton step is taken while it stays inside and the gap halves; any other
+    step bisects (from a wide side it goes no further than doubles ``lam``).
+    So steps end, and they go on until every source is within ``NEAR`` of its
+    target or its bracket has no number left inside.
     """
+    mean = F.col("source_size") / F.col("n_docs")
+    tiny = F.greatest(F.col("target"), F.lit(1e-12))
     lam = cut(goals.where("source_size > 0").select(
-        "sid", "target", "n_docs", (F.col("source_size") / F.col("n_docs")).alias("mean"),
-        F.lit(0.0).alias("lam"), F.lit(-800.0).alias("lo"),
-        (F.lit(1.2) * F.log(F.lit(float(cap))) * F.col("source_size") / F.col("n_docs") + 1.0).alias("hi"))
+        "sid", "target", "n_docs", mean.alias("mean"), F.lit(0.0).alias("lam"),
+        (-(F.log(F.greatest(F.col("source_size") / tiny, F.lit(1.0))) + 1.0) * mean).alias("lo"),
+        (F.lit(1.2) * F.log(F.lit(float(cap))) * mean + 1.0).alias("hi"), F.lit(float("inf")).alias("last"))
         # At the cap every document is at the cap: the bracket's end is the root.
         .withColumn("lam", F.when(F.col("target") >= cap * F.col("mean") * (1 - 1e-12) * F.col("n_docs"),
                                   F.col("hi")).otherwise(F.col("lam"))).drop("n_docs"), "dual")
     cells = hist.where("size > 0")
-    for _ in range(steps):
+    while True:
         x = F.col("size") / F.col("mean")
         r = _rate(F.col("lam"), x, cap)
         sums = (cells.join(lam, "sid").groupBy("sid")
                 .agg(F.sum(F.col("n") * F.col("size") * r).alias("got"),
                      F.sum(F.when(r < float(cap), F.col("n") * F.col("size") * x * r).otherwise(0.0)).alias("slope")))
-        j = lam.join(sums, "sid")
         gap = F.col("got") - F.col("target")
-        lo = F.when(gap <= 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(gap >= 0, F.col("lam")).otherwise(F.col("hi"))
+        j = (lam.join(sums, "sid").withColumn("lo", F.when(gap <= 0, F.col("lam")).otherwise(F.col("lo")))
+             .withColumn("hi", F.when(gap >= 0, F.col("lam")).otherwise(F.col("hi"))))
         step = F.col("lam") - gap / F.when(F.col("slope") > 0, F.col("slope"))
-        # A rejected step bisects, from a wide side no further than 4 away.
-        mid = F.greatest(F.least((lo + hi) / 2, F.col("lam") + 4.0), F.col("lam") - 4.0)
-        nxt = F.when((step > lo) & (step < hi), step).otherwise(mid)
-        close = F.abs(gap) <= 1e-9 * F.col("target")
-        lam = cut(j.select("sid", "target", "mean", F.when(close, F.col("lam")).otherwise(nxt).alias("lam"),
-                           lo.alias("lo"), hi.alias("hi"), close.alias("close")), "dual")
-        if lam.where("not close").isEmpty():
-            break
-        lam = lam.drop("close")
-    return lam.select("sid", "mean", "lam")
+        reach = F.abs("lam") + 4.0
+        mid = F.greatest(F.least((F.col("lo") + F.col("hi")) / 2, F.col("lam") + reach), F.col("lam") - reach)
+        good = (step > F.col("lo")) & (step < F.col("hi")) & (F.abs(gap) <= F.col("last") / 2)
+        done = ((F.abs(gap) <= NEAR * F.col("target"))
+                | (F.col("hi") - F.col("lo") <= 1e-15 * (F.abs("lo") + F.abs("hi"))))
+        lam = cut(j.select("sid", "target", "mean", F.when(done, F.col("lam")).when(good, step).otherwise(mid).alias("lam"),
+                           "lo", "hi", F.abs(gap).alias("last"), done.alias("done")), "dual")
+        if lam.where("not done").isEmpty():
+            return lam.select("sid", "mean", "lam")
+        lam = lam.drop("done")
 
 
 def copies_of_cells(hist: DataFrame, lam: DataFrame, cap: int = MAX_COPIES) -> DataFrame:

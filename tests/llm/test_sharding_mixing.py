@@ -86,6 +86,20 @@ def test_rates_are_exponential_tilts(spark):
         assert abs(got - target) < 1e-4 * target
 
 
+def test_dual_of_far_targets(spark):
+    """Targets far below a source's size, also where short texts hold most of
+    what is left: the steps go on until the words are there."""
+    cases = {1: ([(1, 1_000_000), (1_000_000, 1_000)], 1e5), 2: ([(1, 1_000_000), (1_000_000, 1_000)], 1e-3),
+             3: ([(7, 3), (900, 50_000)], 1e-9), 4: ([(1, 2), (3, 1), (1 << 22, 1)], 5.0), 5: ([(50, 10**9)], 1.0)}
+    hist = spark.createDataFrame([(k, s, n) for k, (h, _) in cases.items() for s, n in h], "sid long, size long, n long")
+    g = spark.createDataFrame([(k, sum(s * n for s, n in h), sum(n for _, n in h), t) for k, (h, t) in cases.items()],
+                              "sid long, source_size long, n_docs long, target double")
+    for r in mixing.solve(hist, g).collect():
+        h, t = cases[r["sid"]]
+        got = sum(n * s * min(3.0, np.exp(min(r["lam"] * s / r["mean"], 20))) for s, n in h)
+        assert abs(got - t) <= 1e-6 * t, (r, got, t)
+
+
 def test_mixed_corpus_and_empty_table(docs, nasty, empty):
     assert mixing.mix(empty).count() == 0 and mixing.apply(empty).count() == 0
     out = mixing.apply(nasty)
