@@ -35,6 +35,8 @@ DIMS, BITS = 4, 15
 BUCKETS = 1024
 #: Bytes hashed at once.
 CHUNK = 1 << 20
+#: Bytes of text in one range of the sort, on average.
+RANGE_BYTES = 64 << 20
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -169,5 +171,8 @@ def pack(documents: DataFrame, length: int = LENGTH, path: str | None = None, se
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("doc_id", "text"))
     keyed = rows.mapInArrow(key, "doc_id long, text string, tie long, key long")
-    return (keyed.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")
+    # Ranges by the bytes of all texts: a task's share does not grow with the table.
+    held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // RANGE_BYTES + 1)
+    return (keyed.repartitionByRange(ranges, "key", "tie").sortWithinPartitions("key", "tie")
             .select("doc_id", "text").mapInArrow(run, PIECE + (", ids binary" if with_ids else "")))
