@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, hide, show
 
 #: Bounds of the fitting sample (documents, lines of one document).
 FIT_DOCS, FIT_LINES = 4000, 256
@@ -223,8 +223,8 @@ def score(documents: DataFrame, field: Field, keep: tuple[str, ...] = ()) -> Dat
 def keep_good(documents: DataFrame, field: Field, threshold: float = THRESHOLD) -> DataFrame:
     """The documents the classifier accepts, with all their columns: one pass,
     no join (the score is computed beside the row)."""
-    cols = documents.columns
-    at = cols.index("text")
+    hidden = hide(documents, "text")
+    at = hidden.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +235,7 @@ def keep_good(documents: DataFrame, field: Field, threshold: float = THRESHOLD)
                 ok[lo:lo + len(got)] = field.score(np.concatenate([f for f, _ in got]),
                                                    np.concatenate([s for _, s in got]), lengths) >= threshold
             yield b.filter(pa.array(ok))
-    return documents.mapInArrow(run, documents.schema)
+    return show(hidden.mapInArrow(run, hidden.schema), documents, "text")
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

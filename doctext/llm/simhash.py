@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import components, cut, hide, show
@@ -208,5 +207,5 @@ def keep_first(documents: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__t"))
     keep = groups.groupBy("comp").agg(first.alias("k")).select(F.col("k.doc_id").alias("__i"), F.col("k.__t").alias("__u"))
     d = hidden.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__t") == F.col("__u")), "left_semi")
-    one = F.row_number().over(W.partitionBy("doc_id", "__t").orderBy(F.lit(1)))
-    return show(d.withColumn("__k", one).where("__k = 1"), documents, "doc_id", "text")
+    # Rows repeated many times meet as one partial row for each task.
+    return show(d.dropDuplicates(["doc_id", "__t"]), documents, "doc_id", "text")

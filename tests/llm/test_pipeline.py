@@ -65,3 +65,47 @@ def test_stages(spark, planted):
 def test_run_applies_all_stages(spark, planted):
     out = corpus_pipeline.run(spark, planted[0])
     assert "sequence_id" in out.columns and out.count() > 0
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, comp string, rank int, `__k` string, `a.b` int"
+
+
+def test_null_ids_repeated_rows_and_clashing_columns(spark, planted, tmp_path):
+    sf, rows, _ = planted
+    extra = lambda i, t, s: (i, t, "en", s, len(t or ""), "c", 3, "k", 4)
+    rows = [extra(*r) for r in rows]
+    lone = "quiet rivers carry old stones over seven plains while nobody counts them until winter ends again today."
+    rows += [extra(None, lone, None), extra(None, None, "s1"), extra(None, rows[3][1], "s2")]
+    rows += [rows[7]] * 4 + [extra(12, "another text for an id that is taken, with words of its own here and there.", "s1")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)
+
+    field = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    a = stage["quality"](spark, docs, sf).cache()
+    good = sorted((r["doc_id"] or -1, r["score"]) for r in quality.score(docs, field).collect() if r["score"] >= 0.7)
+    assert a.schema == docs.schema and sorted(r["doc_id"] or -1 for r in a.collect()) == [i for i, _ in good]
+    assert sum(r["doc_id"] == 7 for r in a.collect()) == 5
+
+    b = stage["simhash"](spark, a, sf).cache()
+    got, kept = b.collect(), a.collect()
+    classes = groups([plain(r["text"]) for r in kept], list(range(len(kept))), 2)
+    assert b.schema == docs.schema and len(got) == len(set(classes))
+    assert sum(r["doc_id"] == 7 for r in got) == 1
+    assert (lone in {r["text"] for r in got}) == (lone in {r["text"] for r in kept})
+
+    c = stage["substring"](spark, b, sf).cache()
+    assert c.schema == docs.schema and c.count() == len(got)
+    d = stage["mixing"](spark, c, sf).cache()
+    assert d.schema == docs.schema
+    e = stage["packing"](spark, d, sf).toPandas()
+    tok = encoder(default_path())
+    assert e.length.sum() == sum(len(tok.encode(r["text"] or "")) // 4 + 1 for r in d.collect())
+
+
+def test_empty_table(spark, planted, tmp_path):
+    sf, _, _ = planted
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, sf)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
