@@ -9,9 +9,9 @@ path.  Paths over the threshold are content.
 Tags and attributes decide first what they say plainly: navigation, forms,
 asides, page headers and footers, scripts, hidden elements and elements named
 after adverts, notices, menus, sidebars or comments are never content, and
-where a page marks its article, nothing outside it is.  Inside a marked article
-only link lists fall below the threshold; elsewhere the page is content from
-its first to its last block over it.
+where a page marks its article, nothing outside it is.  What is left, in a
+marked article as elsewhere, is content from the first to the last block whose
+path is over the threshold, with the heading before it and without link lists.
 
 The reader is one pass over the page's tags: an unclosed quote, comment or tag
 is looked for once, so a page takes time in proportion to its length.
@@ -314,12 +314,12 @@ def content(page: str | None) -> list[str]:
         total[2] += 1
     links = {p for p, (n, a, times) in by_path.items() if a > LINKED * n and times > 1}
     values = np.array([score[p] for p in paths])
-    limit = 0.0 if roots else THRESHOLD * float(values.std())
+    limit = THRESHOLD * float(values.std())
     over = [i for i, p in enumerate(paths) if score[p] >= limit and p not in links]
     if not over:
         return []
-    first, last = (0, len(paths) - 1) if roots else (over[0], over[-1])
-    if not roots and first and elements[found[first - 1][0].element].name in HEADINGS:
+    first, last = over[0], over[-1]
+    if first and elements[found[first - 1][0].element].name in HEADINGS:
         first -= 1
     return [text for (b, _, text) in found[first:last + 1] if b.path not in links]
 
