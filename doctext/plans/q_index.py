@@ -8,7 +8,7 @@ from ..operators import search as sr
 from ..operators.index import SearchIndex, merge_and_index
 from ..session import scratch_path
 from .params import SETTINGS as S
-from .q_search import ANY_MIN, ANY_TERMS, INDEX_SQL, POSTINGS_SQL, SCORE_SQL, index_texts
+from .q_search import ANY_MIN, ANY_TERMS, INDEX_SQL, POSTINGS_SQL, SCORE_SQL, built_index
 from .q_state import DEDUPED_SQL, MERGE_SQL
 from .registry import query
 
@@ -33,7 +33,7 @@ CTES = {
 
 def maintained(c) -> SearchIndex:
     """The index of the old table after two batches of saved packages."""
-    index = SearchIndex.build(index_texts(c), scratch_path(c.spark, "index"))
+    index = built_index(c)
     listed = c.resource.join(
         c.package.where((F.col("type") != "harvest") & ~F.col("package_id").isin(*S.package_blacklist)).select("package_id"),
         "package_id", "left_semi")

@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sql_quote
 from ..operators import select
-from ..operators.index import SearchIndex
 from ..operators.texttable import TextTable
 from ..session import scratch_path, written
 from . import pipeline as pl
 from .params import MAX_SIZE, SETTINGS as S
 from .q_more import MEMBER_TEXT, REDIRECT_PAGES, TREE, redirect_pages, sql_page_text, sql_redirect_target
 from .q_repair import REPAIR_CTES, TOKENS_SQL, word_list
-from .q_search import INDEX_SQL, POSTINGS_SQL, index_texts
+from .q_search import INDEX_SQL, POSTINGS_SQL, built_index
 from .q_text import PYWS, sql_fulltext_url, sql_normalise, sql_normalise_url
 from .registry import query
 
@@ -172,7 +171,7 @@ def batch_run(c, index: bool = False) -> pl.Run:
     """B1 over the packages that need work, cleaning on, pages and redirects
     read; with ``index`` also the search index of before is brought up to date."""
     s = dataclasses.replace(S, clean_sources=("source1", "source2"))
-    before = SearchIndex.build(index_texts(c), scratch_path(c.spark, "index")) if index else None
+    before = built_index(c) if index else None
     return pl.process_packages(c, _selection(c), s, stored_table(c), do_clean=True, dictionary=word_list(c),
                                pages=fetched_pages(c), index=before)
 
