@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.index import text_bytes
 from ..schema import INPUT_SCHEMAS
 from ..session import scratch_path
 from ..sources.views import VIEW_SQL
@@ -41,19 +42,27 @@ def stream_ingest_q(c):
                          scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
 
 
+#: Text bytes of one file of a delivery, which one task writes.
+FILE_BYTES = 64 << 20
+
+
 def _files(c):
-    """The documents in four files that split every package, one a batch."""
+    """The documents in four deliveries that split every package, one a batch,
+    each of as many files as its texts take."""
     files = scratch_path(c.spark, "ingest-files")
-    c.raw("documents").withColumn("part", F.col("doc_id") % 4).repartition("part") \
-        .write.partitionBy("part").parquet(files)
+    d = c.raw("documents").withColumn("part", F.col("doc_id") % 4)
+    n = max(1, -(-text_bytes(d) // (4 * FILE_BYTES)))
+    for part in range(4):
+        rows = d.where(F.col("part").eqNullSafe(part) | (F.col("part").isNull() if part == 0 else F.lit(False)))
+        rows.repartition(n).write.mode("append").partitionBy("part").parquet(files)
     return (c.spark.readStream.schema(INPUT_SCHEMAS["documents"]).option("recursiveFileLookup", "true")
-            .option("maxFilesPerTrigger", 1).parquet(files))
+            .option("maxFilesPerTrigger", n).parquet(files))
 
 
 @query("stream_ingest_split", STREAM_SQL)
 def stream_ingest_split(c):
     """The same delivery in files that split every package: the four
-    resources of a package lie in four files, read one file a batch."""
+    resources of a package lie in four deliveries, read one a batch."""
     return stream_ingest(c.spark, _files(c), c.fulltext, c.package, _incoming,
                          scratch_path(c.spark, "ingest"), c.incoming.select("package_id"))
 

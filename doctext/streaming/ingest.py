@@ -78,6 +78,12 @@ def table_after(initial: DataFrame, decided: DataFrame) -> DataFrame:
     return rows.unionByName(away)
 
 
+def marked(rows: DataFrame) -> DataFrame:
+    """Rows whose text only says whether they are unprocessed."""
+    return rows.withColumn("text", F.when(F.col("text") == UNPROCESSED, F.lit(UNPROCESSED))) \
+               .withColumn("text_clear", F.lit(None).cast("string"))
+
+
 def batch_writer(spark: SparkSession, root: str, initial: DataFrame, prepare: Callable[[DataFrame], DataFrame],
                  decide: Decide, fetch: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch body.  ``prepare`` gives rows (package_id, resource_id,
@@ -90,7 +96,7 @@ def batch_writer(spark: SparkSession, root: str, initial: DataFrame, prepare: Ca
         new = written(latest_per_resource(incoming.select("package_id", "resource_id", "text", "version", "deleted")), "arrived")
         todo = new.where("not deleted").select("package_id", "resource_id", "text")
         if fetch is not None:
-            now = table_after(initial, decisions(spark, root, batch_id))
+            now = table_after(marked(initial), marked(decisions(spark, root, batch_id)))
             waiting = now.where(F.col("text") == UNPROCESSED).select("package_id", "resource_id").distinct()
             waiting = waiting.join(new.select("resource_id"), "resource_id", "left_anti")
             texts = fetch.select("resource_id", F.col("raw").alias("text"))
