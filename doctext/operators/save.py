@@ -44,10 +44,10 @@ def save_packages(sent: DataFrame, table: TextTable, path: str) -> Saved:
     """Both tables written: the packages under ``path``, their texts into the
     touched buckets of ``table``.  ``sent`` holds whole packages (package_id,
     state, resources, ...): resources that are not listed lose their text."""
-    spark = sent.sparkSession
+    spark, sent = sent.sparkSession, written(sent, "sent")
     without_texts(sent).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    lifted = written(lift(sent), "lifted")
+    lifted = lift(sent)
     # A package without resources still empties its rows.
     buckets = table.touched(stored)
     old = table.read(buckets)
@@ -55,8 +55,10 @@ def save_packages(sent: DataFrame, table: TextTable, path: str) -> Saved:
                                                       F.lit(None).cast("string").alias("text"))
     acts = written(merge_actions(old, lifted.select("package_id", "resource_id", "text").unionByName(none), stored)
                    .where("resource_id is not null"), "saved")
-    table.replace(acts.where("action in ('keep', 'update', 'insert')").select(*FT_COLS), buckets)
-    rows = acts.where("action in ('update', 'insert')").select("package_id", "resource_id", "text").distinct()
+    table.replace(acts.where("action in ('keep', 'update', 'insert')").select(*FT_COLS), buckets, apart=True)
+    # Dealt once for the distinct rows and for their positions.
+    rows = (acts.where("action in ('update', 'insert')").select("package_id", "resource_id", "text")
+            .repartition("package_id", "resource_id").distinct())
     return Saved(stored, rows.join(lifted.select("package_id", "resource_id", "position"), ["package_id", "resource_id"]), table)
 
 

@@ -44,14 +44,16 @@ class TextTable:
         """Buckets of ``rows``: at most as many as the table has."""
         return sorted(r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect())
 
-    def replace(self, rows: DataFrame, buckets: list[int]) -> None:
+    def replace(self, rows: DataFrame, buckets: list[int], apart: bool = False) -> None:
         """``rows`` become the whole contents of ``buckets``.  A row of nulls
-        stands in every bucket, so one that is left empty is written too."""
+        stands in every bucket, so one that is left empty is written too.
+        ``apart``: the rows are read from a written frame, not from the table."""
         if not buckets:
             return
         marks = self.spark.range(1).select(
             *[F.lit(None).cast("string").alias(c) for c in FT_COLS], F.explode(F.array(*map(F.lit, buckets))).alias("bucket"))
-        self._write(written(rows.select(*FT_COLS, self.bucket().alias("bucket")).unionByName(marks), "replaced"))
+        rows = rows.select(*FT_COLS, self.bucket().alias("bucket")).unionByName(marks)
+        self._write(rows if apart else written(rows, "replaced"))
 
     def apply(self, outcome: DataFrame) -> list[int]:
         """The outcome of a run written back (``state.apply_outcome``); the
