@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship, written
+from ..session import scratch_path, ship, written
 
 #: White space of every word rule here: space, tab, LF, VT, FF, CR.  Python's
 #: ``bytes.split()`` separates on exactly these six bytes.
@@ -34,6 +36,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)
 
 
+def stored(df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
+    """``cut`` laid out by ``key``: joins and groups on it alone read their
+    part where it lies and shuffle the other side only."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    (df.write.format("parquet").option("path", scratch_path(df.sparkSession, name))
+     .bucketBy(parts, key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def hide(df: DataFrame, *names: str) -> DataFrame:
     """``df`` with every column but ``names`` renamed by its place, so that
     helper columns cannot clash with it; ``show`` undoes it."""

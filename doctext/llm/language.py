@@ -15,13 +15,15 @@ settle the totals first.  Scores use predictive probabilities averaged over
 several sweeps.  Table counts are exact draws for any number of customers.
 
 Flow.  A block is a run of rows of an input file.  Each block hands its pairs
-(word, context, count) to hash buckets of words as packed arrays; a bucket
-merges what all blocks know about its words.  The totals of the contexts are a
-distributed table: every bucket sends its share of each context's totals to
-hash shards of contexts, which add them and send the sums to the buckets that
-have the context.  After sampling a bucket sends every block the counts and
-probabilities of the pairs it asked for; blocks then score their texts.  Pairs
-travel once per block and not once per token, and nothing but a few sums
+(word, context, count) to hash buckets of words; a bucket merges what all
+blocks know about its words and is stored where later joins on the bucket find
+it without moving it.  The totals of the contexts are a distributed table: a
+bucket names its contexts once to hash shards of contexts, which keep where
+each bucket's contexts stand; from then on only counts travel, from the buckets
+to the shards, which add them, and back.  After sampling a bucket sends every
+block the probabilities of the pairs it asked for, in the order in which the
+block finds them again; blocks then score their texts.  Pairs travel once per
+block and not once per token, numbers travel packed, and nothing but a few sums
 reaches the driver.
 
 Defined results: a null or empty text is its end token alone; repeated rows
@@ -33,15 +35,17 @@ by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out
+from .common import cut, held_out, stored
 from .substring import mix, text_words
 from .tiles import sorted_groups
 
@@ -51,20 +55,51 @@ LEAF, ROOT = (0.8, 1.0), (0.75, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
 #: Customers of a dish whose seats are drawn each; later ones by waiting times.
 ONE_BY_ONE = 16
+#: Dishes that are left to be drawn by plain numbers instead of arrays.
+FEW = 4
 #: Bytes of text for one bucket of words, and for one block (and one text more).
 BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
 #: The end token as a word, the start of a text as a context.
 END = 0
 
-#: A pair; in a bucket ``ctx`` is the place of its context among the bucket's.
-PAIR = np.dtype([("w", "<i8"), ("ctx", "<i8"), ("n", "<i8")])
+#: A pair of a bucket; ``ctx`` is the place of its context among the bucket's.
 ENTRY = np.dtype([("w", "<i8"), ("ctx", "<i4"), ("n", "<i8")])
-#: Pairs of a block by word: ``k`` contexts follow each word.
-HEAD, TAIL = np.dtype([("w", "<i8"), ("k", "<i4")]), np.dtype([("ctx", "<i8"), ("n", "<i4")])
 ANSWER, COUNT = np.dtype([("key", "<u8"), ("p", "<f4")]), np.dtype([("w", "<i8"), ("c", "<i8")])
 ASKED = np.dtype([("entry", "<i4"), ("block", "<i4")])
 
 
+# Packed numbers -------------------------------------------------------------
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers from 0 as one compressed string; bytes of equal weight lie together."""
+    head, body = [], []
+    for a in arrays:
+        size = next(k for k in (1, 2, 4, 8) if k == 8 or int(a.max(initial=0)) < 1 << 8 * k)
+        a = np.ascontiguousarray(a.view(np.uint64) if a.dtype.itemsize == 8 == size else a.astype(f"<u{size}"))
+        head += [len(a), size]
+        body.append(a.view(np.uint8).reshape(len(a), size).T.tobytes())
+    raw = b"".join(body)
+    return np.array([len(arrays), len(raw), *head], dtype="<u4").tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpack(blob: bytes) -> list[np.ndarray]:
+    """The arrays of ``pack``, 64 bits each."""
+    k, size = np.frombuffer(blob, "<u4", 2).tolist()
+    head = np.frombuffer(blob, "<u4", 2 * k, 8).tolist()
+    raw = np.frombuffer(pa.decompress(memoryview(blob)[8 + 8 * k:], size, "zstd"), np.uint8)
+    out, at = [], 0
+    for n, width in zip(head[::2], head[1::2]):
+        a = np.ascontiguousarray(raw[at:at + n * width].reshape(width, n).T).reshape(-1).view(f"<u{width}")
+        out.append(a.view(np.int64) if width == 8 else a.astype(np.int64))
+        at += n * width
+    return out
+
+
+def steps(a: np.ndarray) -> np.ndarray:
+    """Differences of sorted 64-bit numbers; ``np.cumsum`` of them gives the numbers."""
+    return np.diff(a.view(np.uint64), prepend=np.uint64(0))
+
+
 # Contexts and words ---------------------------------------------------------
 
 def _statistics(most: int):
@@ -85,7 +120,7 @@ def _statistics(most: int):
                     path, start, size, held = p, row, 0, 0
                 due = row + 1
                 words = text_words(t.as_py())
-                size += sum(map(len, words)) + len(words)
+                size += len(b" ".join(words)) + bool(words)
                 held += t.as_buffer().size if t.is_valid else 0
         if path is not None:
             yield out()
@@ -93,41 +128,49 @@ def _statistics(most: int):
 
 
 class Words(dict):
-    """Hash of a word."""
+    """Numbers of words by their appearance; 0 is the end token, and as a
+    context the start of a text."""
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word) or 1
-        return h
+    def __init__(self):
+        super().__init__({b"": END})
 
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        return i
 
-def tokens(text: str | None, table: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes (the end token last) and the contexts: the word before."""
-    words = text_words(text)
-    if words:
-        words = b"\n".join(words).lower().split(b"\n")
-    h = np.empty(len(words) + 2, dtype=np.uint64)
-    h[0] = h[-1] = END
-    h[1:-1] = np.fromiter(map(table.__getitem__, words), dtype=np.uint64, count=len(words))
-    h = h.view(np.int64)
-    return h[1:], h[:-1]
+    def hashes(self) -> np.ndarray:
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, self), dtype=np.uint64, count=len(self))
+        h[h == 0] = 1
+        h[END] = END
+        return h.view(np.int64)
 
 
-def pair_key(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    return mix(w.view(np.uint64) + mix(ctx.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+def tokens(text: str | None, table: Words) -> np.ndarray:
+    """Numbers of the words, the end token last."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    out = np.zeros(len(words) + 1, dtype=np.int32)
+    out[:-1] = np.fromiter(map(table.__getitem__, words), dtype=np.int32, count=len(words))
+    return out
 
 
-def _runs(rows: np.ndarray) -> np.ndarray:
-    """Where a new (w, ctx) starts in sorted rows."""
-    return np.concatenate(([True], (rows["w"][1:] != rows["w"][:-1]) | (rows["ctx"][1:] != rows["ctx"][:-1])))
+def ordered(w: np.ndarray, table: Words, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the tokens of whole texts: hashes of the words, sorted; their
+    places by bucket and hash; each token's place; and a key of its pair that
+    sorts by bucket, word and context.  The context is the token before: a
+    text ends with the token that the next one starts from."""
+    known, rank = np.unique(table.hashes(), return_inverse=True)
+    order = np.argsort(_shard(known, buckets), kind="stable")
+    place = np.empty(len(known), dtype=np.int64)
+    place[order] = np.arange(len(known))
+    at = place[rank][w]
+    key = at * len(known)
+    key[1:] += rank[w[:-1]]
+    key[0] += rank[END]
+    return known, order, at, key
 
 
-def _merge(rows: np.ndarray) -> np.ndarray:
-    """One row for each (w, ctx), counts added."""
-    rows = rows[np.lexsort((rows["ctx"], rows["w"]))]
-    first = np.flatnonzero(_runs(rows))
-    out = rows[first]
-    out["n"] = np.add.reduceat(rows["n"], first)
-    return out
+def pair_key(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    return mix(w.view(np.uint64) + mix(ctx.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _parts(shard: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
@@ -142,70 +185,95 @@ def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return (mix(h.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
 
 
-def _requests(buckets: int, most: int = 2_000_000):
-    """``(bucket, block, heads, tails)``: what a block holds and asks for."""
+def _requests(buckets: int, most: int = 6_000_000):
+    """``(bucket, block, pairs)``: what a block holds and asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held, size, block = Words(), [], 0, None
+        table, held, holds, size, block = Words(), [], [], 0, None
 
         def out() -> pa.RecordBatch:
-            nonlocal table, held, size
-            rows = _merge(np.concatenate(held))
-            b = _shard(np.ascontiguousarray(rows["w"]), buckets)
-            order = np.argsort(b, kind="stable")
-            rows, b = rows[order], b[order]
-            some, heads, tails = [], [], []
-            for i, lo, hi in _parts(b, buckets):
-                part = rows[lo:hi]
-                starts, _ = words_of(part)
-                head, tail = np.empty(len(starts), dtype=HEAD), np.empty(len(part), dtype=TAIL)
-                head["w"], head["k"] = part["w"][starts], np.diff(np.append(starts, len(part)))
-                tail["ctx"], tail["n"] = part["ctx"], part["n"]
+            nonlocal table, held, holds, size
+            known, order, _, key = ordered(np.concatenate(held), table, buckets)
+            hold = np.repeat(np.array(holds, dtype=np.int64), list(map(len, held)))
+            table, held, holds, size = Words(), [], [], 0
+            key = 2 * key + hold
+            del hold
+            key.sort()
+            n = 1 - (key & 1)
+            key >>= 1
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            n = np.add.reduceat(n, first)
+            place, ctx = np.divmod(key[first], len(known))
+            words, k = known[order], np.bincount(place, minlength=len(known))
+            ends = np.concatenate(([0], np.cumsum(k)))
+            some, pairs = [], []
+            for i, lo, hi in _parts(_shard(words, buckets), buckets):
+                a, b = ends[lo], ends[hi]
+                own, at = np.unique(ctx[a:b], return_inverse=True)
                 some.append(i)
-                heads.append(head.tobytes())
-                tails.append(tail.tobytes())
-            table, held, size = Words(), [], 0
+                pairs.append(pack(steps(words[lo:hi]), k[lo:hi], steps(known[own]), at, n[a:b]))
             return pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int64()), pa.array(np.full(len(some), block, dtype=np.int32)),
-                 pa.array(heads, pa.binary()), pa.array(tails, pa.binary())], ["bucket", "block", "heads", "tails"])
+                 pa.array(pairs, pa.binary())], ["bucket", "block", "pairs"])
         for b in batches:
             for blk, hold, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if held and (blk != block or size > most):
                     yield out()
                 block = blk
-                h, ctx = tokens(t.as_py(), table)
-                r = np.empty(len(h), dtype=PAIR)
-                r["w"], r["ctx"], r["n"] = h, ctx, 0 if hold else 1
-                held.append(r)
-                size += len(r)
+                held.append(tokens(t.as_py(), table))
+                holds.append(hold)
+                size += len(held[-1])
         if held:
             yield out()
     return run
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: merged entries (w, ctx, n), its contexts and who asked for each entry."""
+    """Per bucket: merged entries (w, ctx, n), its contexts, who asked for each
+    entry, and the sums of what was met in training."""
     for g in sorted_groups(batches):
-        heads = [np.frombuffer(x, dtype=HEAD) for x in g.column(2).to_pylist()]
-        tails = [np.frombuffer(x, dtype=TAIL) for x in g.column(3).to_pylist()]
-        block = np.repeat(g.column(1).to_numpy(), [len(p) for p in tails])
-        heads, tails = np.concatenate(heads), np.concatenate(tails)
-        rows = np.empty(len(tails), dtype=ENTRY)
-        contexts, at = np.unique(tails["ctx"], return_inverse=True)
-        rows["w"], rows["ctx"], rows["n"] = np.repeat(heads["w"], heads["k"]), at, tails["n"]
-        del heads, tails, at
-        order = np.lexsort((rows["ctx"], rows["w"]))
-        rows, block = rows[order], block[order]
-        new = _runs(rows)
+        words, k, contexts, at, n = zip(*map(unpack, g.column(2).to_pylist()))
+        blocks = np.repeat(g.column(1).to_numpy(), list(map(len, at)))
+        shift = np.cumsum([0, *map(len, contexts)])
+        words, w = np.unique(np.concatenate([np.cumsum(x.view(np.uint64)).view(np.int64) for x in words]), return_inverse=True)
+        contexts, c = np.unique(np.concatenate([np.cumsum(x.view(np.uint64)).view(np.int64) for x in contexts]), return_inverse=True)
+        key = np.repeat(w, np.concatenate(k)) * len(contexts) + c[np.concatenate([x + s for x, s in zip(at, shift)])]
+        order = np.argsort(key, kind="stable")
+        key, blocks, n = key[order], blocks[order], np.concatenate(n)[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
         first = np.flatnonzero(new)
-        entries = rows[first]
-        entries["n"] = np.add.reduceat(rows["n"], first)
-        asked = np.empty(len(rows), dtype=ASKED)
-        asked["entry"], asked["block"] = np.cumsum(new) - 1, block
-        asked = np.unique(asked)
+        n = np.add.reduceat(n, first)
+        w, ctx = np.divmod(key[first], len(contexts))
+        some, rank = np.unique(blocks, return_inverse=True)
+        rank, entry = np.divmod(np.unique(rank * len(first) + np.cumsum(new) - 1), len(first))
+        each = np.bincount(rank)
+        gap = np.diff(entry, prepend=0)
+        starts = np.cumsum(each) - each
+        gap[starts] = entry[starts]
+        del key, order, blocks, new, rank, entry
+        met = n > 0
         yield pa.RecordBatch.from_arrays(
-            [g.column(0).slice(0, 1).combine_chunks(), pa.array([entries.tobytes()], pa.binary()),
-             pa.array([contexts.tobytes()], pa.binary()), pa.array([asked.tobytes()], pa.binary())],
-            ["bucket", "entries", "contexts", "asked"])
+            [g.column(0).slice(0, 1).combine_chunks(), pa.array([pack(steps(words), np.bincount(w), ctx, n)], pa.binary()),
+             pa.array([pack(steps(contexts))], pa.binary()), pa.array([pack(some, each, gap)], pa.binary()),
+             pa.array([int(n.sum())], pa.int64()), pa.array([int(met.sum())], pa.int64()),
+             pa.array([len(np.unique(w[met]))], pa.int64())],
+            ["bucket", "entries", "contexts", "asked", "total", "tables", "distinct"])
+
+
+def _opened(entries: bytes, contexts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and contexts of a bucket."""
+    words, k, ctx, n = unpack(entries)
+    e = np.empty(len(n), dtype=ENTRY)
+    e["w"], e["ctx"], e["n"] = np.repeat(np.cumsum(words.view(np.uint64)).view(np.int64), k), ctx, n
+    return e, np.cumsum(unpack(contexts)[0].view(np.uint64)).view(np.int64)
+
+
+def _asked(asked: bytes) -> np.ndarray:
+    some, each, gap = unpack(asked)
+    out = np.empty(len(gap), dtype=ASKED)
+    at = np.cumsum(gap)
+    starts = np.cumsum(each) - each
+    out["entry"], out["block"] = at - np.repeat(at[starts] - gap[starts], each), np.repeat(some, each)
+    return out
 
 
 # Sampling -------------------------------------------------------------------
@@ -219,9 +287,10 @@ def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random
     prod (b + i) / (a + b + i) over i < m, b = j - discount * t: a geometric
     waiting time whose rate is Beta(a, b), so the draw is exact for any count.
     """
-    tables = np.minimum(customers, 1).astype(float)
-    order = np.argsort(-customers, kind="stable")
-    c, a, t = customers[order], new[order], tables[order]
+    out = np.minimum(customers, 1).astype(float)
+    order = np.flatnonzero(customers > 1)
+    order = order[np.argsort(-customers[order], kind="stable")]
+    c, a, t = customers[order], new[order], out[order]
     for j in range(1, ONE_BY_ONE):
         n = int(np.searchsorted(-c, -j, side="left"))  # those with more than j customers
         if not n:
@@ -230,13 +299,22 @@ def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random
     at = np.arange(int(np.searchsorted(-c, -ONE_BY_ONE, side="left")))
     seated = np.full(len(at), float(ONE_BY_ONE))
     with np.errstate(divide="ignore"):  # a rate of 0 waits for ever
-        while len(at):
+        while len(at) > FEW:
             rate = rng.beta(a[at], seated - discount * t[at])
             seated += np.maximum(np.ceil(rng.standard_exponential(len(at)) / -np.log1p(-rate)), 1)
             opens = seated <= c[at]
             at, seated = at[opens], seated[opens]
             t[at] += 1
-    out = np.empty_like(t)
+    # The same draws for the last few dishes, which have by far the most tables.
+    last = [[k, float(a[k]), int(c[k]), float(t[k]), x] for k, x in zip(at.tolist(), seated.tolist())]
+    while last:
+        rates = [rng.beta(x[1], x[4] - discount * x[3]) for x in last]
+        for x, rate in zip(last, rates):
+            wait = rng.standard_exponential()
+            x[4] += 1 if rate >= 1 else max(float(np.ceil(wait / -math.log1p(-rate))), 1) if rate > 0 else math.inf
+            x[3] += x[4] <= x[2]
+            t[x[0]] = x[3]
+        last = [x for x in last if x[4] <= x[2]]
     out[order] = t
     return out
 
@@ -271,23 +349,29 @@ def sweeps(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn:
     After ``burn`` of them yields the tables of every entry and, in the
     parent, of every word."""
     starts, word = words_of(entries)
-    n, base = entries["n"], 1.0 / (totals.distinct + 1.0)
+    base = 1.0 / (totals.distinct + 1.0)
     (d2, s2), (d1, s1) = LEAF, ROOT
     root_open, root_norm = totals.open_root(), s1 + totals.root_customers
-    leaf = s2 + d2 * totals.tables[entries["ctx"]]
-    tables = np.minimum(n, 1).astype(float)
-    below = np.add.reduceat(tables, starts)
+    met = np.minimum(entries["n"], 1).astype(float)
+    below = np.add.reduceat(met, starts)
     root = np.minimum(below, 1.0)
+    # One customer sits at one table: only entries of more are drawn.
+    some = np.flatnonzero(entries["n"] > 1)
+    n, word, tables = entries["n"][some], word[some], met[some]
+    alone = below - np.bincount(word, minlength=len(starts))
+    leaf = s2 + d2 * totals.tables[entries["ctx"][some]]
     for sweep in range(burn + samples):
         # A context's tables, given the parent without what they put there.
         rest = below[word] - tables
         others = np.maximum(rest - d1 * root[word] * rest / np.maximum(below[word], 1), 0) / root_norm
         tables = seat(n, leaf * (others + root_open * base), d2, rng)
         # The parent's tables of the word, given the tables below.
-        below = np.add.reduceat(tables, starts)
+        below = alone + np.bincount(word, weights=tables, minlength=len(starts))
         root = seat(below.astype(np.int64), np.full(len(starts), (s1 + d1 * totals.root_tables) * base), d1, rng)
         if sweep >= burn:
-            yield tables, root
+            every = met.copy()
+            every[some] = tables
+            yield every, root
 
 
 def sample(entries: np.ndarray, totals: Totals, rng: np.random.Generator, burn: int, samples: int):
@@ -310,30 +394,71 @@ def predictive(entries: np.ndarray, tables: np.ndarray, root: np.ndarray, totals
 
 # Totals ---------------------------------------------------------------------
 
-SENT = "shard long, bucket long, contexts binary, v binary, i int, x double"
-
+SENT = "shard long, bucket long, v binary, i int, x double"
 
-def _numbers(values) -> pa.RecordBatch:
-    """Sums for the driver: rows of SENT without a shard."""
-    x = np.asarray(values, dtype=float)
-    n = len(x)
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
-         pa.array(np.arange(n).astype(np.int32)), pa.array(x)], ["shard", "bucket", "contexts", "v", "i", "x"])
 
-
-def _send(bucket: int, contexts: np.ndarray, v: np.ndarray, shards: int) -> pa.RecordBatch:
-    """A bucket's share of its contexts' totals, ``v[context, total]``, to the shards of contexts."""
+def _by_shard(contexts: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order of a bucket's contexts by shard, and the parts of the shards in it."""
     b = _shard(contexts, shards)
     order = np.argsort(b, kind="stable")
-    contexts, v, b = contexts[order], v[order], b[order]
-    parts = list(_parts(b, shards))
-    n = len(parts)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([i for i, _, _ in parts], pa.int64()), pa.array([bucket] * n, pa.int64()),
-         pa.array([contexts[lo:hi].tobytes() for _, lo, hi in parts], pa.binary()),
-         pa.array([v[lo:hi].tobytes() for _, lo, hi in parts], pa.binary()),
-         pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64())], ["shard", "bucket", "contexts", "v", "i", "x"])
+    return order, list(_parts(b[order], shards))
+
+
+def _first(shards: int):
+    """Before any seating: a bucket's contexts with their customers, and their distinct words as tables."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, x, y in zip(*(c.to_pylist() for c in b.columns)):
+                e, contexts = _opened(x, y)
+                k = len(contexts)
+                v = [np.bincount(e["ctx"], weights=e["n"], minlength=k).astype(np.int64),
+                     np.bincount(e["ctx"][e["n"] > 0], minlength=k)]
+                order, parts = _by_shard(contexts, shards)
+                contexts, v = contexts[order], [x[order] for x in v]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _, _ in parts], pa.int64()), pa.array([bucket] * len(parts), pa.int64()),
+                     pa.array([pack(steps(contexts[lo:hi]), *(x[lo:hi] for x in v)) for _, lo, hi in parts], pa.binary())],
+                    ["shard", "bucket", "v"])
+    return run
+
+
+def _register(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per shard and bucket: where the bucket's contexts stand in the shard, and their first totals."""
+    for g in sorted_groups(batches):
+        contexts, *v = zip(*map(unpack, g.column(2).to_pylist()))
+        ends = np.cumsum(list(map(len, contexts)))[:-1]
+        contexts, at = np.unique(np.concatenate([np.cumsum(x.view(np.uint64)) for x in contexts]), return_inverse=True)
+        total = [np.bincount(at, weights=np.concatenate(x)).astype(np.int64)[at] for x in v]
+        places = [pack(steps(x)) for x in np.split(at, ends)]
+        totals = [pack(*x) for x in zip(*(np.split(x, ends) for x in total))]
+        yield pa.RecordBatch.from_arrays([g.column(0).combine_chunks(), g.column(1).combine_chunks(), pa.array(places, pa.binary()),
+                                          pa.array(totals, pa.binary())], ["shard", "bucket", "places", "totals"])
+
+
+def _sum_up(places: pa.Table, sent: pa.Table) -> pa.Table:
+    """Per shard of contexts: the shares added, and back to each bucket with the customers."""
+    places, sent = places.sort_by("bucket"), sent.sort_by("bucket")
+    assert places["bucket"].equals(sent["bucket"])
+    at = [np.cumsum(unpack(x)[0]) for x in places["places"].to_pylist()]
+    ends, every = np.cumsum(list(map(len, at)))[:-1], np.concatenate(at)
+    total = [np.bincount(every, weights=np.concatenate(x)).astype(np.int64)[every]
+             for x in zip(*map(unpack, sent["v"].to_pylist()))]
+    back = [pack(unpack(c)[0], *x) for c, x in zip(places["totals"].to_pylist(), zip(*(np.split(x, ends) for x in total)))]
+    return pa.table([places["bucket"], places["shard"], pa.array(back, pa.binary())], names=["bucket", "shard", "v"])
+
+
+def _returned(places: DataFrame, sent: DataFrame) -> DataFrame:
+    """``(bucket, shard, v)``: totals of all buckets for each bucket's contexts."""
+    sent = sent.where("shard is not null").select("shard", "bucket", "v")
+    return places.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_sum_up, "bucket long, shard long, v binary")
+
+
+def _back(order: np.ndarray, back: pa.Table) -> np.ndarray:
+    """``v[context, total]``: the totals that came back, in the order of a bucket's sorted contexts."""
+    v = np.concatenate([np.stack(unpack(x), axis=1) for x in back.sort_by("shard")["v"].to_pylist()])
+    out = np.empty(v.shape)
+    out[order] = v
+    return out
 
 
 def _add(df: DataFrame, size: int) -> np.ndarray:
@@ -343,29 +468,6 @@ def _add(df: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _sum_up(width: int):
-    """Per shard of contexts: the shares added, and back to each bucket that sent one."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in sorted_groups(batches):
-            sent = g.column(2).to_pylist()
-            sizes = [len(x) // 8 for x in sent]
-            contexts, at = np.unique(np.frombuffer(b"".join(sent), dtype=np.int64), return_inverse=True)
-            v = np.frombuffer(b"".join(g.column(3).to_pylist()), dtype=float).reshape(-1, width)
-            total = np.stack([np.bincount(at, weights=v[:, j], minlength=len(contexts)) for j in range(width)], axis=1)[at]
-            ends = np.cumsum(sizes)
-            back = [total[e - n:e].tobytes() for n, e in zip(sizes, ends.tolist())]
-            yield pa.RecordBatch.from_arrays([g.column(1).combine_chunks(), g.column(2).combine_chunks(),
-                                              pa.array(back, pa.binary())], ["bucket", "contexts", "v"])
-    return run
-
-
-def _returned(sent: DataFrame, width: int) -> DataFrame:
-    """``(bucket, contexts, v)``: totals of all buckets for each bucket's contexts."""
-    return (sent.where("shard is not null").select("shard", "bucket", "contexts", "v")
-            .repartition("shard").sortWithinPartitions("shard")
-            .mapInArrow(_sum_up(width), "bucket long, contexts binary, v binary"))
-
-
 def _totals_of(contexts: np.ndarray, back: pa.Table, width: int) -> np.ndarray:
     """The totals that came back, in the order of a bucket's sorted contexts."""
     got = np.frombuffer(b"".join(back["contexts"].to_pylist()), dtype=np.int64)
@@ -375,21 +477,6 @@ def _totals_of(contexts: np.ndarray, back: pa.Table, width: int) -> np.ndarray:
     return v[order]
 
 
-def _first(shards: int):
-    """Before any seating: customers of every context, and its distinct words as tables."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for bucket, x, y in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                e, contexts = np.frombuffer(x.as_buffer(), dtype=ENTRY), np.frombuffer(y.as_buffer(), dtype=np.int64)
-                e = e[e["n"] > 0]
-                k = len(contexts)
-                v = np.stack([np.bincount(e["ctx"], weights=e["n"], minlength=k),
-                              np.bincount(e["ctx"], minlength=k).astype(float)], axis=1)
-                yield _send(bucket, contexts, v, shards)
-                yield _numbers([e["n"].sum(), len(e), len(np.unique(e["w"]))])
-    return run
-
-
 def _bucket(words: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
     return (words["bucket"][0].as_py(), np.frombuffer(words["entries"][0].as_buffer(), dtype=ENTRY),
             np.frombuffer(words["contexts"][0].as_buffer(), dtype=np.int64))
@@ -397,18 +484,20 @@ def _bucket(words: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
 
 def _sweep(root: tuple[float, float, float], seed: int, samples: int, shards: int):
     """A round: seats anew from the totals that came back (customers and
-    tables) and sends customers (once more, in one bucket's share as they are
-    there) and the tables of every kept sweep."""
+    tables) and sends the tables of every kept sweep."""
     def run(words: pa.Table, back: pa.Table) -> pa.Table:
-        bucket, e, contexts = _bucket(words)
-        v = _totals_of(contexts, back, 2)
+        bucket, (e, contexts) = words["bucket"][0].as_py(), _opened(words["entries"][0].as_py(), words["contexts"][0].as_py())
+        order, parts = _by_shard(contexts, shards)
+        v = _back(order, back)
         before = Totals(v[:, 0], v[:, 1], root[1], root[2], root[0])
-        k = len(contexts)
-        own = np.bincount(e["ctx"], weights=e["n"], minlength=k)
         tables, roots = zip(*sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, samples))
-        v = np.stack([own, *[np.bincount(e["ctx"], weights=t, minlength=k) for t in tables]], axis=1)
+        v = [np.bincount(e["ctx"], weights=t, minlength=len(contexts)).astype(np.int64)[order] for t in tables]
         numbers = [x for t, r in zip(tables, roots) for x in (t.sum(), r.sum())]
-        return pa.Table.from_batches([_send(bucket, contexts, v, shards), _numbers(numbers)])
+        n, m = len(parts), len(numbers)
+        return pa.table([pa.array([i for i, _, _ in parts] + [None] * m, pa.int64()), pa.array([bucket] * n + [None] * m, pa.int64()),
+                         pa.array([pack(*(x[lo:hi] for x in v)) for _, lo, hi in parts] + [None] * m, pa.binary()),
+                         pa.array([None] * n + list(range(m)), pa.int32()), pa.array([None] * n + numbers, pa.float64())],
+                        names=["shard", "bucket", "v", "i", "x"])
     return run
 
 
@@ -447,24 +536,70 @@ def _answers(root: tuple[float, float, float], after: list[tuple[float, float]],
     return run
 
 
-def _score(total: int, distinct: int):
+def _packed(answers, shards: int):
+    """``answers`` on stored rows; probabilities and counts travel without keys,
+    in the order of the block's pairs and words in the bucket."""
+    def run(words: pa.Table, back: pa.Table) -> pa.Table:
+        e, contexts = _opened(words["entries"][0].as_py(), words["contexts"][0].as_py())
+        order, _ = _by_shard(contexts, shards)
+        plain = lambda a: pa.array([a.tobytes()], pa.binary())
+        kinds = [False, True]
+        totals = [_back(order, back.filter(pc.equal(back["last"], k))).tobytes() for k in kinds]
+        got = answers(
+            pa.table([words["bucket"], plain(e), plain(contexts), plain(_asked(words["asked"][0].as_py()))],
+                     names=["bucket", "entries", "contexts", "asked"]),
+            pa.table([pa.array([contexts.tobytes()] * 2, pa.binary()), pa.array(totals, pa.binary()), pa.array(kinds)],
+                     names=["contexts", "v", "last"]))
+        out = [pack(np.ascontiguousarray(np.frombuffer(p, dtype=ANSWER)["p"]).view("<u4"), np.frombuffer(c, dtype=COUNT)["c"])
+               for p, c in zip(got["pairs"].to_pylist(), got["counts"].to_pylist())]
+        return pa.table([got["block"], pa.array([words["bucket"][0].as_py()] * len(out), pa.int64()), pa.array(out, pa.binary())],
+                        names=["block", "bucket", "answers"])
+    return run
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(block, rows)``: the documents of a block, compressed."""
+    for b in batches:
+        block = b.column(0).to_numpy()
+        cuts = np.flatnonzero(block[1:] != block[:-1]) + 1
+        starts = [0, *cuts.tolist()] if len(block) else []
+        rows = []
+        for lo, hi in zip(starts, [*starts[1:], len(block)]):
+            part = b.select(["doc_id", "held_out", "text"]).slice(lo, hi - lo)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            rows.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(block[starts]), pa.array(rows, pa.binary())], ["block", "rows"])
+
+
+def _score(total: int, distinct: int, buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(answers["pairs"].to_pylist()), dtype=ANSWER)
-        rows = rows[np.argsort(rows["key"])]
-        key, p = np.ascontiguousarray(rows["key"]), rows["p"].astype(float)
-        rows = np.frombuffer(b"".join(answers["counts"].to_pylist()), dtype=COUNT)
-        rows = rows[np.argsort(rows["w"])]
-        known, count = np.ascontiguousarray(rows["w"]), np.ascontiguousarray(rows["c"])
+        table, ids, held, every = Words(), [], [], []
+        for x in docs["rows"].to_pylist():
+            for b in pa.ipc.open_stream(x):
+                ids.append(b.column(0))
+                held.append(b.column(1))
+                every += [tokens(t.as_py(), table) for t in b.column(2)]
+        sizes = np.array(list(map(len, every)), dtype=np.int64)
+        starts, every = np.cumsum(sizes) - sizes, np.concatenate(every)
+        _, _, place, key = ordered(every, table, buckets)
+        del table, every
+        p, count = map(np.concatenate, zip(*map(unpack, answers.sort_by("bucket")["answers"].to_pylist())))
+        p = p.astype("<u4").view("<f4").astype(float)
         base = np.log10(count + 1.0) - np.log10(total + distinct + 1.0)
-        table, out = Words(), []
-        for t in (x for c in docs["text"].chunks for x in c):
-            h, ctx = tokens(t.as_py(), table)
-            at, word = np.searchsorted(key, pair_key(h, ctx)), np.searchsorted(known, h)
-            out.append((len(h), int((count[word] > 0).sum()), float(base[word].sum()), float(p[at].sum())))
-        cols = list(zip(*out)) if out else ([], [], [], [])
-        n = len(out)
-        return pa.table([docs["doc_id"], docs["held_out"], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                         pa.array([total] * n, pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],
+        known = np.add.reduceat((count > 0).astype(np.int64)[place], starts)
+        base = np.add.reduceat(base[place], starts)
+        del place
+        order = np.argsort(key)
+        key = key[order]
+        at = np.empty(len(key), dtype=np.int32)
+        at[order] = np.cumsum(np.concatenate(([False], key[1:] != key[:-1])))
+        del key, order
+        assert at.max() + 1 == len(p)
+        n = len(sizes)
+        return pa.table([pa.chunked_array(ids), pa.chunked_array(held), pa.array(sizes), pa.array(known), pa.array([total] * n, pa.int64()),
+                         pa.array(base), pa.array(np.add.reduceat(p[at], starts))],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
@@ -507,25 +642,29 @@ def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
     buckets = max(16, int(sum(r["n"] for r in starts) // BUCKET_BYTES))
     docs = _blocks(source, starts)
 
-    asked = docs.select("block", "held_out", "text").mapInArrow(
-        _requests(buckets), "bucket long, block int, heads binary, tails binary")
-    words = cut(asked.repartition("bucket").sortWithinPartitions("bucket")
-                .mapInArrow(_gather, "bucket long, entries binary, contexts binary, asked binary"), "words")
+    asked = docs.select("block", "held_out", "text").mapInArrow(_requests(buckets), "bucket long, block int, pairs binary")
+    words = stored(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        _gather, "bucket long, entries binary, contexts binary, asked binary, total long, tables long, distinct long"),
+        "words", "bucket", buckets)
+    total, tables, distinct = (x or 0 for x in words.agg(F.sum("total"), F.sum("tables"), F.sum("distinct")).first())
     entries = words.select("bucket", "entries", "contexts")
-    sent = cut(entries.mapInArrow(_first(buckets), SENT), "totals")
-    total, tables, distinct = _add(sent, 3)
-    root, back = (tables, distinct, distinct), _returned(sent, 2)
+    shards = max(16, buckets // 4)
+    places = stored(entries.mapInArrow(_first(shards), "shard long, bucket long, v binary").repartition(shards, "shard")
+                     .sortWithinPartitions("shard").mapInArrow(_register, "shard long, bucket long, places binary, totals binary"),
+                     "places", "shard", shards)
+    root, back = (tables, distinct, distinct), places.select("bucket", "shard", F.col("totals").alias("v"))
     for r in range(ROUNDS + 1):
         before, last, samples, at = root, back, SAMPLES if r == ROUNDS else 1, seed + r
         sent = cut(entries.groupBy("bucket").cogroup(last.groupBy("bucket"))
-                   .applyInArrow(_sweep(before, at, samples, buckets), SENT), "totals")
+                   .applyInArrow(_sweep(before, at, samples, shards), SENT), "totals")
         got = _add(sent, 2 * samples).reshape(-1, 2)
-        root, back = (got[0, 0], got[0, 1], distinct), _returned(sent, 1 + samples)
+        root, back = (got[0, 0], got[0, 1], distinct), _returned(places, sent)
     both = last.withColumn("last", F.lit(False)).unionByName(back.withColumn("last", F.lit(True)))
-    answers = (words.groupBy("bucket").cogroup(both.groupBy("bucket"))
-               .applyInArrow(_answers(before, [tuple(x) for x in got.tolist()], at), "block int, pairs binary, counts binary"))
-    return (docs.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_score(int(total), int(distinct)),
+    answers = (words.select("bucket", "entries", "contexts", "asked").groupBy("bucket").cogroup(both.groupBy("bucket"))
+               .applyInArrow(_packed(_answers(before, [tuple(x) for x in got.tolist()], at), shards),
+                             "block int, bucket long, answers binary"))
+    return (docs.mapInArrow(_texts, "block int, rows binary").groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(_score(total, distinct, buckets),
                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                           "base_score double, score double"))
 

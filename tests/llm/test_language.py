@@ -141,3 +141,27 @@ def test_blocks_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     assert len(got) > 5 and max(r[1] for r in got) < 100_000 + 20_000
     assert sorted(r[0] for r in blocks.select("doc_id").collect()) == [r[0] for r in rows]
     assert language.language_scores(df).count() == len(rows)
+
+
+def test_packed_numbers_come_back():
+    """Any width, and sorted hashes as steps."""
+    rng = np.random.default_rng(2)
+    h = np.sort(rng.integers(-2 ** 63, 2 ** 63 - 1, 1000))
+    arrays = [np.arange(300), np.zeros(0, dtype=np.int64), np.array([2 ** 40, 1]), np.ones(5, dtype=np.int64)]
+    blob = language.pack(language.steps(h), *arrays)
+    steps, *got = language.unpack(blob)
+    assert (np.cumsum(steps.view(np.uint64)).view(np.int64) == h).all()
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, arrays))
+
+
+def test_entries_do_not_move_after_they_are_stored(spark, tmp_path):
+    """Joins on the bucket shuffle the totals only, never the stored entries."""
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 97}" for j in range(60))) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    plan = language.language_scores(spark.read.parquet(str(tmp_path / "d")))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    scans = [i for i, x in enumerate(lines) if "Scan parquet spark_catalog.default.words_" in x]
+    assert scans
+    for i in scans:
+        above = lines[i - 3:i]
+        assert not any("Exchange" in x for x in above), "\n".join(lines)
