@@ -50,7 +50,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from ..operators.keys import near_keys
+from .common import cut, stored
 
 THRESHOLD = 0.7
 #: Templates of units are numbered from here.
@@ -163,9 +164,14 @@ def candidates(held: DataFrame, weights: DataFrame, threshold: float) -> DataFra
 
 
 def texts_once(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(id, key, text)``: each distinct text of these keys once, numbered."""
-    one = texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    return cut(one.select(F.monotonically_increasing_id().alias("id"), "key", "text"), "license-texts")
+    """``(key, text)``: each distinct text of these keys once, laid out by key.
+    A bitmap of the keys leaves most other texts where they are."""
+    one = near_keys(texts, keys, "key").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return stored(one, "license_texts", "key", _parts(texts))
+
+
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _placed(text):
@@ -182,28 +188,28 @@ def _weighed(words: DataFrame, weights: DataFrame, total: int) -> DataFrame:
 
 
 def near_terms(one: DataFrame, chosen: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
-    """``(id, pos, line, term, idf, size)`` of the blocks of terms that a run
+    """``(key, pos, line, term, idf, size)`` of the blocks of terms that a run
     with a rare term of its template reaches into, and of all blocks of a text
     that is compared as a whole (``size``: its number of terms)."""
-    words = one.select("id", _placed(F.col("text")).alias("ws"))
+    words = one.select("key", _placed(F.col("text")).alias("ws"))
     rare = F.broadcast(weights.where(F.col("rest") >= threshold * F.col("norm")).select("term", "template", "length"))
-    hits = (words.select("id", F.posexplode("ws").alias("pos", "x")).select("id", F.col("x.term").alias("term"), "pos").join(rare, "term")
-            .select("id", "template", "length", F.expr(f"pos div {BLOCK}").alias("b")).distinct()
-            .join(chosen, ["id", "template"], "left_semi"))
-    reach = hits.select("id", F.explode(F.sequence(F.expr(f"greatest(b * {BLOCK} - length + 1, 0) div {BLOCK}"),
+    hits = (words.select("key", F.posexplode("ws").alias("pos", "x")).select("key", F.col("x.term").alias("term"), "pos").join(rare, "term")
+            .select("key", "template", "length", F.expr(f"pos div {BLOCK}").alias("b")).distinct()
+            .join(chosen, ["key", "template"], "left_semi"))
+    reach = hits.select("key", F.explode(F.sequence(F.expr(f"greatest(b * {BLOCK} - length + 1, 0) div {BLOCK}"),
                                                    F.expr(f"((b + 1) * {BLOCK} + length - 2) div {BLOCK}"))).alias("b"))
     lengths = F.broadcast(weights.where("unit").select("template", "length").distinct())
-    short = (words.select("id", F.size("ws").alias("size")).join(chosen, "id").join(lengths, "template")
+    short = (words.select("key", F.size("ws").alias("size")).join(chosen, "key").join(lengths, "template")
              .where(F.col("size") <= WHOLE * F.col("length"))
-             .select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"size div {BLOCK}"))).alias("b")))
-    blocks = reach.unionByName(short).distinct().groupBy("id").agg(F.collect_list("b").alias("bs"))
+             .select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"size div {BLOCK}"))).alias("b")))
+    blocks = reach.unionByName(short).distinct().groupBy("key").agg(F.collect_list("b").alias("bs"))
     cut_out = lambda b: F.transform(F.slice("ws", (b * BLOCK + 1).cast("int"), F.lit(BLOCK)),
                                     lambda w, i: F.struct((b * BLOCK + i).cast("int").alias("pos"), w["line"].alias("line"),
                                                           w["term"].alias("term")))
-    # Texts, not their terms, are moved to their blocks.
-    kept = one.join(blocks, "id").select("id", "bs", _placed(F.col("text")).alias("ws")).select("id", F.size("ws").alias("size"), F.explode(F.flatten(F.transform(
+    # Blocks are moved to their texts.
+    kept = one.join(blocks, "key").select("key", "bs", _placed(F.col("text")).alias("ws")).select("key", F.size("ws").alias("size"), F.explode(F.flatten(F.transform(
         F.filter("bs", lambda b: b * BLOCK < F.size("ws")), cut_out))).alias("x"))
-    return _weighed(kept.select("id", "x.pos", "x.line", "x.term", "size"), weights, total)
+    return _weighed(kept.select("key", "x.pos", "x.line", "x.term", "size"), weights, total)
 
 
 def _scores(x: DataFrame, weights: DataFrame, unit: list[str]) -> DataFrame:
@@ -223,47 +229,54 @@ def scan_lines(one: DataFrame, weights: DataFrame, total: int, threshold: float)
     heavy = [r[0] for r in notices.where(F.col("below") >= threshold * F.col("norm")).select("term").distinct()
              .orderBy("term").collect()]  # of a few one-line notices
     some = F.arrays_overlap("t", F.array(*map(F.lit, heavy)).cast("array<string>"))
-    lines = (one.select("id", F.posexplode(F.split("text", "\n")).alias("line", "x")).withColumn("t", terms("x")).where(some)
-             .select("id", "line", F.explode("t").alias("term")).where("term != ''"))
-    tf = (_weighed(lines, notices, total).groupBy("id", "line", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x")))
-    size = tf.groupBy("id", "line").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+    lines = (one.select("key", F.posexplode(F.split("text", "\n")).alias("line", "x")).withColumn("t", terms("x")).where(some)
+             .select("key", "line", F.explode("t").alias("term")).where("term != ''"))
+    tf = (_weighed(lines, notices, total).groupBy("key", "line", "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x")))
+    tf = tf.withColumn("size", F.sqrt(F.sum(F.col("x") * F.col("x")).over(W.partitionBy("key", "line"))))
     side = F.broadcast(notices.select("term", "template", "license", "w", "norm"))
-    dots = (tf.join(side, "term").groupBy("id", "line", "template", "license", "norm")
+    dots = (tf.join(side, "term").groupBy("key", "line", "size", "template", "license", "norm")
             .agg(F.sum(F.col("x") * F.col("w")).alias("dot")))
-    hit = dots.join(size, ["id", "line"]).withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
+    hit = dots.withColumn("score", F.col("dot") / (F.col("size") * F.col("norm")))
     best = F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("template")).alias("order"), "license")).alias("b")
-    return (hit.where(F.col("score") >= threshold).groupBy("id", "line").agg(best)
-            .select("id", "line", (-F.col("b.order")).alias("template"), "b.license", "b.score"))
+    return (hit.where(F.col("score") >= threshold).groupBy("key", "line").agg(best)
+            .select("key", "line", (-F.col("b.order")).alias("template"), "b.license", "b.score"))
 
 
-def scan_runs(words: DataFrame, chosen: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+def scan_runs(one: DataFrame, words: DataFrame, chosen: DataFrame, weights: DataFrame, total: int, threshold: float) -> DataFrame:
     """Runs of terms, and whole texts, that reach their template."""
     info = F.broadcast(weights.select("template", "unit", "norm", "length").distinct())
     side = F.broadcast(weights.select("term", "template", "w"))
-    at = chosen.join(words.drop("line"), "id").join(side, ["term", "template"], "left")
+    at = chosen.join(words.drop("line"), "key").join(side, ["term", "template"], "left")
     part, square = F.col("idf") * F.coalesce("w", F.lit(0.0)), F.col("idf") * F.col("idf")
     # Places in lengths of the template, so that one frame serves them all.
     at = at.join(info, "template").withColumn("p", F.expr(f"pos * {ONE_LENGTH}L div length"))
-    every = W.partitionBy("id", "template")
+    every = W.partitionBy("key", "template")
     ahead = every.orderBy("p").rangeBetween(0, ONE_LENGTH - 1)
     over = lambda w: F.struct(F.sum(part).over(w).alias("dot"), F.sum(square).over(w).alias("low"), F.count(F.lit(1)).over(w).alias("n"),
                               F.max("pos").over(w).alias("end"))
-    sums = at.select("id", "template", "unit", "norm", "size", "length", "pos", over(ahead).alias("run"), over(every).alias("all"))
+    sums = at.select("key", "template", "unit", "norm", "size", "length", "pos", over(ahead).alias("run"), over(every).alias("all"))
     stride = F.when(F.col("length") <= EVERY, F.lit(1)).otherwise(F.expr("length div 8"))
     # A run without a gap has all its terms, or ends with its text.
     full = F.col("run.n") == F.least(F.col("length"), F.col("size") - F.col("pos"))
     whole = (F.col("pos") == 0) & F.col("unit") & (F.col("size") > F.col("length")) & (F.col("all.n") == F.col("size"))
     units = F.array(F.when((F.col("pos") % stride == 0) & full, F.col("run")),
                     F.when(whole & (F.col("size") <= WHOLE * F.col("length")), F.col("all")))
-    may = cut(sums.select("id", "template", "unit", "norm", F.col("pos").alias("start"), F.explode(F.array_compact(units)).alias("u"))
+    may = cut(sums.select("key", "template", "unit", "norm", F.col("pos").alias("start"), F.explode(F.array_compact(units)).alias("u"))
               .where("u.dot > 0").where(F.col("u.dot") >= threshold * F.col("norm") * F.sqrt("u.low") * (1 - 1e-9))
-              .select("id", "template", "unit", "start", F.col("u.end").alias("end")), "license-runs")
-    held = may.select("id", "template", "unit", "start", "end", F.explode(F.sequence("start", "end")).alias("pos")).join(words, ["id", "pos"])
-    unit = ["id", "template", "start", "end"]
+              .select("key", "template", "unit", "start", F.col("u.end").alias("end")), "license-runs")
+    # Few runs are left; their terms come from the texts, to which the runs are moved.
+    runs = may.groupBy("key").agg(F.collect_list(F.struct("template", "unit", "start", "end")).alias("runs"))
+    terms_of = lambda r: F.transform(F.slice("ws", r["start"] + 1, r["end"] - r["start"] + 1),
+                                     lambda w: F.struct(r["template"].alias("template"), r["unit"].alias("unit"), r["start"].alias("start"),
+                                                        r["end"].alias("end"), w["line"].alias("line"), w["term"].alias("term")))
+    held = (one.join(runs, "key").select("key", "runs", _placed(F.col("text")).alias("ws"))
+            .select("key", F.explode(F.flatten(F.transform("runs", terms_of))).alias("x")).select("key", "x.*"))
+    held = _weighed(held, weights, total)
+    unit = ["key", "template", "start", "end"]
     x = held.groupBy(*unit, "term").agg((F.count(F.lit(1)) * F.first("idf")).alias("x"))
     where = held.groupBy(*unit).agg(F.min("line").alias("line"), F.max("line").alias("last"), F.first("unit").alias("unit"))
     return (_scores(x, weights, unit).where(F.col("score") >= threshold).join(where, unit).where("unit or line < last")
-            .select("id", "line", "template", "license", F.round("score", 9).alias("score")))
+            .select("key", "line", "template", "license", F.round("score", 9).alias("score")))
 
 
 def _directories(path):
@@ -299,13 +312,11 @@ def scan(files: DataFrame, templates: DataFrame | None = None, threshold: float
     heavy = F.broadcast(weights.where(~F.col("unit") & (F.col("below") >= threshold * F.col("norm"))).select("term").distinct())
     keys = chosen.select("key").union(held.join(heavy, "term").select("key")).distinct()
     one = texts_once(texts, keys)
-    chosen = cut(chosen.join(one.select("id", "key"), "key").select("id", "template"), "license-candidates")
-    words = cut(near_terms(one, chosen, weights, total, threshold), "license-words")
+    words = stored(near_terms(one, chosen, weights, total, threshold), "license_words", "key", _parts(files))
     found = scan_lines(one, weights, total, threshold).withColumn("is_line", F.lit(1)).unionByName(
-        scan_runs(words, chosen, weights, threshold).withColumn("is_line", F.lit(0)))
+        scan_runs(one, words, chosen, weights, total, threshold).withColumn("is_line", F.lit(0)))
     order = F.struct("score", "is_line", (-F.col("line")).alias("o"), (-F.col("template")).alias("t"), "license")
-    best = found.groupBy("id").agg(F.max(order).alias("b")).select("id", "b.license", "b.score")
-    own = cut(best.join(one.select("id", "key"), "id").drop("id"), "own-licenses")
+    own = cut(found.groupBy("key").agg(F.max(order).alias("b")).select("key", "b.license", "b.score"), "own-licenses")
     base = F.upper(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     places = keyed.select("fid", "key", "path", F.element_at(_directories(F.col("path")), 1).alias("dir"), base.alias("base"))
     grants = (places.where(F.col("base").isin(*LICENSE_FILES)).join(own, "key")

@@ -176,3 +176,27 @@ def test_null_and_repeated_ids_and_rows(spark):
     assert len(twice) == 4 and len({(r["fid"], r["license"], r["score"]) for r in twice}) == 2
     exact = {r["score"] for r in twice if r["fid"] == 6}
     assert exact == {1.0}
+
+
+def test_texts_and_terms_move_once(spark):
+    """What is stored by key is scanned, joined and grouped where it lies."""
+    mit = dict(licenses.full_texts())["MIT"]
+    rows = [(i, f"p{i}/x", "plain words\nReleased under the MIT License.\n" + (mit if i % 3 else "") + f" file {i}") for i in range(60)]
+    rows += [(100 + i, f"q{i}/x", f"nothing of the kind {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "fid long, path string, text string")
+    texts = df.selectExpr("md5(text) as key", "text")
+    keys = texts.where("text like 'plain%'").select("key").distinct()
+    one = licenses.texts_once(texts, keys)
+    assert sorted(r["text"] for r in one.collect()) == sorted(t for _, _, t in rows[:60])
+    weights = spark.createDataFrame([(0, "MIT", False, w, 1, 1.0, 1.0, 5 ** .5, 5, 5 ** .5, 5 ** .5) for w in ("released", "under", "the", "mit", "license")],
+                                    "template int, license string, unit boolean, term string, tf long, idf double, w double, "
+                                    "norm double, length long, below double, rest double")
+    found = licenses.scan_lines(one, weights, 260, 0.7)
+    assert {(r["line"], r["license"]) for r in found.collect()} >= {(1, "MIT")}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = licenses.scan_lines(one, weights, 260, 0.7)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "license_texts" in plan and "Exchange hashpartitioning(key" not in plan
