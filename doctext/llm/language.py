@@ -45,8 +45,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held_out, stored
-from .substring import mix, text_words
+from .common import SPACES, cut, held_out, stored
+from .substring import mix
 from .tiles import sorted_groups
 
 FOLDS = 7
@@ -59,8 +59,14 @@ ONE_BY_ONE = 16
 FEW = 4
 #: Bytes of text for one bucket of words, and for one block (and one text more).
 BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
+#: Bytes of text that are cut into words at once.
+AT_ONCE = 1 << 20
 #: The end token as a word, the start of a text as a context.
 END = 0
+#: What each byte becomes: A-Z lower case, white space a space.
+SPACE, _FOLD = 32, np.arange(256, dtype=np.uint8)
+_FOLD[ord("A"):ord("Z") + 1] += 32
+_FOLD[list(SPACES.encode())] = SPACE
 
 #: A pair of a bucket; ``ctx`` is the place of its context among the bucket's.
 ENTRY = np.dtype([("w", "<i8"), ("ctx", "<i4"), ("n", "<i8")])
@@ -112,53 +118,74 @@ def _statistics(most: int):
             return pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([start], pa.int64()),
                                                pa.array([size], pa.int64())], ["path", "start", "n"])
         for b in batches:
-            for p, row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            for p, row, n, whole in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), *_bytes(b.column(2))):
                 if path is not None and (p != path or row != due or held >= most):
                     yield out()
                     path = None
                 if path is None:
                     path, start, size, held = p, row, 0, 0
                 due = row + 1
-                words = text_words(t.as_py())
-                size += len(b" ".join(words)) + bool(words)
-                held += t.as_buffer().size if t.is_valid else 0
+                size += n
+                held += whole
         if path is not None:
             yield out()
     return run
 
 
-class Words(dict):
-    """Numbers of words by their appearance; 0 is the end token, and as a
-    context the start of a text."""
-
-    def __init__(self):
-        super().__init__({b"": END})
-
-    def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self)
-        return i
-
-    def hashes(self) -> np.ndarray:
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, self), dtype=np.uint64, count=len(self))
-        h[h == 0] = 1
-        h[END] = END
-        return h.view(np.int64)
-
-
-def tokens(text: str | None, table: Words) -> np.ndarray:
-    """Numbers of the words, the end token last."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    out = np.zeros(len(words) + 1, dtype=np.int32)
-    out[:-1] = np.fromiter(map(table.__getitem__, words), dtype=np.int32, count=len(words))
-    return out
-
-
-def ordered(w: np.ndarray, table: Words, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _bytes(texts: pa.Array) -> tuple[list[int], list[int]]:
+    """Of each text the bytes of its words, with one space a word, and its own."""
+    words = []
+    for lo, hi in lots(texts):
+        x = spelled(texts.slice(lo, hi - lo))
+        ends = np.flatnonzero((x == SPACE) & (np.concatenate(([SPACE], x[:-1])) == SPACE))
+        words += (np.diff(ends, prepend=-1) - 1).tolist()
+    return words, pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+
+def lots(texts: pa.Array, block: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Runs ``(from, to)`` of texts, of one block each and of ``AT_ONCE`` bytes and one text more at most."""
+    if not len(texts):
+        return
+    lot = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // AT_ONCE
+    new = lot[1:] != lot[:-1]
+    if block is not None:
+        new |= block[1:] != block[:-1]
+    at = [0, *(np.flatnonzero(new) + 1).tolist(), len(texts)]
+    yield from zip(at, at[1:])
+
+
+def spelled(texts: pa.Array) -> np.ndarray:
+    """The words of texts in lower case, a space behind each; one more space
+    behind each text is its end token, an empty word."""
+    parts = [t.as_buffer() if t.is_valid else b"" for t in texts]
+    raw = _FOLD[np.frombuffer(b"  ".join([*parts, b""]), dtype=np.uint8)]
+    keep = raw != SPACE
+    keep[1:] |= keep[:-1].copy()
+    keep[np.cumsum([len(x) + 2 for x in parts]) - 1] = True
+    return raw[keep]
+
+
+def tokens(spelled: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the words by their appearance, the end token (0) after each
+    text; the hashes of the numbers; how many tokens each text has."""
+    data = np.concatenate([np.array([SPACE], dtype=np.uint8), *spelled])
+    ends = np.concatenate(([0], np.flatnonzero(data == SPACE) + 1))
+    words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1,
+                                  [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+    w, known = words.indices.to_numpy()[1:], words.dictionary
+    blob = np.frombuffer(known.buffers()[2], dtype=np.uint8, count=np.frombuffer(known.buffers()[1], np.int64)[len(known)])
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, blob.tobytes().split(b" ")[:-1]), dtype=np.uint64, count=len(known))
+    h[h == 0] = 1
+    h[END] = END
+    return w, h.view(np.int64), np.diff(np.flatnonzero(w == END), prepend=-1)
+
+
+def ordered(w: np.ndarray, hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For the tokens of whole texts: hashes of the words, sorted; their
     places by bucket and hash; each token's place; and a key of its pair that
     sorts by bucket, word and context.  The context is the token before: a
     text ends with the token that the next one starts from."""
-    known, rank = np.unique(table.hashes(), return_inverse=True)
+    known, rank = np.unique(hashes, return_inverse=True)
     order = np.argsort(_shard(known, buckets), kind="stable")
     place = np.empty(len(known), dtype=np.int64)
     place[order] = np.arange(len(known))
@@ -188,15 +215,16 @@ def _shard(h: np.ndarray, shards: int) -> np.ndarray:
 def _requests(buckets: int, most: int = 6_000_000):
     """``(bucket, block, pairs)``: what a block holds and asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held, holds, size, block = Words(), [], [], 0, None
+        held, holds, size, block = [], [], 0, None
 
         def out() -> pa.RecordBatch:
-            nonlocal table, held, holds, size
-            known, order, _, key = ordered(np.concatenate(held), table, buckets)
-            hold = np.repeat(np.array(holds, dtype=np.int64), list(map(len, held)))
-            table, held, holds, size = Words(), [], [], 0
+            nonlocal held, holds, size
+            w, hashes, each = tokens(held)
+            hold = np.repeat(np.concatenate(holds), each)
+            held, holds, size = [], [], 0
+            known, order, _, key = ordered(w, hashes, buckets)
             key = 2 * key + hold
-            del hold
+            del w, hold
             key.sort()
             n = 1 - (key & 1)
             key >>= 1
@@ -215,13 +243,14 @@ def _requests(buckets: int, most: int = 6_000_000):
                 [pa.array(some, pa.int64()), pa.array(np.full(len(some), block, dtype=np.int32)),
                  pa.array(pairs, pa.binary())], ["bucket", "block", "pairs"])
         for b in batches:
-            for blk, hold, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if held and (blk != block or size > most):
+            blocks, hold, texts = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False), b.column(2)
+            for lo, hi in lots(texts, blocks):
+                if held and (blocks[lo] != block or size > most):
                     yield out()
-                block = blk
-                held.append(tokens(t.as_py(), table))
-                holds.append(hold)
-                size += len(held[-1])
+                block = blocks[lo]
+                held.append(spelled(texts.slice(lo, hi - lo)))
+                holds.append(hold[lo:hi])
+                size += np.count_nonzero(held[-1] == SPACE)
         if held:
             yield out()
     return run
@@ -244,7 +273,9 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.add.reduceat(n, first)
         w, ctx = np.divmod(key[first], len(contexts))
         some, rank = np.unique(blocks, return_inverse=True)
-        rank, entry = np.divmod(np.unique(rank * len(first) + np.cumsum(new) - 1), len(first))
+        rank = rank * len(first) + np.cumsum(new) - 1
+        rank.sort()
+        rank, entry = np.divmod(rank[np.concatenate(([True], rank[1:] != rank[:-1]))], len(first))
         each = np.bincount(rank)
         gap = np.diff(entry, prepend=0)
         starts = np.cumsum(each) - each
@@ -255,7 +286,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [g.column(0).slice(0, 1).combine_chunks(), pa.array([pack(steps(words), np.bincount(w), ctx, n)], pa.binary()),
              pa.array([pack(steps(contexts))], pa.binary()), pa.array([pack(some, each, gap)], pa.binary()),
              pa.array([int(n.sum())], pa.int64()), pa.array([int(met.sum())], pa.int64()),
-             pa.array([len(np.unique(w[met]))], pa.int64())],
+             pa.array([np.count_nonzero(np.bincount(w[met]))], pa.int64())],
             ["bucket", "entries", "contexts", "asked", "total", "tables", "distinct"])
 
 
@@ -482,21 +513,39 @@ def _bucket(words: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
             np.frombuffer(words["contexts"][0].as_buffer(), dtype=np.int64))
 
 
-def _sweep(root: tuple[float, float, float], seed: int, samples: int, shards: int):
+def _seats(e: np.ndarray, drawn: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """The kept sweeps of a bucket; one customer sits at one table."""
+    some = np.flatnonzero(e["n"] > 1)
+    return pack(*(x.astype(np.int64) for t, r in drawn for x in (t[some], r)))
+
+
+def _seated(e: np.ndarray, seats: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    met, some, drawn = np.minimum(e["n"], 1).astype(float), np.flatnonzero(e["n"] > 1), unpack(seats)
+    for t, r in zip(drawn[::2], drawn[1::2]):
+        every = met.copy()
+        every[some] = t
+        yield every, r.astype(float)
+
+
+def _sweep(root: tuple[float, float, float], seed: int, samples: int, shards: int, keep: bool = False):
     """A round: seats anew from the totals that came back (customers and
-    tables) and sends the tables of every kept sweep."""
+    tables) and sends the tables of every kept sweep; the last round keeps
+    the seats themselves too, for the answers."""
     def run(words: pa.Table, back: pa.Table) -> pa.Table:
         bucket, (e, contexts) = words["bucket"][0].as_py(), _opened(words["entries"][0].as_py(), words["contexts"][0].as_py())
         order, parts = _by_shard(contexts, shards)
         v = _back(order, back)
         before = Totals(v[:, 0], v[:, 1], root[1], root[2], root[0])
-        tables, roots = zip(*sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, samples))
+        drawn = list(sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, samples))
+        tables, roots = zip(*drawn)
         v = [np.bincount(e["ctx"], weights=t, minlength=len(contexts)).astype(np.int64)[order] for t in tables]
         numbers = [x for t, r in zip(tables, roots) for x in (t.sum(), r.sum())]
-        n, m = len(parts), len(numbers)
-        return pa.table([pa.array([i for i, _, _ in parts] + [None] * m, pa.int64()), pa.array([bucket] * n + [None] * m, pa.int64()),
-                         pa.array([pack(*(x[lo:hi] for x in v)) for _, lo, hi in parts] + [None] * m, pa.binary()),
-                         pa.array([None] * n + list(range(m)), pa.int32()), pa.array([None] * n + numbers, pa.float64())],
+        seats = [_seats(e, drawn)] if keep else []
+        n, k, m = len(parts), len(seats), len(numbers)
+        return pa.table([pa.array([i for i, _, _ in parts] + [None] * (k + m), pa.int64()),
+                         pa.array([bucket] * (n + k) + [None] * m, pa.int64()),
+                         pa.array([pack(*(x[lo:hi] for x in v)) for _, lo, hi in parts] + seats + [None] * m, pa.binary()),
+                         pa.array([None] * (n + k) + list(range(m)), pa.int32()), pa.array([None] * (n + k) + numbers, pa.float64())],
                         names=["shard", "bucket", "v", "i", "x"])
     return run
 
@@ -504,15 +553,17 @@ def _sweep(root: tuple[float, float, float], seed: int, samples: int, shards: in
 def _answers(root: tuple[float, float, float], after: list[tuple[float, float]], seed: int):
     """``(block, pairs, counts)``: log probability and count of what each block
     asked.  ``back`` has the totals that the last round sampled from, and those
-    that its sweeps gave; the predictives of the sweeps are averaged."""
-    def run(words: pa.Table, back: pa.Table) -> pa.Table:
+    that its sweeps gave; the predictives of the sweeps are averaged.  Sweeps
+    whose ``seats`` were not kept are drawn again from the same seed."""
+    def run(words: pa.Table, back: pa.Table, seats: bytes | None = None) -> pa.Table:
         bucket, e, contexts = _bucket(words)
         first = back["last"].to_numpy()
         v = _totals_of(contexts, back.filter(pa.array(~first)), 2)
         kept = _totals_of(contexts, back.filter(pa.array(first)), 1 + len(after))
         before = Totals(v[:, 0], v[:, 1], root[1], root[2], root[0])
         p = np.zeros(len(e))
-        for i, (tables, seated) in enumerate(sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, len(after))):
+        drawn = _seated(e, seats) if seats is not None else sweeps(e, before, np.random.default_rng([seed, bucket]), BURN, len(after))
+        for i, (tables, seated) in enumerate(drawn):
             p += predictive(e, tables, seated, Totals(v[:, 0], kept[:, 1 + i], after[i][1], root[2], after[i][0]))
         p = np.log10(p / len(after))
         starts, word = words_of(e)
@@ -526,7 +577,8 @@ def _answers(root: tuple[float, float, float], after: list[tuple[float, float]],
             i = asked["entry"][lo:hi]
             rows = np.empty(len(i), dtype=ANSWER)
             rows["key"], rows["p"] = key[i], p[i]
-            j = np.unique(word[i])
+            j = word[i]
+            j = j[np.concatenate(([True], j[1:] != j[:-1]))]
             known = np.empty(len(j), dtype=COUNT)
             known["w"], known["c"] = e["w"][starts[j]], count[j]
             pairs.append(rows.tobytes())
@@ -549,7 +601,8 @@ def _packed(answers, shards: int):
             pa.table([words["bucket"], plain(e), plain(contexts), plain(_asked(words["asked"][0].as_py()))],
                      names=["bucket", "entries", "contexts", "asked"]),
             pa.table([pa.array([contexts.tobytes()] * 2, pa.binary()), pa.array(totals, pa.binary()), pa.array(kinds)],
-                     names=["contexts", "v", "last"]))
+                     names=["contexts", "v", "last"]),
+            back.filter(pc.is_null(back["last"]))["v"][0].as_py())
         out = [pack(np.ascontiguousarray(np.frombuffer(p, dtype=ANSWER)["p"]).view("<u4"), np.frombuffer(c, dtype=COUNT)["c"])
                for p, c in zip(got["pairs"].to_pylist(), got["counts"].to_pylist())]
         return pa.table([got["block"], pa.array([words["bucket"][0].as_py()] * len(out), pa.int64()), pa.array(out, pa.binary())],
@@ -575,16 +628,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(total: int, distinct: int, buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        table, ids, held, every = Words(), [], [], []
+        ids, held, every = [], [], []
         for x in docs["rows"].to_pylist():
             for b in pa.ipc.open_stream(x):
                 ids.append(b.column(0))
                 held.append(b.column(1))
-                every += [tokens(t.as_py(), table) for t in b.column(2)]
-        sizes = np.array(list(map(len, every)), dtype=np.int64)
-        starts, every = np.cumsum(sizes) - sizes, np.concatenate(every)
-        _, _, place, key = ordered(every, table, buckets)
-        del table, every
+                every += [spelled(b.column(2).slice(lo, hi - lo)) for lo, hi in lots(b.column(2))]
+        every, hashes, sizes = tokens(every)
+        starts = np.cumsum(sizes) - sizes
+        _, _, place, key = ordered(every, hashes, buckets)
+        del every, hashes
         p, count = map(np.concatenate, zip(*map(unpack, answers.sort_by("bucket")["answers"].to_pylist())))
         p = p.astype("<u4").view("<f4").astype(float)
         base = np.log10(count + 1.0) - np.log10(total + distinct + 1.0)
@@ -656,10 +709,12 @@ def language_scores(documents: DataFrame, seed: int = 17) -> DataFrame:
     for r in range(ROUNDS + 1):
         before, last, samples, at = root, back, SAMPLES if r == ROUNDS else 1, seed + r
         sent = cut(entries.groupBy("bucket").cogroup(last.groupBy("bucket"))
-                   .applyInArrow(_sweep(before, at, samples, shards), SENT), "totals")
+                   .applyInArrow(_sweep(before, at, samples, shards, r == ROUNDS), SENT), "totals")
         got = _add(sent, 2 * samples).reshape(-1, 2)
         root, back = (got[0, 0], got[0, 1], distinct), _returned(places, sent)
-    both = last.withColumn("last", F.lit(False)).unionByName(back.withColumn("last", F.lit(True)))
+    both = (last.withColumn("last", F.lit(False)).unionByName(back.withColumn("last", F.lit(True)))
+            .unionByName(sent.where("shard is null and i is null")
+                         .select("bucket", "shard", "v", F.lit(None).cast("boolean").alias("last"))))
     answers = (words.select("bucket", "entries", "contexts", "asked").groupBy("bucket").cogroup(both.groupBy("bucket"))
                .applyInArrow(_packed(_answers(before, [tuple(x) for x in got.tolist()], at), shards),
                              "block int, bucket long, answers binary"))

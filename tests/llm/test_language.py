@@ -165,3 +165,56 @@ def test_entries_do_not_move_after_they_are_stored(spark, tmp_path):
     for i in scans:
         above = lines[i - 3:i]
         assert not any("Exchange" in x for x in above), "\n".join(lines)
+
+
+def test_words_of_many_texts_at_once(monkeypatch):
+    """As each text split by itself, whatever its white space and the cut."""
+    import pyarrow as pa
+    import xxhash
+    rng = np.random.default_rng(6)
+    signs = list("aAbZé ß\t\n\x0b\x0c\r\x1c\x85\u00a0\u2028İ😀@[`{")
+    texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(300)] + ["", None, " ", None, "a ", " B", "x" * 500]
+    want = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    monkeypatch.setattr(language, "AT_ONCE", 100)
+    column = pa.array(texts)
+    cuts = list(language.lots(column))
+    assert len(cuts) > 20 and [lo for lo, _ in cuts[1:]] == [hi for _, hi in cuts[:-1]] and cuts[-1][1] == len(texts)
+    w, hashes, sizes = language.tokens([language.spelled(column.slice(lo, hi - lo)) for lo, hi in cuts])
+    assert sizes.tolist() == list(map(len, want))
+    hashed = [xxhash.xxh3_64_intdigest(x) if x else language.END for t in want for x in t]
+    assert hashes.view(np.uint64)[w].tolist() == hashed and len(hashes) == len(set(hashed))
+    words, own = language._bytes(column)
+    assert words == [len(b" ".join(x)) - 1 if len(x) > 1 else 0 for x in ([*t[:-1], b" "] for t in want)]
+    assert own == [len((t or "").encode()) for t in texts]
+    assert list(language.lots(pa.array([], pa.string()))) == []
+
+
+def test_the_last_sweeps_are_drawn_once(monkeypatch):
+    """The answers take the seats that the last round kept, the same as drawn again."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+    rng = np.random.default_rng(7)
+    k = 30
+    words, ctx, n = np.sort(rng.integers(-2 ** 62, 2 ** 62, 20)), np.tile(np.arange(k), 20), rng.integers(0, 40, 20 * k)
+    contexts = np.sort(rng.integers(-2 ** 62, 2 ** 62, k))
+    row = pa.table({"bucket": [3], "entries": [language.pack(language.steps(words), np.full(20, k), ctx, n)],
+                    "contexts": [language.pack(language.steps(contexts))],
+                    "asked": [language.pack(np.array([0]), np.array([len(n)]), np.diff(np.arange(len(n)), prepend=0))]})
+    sent = list(language._first(4)(iter(row.select(["bucket", "entries", "contexts"]).to_batches())))
+    places = [next(language._register(iter([x]))) for b in sent for x in (b.slice(i, 1) for i in range(b.num_rows))]
+    totals = pa.Table.from_batches(places).select(["bucket", "shard", "totals"]).rename_columns(["bucket", "shard", "v"])
+    root = (float((n > 0).sum()), 20.0, 20.0)
+    out = language._sweep(root, 5, 3, 4, True)(row, totals)
+    mask = lambda c: pa.compute.is_valid(out[c])
+    back = out.filter(mask("shard")).select(["bucket", "shard", "v"])
+    first = pa.Table.from_batches(places)
+    back = pa.concat_tables([language._sum_up(first.slice(i, 1), back.filter(pa.compute.equal(back["shard"], first["shard"][i])))
+                             for i in range(len(first))])
+    after = [tuple(x) for x in out.filter(mask("i"))["x"].to_numpy().reshape(-1, 2)]
+    seats = out.filter(pa.compute.invert(pa.compute.or_(mask("shard"), mask("i"))))
+    both = pa.concat_tables([t.select(["bucket", "shard", "v"]).append_column("last", pa.array([x] * len(t), pa.bool_()))
+                             for t, x in ((totals, False), (back, True), (seats, None))])
+    answers = language._answers(root, after, 5)
+    want = language._packed(lambda words, back, seats: answers(words, back), 4)(row, both)
+    monkeypatch.setattr(language, "sweeps", None)
+    assert language._packed(answers, 4)(row, both).equals(want) and len(want) == 1
