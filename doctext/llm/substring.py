@@ -22,6 +22,9 @@ Texts equal as a whole are recognised first by digest: the later copies lose
 all their words (if they have a window at all) and only the first takes part
 in step 3, so groups of copies cost one row each.
 
+Only texts that are copies or have a hot anchor are shuffled to meet what is
+known about them, the others are told by a bitmap and cleaned where they lie.
+
 Defined results: a null text has no words; texts shorter than a window lose
 nothing; windows are judged on the input; a null doc_id sorts after every id;
 rows that repeat a doc_id are one document in "a smaller doc_id" and each is
@@ -40,11 +43,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import near_keys, split_by_keys
 from .common import cut, hide, show
 
 WINDOW, ANCHOR = 50, 20
 #: Rows of the sketch, and cells of a row for one expected anchor.
 DEPTH, ROOM = 2, 8
+#: Bits for one key of the bitmap that holds other texts back, and at most (as a power of 2).
+KEY_BITS, MOST_BITS = 8, 26
 #: Words of one generation of a worker's hash table.
 MAX_WORDS = 500_000
 _BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -231,7 +237,9 @@ def _marked(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     rows = rows.join(copies.withColumnRenamed("__k", "k"), "k", "left_anti")
     lists = cut(rows.groupBy(F.col("k").alias("__k")).agg(F.collect_set("m").alias("__hot")), "hot-anchors")
 
-    near = (docs.join(lists, "__k").select("__k", doc.alias("__doc"), "text", "__hot")
+    keys = lists.select("__k").unionByName(copies)
+    wide = min(MOST_BITS, max(16, (KEY_BITS * (lists.count() + copies.count())).bit_length()))
+    near = (near_keys(docs, lists, "__k", wide).join(lists, "__k").select("__k", doc.alias("__doc"), "text", "__hot")
             .mapInArrow(_candidates(window, anchor), "w1 long, w2 long, doc long, k long"))
     near = cut(near, "windows")
     twice = (near.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -239,7 +247,9 @@ def _marked(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     gone = (near.join(twice, ["w1", "w2"]).where("doc > first")
             .groupBy(F.col("k").alias("__k")).agg(F.collect_set("w1").alias("__gone")))
     info = gone.join(copies.withColumn("__copy", F.lit(True)), "__k", "full")
-    return docs.join(info, "__k", "left")
+    some, rest = split_by_keys(docs, keys, "__k", wide)
+    return some.join(info, "__k", "left").unionByName(
+        rest.withColumn("__gone", F.lit(None).cast("array<long>")).withColumn("__copy", F.lit(None).cast("boolean")))
 
 
 def digests(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

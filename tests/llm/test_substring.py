@@ -59,3 +59,23 @@ def test_documents_keep_their_columns(nasty, empty, docs):
     text = " ".join(f"w{i}" for i in range(60))
     got = {r["doc_id"]: r for r in substring.deduplicate(docs([(1, text, "a"), (2, "Start here\n" + text + "  end", "a")])).collect()}
     assert got[1]["text"] == text and got[2]["text"] == "Start here end" and got[2]["n_chars"] == 14
+
+
+def test_only_texts_that_may_lose_words_are_shuffled(spark, tmp_path):
+    """The others go from the scan to the result, whatever the size of the bitmap."""
+    rows = make(4)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    out = substring._marked(spark.read.parquet(str(tmp_path / "d")))
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert lines[0].startswith("Union")
+    some, rest = [out._jdf.queryExecution().optimizedPlan().children().apply(i).toString() for i in (0, 1)]
+    assert "LeftOuter" in some and "__gone" in some
+    assert "strategy=broadcast" in rest and rest.count("Join ") == 1, rest
+
+
+def test_a_full_bitmap_loses_nothing(docs, monkeypatch):
+    rows = make(5)
+    for bits in (0, 26):
+        monkeypatch.setattr(substring, "MOST_BITS", bits)
+        got = [tuple(r) for r in substring.digests(docs([(i, t, "a") for i, t in rows])).collect()]
+        assert sorted(got, key=str) == brute(rows, 50)
