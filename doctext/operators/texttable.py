@@ -31,7 +31,8 @@ class TextTable:
     def _write(self, rows: DataFrame) -> None:
         # Ranges split a package with very many rows over several files.
         (rows.repartitionByRange("bucket", "package_id", "resource_id").sortWithinPartitions("bucket", "package_id", "resource_id")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
+         .write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket").parquet(self.path))
 
     def create(self, rows: DataFrame) -> None:
         self._write(rows.select(*FT_COLS, self.bucket().alias("bucket")))
@@ -53,11 +54,15 @@ class TextTable:
         marks = self.spark.range(1).select(
             *[F.lit(None).cast("string").alias(c) for c in FT_COLS], F.explode(F.array(*map(F.lit, buckets))).alias("bucket"))
         rows = rows.select(*FT_COLS, self.bucket().alias("bucket")).unionByName(marks)
-        self._write(rows if apart else written(rows, "replaced"))
+        self._write(rows if apart else written(rows, "replaced", "zstd"))
+
+    def after(self, outcome: DataFrame, buckets: list[int]) -> DataFrame:
+        """What ``buckets`` will hold with the outcome of a run written back
+        (``state.apply_outcome``), written apart; the table is as it was."""
+        return written(apply_outcome(self.read(buckets), outcome), "replaced", "zstd")
 
     def apply(self, outcome: DataFrame) -> list[int]:
-        """The outcome of a run written back (``state.apply_outcome``); the
-        buckets that were replaced."""
+        """The outcome of a run written back; the buckets that were replaced."""
         buckets = self.touched(outcome)
-        self.replace(apply_outcome(self.read(buckets), outcome), buckets)
+        self.replace(self.after(outcome, buckets), buckets, apart=True)
         return buckets

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import urls as U
 from ..operators import archive, assemble, select, state
-from ..operators.index import SearchIndex, text_changes
-from ..operators.keys import near_keys
+from ..operators.index import SearchIndex, shown_keys, text_bytes, text_differences
+from ..operators.keys import key_bits, near_keys, split_by_bits
 from ..operators.repair import clear_text
 from ..operators.texttable import TextTable
 from ..schema import ERROR, NO_TEXT_URL_MARK, UNAVAILABLE, Settings
@@ -69,19 +69,26 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
     ``max_chars``; text_clear is the repaired text only where cleaning applies
     (package source listed, URL ends in rar/zip/pdf) and never for a sentinel.
 
-    The routes are written once (keys and flags); texts of other resources
-    are held back by a bitmap of the keys before the joins shuffle anything.
+    The routes are written once (keys and flags, also whether cleaning
+    applies); texts of other resources are held back by a bitmap of the keys
+    before the joins shuffle anything.  Texts that are to be cleaned are
+    written with their text_clear, the others once and not moved again.
     """
     s = settings
-    r = written(routes(resources, packages, harvest, s), "routes")
+    r = routes(resources, packages, harvest, s)
+    keys = ["resource_id", "package_id"]
+    if do_clean:
+        r = r.join(assemble.clean_eligible(resources, harvest, s.clean_sources).select("resource_id", "clean"), "resource_id", "left")
+        keys.append("clean")
+    r = written(r, "routes")
     plain = r.where("route in ('none', 'empty')").select(
-        "resource_id", "package_id", F.when(F.col("route") == "empty", "").alias("got"), (F.col("route") == "none").alias("none"))
+        *keys, F.when(F.col("route") == "empty", "").alias("got"), (F.col("route") == "none").alias("none"))
 
-    kept = r.where("route = 'archive'").select("resource_id", "package_id")
+    kept = r.where("route = 'archive'").select(*keys)
     zipped = kept.join(archive_texts(members, s, kept), "resource_id", "left").select(
-        "resource_id", "package_id", F.coalesce("archive_raw", F.lit(ERROR)).alias("got"), F.lit(False).alias("none"))
+        *keys, F.coalesce("archive_raw", F.lit(ERROR)).alias("got"), F.lit(False).alias("none"))
 
-    asked = r.where("route = 'fetch'").select("resource_id", "package_id", "is_csv", "is_page")
+    asked = r.where("route = 'fetch'").select(*keys, "is_csv", "is_page")
     f = asked.join(near_keys(fetched, asked, "resource_id"), "resource_id", "left")
     if pages is not None:
         mine = near_keys(pages, asked.where("is_page"), "resource_id")
@@ -90,24 +97,24 @@ def outcome(resources: DataFrame, packages: DataFrame, harvest: DataFrame,
     stripped = tx.strip_ws(F.col("raw"))
     raw_text = F.when(F.col("is_csv"), tx.normalise(stripped, is_csv=True)).otherwise(tx.normalise(stripped))
     got = F.when(F.col("raw").isNull() | tx.is_error_page("raw"), F.lit(ERROR)).otherwise(raw_text)
-    read = f.select("resource_id", "package_id", got.alias("got"), F.lit(False).alias("none"))
+    read = f.select(*keys, got.alias("got"), F.lit(False).alias("none"))
 
     o = plain.unionByName(zipped).unionByName(read).withColumn("got", tx.truncate("got", s.max_chars))
     blank = tx.is_blank("got")
     text = F.when(F.col("none") | blank, F.lit(UNAVAILABLE)).otherwise(F.col("got"))
-    out = o.select("resource_id", "package_id", text.alias("text"),
-                   (F.col("none") | blank).alias("_blank_or_none"), blank.alias("_blank"))
+    out = o.select(*keys, text.alias("text"), (F.col("none") | blank).alias("_blank_or_none"), blank.alias("_blank"))
     if not do_clean:
         return out.select("resource_id", "package_id", "text",
                           F.lit(None).cast("string").alias("text_clear"))
-    elig = assemble.clean_eligible(resources, harvest, s.clean_sources).select("resource_id", "clean")
-    out = written(out.join(elig, "resource_id", "left"), "uncleaned")
+    out = written(out, "uncleaned", "zstd")
     todo = out.filter(F.col("clean") & ~F.col("_blank_or_none") & ~state.is_sentinel("text"))
     cleaned = clear_text(todo.select("resource_id", "text"), "resource_id", "text", dictionary, s)
-    out = out.join(cleaned, "resource_id", "left")
+    near, away = split_by_bits(out, written(key_bits(todo, "resource_id"), "bits"), "resource_id")
     tc = (F.when(F.col("_blank"), F.lit(""))
            .when(F.col("text_clear").isNotNull(), tx.truncate("text_clear", s.max_chars)))
-    return out.select("resource_id", "package_id", "text", tc.alias("text_clear"))
+    ends = lambda df: df.select("resource_id", "package_id", "text", tc.alias("text_clear"))
+    done = written(ends(near.join(cleaned, "resource_id", "left")), "cleaned", "zstd")
+    return done.unionByName(ends(away.withColumn("text_clear", F.lit(None).cast("string"))))
 
 
 def page_texts(mine: DataFrame, pages: DataFrame) -> DataFrame:
@@ -142,24 +149,27 @@ def process_packages(catalog, package_ids: DataFrame, settings: Settings, table:
 
     Narrow rules -> texts of what is left (fetched, pages after redirects,
     archives) -> outcome -> repair, written once; from there the touched
-    buckets of the text table, the index documents of the processed packages
-    and the differences of the search index.
+    buckets of the text table as they will be, the differences of the search
+    index from them to the table as it is, and then the table itself and the
+    index documents of the processed packages.
     """
     ids = package_ids.distinct()
     res = catalog.resource.join(ids, "package_id", "left_semi")
     fetched = fetched if fetched is not None else fetched_texts(catalog.raw("documents"))
-    o = written(outcome(res, catalog.package, catalog.harvest, fetched, catalog.members, settings,
-                        do_clean, dictionary, pages), "outcome")
-    before = None
-    if index is not None:
-        before = written(near_keys(table.read(table.touched(o)), o, "package_id"), "before")
-    buckets = table.apply(o)
-    after = near_keys(table.read(buckets), o, "package_id")
+    o = outcome(res, catalog.package, catalog.harvest, fetched, catalog.members, settings, do_clean, dictionary, pages)
+    if not do_clean:      # else its parts are written
+        o = written(o, "outcome", "zstd")
+    buckets = table.touched(o)
     packages = catalog.package.join(ids, "package_id", "left_semi")
+    after = table.after(o, buckets)
     if index is not None:
         shown = packages.where((F.col("type") != "harvest") & ~select.in_list("package_id", settings.package_blacklist))
         listed = res.join(shown.select("package_id"), "package_id", "left_semi")
-        index = index.apply(text_changes(before, after, listed), batch)
+        was, will = near_keys(table.read(buckets), o, "package_id"), near_keys(after, o, "package_id")
+        size = text_bytes(was) + text_bytes(will)
+        index = index.add(text_differences(was, shown_keys(was, listed), will, shown_keys(will, listed), size), batch, size)
+    table.replace(after, buckets, apart=True)
+    after = near_keys(table.read(buckets), o, "package_id")
     return Run(table, buckets, o, index_documents(packages, res, after, settings), index)
 
 

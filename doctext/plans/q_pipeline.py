@@ -172,8 +172,9 @@ def batch_run(c, index: bool = False) -> pl.Run:
     read; with ``index`` also the search index of before is brought up to date."""
     s = dataclasses.replace(S, clean_sources=("source1", "source2"))
     before = built_index(c) if index else None
+    pages = written(fetched_pages(c), "pages", "zstd")      # they come from a join and are read three times
     return pl.process_packages(c, _selection(c), s, stored_table(c), do_clean=True, dictionary=word_list(c),
-                               pages=fetched_pages(c), index=before)
+                               pages=pages, index=before)
 
 
 @query("process_packages", _process_sql("SELECT * FROM after"), PAGE_CTES)
