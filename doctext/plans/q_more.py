@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sql_quote
 from ..operators import archive, ledger, select
+from ..operators.keys import split_by_keys
 from ..sources import pages as pg
 from .params import MAX_SIZE, SETTINGS as S
 from .q_state import ERR_SQL
@@ -90,8 +91,13 @@ FROM pages p LEFT JOIN pages q ON q.page_id = p.page_id + 1"""
 def redirect_pages(c):
     p = c.pages
     q = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    j = p.join(q, "page_id", "left")
     m = F.col("page_id") % 5
+    # Every fifth page takes the next one's URL; of the others only those move
+    # that the join repeats.
+    takes = F.coalesce(m == 0, F.lit(False))
+    near, away = split_by_keys(p, q.groupBy("page_id").count().where("count > 1"), "page_id")
+    j = p.where(takes).unionByName(near.where(~takes)).join(q, "page_id", "left").unionByName(
+        away.where(~takes).withColumn("next_url", F.lit(None).cast("string")))
     html = (F.when((m == 0) & F.col("next_url").isNotNull(),
                    F.replace("html", F.lit("<script>"),
                              F.concat(F.lit("<script>window.location.replace('"), "next_url", F.lit("');"))))
